@@ -5,13 +5,14 @@
 1. range-partition by the natural key and sort inside partitions (sampling-based, balanced:
    the keys are unique after dedupe, so no partition can be hot);
 2. stamp ``spark_partition_id`` and ``monotonically_increasing_id`` (consecutive inside a
-   partition) and checkpoint, so partition ids and row order are frozen for the second pass;
-3. count rows per partition -- one row per partition -- and prefix-sum the counts;
-4. key = start + offset(partition) + row index inside the partition.
-
-The per-partition table has exactly ``num_partitions`` rows, a proven bound, so it is
-broadcast. The checkpoint goes to the session's shared ``spark.checkpoint.dir`` (reliable; it
-survives executor loss).
+   partition) and write the frame once to the session's shared checkpoint folder, which freezes
+   both stamps (a re-execution could otherwise sample different range bounds);
+3. count rows per partition id -- one row per partition -- and prefix-sum the counts;
+4. key = start + offset(partition) + (row id - first row id of the partition) + 1.
+
+Step 4 only uses the stored stamps, so it does not care how the written files are split when
+read back. The per-partition table has exactly ``num_partitions`` rows, a proven bound, so it
+is broadcast. The written copy survives executor loss (no local checkpoint).
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import checkpoint_root
+from strata.session import scratch_path
 
 
 def assign_surrogate_keys(df: DataFrame, order_cols, key_name: str, start: int = 0,
@@ -31,19 +32,19 @@ def assign_surrogate_keys(df: DataFrame, order_cols, key_name: str, start: int =
     """
     order_cols = list(order_cols)
     spark = df.sparkSession
-    checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
-    per_part = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_base"))
+    path = scratch_path(spark, f"keys-{key_name}")
+    (df.repartitionByRange(n, *order_cols)
+       .sortWithinPartitions(*order_cols)
+       .withColumn("_pid", F.spark_partition_id())
+       .withColumn("_mid", F.monotonically_increasing_id())
+       .write.mode("overwrite").parquet(path))
+    stamped = spark.read.parquet(path)
+    per_part = stamped.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_base"))
     # Window over <= n rows (one per partition): bounded by construction.
     offsets = per_part.withColumn(
         "_off", F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
     offsets = offsets.select("_pid", "_base", F.coalesce("_off", F.lit(0)).alias("_off"))
-    offsets = offsets.withColumn("_start", F.lit(int(start)))
-    keyed = ranged.join(F.broadcast(offsets), "_pid")
-    key = (F.col("_start") + F.col("_off") + (F.col("_mid") - F.col("_base")) + 1).cast("long")
-    return keyed.withColumn(key_name, key).drop("_pid", "_mid", "_cnt", "_base", "_off", "_start")
+    keyed = stamped.join(F.broadcast(offsets), "_pid")
+    key = (F.lit(int(start)) + F.col("_off") + (F.col("_mid") - F.col("_base")) + 1).cast("long")
+    return keyed.withColumn(key_name, key).select(*df.columns, key_name)

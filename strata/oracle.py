@@ -95,6 +95,10 @@ _CTES = {
             CAST(event_time AS DATE) AS event_date, event_type, product_id, category, device, country,
             CAST(price AS DOUBLE) AS price, CAST(quantity AS INTEGER) AS quantity
         FROM kept_aw""",
+    "dedup_norm": "SELECT DISTINCT ON (event_id) * FROM norm_iw ORDER BY event_id",
+    "bf_products": """SELECT product_id,
+            max(CASE WHEN category IS NOT NULL THEN {'t': event_time, 'c': category} END).c AS category
+        FROM dedup_norm WHERE product_id IS NOT NULL GROUP BY product_id""",
     # ---- users ---------------------------------------------------------------------------
     "uv": """SELECT DISTINCT ON (user_id, updated_at) user_id, updated_at, country, loyalty_tier
         FROM user_feed WHERE user_id IS NOT NULL AND updated_at IS NOT NULL

@@ -115,3 +115,536 @@ def _daily_kpis_aw(x: Inputs):
     FROM fact_iw GROUP BY event_date""")
 def _daily_kpis_volume(x: Inputs):
     return K.daily_kpis_volume(x.star().fact)
+
+
+@register("funnel_metrics", """SELECT event_type, count(event_type) AS total_events, count(DISTINCT user_id) AS total_users
+    FROM fact_iw GROUP BY event_type""")
+def _funnel(x: Inputs):
+    """events and distinct users per event type."""
+    return K.funnel_metrics(x.star().fact)
+
+
+@register("funnel_metrics_as_written", """SELECT event_type, count(event_type) AS total_events,
+        count(DISTINCT user_sk) AS total_users FROM fact_aw GROUP BY event_type""")
+def _funnel_aw(x: Inputs):
+    return K.funnel_metrics(x.star("as_written").fact, "as_written")
+
+
+@register("product_metrics", f"""SELECT p.product_id, p.category, count(*) AS total_interactions,
+        {O.money('f.price')} AS revenue
+    FROM live_iw f JOIN products_iw p ON f.product_sk = p.product_sk GROUP BY p.product_id, p.category""")
+def _product_metrics(x: Inputs):
+    """F4 with eager aggregation before the product join."""
+    return K.product_metrics(x.star())
+
+
+@register("product_metrics_as_written", f"""SELECT dim_product_id AS product_id, category, count(*) AS total_interactions,
+        {O.money('price')} AS revenue FROM star_aw GROUP BY dim_product_id, category""")
+def _product_metrics_aw(x: Inputs):
+    return K.product_metrics(x.star("as_written"), "as_written")
+
+
+@register("top_purchasers", f"""SELECT user_id, count(DISTINCT product_id) AS product_count,
+        {O.money('price')} AS purchase_totals, count(DISTINCT event_id) AS transactions
+    FROM live_iw WHERE event_type = 'purchase' GROUP BY user_id
+    ORDER BY purchase_totals DESC, user_id LIMIT 50""")
+def _top_purchasers(x: Inputs):
+    """the top 50 purchasing users (total desc, user_id tie-break)."""
+    return K.top_purchasers(x.star(), limit=50)
+
+
+@register("top_purchasers_all", f"""SELECT dim_user_id AS user_id, count(DISTINCT dim_product_id) AS product_count,
+        {O.money('price')} AS purchase_totals, count(DISTINCT event_id) AS transactions
+    FROM star_aw WHERE event_type = 'purchase' GROUP BY dim_user_id""")
+def _top_purchasers_all(x: Inputs):
+    """F5 as written: every purchasing user, ordered, no limit, over the fan-out star."""
+    return K.top_purchasers(x.star("as_written"), "as_written", limit=None)
+
+
+@register("row_counts", """SELECT 'bronze_events' AS table_name, count(*) AS row_count FROM raw_ev
+    UNION ALL SELECT 'silver_events', count(*) FROM clean_iw
+    UNION ALL SELECT 'silver_user', count(*) FROM users_iw
+    UNION ALL SELECT 'silver_product', count(*) FROM products_iw
+    UNION ALL SELECT 'silver_date', count(*) FROM dates_iw
+    UNION ALL SELECT 'silver_fact', count(*) FROM fact_iw""")
+def _row_counts(x: Inputs):
+    """row count of every layer in one job."""
+    s = x.star()
+    return K.row_counts({"bronze_events": x.raw, "silver_events": x.clean(), "silver_user": s.users,
+                         "silver_product": s.products, "silver_date": s.dates, "silver_fact": s.fact})
+
+
+_UNITS = "CAST(sum(coalesce(quantity, 0)) AS BIGINT) AS units_sold, CAST(sum(_sale_cents) AS DOUBLE) / 100.0 AS sales"
+
+
+@register("best_products", f"SELECT product_id, {_UNITS} FROM sales_iw GROUP BY product_id")
+def _best_products(x: Inputs):
+    """purchase units and sales (price x quantity) per product, best first."""
+    return K.best_products(x.star().fact)
+
+
+@register("best_categories", f"""SELECT p.category, CAST(sum(coalesce(s.quantity, 0)) AS BIGINT) AS units_sold,
+        CAST(sum(s._sale_cents) AS DOUBLE) / 100.0 AS sales
+    FROM sales_iw s JOIN products_iw p ON s.product_sk = p.product_sk GROUP BY p.category""")
+def _best_categories(x: Inputs):
+    return K.best_categories(x.star())
+
+
+@register("best_month", f"""SELECT d.year, d.month, d.monthname, CAST(sum(coalesce(s.quantity, 0)) AS BIGINT) AS units_sold,
+        CAST(sum(s._sale_cents) AS DOUBLE) / 100.0 AS sales
+    FROM sales_iw s JOIN dates_iw d ON s.date_key = d.date_key GROUP BY d.year, d.month, d.monthname""")
+def _best_month(x: Inputs):
+    """F8: sales per calendar month."""
+    return K.best_month(x.star())
+
+
+@register("best_weekday", f"""SELECT d.weekday, d.dayname, CAST(sum(coalesce(s.quantity, 0)) AS BIGINT) AS units_sold,
+        CAST(sum(s._sale_cents) AS DOUBLE) / 100.0 AS sales
+    FROM sales_iw s JOIN dates_iw d ON s.date_key = d.date_key GROUP BY d.weekday, d.dayname""")
+def _best_weekday(x: Inputs):
+    return K.best_weekday(x.star())
+
+
+@register("avg_sales_period", f"""SELECT period, count(*) AS periods, {O.money_avg('CAST(sum(c) AS BIGINT)', 'count(*)')} AS avg_sales
+    FROM (
+        SELECT 'week' AS period, d.year * 100 + d.weekyear AS pkey, sum(s._sale_cents) AS c
+            FROM sales_iw s JOIN dates_iw d ON s.date_key = d.date_key GROUP BY 1, 2
+        UNION ALL SELECT 'month', d.year * 100 + d.month, sum(s._sale_cents)
+            FROM sales_iw s JOIN dates_iw d ON s.date_key = d.date_key GROUP BY 1, 2
+        UNION ALL SELECT 'quarter', d.year * 100 + d.quarter, sum(s._sale_cents)
+            FROM sales_iw s JOIN dates_iw d ON s.date_key = d.date_key GROUP BY 1, 2) t
+    GROUP BY period""")
+def _avg_sales_period(x: Inputs):
+    """mean sales per week / month / quarter."""
+    return K.avg_sales_period(x.star())
+
+
+@register("avg_sale_per_user", f"""SELECT count(*) AS purchasing_users, CAST(sum(t) AS DOUBLE) / 100.0 AS total_sales,
+        {O.money_avg('CAST(sum(t) AS BIGINT)', 'count(*)')} AS avg_sale_per_user
+    FROM (SELECT user_id, sum(_sale_cents) AS t FROM sales_iw GROUP BY user_id) u""")
+def _avg_sale_per_user(x: Inputs):
+    """total purchase sales over purchasing users."""
+    return K.avg_sale_per_user(x.star().fact)
+
+
+_STEPS = config.TEST_FUNNEL_STEPS
+
+
+def _funnel_sql() -> str:
+    flags = ", ".join(f"bool_or(event_type = '{s}') AS s{i}" for i, s in enumerate(_STEPS))
+    reached = []
+    cond = "TRUE"
+    for i, _ in enumerate(_STEPS):
+        cond = f"{cond} AND s{i}"
+        reached.append(f"count(*) FILTER (WHERE {cond}) AS r{i}")
+    rows = []
+    for i, s in enumerate(_STEPS):
+        prev = f"r{i - 1}" if i else "n"
+        rows.append(f"""SELECT {i + 1} AS step_index, '{s}' AS step, r{i} AS sessions_reached,
+            {O.int_ratio(f'r{i}', 'n', 4)} AS conversion, {O.int_ratio(f'r{i}', prev, 4)} AS step_conversion FROM tot""")
+    return (f"""ps AS (SELECT session_id, {flags} FROM clean_iw GROUP BY session_id),
+        tot AS (SELECT count(*) AS n, {', '.join(reached)} FROM ps)
+        """ + " UNION ALL ".join(rows))
+
+
+@register("session_funnel", None)
+def _session_funnel(x: Inputs):
+    """share of sessions reaching each funnel step (view -> click -> purchase)."""
+    return K.session_funnel(x.clean(), _STEPS)
+
+
+REGISTRY["session_funnel"].sql = O.PREFIX.rstrip("\n") + ",\n" + _funnel_sql()
+
+
+# ================================ quality (bronze -> silver) ====================================
+@register("normalize_strings", f"""SELECT {EVENT_COLS} FROM norm_iw""")
+def _normalize(x: Inputs):
+    """Trim + lower of the dirty string columns, one projection."""
+    return x.norm
+
+
+@register("normalize_strings_as_written", f"""SELECT {EVENT_COLS} FROM norm_aw""")
+def _normalize_aw(x: Inputs):
+    return Q.normalize_strings(x.raw, "as_written")
+
+
+@register("dedup_events", f"""SELECT DISTINCT ON (event_id) {EVENT_COLS} FROM raw_ev ORDER BY event_id""")
+def _dedup(x: Inputs):
+    """One row per event_id (partial aggregate, skew-safe)."""
+    return Q.dedupe(x.raw, ["event_id"])
+
+
+@register("distinct_quantities", "SELECT DISTINCT event_type, quantity FROM norm_iw")
+def _distinct_quantities(x: Inputs):
+    """C4/C14: distinct (event_type, quantity) pairs."""
+    return Q.distinct_values(x.norm, ["event_type", "quantity"])
+
+
+@register("null_profile", "SELECT " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in EVENT_COLS.split(", ")) + " FROM raw_ev")
+def _null_profile(x: Inputs):
+    """Null count per column, one global aggregate."""
+    return Q.null_profile(x.raw)
+
+
+@register("fill_unknown", f"""SELECT * REPLACE (coalesce(category, 'unknown') AS category,
+        coalesce(country, 'unknown') AS country, coalesce(device, 'unknown') AS device) FROM raw_ev""")
+def _fill(x: Inputs):
+    """C6: 'unknown' for null category / country / device."""
+    return Q.fill_unknown(x.raw)
+
+
+@register("drop_required_nulls", """SELECT * FROM raw_ev
+    WHERE user_id IS NOT NULL AND event_time IS NOT NULL AND session_id IS NOT NULL""")
+def _drop_required(x: Inputs):
+    """Drop rows missing user_id, event_time or session_id."""
+    return Q.drop_required_nulls(x.raw)
+
+
+@register("quantity_as_written", f"""SELECT * FROM norm_iw
+    WHERE NOT ((event_type IN ({O.CART}) AND quantity <= 0) OR quantity IS NULL)""")
+def _q_aw(x: Inputs):
+    """The original predicate -- drops every null quantity (all non-cart events)."""
+    return Q.filter_quantity(x.norm, "as_written", CART)
+
+
+@register("quantity_notebook", f"""SELECT * FROM norm_iw
+    WHERE NOT (event_type IN ({O.CART}) AND quantity <= 0 AND quantity IS NULL)""")
+def _q_nb(x: Inputs):
+    """The notebook's variant -- drops only null quantity on cart types."""
+    return Q.filter_quantity(x.norm, "notebook", CART)
+
+
+@register("quantity_intended", f"""SELECT * FROM norm_iw
+    WHERE (quantity IS NULL OR quantity >= 0)
+      AND NOT (coalesce(event_type IN ({O.CART}), false) AND (quantity IS NULL OR quantity <= 0))""")
+def _q_iw(x: Inputs):
+    """Negatives dropped everywhere; null / 0 dropped on cart types only."""
+    return Q.filter_quantity(x.norm, "intended", CART)
+
+
+@register("product_required", f"""SELECT * FROM norm_iw
+    WHERE NOT (event_type IN ({O.CART}) AND product_id IS NULL)""")
+def _product_required(x: Inputs):
+    """C10 as written: cart events need a product."""
+    return Q.filter_product(x.norm, "as_written", CART)
+
+
+@register("product_required_intended", "SELECT * FROM norm_iw WHERE product_id IS NOT NULL")
+def _product_required_iw(x: Inputs):
+    """C10 intended: no event without a product."""
+    return Q.filter_product(x.norm, "intended", CART)
+
+
+@register("positive_price", "SELECT * FROM raw_ev WHERE NOT (TRY_CAST(price AS DOUBLE) <= 0)")
+def _positive_price(x: Inputs):
+    """C11: drops price <= 0, null, unparseable."""
+    return Q.filter_positive_price(x.raw)
+
+
+@register("drop_future", f"SELECT * FROM raw_ev WHERE event_time <= TIMESTAMP '{AS_OF}'")
+def _drop_future(x: Inputs):
+    """Events after the as-of time are dropped."""
+    return Q.drop_future(x.raw, AS_OF)
+
+
+@register("time_range", f"""SELECT min(event_time) AS min_event_time, max(event_time) AS max_event_time,
+        max(event_time) FILTER (WHERE event_time <= TIMESTAMP '{AS_OF}') AS max_event_time_kept FROM raw_ev""")
+def _time_range(x: Inputs):
+    """Min / max event time, and max among kept rows, in one aggregate."""
+    return Q.time_range(x.raw, AS_OF)
+
+
+@register("offenders", f"""SELECT event_id, event_type, product_id, quantity, 'before_1970' AS reason FROM norm_iw
+        WHERE event_time < TIMESTAMP '1970-01-01 00:00:00'
+    UNION ALL SELECT event_id, event_type, product_id, quantity, 'cart_missing_value' FROM norm_iw
+        WHERE event_type IN ({O.CART}) AND (product_id IS NULL OR quantity IS NULL)
+    UNION ALL SELECT event_id, event_type, product_id, quantity, 'null_attribute' FROM norm_iw
+        WHERE category IS NULL OR country IS NULL OR device IS NULL""")
+def _offenders(x: Inputs):
+    """C14: (event, reason) for every broken expectation, one scan."""
+    return Q.offenders(x.norm, CART)
+
+
+@register("clean_events", "SELECT * FROM clean_iw")
+def _clean(x: Inputs):
+    """C15 intended pipeline (+B5-B7 conformance)."""
+    return x.clean()
+
+
+@register("clean_events_as_written", "SELECT * FROM clean_aw")
+def _clean_aw(x: Inputs):
+    """C15 as written: original operator order and predicates."""
+    return x.clean("as_written")
+
+
+@register("conform_events", """SELECT coalesce(event_id, 'unknown') AS event_id, coalesce(user_id, 'unknown') AS user_id,
+        coalesce(session_id, 'unknown') AS session_id, event_time, CAST(event_time AS DATE) AS event_date,
+        event_type, product_id, category, device, country, price, quantity FROM norm_iw""")
+def _conform(x: Inputs):
+    """Typed, ordered, nullability-enforced events (no rows dropped)."""
+    return C.conform_events(x.norm)
+
+
+@register("parse_quantity", """SELECT event_id,
+        CASE WHEN regexp_full_match(CAST(quantity AS VARCHAR), '[0-9]{1,2}') THEN CAST(quantity AS DECIMAL(2,0)) END AS quantity
+    FROM raw_ev""")
+def _parse_quantity(x: Inputs):
+    """to_number(quantity, '99') without failing on '-1' or '123'."""
+    return Q.parse_quantity(x.raw.select("event_id", "quantity"))
+
+
+@register("anomaly_report", f"""SELECT count(*) AS total_rows,
+        count(*) FILTER (WHERE user_id IS NULL OR product_id IS NULL) AS null_user_or_product,
+        count(*) FILTER (WHERE category IS NULL OR country IS NULL OR device IS NULL) AS null_device_country_category,
+        count(*) - count(DISTINCT event_id) AS duplicate_events,
+        count(*) FILTER (WHERE lower(trim(event_type)) IN ({O.CART}) AND (quantity IS NULL OR quantity <= 0)) AS invalid_quantity,
+        count(*) FILTER (WHERE event_time > TIMESTAMP '{AS_OF}') AS future_event_time,
+        count(*) FILTER (WHERE coalesce(event_type <> lower(trim(event_type)), false)
+                            OR coalesce(device <> lower(trim(device)), false)) AS dirty_strings
+    FROM raw_ev""")
+def _anomaly_report(x: Inputs):
+    """Counts of the six anomaly classes, one pass."""
+    return Q.anomaly_report(x.raw, AS_OF, CART)
+
+
+@register("quarantine", f"""SELECT event_id, NULLIF(concat_ws(',',
+        CASE WHEN user_id IS NULL THEN 'null_user' END,
+        CASE WHEN session_id IS NULL THEN 'null_session' END,
+        CASE WHEN event_time IS NULL THEN 'null_event_time' END,
+        CASE WHEN product_id IS NULL THEN 'null_product' END,
+        CASE WHEN NOT coalesce((quantity IS NULL OR quantity >= 0)
+             AND NOT (coalesce(event_type IN ({O.CART}), false) AND (quantity IS NULL OR quantity <= 0)), false)
+             THEN 'invalid_quantity' END,
+        CASE WHEN NOT coalesce(NOT (TRY_CAST(price AS DOUBLE) <= 0), false) THEN 'non_positive_price' END,
+        CASE WHEN coalesce(event_time > TIMESTAMP '{AS_OF}', false) THEN 'future_event' END), '') AS reject_reason
+    FROM (SELECT DISTINCT ON (event_id) * FROM norm_iw ORDER BY event_id) d""")
+def _quarantine(x: Inputs):
+    """C17: every deduped row with its reject reasons (NULL = kept)."""
+    return Q.quarantine(Q.dedupe(x.norm, ["event_id"]), AS_OF, CART).select("event_id", "reject_reason")
+
+
+@register("backfill_category", """SELECT d.event_id, coalesce(d.category, p.category) AS category,
+        coalesce(d.country, s.country) AS country
+    FROM dedup_norm d
+    LEFT JOIN bf_products p ON d.product_id = p.product_id
+    LEFT JOIN scd2 s ON d.user_id = s.user_id AND (d.event_time >= s.valid_from OR s.is_first)
+        AND (s.valid_to IS NULL OR d.event_time < s.valid_to)""")
+def _backfill(x: Inputs):
+    """Null category from the product dimension, null country from the as-of user version."""
+    events = Q.dedupe(x.norm, ["event_id"])
+    out = D.backfill(events, D.dim_product(events), D.dim_user_scd2(x.users))
+    return out.select("event_id", "category", "country")
+
+
+# ================================ dimensions ====================================================
+@register("dim_user_latest", "SELECT * FROM dim_user_latest")
+def _dim_user_latest(x: Inputs):
+    """Latest-flag user dimension (rank 1 as max-join; ties all current)."""
+    return D.dim_user_latest(x.users)
+
+
+@register("dim_user_scd2", """SELECT user_id, country, loyalty_tier, valid_from, valid_to,
+        valid_to IS NULL AS is_current, is_first FROM scd2""")
+def _dim_user_scd2(x: Inputs):
+    """Type-2 intervals on country + loyalty tier, unchanged versions merged."""
+    return D.dim_user_scd2(x.users)
+
+
+@register("asof_user", """SELECT c.event_id, c.user_id, c.event_time, s.valid_from AS version_from,
+        s.country AS version_country, s.loyalty_tier AS version_loyalty_tier
+    FROM clean_iw c LEFT JOIN scd2 s ON c.user_id = s.user_id
+        AND (c.event_time >= s.valid_from OR s.is_first) AND (s.valid_to IS NULL OR c.event_time < s.valid_to)""")
+def _asof_user(x: Inputs):
+    """D3: the profile version valid at each event's time."""
+    out = D.asof_join(x.clean(), D.dim_user_scd2(x.users))
+    return out.select("event_id", "user_id", "event_time", "version_from", "version_country", "version_loyalty_tier")
+
+
+@register("users_with_history", """SELECT CAST(sum(n) AS BIGINT) AS user_records, count(*) AS users,
+        count(*) FILTER (WHERE n > 1) AS users_with_history
+    FROM (SELECT user_id, count(*) AS n FROM uv GROUP BY user_id) v""")
+def _users_with_history(x: Inputs):
+    """Records, users, and users with more than one version."""
+    return D.users_with_history(x.users)
+
+
+@register("dim_date", "SELECT * EXCLUDE (date_key) FROM dates_aw")
+def _dim_date(x: Inputs):
+    """Distinct event dates (raw bronze, as the original) with calendar attributes."""
+    return D.dim_date(x.raw)
+
+
+@register("dim_product_first4", "SELECT * FROM dim_product_first4")
+def _dim_product_first4(x: Inputs):
+    """First four (product, time) rows per product by dense rank (WindowGroupLimit)."""
+    return D.dim_product_first4(x.raw, AS_OF)
+
+
+@register("dim_product", "SELECT * EXCLUDE (product_sk) FROM products_iw")
+def _dim_product(x: Inputs):
+    """One row per product, latest non-null category."""
+    return D.dim_product(x.clean())
+
+
+@register("surrogate_keys", "SELECT user_sk, user_id, valid_from FROM users_iw")
+def _surrogate_keys(x: Inputs):
+    """Dense keys in natural-key order without a single-task window."""
+    keyed = assign_surrogate_keys(D.dim_user_scd2(x.users), ["user_id", "valid_from"], "user_sk")
+    return keyed.select("user_sk", "user_id", "valid_from")
+
+
+# ================================ facts ==========================================================
+FACT_COLS = ("event_id, event_time, event_date, event_type, user_id, product_id, user_sk, date_key, product_sk, "
+             "session_id, device, price, quantity")
+
+
+@register("fact_events", f"SELECT {FACT_COLS} FROM fact_iw")
+def _fact(x: Inputs):
+    """E1-E4 intended: one row per clean event, as-of user key, -1 for unknown members."""
+    return x.star().fact
+
+
+@register("fact_events_as_written", f"SELECT {FACT_COLS} FROM fact_aw")
+def _fact_aw(x: Inputs):
+    """E1-E4 as written: natural-key joins, rows repeated per user version x product row."""
+    return x.star("as_written").fact
+
+
+@register("fact_unknown_members", """SELECT count(*) FILTER (WHERE user_sk = -1) AS unknown_user_sk,
+        count(*) FILTER (WHERE date_key = -1) AS unknown_date_key,
+        count(*) FILTER (WHERE product_sk = -1) AS unknown_product_sk, count(*) AS fact_rows FROM fact_iw""")
+def _fact_unknown(x: Inputs):
+    """Rows falling back to the unknown member, per key."""
+    return X.unknown_member_counts(x.star().fact)
+
+
+@register("star_join", """SELECT event_id, dim_user_id, country, dim_product_id, category, full_date, year, month,
+        weekday, price FROM star_aw""")
+def _star_join(x: Inputs):
+    """E5: inner star join over the three surrogate keys (as written)."""
+    s = X.star_join(x.star("as_written"))
+    return s.select("event_id", "dim_user_id", "country", "dim_product_id", "category", "full_date", "year",
+                    "month", "weekday", "price")
+
+
+# ================================ loads and catalog ==============================================
+def _load_twice(batch: DataFrame, path: str, keys, key_name=None, key_order=None, partition_by=None) -> DataFrame:
+    from strata.operators.load import append_new
+
+    first = append_new(batch, path, list(keys), key_name=key_name, key_order=key_order, partition_by=partition_by)
+    second = append_new(batch, path, list(keys), key_name=key_name, key_order=key_order, partition_by=partition_by)
+    if second:
+        raise AssertionError(f"second load of the same batch appended {second} rows (first: {first})")
+    return batch.sparkSession.read.parquet(path)
+
+
+@register("load_user", """SELECT row_number() OVER (ORDER BY user_id, updated_at) AS user_sk, user_id, updated_at,
+        country, loyalty_tier FROM uv""")
+def _load_user(x: Inputs):
+    """E6 + A11: user change log loaded twice (anti-join on (user_id, updated_at)); keys continue max+1."""
+    from strata.session import scratch_path
+
+    path = scratch_path(x.spark, "silver_user")
+    out = _load_twice(D.user_versions(x.users), path, ["user_id", "updated_at"], "user_sk", ["user_id", "updated_at"])
+    return out.select("user_sk", "user_id", "updated_at", "country", "loyalty_tier")
+
+
+@register("load_product", "SELECT product_sk, product_id, category, updated_ts FROM products_iw")
+def _load_product(x: Inputs):
+    from strata.session import scratch_path
+
+    path = scratch_path(x.spark, "silver_product")
+    out = _load_twice(D.dim_product(x.clean()), path, ["product_id"], "product_sk", ["product_id"])
+    return out.select("product_sk", "product_id", "category", "updated_ts")
+
+
+@register("load_date", "SELECT * FROM dates_iw")
+def _load_date(x: Inputs):
+    from strata.session import scratch_path
+
+    path = scratch_path(x.spark, "silver_date")
+    out = _load_twice(D.dim_date(x.clean()), path, ["full_date"], "date_key", ["full_date"])
+    return out.select("full_date", "year", "quarter", "month", "monthname", "weekyear", "weekday", "dayname",
+                      "day", "is_weekend", "date_key")
+
+
+@register("load_events", f"SELECT {FACT_COLS} FROM fact_iw")
+def _load_events(x: Inputs):
+    """E6 for the fact: partitioned by event_date; the anti-join reads only touched partitions."""
+    from strata.session import scratch_path
+
+    path = scratch_path(x.spark, "silver_events")
+    out = _load_twice(x.star().fact, path, ["event_id"], partition_by=["event_date"])
+    return out.select(*[c.strip() for c in FACT_COLS.split(",")])
+
+
+@register("describe_silver", None)
+def _describe_silver(x: Inputs):
+    """Database + external tables at stable locations, loaded, then described."""
+    from strata import schemas
+    from strata.session import scratch_path
+    from strata.sources import tables
+
+    root = scratch_path(x.spark, "silver_db")
+    db = "silver_" + root.rsplit("-", 1)[-1]
+    tables.ensure_database(x.spark, db, root)
+    tables.ensure_table(x.spark, f"{db}.silver_user", schemas.DIM_USER_SCD2, f"{root}/silver_user")
+    tables.append_to_table(D.dim_user_scd2(x.users).drop("is_first"), f"{db}.silver_user")
+    return tables.describe(x.spark, f"{db}.silver_user").join(
+        tables.scan(x.spark, f"{db}.silver_user").agg(F.count(F.lit(1)).alias("rows_loaded")))
+
+
+# ================================ ingest (batch and stream) ======================================
+_FEED_SQL = ("SELECT event_id, user_id, session_id, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS event_time, "
+             "event_type, product_id, category, device, country, price, quantity FROM raw_ev")
+
+
+def _landing(x: Inputs) -> str:
+    from strata.session import scratch_path
+    from strata.sources import feeds
+
+    path = scratch_path(x.spark, "landing")
+    feeds.write_json(x.raw, path)
+    return path
+
+
+@register("batch_ingest", _FEED_SQL)
+def _batch_ingest(x: Inputs):
+    """JSON landing -> explicit-schema read -> stamps -> bronze overwrite -> read back."""
+    from strata.session import scratch_path
+    from strata.sources import feeds
+
+    bronze = feeds.ingest_batch(x.spark, _landing(x), scratch_path(x.spark, "bronze"))
+    if bronze.filter(F.col("ingestion_ts").isNull() | F.col("ip_file_name").isNull()).limit(1).count():
+        raise AssertionError("bronze rows without ingestion stamps")
+    return bronze.select(*feeds.feed_columns())
+
+
+@register("stream_ingest", _FEED_SQL)
+def _stream_ingest(x: Inputs):
+    """File stream over the landing folder -> parquet sink, availableNow."""
+    from strata.session import scratch_path
+    from strata.sources import feeds
+    from strata.streaming import ingest
+
+    bronze = ingest.ingest_stream(x.spark, _landing(x), scratch_path(x.spark, "bronze_stream"),
+                                  scratch_path(x.spark, "ckpt"))
+    return bronze.select(*feeds.feed_columns())
+
+
+@register("stream_replay", "SELECT DISTINCT ON (event_id) * FROM (" + _FEED_SQL + ") ORDER BY event_id")
+def _stream_replay(x: Inputs):
+    """H6: the same landing replayed from a fresh checkpoint into an idempotent sink adds nothing."""
+    from strata.session import scratch_path
+    from strata.sources import feeds
+    from strata.streaming import ingest
+
+    landing, target = _landing(x), scratch_path(x.spark, "bronze_idem")
+    ingest.replay_stream(x.spark, landing, target, scratch_path(x.spark, "ckpt"), ["event_id"])
+    before = x.spark.read.parquet(target).count()
+    ingest.replay_stream(x.spark, landing, target, scratch_path(x.spark, "ckpt"), ["event_id"])
+    after = x.spark.read.parquet(target)
+    if after.count() != before:
+        raise AssertionError("replay from a fresh checkpoint changed the target")
+    return after.select(*feeds.feed_columns())
