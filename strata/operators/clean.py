@@ -20,39 +20,35 @@ def conform_events(df: DataFrame) -> DataFrame:
     (ANSI stays on); required columns are coalesced to typed defaults first, which is what lets
     ``to`` accept them as non-nullable.
     """
-    ts = F.coalesce(as_timestamp(df, "event_time"), ts_lit(config.DEFAULT_TIMESTAMP))
-    typed = df.withColumns({
-        "event_id": F.coalesce(F.col("event_id").cast("string"), F.lit(config.UNKNOWN)),
-        "user_id": F.coalesce(F.col("user_id"), F.lit(config.UNKNOWN)),
-        "session_id": F.coalesce(F.col("session_id"), F.lit(config.UNKNOWN)),
-        "event_time": ts,
-        "event_date": F.to_date(ts),
-        "price": F.col("price").try_cast("double"),
-        "quantity": F.col("quantity").try_cast("int"),
-    })
+    ts = as_timestamp(df, "event_time")
     stamps = [c for c in STAMP_COLUMNS if c in df.columns]
-    out = typed.select(*schemas.EVENT_COLUMNS, *stamps)
+    typed = df.withColumn("_ts", F.coalesce(ts, ts_lit(config.DEFAULT_TIMESTAMP))).selectExpr(
+        f"coalesce(CAST(event_id AS STRING), '{config.UNKNOWN}') AS event_id",
+        f"coalesce(user_id, '{config.UNKNOWN}') AS user_id",
+        f"coalesce(session_id, '{config.UNKNOWN}') AS session_id",
+        "_ts AS event_time",
+        "to_date(_ts) AS event_date",
+        "event_type", "product_id", "category", "device", "country",
+        "try_cast(price AS DOUBLE) AS price",
+        "try_cast(quantity AS INT) AS quantity",
+        *(["CAST(ingestion_ts AS TIMESTAMP) AS ingestion_ts"] if "ingestion_ts" in stamps else []),
+        *(["ip_file_name"] if "ip_file_name" in stamps else []),
+    )
     extra = [StructField("ingestion_ts", TimestampType()) if c == "ingestion_ts" else StructField(c, StringType())
              for c in stamps]
-    if "ingestion_ts" in stamps:
-        out = out.withColumn("ingestion_ts", F.col("ingestion_ts").cast("timestamp"))
     target = StructType(list(schemas.SILVER_EVENTS.fields) + extra)
-    return out.to(target)
+    return typed.to(target)
 
 
 def keep_condition(mode: str, as_of: str, cart_types=config.FEED_CART_TYPES):
     """All row rules of one mode fused into a single predicate (one Filter, pushed to the scan
     where its parts are pushable)."""
     config.check_mode(mode)
-    required = F.lit(True)
-    for c in config.REQUIRED_EVENT_COLUMNS:
-        required = required & F.col(c).isNotNull()
     rule = "intended" if mode == "intended" else "as_written"
-    return (required
-            & quality.quantity_condition(rule, cart_types)
-            & quality.product_condition(mode, cart_types)
-            & quality.price_condition()
-            & quality.time_condition(as_of))
+    parts = [f"`{c}` IS NOT NULL" for c in config.REQUIRED_EVENT_COLUMNS]
+    parts += [quality.quantity_sql(rule, cart_types), quality.product_sql(mode, cart_types), quality.PRICE_SQL,
+              quality.time_sql(as_of)]
+    return F.expr(" AND ".join(f"({p})" for p in parts))
 
 
 def clean_events(df: DataFrame, mode: str = "intended", as_of: str = config.TEST_AS_OF,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata import config, schemas
 from strata.functions.columns import as_date, as_timestamp, calendar, date_lit, ts_lit
 from strata.operators import quality
-from strata.operators.sequence import with_neighbours
+from strata.operators.sequence import plain_window_is_safe, with_neighbours
 
 TRACKED_USER_ATTRIBUTES = ("country", "loyalty_tier")
 
@@ -47,7 +47,7 @@ def user_versions(user_feed: DataFrame) -> DataFrame:
     return quality.dedupe(feed.select("user_id", "updated_at", *TRACKED_USER_ATTRIBUTES), ["user_id", "updated_at"])
 
 
-def dim_user_scd2(user_feed: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+def dim_user_scd2(user_feed: DataFrame, bucket_seconds: int = 3600, plain: bool | None = None) -> DataFrame:
     """Type-2 intervals [valid_from, valid_to) per user on the tracked attributes.
 
     A version that changes neither tracked attribute is merged into the one before it; the
@@ -55,13 +55,16 @@ def dim_user_scd2(user_feed: DataFrame, bucket_seconds: int = 3600) -> DataFrame
     whose lower bound the as-of lookup opens.
     """
     versions = user_versions(user_feed)
+    if plain is None:  # one measurement serves both passes: the kept rows are a subset
+        plain = plain_window_is_safe(versions, "user_id")
     with_prev = with_neighbours(versions, "user_id", "updated_at", list(TRACKED_USER_ATTRIBUTES),
-                                next=False, bucket_seconds=bucket_seconds)
+                                next=False, bucket_seconds=bucket_seconds, plain=plain)
     changed = F.col("_prev").isNull()
     for a in TRACKED_USER_ATTRIBUTES:
         changed = changed | ~F.col(a).eqNullSafe(F.col("_prev")[a])
     kept = with_prev.filter(changed).withColumn("is_first", F.col("_prev").isNull()).drop("_prev")
-    with_next = with_neighbours(kept, "user_id", "updated_at", [], prev=False, bucket_seconds=bucket_seconds)
+    with_next = with_neighbours(kept, "user_id", "updated_at", [], prev=False, bucket_seconds=bucket_seconds,
+                                plain=plain)
     return with_next.select(
         "user_id", *TRACKED_USER_ATTRIBUTES,
         F.col("updated_at").alias("valid_from"),

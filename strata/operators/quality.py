@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata import config
-from strata.functions.columns import first_row_struct, string_columns
+from strata.functions.columns import string_columns
 
 TIME_STRING_COLUMNS = ("event_time", "updated_at", "signup_date", "ingestion_ts")
 
@@ -31,7 +31,7 @@ def normalize_strings(df: DataFrame, mode: str = "intended", columns=None) -> Da
     for c in columns:
         if c not in strings:
             continue
-        exprs[c] = F.upper(F.trim(c)) if c in TIME_STRING_COLUMNS else F.lower(F.trim(c))
+        exprs[c] = F.expr(f"upper(trim(`{c}`))" if c in TIME_STRING_COLUMNS else f"lower(trim(`{c}`))")
     return df.withColumns(exprs) if exprs else df
 
 
@@ -48,8 +48,9 @@ def dedupe(df: DataFrame, keys) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    picked = df.groupBy(*keys).agg(F.min(first_row_struct(df, keys)).alias("_row"))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
+    row = ", ".join(f"`{c}`" for c in rest)
+    picked = df.groupBy(*keys).agg(F.expr(f"min(struct({row})) AS _row"))
+    return picked.selectExpr(*[f"`{k}`" for k in keys], "_row.*").select(*df.columns)
 
 
 # ---- C4: distinct ----------------------------------------------------------------------------
@@ -60,7 +61,7 @@ def distinct_values(df: DataFrame, columns) -> DataFrame:
 # ---- C5: null profile ------------------------------------------------------------------------
 def null_profile(df: DataFrame) -> DataFrame:
     """Null count of every column in a single global aggregate (one job, one scan)."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    return df.agg(*[F.expr(f"count_if(`{c}` IS NULL) AS `{c}`") for c in df.columns])
 
 
 # ---- C6 / C7: fill and drop ------------------------------------------------------------------
@@ -73,7 +74,11 @@ def drop_required_nulls(df: DataFrame, columns=config.REQUIRED_EVENT_COLUMNS) ->
 
 
 # ---- C8 / C8b / C9: quantity validity ---------------------------------------------------------
-def quantity_condition(rule: str = "intended", cart_types=config.FEED_CART_TYPES) -> Column:
+def _in(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def quantity_sql(rule: str = "intended", cart_types=config.FEED_CART_TYPES) -> str:
     """Keep-condition for the quantity rule (rows where it is not TRUE are dropped).
 
     as_written: NOT ((cart AND q <= 0) OR q IS NULL) -- drops every null quantity.
@@ -81,31 +86,37 @@ def quantity_condition(rule: str = "intended", cart_types=config.FEED_CART_TYPES
                 (the AND evaluates to NULL there).
     intended:   negatives dropped everywhere; null or 0 dropped on cart types only.
     """
-    q, t = F.col("quantity"), F.col("event_type")
-    is_cart = t.isin(*cart_types)
+    cart = f"event_type IN ({_in(cart_types)})"
     if rule == "as_written":
-        return ~((is_cart & (q <= 0)) | q.isNull())
+        return f"NOT (({cart} AND quantity <= 0) OR quantity IS NULL)"
     if rule == "notebook":
-        return ~(is_cart & (q <= 0) & q.isNull())
+        return f"NOT ({cart} AND quantity <= 0 AND quantity IS NULL)"
     if rule == "intended":
-        cart = F.coalesce(is_cart, F.lit(False))
-        return (q.isNull() | (q >= 0)) & ~(cart & (q.isNull() | (q <= 0)))
+        return (f"((quantity IS NULL OR quantity >= 0) AND "
+                f"NOT (coalesce({cart}, false) AND (quantity IS NULL OR quantity <= 0)))")
     raise ValueError(f"unknown quantity rule {rule!r}")
 
 
+def quantity_condition(rule: str = "intended", cart_types=config.FEED_CART_TYPES) -> Column:
+    return F.expr(quantity_sql(rule, cart_types))
+
+
 def filter_quantity(df: DataFrame, rule: str = "intended", cart_types=config.FEED_CART_TYPES) -> DataFrame:
     return df.filter(quantity_condition(rule, cart_types))
 
 
 # ---- C10: product required -------------------------------------------------------------------
-def product_condition(mode: str = "intended", cart_types=config.FEED_CART_TYPES) -> Column:
+def product_sql(mode: str = "intended", cart_types=config.FEED_CART_TYPES) -> str:
     """as_written: a cart-type event needs a product (a null type with null product is dropped
     too, by three-valued logic). intended: an event without a product cannot be attributed."""
     config.check_mode(mode)
-    p = F.col("product_id")
     if mode == "as_written":
-        return ~(F.col("event_type").isin(*cart_types) & p.isNull())
-    return p.isNotNull()
+        return f"NOT (event_type IN ({_in(cart_types)}) AND product_id IS NULL)"
+    return "product_id IS NOT NULL"
+
+
+def product_condition(mode: str = "intended", cart_types=config.FEED_CART_TYPES) -> Column:
+    return F.expr(product_sql(mode, cart_types))
 
 
 def filter_product(df: DataFrame, mode: str = "intended", cart_types=config.FEED_CART_TYPES) -> DataFrame:
@@ -113,9 +124,12 @@ def filter_product(df: DataFrame, mode: str = "intended", cart_types=config.FEED
 
 
 # ---- C11: positive price ---------------------------------------------------------------------
+PRICE_SQL = "NOT (try_cast(price AS DOUBLE) <= 0)"
+
+
 def price_condition() -> Column:
     """Drops price <= 0, null and unparseable (the comparison is NULL there)."""
-    return ~(F.col("price").try_cast("double") <= 0)
+    return F.expr(PRICE_SQL)
 
 
 def filter_positive_price(df: DataFrame) -> DataFrame:
@@ -123,8 +137,12 @@ def filter_positive_price(df: DataFrame) -> DataFrame:
 
 
 # ---- C12 / C13: time ---------------------------------------------------------------------------
+def time_sql(as_of: str, column: str = "event_time") -> str:
+    return f"`{column}` <= TIMESTAMP '{as_of}'"
+
+
 def time_condition(as_of: str, column: str = "event_time") -> Column:
-    return F.col(column) <= F.lit(as_of).cast("timestamp")
+    return F.expr(time_sql(as_of, column))
 
 
 def drop_future(df: DataFrame, as_of: str, column: str = "event_time") -> DataFrame:
@@ -133,39 +151,37 @@ def drop_future(df: DataFrame, as_of: str, column: str = "event_time") -> DataFr
 
 
 def time_range(df: DataFrame, as_of: str, column: str = "event_time") -> DataFrame:
-    c = F.col(column)
-    return df.agg(F.min(c).alias("min_event_time"), F.max(c).alias("max_event_time"),
-                  F.max(F.when(time_condition(as_of, column), c)).alias("max_event_time_kept"))
+    return df.agg(F.expr(f"min(`{column}`) AS min_event_time"), F.expr(f"max(`{column}`) AS max_event_time"),
+                  F.expr(f"max(CASE WHEN {time_sql(as_of, column)} THEN `{column}` END) AS max_event_time_kept"))
 
 
 # ---- C14: offenders --------------------------------------------------------------------------
 def offenders(df: DataFrame, cart_types=config.FEED_CART_TYPES, fill_columns=config.FILL_COLUMNS) -> DataFrame:
     """Rows that break an expectation, one row per (event, reason), in a single scan."""
-    is_cart = F.col("event_type").isin(*cart_types)
     checks = [
-        ("before_1970", F.col("event_time") < F.lit("1970-01-01 00:00:00").cast("timestamp")),
-        ("cart_missing_value", is_cart & (F.col("product_id").isNull() | F.col("quantity").isNull())),
-        ("null_attribute", F.greatest(*[F.col(c).isNull() for c in fill_columns])),
+        ("before_1970", "event_time < TIMESTAMP '1970-01-01 00:00:00'"),
+        ("cart_missing_value", f"event_type IN ({_in(cart_types)}) AND (product_id IS NULL OR quantity IS NULL)"),
+        ("null_attribute", " OR ".join(f"`{c}` IS NULL" for c in fill_columns)),
     ]
-    reasons = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in checks]))
-    return (df.select("event_id", "event_type", "product_id", "quantity", F.explode(reasons).alias("reason")))
+    arr = ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in checks)
+    return df.selectExpr("event_id", "event_type", "product_id", "quantity",
+                         f"explode(array_compact(array({arr}))) AS reason")
 
 
 # ---- C16: anomaly report -----------------------------------------------------------------------
 def anomaly_report(df: DataFrame, as_of: str, cart_types=config.FEED_CART_TYPES) -> DataFrame:
     """Counts of the six anomaly classes of the feed in one pass (plus one distinct on event_id)."""
-    q = F.col("quantity")
-    dirty = F.lit(False)
-    for c in config.DIRTY_STRING_COLUMNS:
-        dirty = dirty | F.coalesce(F.col(c) != F.lower(F.trim(c)), F.lit(False))
+    dirty = " OR ".join(f"coalesce(`{c}` <> lower(trim(`{c}`)), false)" for c in config.DIRTY_STRING_COLUMNS)
+    nulls = " OR ".join(f"`{c}` IS NULL" for c in config.FILL_COLUMNS)
     return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col("user_id").isNull() | F.col("product_id").isNull()).alias("null_user_or_product"),
-        F.count_if(F.greatest(*[F.col(c).isNull() for c in config.FILL_COLUMNS])).alias("null_device_country_category"),
-        (F.count(F.lit(1)) - F.count_distinct("event_id")).alias("duplicate_events"),
-        F.count_if(F.lower(F.trim("event_type")).isin(*cart_types) & (q.isNull() | (q <= 0))).alias("invalid_quantity"),
-        F.count_if(F.col("event_time") > F.lit(as_of).cast("timestamp")).alias("future_event_time"),
-        F.count_if(dirty).alias("dirty_strings"),
+        F.expr("count(1) AS total_rows"),
+        F.expr("count_if(user_id IS NULL OR product_id IS NULL) AS null_user_or_product"),
+        F.expr(f"count_if({nulls}) AS null_device_country_category"),
+        F.expr("count(1) - count(DISTINCT event_id) AS duplicate_events"),
+        F.expr(f"count_if(lower(trim(event_type)) IN ({_in(cart_types)}) AND (quantity IS NULL OR quantity <= 0)) "
+               "AS invalid_quantity"),
+        F.expr(f"count_if(event_time > TIMESTAMP '{as_of}') AS future_event_time"),
+        F.expr(f"count_if({dirty}) AS dirty_strings"),
     )
 
 
@@ -173,16 +189,16 @@ def anomaly_report(df: DataFrame, as_of: str, cart_types=config.FEED_CART_TYPES)
 def reject_reasons(as_of: str, cart_types=config.FEED_CART_TYPES) -> Column:
     """Comma-joined reason codes under the intended rules; NULL when the row is kept."""
     checks = [
-        ("null_user", F.col("user_id").isNull()),
-        ("null_session", F.col("session_id").isNull()),
-        ("null_event_time", F.col("event_time").isNull()),
-        ("null_product", F.col("product_id").isNull()),
-        ("invalid_quantity", ~F.coalesce(quantity_condition("intended", cart_types), F.lit(False))),
-        ("non_positive_price", ~F.coalesce(price_condition(), F.lit(False))),
-        ("future_event", F.coalesce(F.col("event_time") > F.lit(as_of).cast("timestamp"), F.lit(False))),
+        ("null_user", "user_id IS NULL"),
+        ("null_session", "session_id IS NULL"),
+        ("null_event_time", "event_time IS NULL"),
+        ("null_product", "product_id IS NULL"),
+        ("invalid_quantity", f"NOT coalesce({quantity_sql('intended', cart_types)}, false)"),
+        ("non_positive_price", f"NOT coalesce({PRICE_SQL}, false)"),
+        ("future_event", f"coalesce(event_time > TIMESTAMP '{as_of}', false)"),
     ]
-    joined = F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks])), ",")
-    return F.nullif(joined, F.lit(""))
+    arr = ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in checks)
+    return F.expr(f"nullif(array_join(array_compact(array({arr})), ','), '')")
 
 
 def quarantine(df: DataFrame, as_of: str, cart_types=config.FEED_CART_TYPES) -> DataFrame:

@@ -12,6 +12,10 @@ column is cut into time buckets:
 
 The result equals a plain window over the key for any data, because the buckets are ordered
 like the order column.
+
+When the largest key group is measured (one partial aggregate) and found under
+``max_group_rows``, a plain window is used instead: one shuffle, and no task holds more than
+that many rows. The measurement is the size check; the bucketed plan is the way beyond it.
 """
 
 from __future__ import annotations
@@ -20,15 +24,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_SECONDS = 3600
+DEFAULT_MAX_GROUP_ROWS = 1_000_000
+
+
+def largest_group(df: DataFrame, key: str) -> int:
+    """Row count of the biggest key group (partial aggregate; one number reaches the driver)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+
+
+def plain_window_is_safe(df: DataFrame, key: str, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> bool:
+    return largest_group(df, key) <= max_group_rows
 
 
 def with_neighbours(df: DataFrame, key: str, order: str, payload: list[str], prev: bool = True,
-                    next: bool = True, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                    next: bool = True, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                    plain: bool | None = None, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """Adds ``_prev`` / ``_next`` struct columns (order column + payload of the neighbour row).
 
-    ``order`` must be a non-null timestamp, unique within ``key`` (dedupe first).
+    ``order`` must be a non-null timestamp, unique within ``key`` (dedupe first). ``plain``
+    forces the strategy; ``None`` measures the largest group against ``max_group_rows``.
     """
     fields = [order, *[p for p in payload if p != order]]
+    if plain is None:
+        plain = plain_window_is_safe(df, key, max_group_rows)
+    if plain:
+        w = Window.partitionBy(key).orderBy(order)
+        s = F.struct(*[F.col(c) for c in fields])
+        out = df
+        if prev:
+            out = out.withColumn("_prev", F.lag(s).over(w))
+        if next:
+            out = out.withColumn("_next", F.lead(s).over(w))
+        return out
     bucket = F.floor(F.unix_micros(F.col(order)) / F.lit(bucket_seconds * 1_000_000)).cast("long")
     base = df.withColumn("_b", bucket).withColumn("_s", F.struct(*[F.col(c) for c in fields]))
     w_in = Window.partitionBy(key, "_b").orderBy(order)

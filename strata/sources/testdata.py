@@ -10,11 +10,13 @@ that Spark plans and prunes like any query:
 * ``user_feed``       - the user profile change feed (one version per ``signup`` event).
 
 Every row of the output comes from a row of the input, so work grows with the tables.
+Projections are written as SQL expression strings (``selectExpr``): one driver->JVM call per
+projection instead of one per column operator, which dominates planning time on small data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import config
@@ -32,109 +34,128 @@ FUTURE_SPAN_DAYS = 326
 DUPLICATE_MOD = 33            # exact copy of a row no other class touched
 # --------------------------------------------------------------------------------------------
 
+_CLASSES = ("null_user", "null_product", "null_attribute", "dirty_type", "bad_quantity", "future", "duplicate")
+_TABLES: dict = {}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's (read-only) tables, read once per session: listing and footer reads are
+    not repeated for every query built on them."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _TABLES[key]
+
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the session has cores (a single
+    row-group file is one task). A no-op at cluster scale, where scans have many splits."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
-def _user_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    # nation is the fixed 25-row TPC-H table: a proven size bound, safe to broadcast.
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "left")
-            .select(F.col("c_custkey").alias("_uid"), F.col("n_name").alias("country")))
 
+def _sql_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
-def _product_key() -> Column:
-    return F.get_json_object("props", "$.k")
+
+def _with_country(spark: SparkSession, sf_dir: str, df: DataFrame, user_col: str) -> DataFrame:
+    """Country of the user: customer first (its scan size is known, so the planner's size check
+    decides broadcast vs sort-merge), then the 25-row nation table (a proven bound: broadcast)."""
+    customer = read_table(spark, sf_dir, "customer").selectExpr("c_custkey AS _uid", "c_nationkey AS _nk")
+    nation = read_table(spark, sf_dir, "nation").selectExpr("n_nationkey AS _nk", "n_name AS country")
+    joined = df.join(customer, F.expr(f"{user_col} = _uid"), "left")
+    return joined.join(F.broadcast(nation), "_nk", "left").drop("_uid", "_nk")
 
 
 def events_view(spark: SparkSession, sf_dir: str, cart_types=config.TEST_CART_TYPES,
                 keep_numeric_id: bool = False) -> DataFrame:
-    """The clean clickstream feed derived from ``events`` (+ customer/nation/part)."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    ev = ev.withColumn("_k", _product_key())
-    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_pk"), F.col("p_type").alias("category"))
-    users = _user_country(spark, sf_dir)
-    # Joins are left so no event is lost; AQE turns them into broadcasts when the measured
-    # build side is small and splits skewed keys otherwise.
-    joined = (ev.join(users, ev.user_id == users._uid, "left")
-              .join(part, F.col("_k").cast("long") == part._pk, "left"))
-    devices = F.array(*[F.lit(d) for d in config.DEVICES])
-    out = joined.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_id"),
-        F.concat(F.lit("session_"), F.col("user_id").cast("string"), F.lit("_"),
-                 F.to_date("ts").cast("string")).alias("session_id"),
-        F.col("ts").cast("timestamp").alias("event_time"),
-        F.col("event_type"),
-        F.concat(F.lit("prod_"), F.col("_k")).alias("product_id"),
-        F.col("category"),
-        F.element_at(devices, (F.col("event_id") % 3 + 1).cast("int")).alias("device"),
-        F.col("country"),
-        F.col("value").alias("price"),
-        F.when(F.col("event_type").isin(*cart_types), (F.col("event_id") % 5 + 1).cast("int"))
-         .cast("int").alias("quantity"),
-        *([F.col("event_id").alias("_n")] if keep_numeric_id else []),
+    """The clean clickstream feed derived from ``events`` (+ customer/nation/part).
+
+    ``json_tuple`` parses ``props`` once per row, and as a generator it keeps predicates on the
+    product key above the spread instead of inside the single scan task."""
+    ev = spread(read_table(spark, sf_dir, "events")).selectExpr(
+        "event_id", "ts", "user_id", "event_type", "value", "json_tuple(props, 'k') AS _k")
+    part = read_table(spark, sf_dir, "part").selectExpr("p_partkey AS _pk", "p_type AS category")
+    # Joins are left so no event is lost; small sides are broadcast by the planner's size check,
+    # AQE re-plans from measured sizes and splits skewed keys otherwise.
+    joined = _with_country(spark, sf_dir, ev, "user_id").join(part, F.expr("CAST(_k AS BIGINT) = _pk"), "left")
+    devices = _sql_list(config.DEVICES)
+    return joined.selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "concat('user_', CAST(user_id AS STRING)) AS user_id",
+        "concat('session_', CAST(user_id AS STRING), '_', CAST(to_date(ts) AS STRING)) AS session_id",
+        "CAST(ts AS TIMESTAMP) AS event_time",
+        "event_type",
+        "concat('prod_', _k) AS product_id",
+        "category",
+        f"element_at(array({devices}), CAST(event_id % 3 + 1 AS INT)) AS device",
+        "country",
+        "value AS price",
+        f"CASE WHEN event_type IN ({_sql_list(cart_types)}) THEN CAST(event_id % 5 + 1 AS INT) END AS quantity",
+        *(["event_id AS _n"] if keep_numeric_id else []),
     )
-    return out
 
 
-def anomaly_class(cart_types=config.TEST_CART_TYPES) -> Column:
-    n = F.col("_n")
-    return (F.when(n % NULL_USER_MOD == 0, "null_user")
-            .when(n % NULL_PRODUCT_MOD == 0, "null_product")
-            .when(n % NULL_ATTRIBUTE_MOD == 0, "null_attribute")
-            .when(n % DIRTY_TYPE_MOD == 0, "dirty_type")
-            .when((n % BAD_QUANTITY_MOD == 0) & F.col("event_type").isin(*cart_types), "bad_quantity")
-            .when(n % FUTURE_MOD == 0, "future")
-            .when(n % DUPLICATE_MOD == 0, "duplicate"))
+def _hits(cart_types) -> list[str]:
+    return [f"_n % {NULL_USER_MOD} = 0", f"_n % {NULL_PRODUCT_MOD} = 0", f"_n % {NULL_ATTRIBUTE_MOD} = 0",
+            f"_n % {DIRTY_TYPE_MOD} = 0",
+            f"(_n % {BAD_QUANTITY_MOD} = 0 AND coalesce(event_type IN ({_sql_list(cart_types)}), false))",
+            f"_n % {FUTURE_MOD} = 0", f"_n % {DUPLICATE_MOD} = 0"]
+
 
+def class_sql(name: str, cart_types=config.TEST_CART_TYPES) -> str:
+    """A row is in a class when its modulus hits and no earlier class's does. Flat conditions,
+    cheap to inline when the optimizer pushes a filter through this projection."""
+    hits = _hits(cart_types)
+    i = _CLASSES.index(name)
+    return "(" + " AND ".join([hits[i]] + [f"NOT {h}" for h in hits[:i]]) + ")"
 
-def _null_if(cond: Column, name: str) -> Column:
-    return F.when(cond, F.lit(None).cast("string")).otherwise(F.col(name)).alias(name)
+
+def anomaly_class(cart_types=config.TEST_CART_TYPES):
+    whens = " ".join(f"WHEN {class_sql(c, cart_types)} THEN '{c}'" for c in _CLASSES)
+    return F.expr(f"CASE {whens} END")
 
 
 def dirty_events(spark: SparkSession, sf_dir: str, cart_types=config.TEST_CART_TYPES) -> DataFrame:
     """The feed with the anomaly overlay; duplicates are generated in the same scan."""
-    base = events_view(spark, sf_dir, cart_types, keep_numeric_id=True).withColumn("_cls", anomaly_class(cart_types))
-    cls, n = F.col("_cls"), F.col("_n")
-    bad_q = F.element_at(F.array(*[F.lit(q).cast("int") for q in BAD_QUANTITIES]), (n % 4 + 1).cast("int"))
-    out = base.select(
+    base = events_view(spark, sf_dir, cart_types, keep_numeric_id=True)
+
+    def c(name):
+        return class_sql(name, cart_types)
+
+    bad_q = ", ".join("CAST(NULL AS INT)" if q is None else str(q) for q in BAD_QUANTITIES)
+    return base.selectExpr(
         "event_id",
-        F.when(cls == "null_user", F.lit(None).cast("string")).otherwise(F.col("user_id")).alias("user_id"),
+        f"CASE WHEN {c('null_user')} THEN NULL ELSE user_id END AS user_id",
         "session_id",
-        F.when(cls == "future",
-               F.timestamp_add("DAY", (n % FUTURE_SPAN_DAYS + FUTURE_MIN_DAYS).cast("int"), F.col("event_time")))
-         .otherwise(F.col("event_time")).alias("event_time"),
-        F.when(cls == "dirty_type", F.concat(F.lit(" "), F.upper("event_type"), F.lit(" ")))
-         .otherwise(F.col("event_type")).alias("event_type"),
-        F.when(cls == "null_product", F.lit(None).cast("string")).otherwise(F.col("product_id")).alias("product_id"),
-        _null_if((cls == "null_attribute") & (n % 3 == 2), "category"),
-        _null_if((cls == "null_attribute") & (n % 3 == 0), "device"),
-        _null_if((cls == "null_attribute") & (n % 3 == 1), "country"),
+        f"CASE WHEN {c('future')} THEN timestampadd(DAY, CAST(_n % {FUTURE_SPAN_DAYS} + {FUTURE_MIN_DAYS} AS INT), "
+        f"event_time) ELSE event_time END AS event_time",
+        f"CASE WHEN {c('dirty_type')} THEN concat(' ', upper(event_type), ' ') ELSE event_type END AS event_type",
+        f"CASE WHEN {c('null_product')} THEN NULL ELSE product_id END AS product_id",
+        f"CASE WHEN {c('null_attribute')} AND _n % 3 = 2 THEN NULL ELSE category END AS category",
+        f"CASE WHEN {c('null_attribute')} AND _n % 3 = 0 THEN NULL ELSE device END AS device",
+        f"CASE WHEN {c('null_attribute')} AND _n % 3 = 1 THEN NULL ELSE country END AS country",
         "price",
-        F.when(cls == "bad_quantity", bad_q).otherwise(F.col("quantity")).alias("quantity"),
+        f"CASE WHEN {c('bad_quantity')} THEN element_at(array({bad_q}), CAST(_n % 4 + 1 AS INT)) "
+        f"ELSE quantity END AS quantity",
         # one extra copy of each duplicate-class row, generated in place (no second scan)
-        F.explode(F.sequence(F.lit(1), F.when(cls == "duplicate", 2).otherwise(1))).alias("_copy"),
-    )
-    return out.drop("_copy")
+        f"explode(sequence(1, CASE WHEN {c('duplicate')} THEN 2 ELSE 1 END)) AS _copy",
+    ).drop("_copy")
 
 
 def user_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One profile version per ``signup`` event: tier from props.k, country from the customer."""
-    ev = (read_table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
-          .select("user_id", "ts", _product_key().cast("long").alias("_k")))
-    first = ev.groupBy("user_id").agg(F.min("ts").alias("_first_ts"))  # partial aggregate: skew-safe
-    users = _user_country(spark, sf_dir)
-    tiers = F.array(*[F.lit(t) for t in config.LOYALTY_TIERS])
-    joined = ev.join(first, "user_id").join(users, F.col("user_id") == users._uid, "left")
-    return joined.select(
-        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_id"),
-        F.concat(F.lit("user_"), F.col("user_id").cast("string"), F.lit("@example.com")).alias("email"),
-        F.col("country"),
-        F.element_at(tiers, (F.col("_k") % 4 + 1).cast("int")).alias("loyalty_tier"),
-        F.to_date("_first_ts").alias("signup_date"),
-        F.col("ts").cast("timestamp").alias("updated_at"),
-        F.when(F.col("ts") == F.col("_first_ts"), "insert").otherwise("update").alias("change_type"),
+    ev = spread(read_table(spark, sf_dir, "events").where("event_type = 'signup'")).selectExpr(
+        "user_id", "ts", "json_tuple(props, 'k') AS _k")
+    first = ev.groupBy("user_id").agg(F.expr("min(ts) AS _first_ts"))  # partial aggregate: skew-safe
+    tiers = _sql_list(config.LOYALTY_TIERS)
+    joined = _with_country(spark, sf_dir, ev.join(first, "user_id"), "user_id")
+    return joined.selectExpr(
+        "concat('user_', CAST(user_id AS STRING)) AS user_id",
+        "concat('user_', CAST(user_id AS STRING), '@example.com') AS email",
+        "country",
+        f"element_at(array({tiers}), CAST(CAST(_k AS BIGINT) % 4 + 1 AS INT)) AS loyalty_tier",
+        "to_date(_first_ts) AS signup_date",
+        "CAST(ts AS TIMESTAMP) AS updated_at",
+        "CASE WHEN ts = _first_ts THEN 'insert' ELSE 'update' END AS change_type",
     )
