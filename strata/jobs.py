@@ -62,7 +62,8 @@ def run_silver(spark: SparkSession, bronze_events: DataFrame, user_feed: DataFra
     append_new(D.dim_product(clean), p.products, ["product_id"], key_name="product_sk")
     append_new(D.dim_date(clean), p.dates, ["full_date"], key_name="date_key")
     star = load_star(spark, p, with_fact=False)
-    fact = X.build_fact(clean, star.users, star.products, star.dates, "intended")
+    fact = X.build_fact(clean, star.users, star.products, star.dates, "intended",
+                        range_join=D.history_size(spark.read.parquet(p.users)) <= D.MAX_VERSIONS_FOR_RANGE_JOIN)
     append_new(fact, p.fact, ["event_id"], partition_by=["event_date"])
     return p
 
@@ -71,7 +72,8 @@ def load_star(spark: SparkSession, p: SilverPaths, with_fact: bool = True) -> X.
     """The silver star read back; the user table is the stored change log, turned into SCD2
     intervals at read time (keys stay those of the stored versions)."""
     versions = spark.read.parquet(p.users)
-    scd2 = D.dim_user_scd2(versions)
+    largest = D.history_size(versions)
+    scd2 = D.dim_user_scd2(versions, plain=largest <= D.DEFAULT_MAX_GROUP_ROWS)
     users = scd2.join(versions.select("user_id", "updated_at", "user_sk"),
                       (scd2.user_id == versions.user_id) & (scd2.valid_from == versions.updated_at)).drop(
         versions.user_id).drop("updated_at")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata import config, schemas
 from strata.functions.columns import as_date, as_timestamp, calendar, date_lit, ts_lit
 from strata.operators import quality
-from strata.operators.sequence import plain_window_is_safe, with_neighbours
+from strata.operators.sequence import DEFAULT_MAX_GROUP_ROWS, plain_window_is_safe, with_neighbours
 
 TRACKED_USER_ATTRIBUTES = ("country", "loyalty_tier")
 
@@ -47,6 +47,14 @@ def user_versions(user_feed: DataFrame) -> DataFrame:
     return quality.dedupe(feed.select("user_id", "updated_at", *TRACKED_USER_ATTRIBUTES), ["user_id", "updated_at"])
 
 
+def history_size(user_feed: DataFrame) -> int:
+    """Largest number of feed rows of one user (one partial aggregate, one number returned):
+    an upper bound on versions per user, so it decides the window and as-of strategies."""
+    from strata.operators.sequence import largest_group
+
+    return largest_group(user_feed, "user_id")
+
+
 def dim_user_scd2(user_feed: DataFrame, bucket_seconds: int = 3600, plain: bool | None = None) -> DataFrame:
     """Type-2 intervals [valid_from, valid_to) per user on the tracked attributes.
 
@@ -54,9 +62,10 @@ def dim_user_scd2(user_feed: DataFrame, bucket_seconds: int = 3600, plain: bool
     last version is open (valid_to NULL) and current. ``is_first`` marks the first version,
     whose lower bound the as-of lookup opens.
     """
-    versions = user_versions(user_feed)
     if plain is None:  # one measurement serves both passes: the kept rows are a subset
-        plain = plain_window_is_safe(versions, "user_id")
+        plain = plain_window_is_safe(user_feed, "user_id")
+    # Plain path: one hash partitioning on user_id serves the dedupe aggregate and both windows.
+    versions = user_versions(user_feed.repartition("user_id") if plain else user_feed)
     with_prev = with_neighbours(versions, "user_id", "updated_at", list(TRACKED_USER_ATTRIBUTES),
                                 next=False, bucket_seconds=bucket_seconds, plain=plain)
     changed = F.col("_prev").isNull()
@@ -75,17 +84,29 @@ def dim_user_scd2(user_feed: DataFrame, bucket_seconds: int = 3600, plain: bool
 
 
 # ---- D3: profile as of event time --------------------------------------------------------------
-def asof_join(events: DataFrame, scd2: DataFrame, payload=("country", "loyalty_tier")) -> DataFrame:
+MAX_VERSIONS_FOR_RANGE_JOIN = 10_000
+
+
+def asof_join(events: DataFrame, scd2: DataFrame, payload=("country", "loyalty_tier"), range_join: bool | None = None,
+              bucket_seconds: int = 3600) -> DataFrame:
     """Each event gets the user version valid at its event_time (the first version when the
-    event precedes all of them). Planned as an equi-join on user_id with a range residual;
-    AQE splits a hot user on the event side. Unknown users keep NULL attributes."""
+    event precedes all of them); unknown users keep NULL attributes.
+
+    Range join (default when every user has at most ``MAX_VERSIONS_FOR_RANGE_JOIN`` versions,
+    measured): an equi-join on user_id with a range residual; AQE splits a hot user on the
+    event side and each event checks at most that many versions. Beyond the bound, a carry-
+    forward over events and versions merged in time order, split by time buckets (no task holds
+    a whole user), which relies on the intervals being contiguous, as ``dim_user_scd2`` makes them.
+    """
+    if range_join is None:
+        range_join = plain_window_is_safe(scd2, "user_id", MAX_VERSIONS_FOR_RANGE_JOIN)
+    if not range_join:
+        return _asof_by_carry(events, scd2, payload, bucket_seconds)
     dim = scd2.select(F.col("user_id").alias("_uid"), F.col("valid_from").alias("_vf"),
                       F.col("valid_to").alias("_vt"), F.col("is_first").alias("_first"),
                       *[F.col(c).alias(f"_v_{c}") for c in payload],
                       *([F.col("user_sk").alias("_v_user_sk")] if "user_sk" in scd2.columns else []))
-    cond = ((F.col("user_id") == F.col("_uid"))
-            & ((F.col("event_time") >= F.col("_vf")) | F.col("_first"))
-            & (F.col("_vt").isNull() | (F.col("event_time") < F.col("_vt"))))
+    cond = F.expr("user_id = _uid AND (event_time >= _vf OR _first) AND (_vt IS NULL OR event_time < _vt)")
     joined = events.join(dim, cond, "left")
     renamed = {f"_v_{c}": f"version_{c}" for c in payload}
     if "user_sk" in scd2.columns:
@@ -94,6 +115,39 @@ def asof_join(events: DataFrame, scd2: DataFrame, payload=("country", "loyalty_t
     return out.drop("_uid", "_vt", "_first")
 
 
+def _asof_by_carry(events: DataFrame, scd2: DataFrame, payload, bucket_seconds: int) -> DataFrame:
+    from pyspark.sql import Window
+
+    fields = ["valid_from", *payload, *(["user_sk"] if "user_sk" in scd2.columns else [])]
+    vstruct = "struct(" + ", ".join(f"`{c}`" for c in fields) + ")"
+    bucket = f"floor(unix_micros(_t) / {bucket_seconds * 1_000_000})"
+    versions = scd2.selectExpr("user_id", "valid_from AS _t", "0 AS _kind", f"{vstruct} AS _v")
+    ev = events.selectExpr("*", "event_time AS _t", "1 AS _kind", f"CAST(NULL AS {_struct_type(scd2, fields)}) AS _v")
+    merged = ev.unionByName(versions, allowMissingColumns=True).withColumn("_b", F.expr(bucket))
+    w_in = Window.partitionBy("user_id", "_b").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    merged = merged.withColumn("_in", F.last("_v", ignorenulls=True).over(w_in))
+    # One summary row per (user, bucket) that holds events or versions: bounded by the time span.
+    summary = merged.groupBy("user_id", "_b").agg(
+        F.expr("max(CASE WHEN _kind = 0 THEN struct(_t, _v) END) AS _last"),
+        F.expr("min(CASE WHEN _kind = 0 THEN struct(_t, _v) END) AS _first"))
+    w_b = Window.partitionBy("user_id").orderBy("_b")
+    edges = summary.select(
+        "user_id", "_b",
+        F.last("_last", ignorenulls=True).over(w_b.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
+        F.first("_first", ignorenulls=True).over(w_b.rowsBetween(Window.unboundedPreceding,
+                                                                 Window.unboundedFollowing)).alias("_first_v"))
+    ev_rows = merged.where("_kind = 1").join(edges, ["user_id", "_b"], "left")
+    out = ev_rows.withColumn("_ver", F.expr("coalesce(_in, _carry._v, _first_v._v)"))
+    cols = {"version_from": F.col("_ver.valid_from"), **{f"version_{c}": F.col(f"_ver.{c}") for c in payload}}
+    if "user_sk" in scd2.columns:
+        cols["user_sk"] = F.col("_ver.user_sk")
+    return out.withColumns(cols).drop("_t", "_kind", "_v", "_b", "_in", "_carry", "_first_v", "_ver")
+
+
+def _struct_type(df: DataFrame, fields) -> str:
+    return "struct<" + ",".join(f"`{c}`:{df.schema[c].dataType.simpleString()}" for c in fields) + ">"
+
+
 # ---- D4: users with history ---------------------------------------------------------------------
 def users_with_history(user_feed: DataFrame) -> DataFrame:
     per_user = user_versions(user_feed).groupBy("user_id").agg(F.count(F.lit(1)).alias("_versions"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from strata import config, schemas
 from strata.operators import dims
 from strata.operators.keys import assign_surrogate_keys
+from strata.operators.sequence import DEFAULT_MAX_GROUP_ROWS
 
 
 @dataclass
@@ -29,7 +30,8 @@ class Star:
 
 
 def keyed_dimensions(clean: DataFrame, raw: DataFrame, user_feed: DataFrame, mode: str = "intended",
-                     as_of: str = config.TEST_AS_OF) -> tuple[DataFrame, DataFrame, DataFrame]:
+                     as_of: str = config.TEST_AS_OF, plain_window: bool | None = None
+                     ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Dimensions with surrogate keys (dense, in natural-key order).
 
     intended:   SCD2 users, one-row products and dates from the cleaned events.
@@ -37,7 +39,8 @@ def keyed_dimensions(clean: DataFrame, raw: DataFrame, user_feed: DataFrame, mod
     """
     config.check_mode(mode)
     if mode == "intended":
-        users = assign_surrogate_keys(dims.dim_user_scd2(user_feed), ["user_id", "valid_from"], "user_sk")
+        scd2 = dims.dim_user_scd2(user_feed, plain=plain_window)
+        users = assign_surrogate_keys(scd2, ["user_id", "valid_from"], "user_sk")
         products = assign_surrogate_keys(dims.dim_product(clean), ["product_id"], "product_sk")
         dates = assign_surrogate_keys(dims.dim_date(clean), ["full_date"], "date_key")
     else:
@@ -50,14 +53,14 @@ def keyed_dimensions(clean: DataFrame, raw: DataFrame, user_feed: DataFrame, mod
 
 
 def build_fact(clean: DataFrame, users: DataFrame, products: DataFrame, dates: DataFrame,
-               mode: str = "intended") -> DataFrame:
+               mode: str = "intended", range_join: bool | None = None) -> DataFrame:
     """E1-E4. intended: one fact row per clean event -- the user key is the version valid at
     event time (as-of join), products have one row each. as_written: natural-key joins, so an
     event is repeated (user versions x product rows) times, as the original does."""
     config.check_mode(mode)
     date_keys = dates.select(F.col("full_date").alias("_d"), "date_key")
     if mode == "intended":
-        with_user = dims.asof_join(clean, users, payload=())
+        with_user = dims.asof_join(clean, users, payload=(), range_join=range_join)
         with_user = with_user.drop("version_from")
         prod_keys = products.select(F.col("product_id").alias("_p"), "product_sk")
         joined = (with_user.join(prod_keys, F.col("product_id") == F.col("_p"), "left")
@@ -77,8 +80,13 @@ def build_fact(clean: DataFrame, users: DataFrame, products: DataFrame, dates: D
 
 def build_star(clean: DataFrame, raw: DataFrame, user_feed: DataFrame, mode: str = "intended",
                as_of: str = config.TEST_AS_OF) -> Star:
-    users, products, dates = keyed_dimensions(clean, raw, user_feed, mode, as_of)
-    return Star(build_fact(clean, users, products, dates, mode), users, products, dates)
+    """Dimensions and fact; the user history is measured once and decides both the SCD2 window
+    strategy and the as-of join strategy."""
+    largest = dims.history_size(user_feed) if mode == "intended" else None
+    plain = None if largest is None else largest <= DEFAULT_MAX_GROUP_ROWS
+    range_join = None if largest is None else largest <= dims.MAX_VERSIONS_FOR_RANGE_JOIN
+    users, products, dates = keyed_dimensions(clean, raw, user_feed, mode, as_of, plain)
+    return Star(build_fact(clean, users, products, dates, mode, range_join), users, products, dates)
 
 
 def star_join(star: Star) -> DataFrame:

@@ -60,8 +60,14 @@ class Inputs:
         return {m: C.clean_events(self.raw, m, AS_OF, CART) for m in config.MODES}
 
     def star(self, mode: str = "intended") -> X.Star:
+        """The silver star; its inputs are written once, as the silver job does, so the three
+        dimensions and the fact do not each recompute the cleaning."""
         if mode not in self._stars:
-            self._stars[mode] = X.build_star(self.clean(mode), self.raw, self.users, mode, AS_OF)
+            from strata.session import materialize
+
+            clean = materialize(self.clean(mode), f"silver-events-{mode}")
+            raw = materialize(self.raw, "bronze-events") if mode == "as_written" else self.raw
+            self._stars[mode] = X.build_star(clean, raw, self.users, mode, AS_OF)
         return self._stars[mode]
 
     @cached_property
@@ -457,7 +463,9 @@ def _dim_user_scd2(x: Inputs):
         AND (c.event_time >= s.valid_from OR s.is_first) AND (s.valid_to IS NULL OR c.event_time < s.valid_to)""")
 def _asof_user(x: Inputs):
     """D3: the profile version valid at each event's time."""
-    out = D.asof_join(x.clean(), D.dim_user_scd2(x.users))
+    largest = D.history_size(x.users)
+    scd2 = D.dim_user_scd2(x.users, plain=largest <= D.DEFAULT_MAX_GROUP_ROWS)
+    out = D.asof_join(x.clean(), scd2, range_join=largest <= D.MAX_VERSIONS_FOR_RANGE_JOIN)
     return out.select("event_id", "user_id", "event_time", "version_from", "version_country", "version_loyalty_tier")
 
 

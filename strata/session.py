@@ -88,3 +88,12 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df, name: str):
+    """Write a frame once to a fresh folder under the shared checkpoint root and read it back:
+    cuts lineage (a lost executor recomputes from the files, not from the sources) and gives
+    the planner the real size of the data."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

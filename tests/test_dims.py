@@ -53,14 +53,18 @@ def test_scd2_intervals_disjoint_one_current_and_collapsed(spark):
     assert sum(r.is_current for r in scd) == 2
 
 
-def test_asof_picks_version_valid_at_event_time(spark):
+import pytest
+
+
+@pytest.mark.parametrize("range_join", [True, False])
+def test_asof_picks_version_valid_at_event_time(spark, range_join):
     rows = [("u1", "DE", "bronze", "2024-01-01", "2024-01-02T00:00:00+00:00"),
             ("u1", "FR", "gold", "2024-01-01", "2024-01-10T00:00:00+00:00")]
     scd = dims.dim_user_scd2(_feed(spark, rows))
     ev = spark.createDataFrame([("e0", "u1", dt.datetime(2024, 1, 1)), ("e1", "u1", dt.datetime(2024, 1, 5)),
                                 ("e2", "u1", dt.datetime(2024, 1, 10)), ("e3", "u9", dt.datetime(2024, 1, 5))],
                                "event_id string, user_id string, event_time timestamp")
-    got = {r.event_id: r.version_country for r in dims.asof_join(ev, scd).collect()}
+    got = {r.event_id: r.version_country for r in dims.asof_join(ev, scd, range_join=range_join).collect()}
     assert got == {"e0": "DE", "e1": "DE", "e2": "FR", "e3": None}
 
 
@@ -97,3 +101,17 @@ def test_product_first4_keeps_four_times(spark):
     out = dims.dim_product_first4(ev).collect()
     assert sorted(r.updated_ts.day for r in out if r.product_id == "p1") == [1, 2, 3, 4]
     assert len([r for r in out if r.product_id == "p2"]) == 1
+
+
+def test_asof_strategies_agree(spark, sf_dir):
+    """Range join and the bucketed carry-forward give identical results on the test tables."""
+    from strata import config
+    from strata.operators import clean
+    from strata.sources import testdata as T
+
+    ev = clean.clean_events(T.dirty_events(spark, sf_dir), "intended", config.TEST_AS_OF, config.TEST_CART_TYPES)
+    scd = dims.dim_user_scd2(T.user_feed(spark, sf_dir))
+    cols = ["event_id", "version_from", "version_country", "version_loyalty_tier"]
+    a = dims.asof_join(ev, scd, range_join=True).select(*cols)
+    b = dims.asof_join(ev, scd, range_join=False, bucket_seconds=6 * 3600).select(*cols)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
