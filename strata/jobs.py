@@ -64,7 +64,8 @@ def run_silver(spark: SparkSession, bronze_events: DataFrame, user_feed: DataFra
     star = load_star(spark, p, with_fact=False)
     fact = X.build_fact(clean, star.users, star.products, star.dates, "intended",
                         range_join=D.history_size(spark.read.parquet(p.users)) <= D.MAX_VERSIONS_FOR_RANGE_JOIN)
-    append_new(fact, p.fact, ["event_id"], partition_by=["event_date"])
+    # one fact row per clean event (deduped on event_id upstream): no second in-batch dedupe
+    append_new(fact, p.fact, ["event_id"], partition_by=["event_date"], unique=True)
     return p
 
 

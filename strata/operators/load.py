@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import functools
 import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.keys import assign_surrogate_keys
 from strata.operators.quality import dedupe
-from strata.session import local_path, scratch_path
+from strata.session import local_path
 
 
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
@@ -30,7 +31,7 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
 
 
 def new_rows(batch: DataFrame, target: DataFrame | None, keys: list[str],
-             partition_column: str | None = None) -> DataFrame:
+             partition_column: str | None = None, unique: bool = False) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target`` (null-safe), one per key.
 
     With ``partition_column`` the target is first reduced to the partitions the batch touches
@@ -50,27 +51,29 @@ def new_rows(batch: DataFrame, target: DataFrame | None, keys: list[str],
 
 def append_new(batch: DataFrame, path: str, keys: list[str], fmt: str = "parquet",
                key_name: str | None = None, key_order: list[str] | None = None,
-               partition_by: list[str] | None = None) -> int:
-    """Append the batch's new rows to the table at ``path``; returns the number appended."""
+               partition_by: list[str] | None = None, unique: bool = False) -> int:
+    """Append the batch's new rows to the table at ``path``; returns the number appended.
+
+    The anti-join reads the target's file list when the job is planned, so the append can read
+    the table it writes to; the row count comes from ``observe`` on the same write (one pass).
+    Partitioned writes are rebalanced by AQE: a hot partition value is split across tasks and
+    small outputs are merged, instead of one file per task and value.
+    """
     spark = batch.sparkSession
     exists = table_exists(spark, path, fmt)
     target = spark.read.format(fmt).load(path) if exists else None
-    fresh = new_rows(batch, target, keys, partition_by[0] if partition_by else None)
+    fresh = new_rows(batch, target, keys, partition_by[0] if partition_by else None, unique)
     if key_name:
         start = 0
         if target is not None:
             start = target.agg(F.max(key_name)).first()[0] or 0  # one scalar to the driver
         fresh = assign_surrogate_keys(fresh, key_order or keys, key_name, start)
-    else:
-        # Freeze the anti-join result (written once to the shared checkpoint folder) before
-        # appending next to the files it was computed from.
-        frozen = scratch_path(spark, "load")
-        fresh.write.mode("overwrite").parquet(frozen)
-        fresh = spark.read.parquet(frozen)
-    n = fresh.count()
-    if n:
-        w = fresh.write.mode("append").format(fmt)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(path)
-    return n
+    obs = Observation(f"append-{uuid.uuid4().hex[:8]}")
+    fresh = fresh.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        fresh = fresh.hint("rebalance", *partition_by)
+    w = fresh.write.mode("append").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+    return int(obs.get.get("rows", 0))

@@ -39,6 +39,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
                 partition_by: list[str] | None = None) -> None:
     """Full refresh (or append) of a lakehouse table by path. ``overwriteSchema`` is passed
     for table formats that version their schema; plain parquet ignores it."""
+    if partition_by:  # AQE rebalance: hot values split, small outputs merged
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).format(fmt)
     if mode == "overwrite" and fmt == "delta":
         w = w.option("overwriteSchema", "true")
