@@ -69,11 +69,16 @@ def append_new(batch: DataFrame, path: str, keys: list[str], fmt: str = "parquet
             start = target.agg(F.max(key_name)).first()[0] or 0  # one scalar to the driver
         fresh = assign_surrogate_keys(fresh, key_order or keys, key_name, start)
     obs = Observation(f"append-{uuid.uuid4().hex[:8]}")
-    fresh = fresh.observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = fresh.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_by:
-        fresh = fresh.hint("rebalance", *partition_by)
-    w = fresh.write.mode("append").format(fmt)
+        observed = observed.hint("rebalance", *partition_by)
+    w = observed.write.mode("append").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    return int(obs.get.get("rows", 0))
+    try:
+        return int(obs.get.get("rows", 0))
+    except Exception:
+        # AQE can prune an empty plan together with its metrics node; count it directly then
+        # (the batch's file listing was taken before the write, so this sees the same rows).
+        return fresh.count()

@@ -54,7 +54,13 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session; set one only where it is unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext: use the configured folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder for this session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current.rsplit("/", 1)[0] if _is_generated_subdir(current) else current

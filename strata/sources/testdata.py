@@ -50,8 +50,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than the session has cores (a single
     row-group file is one task). A no-op at cluster scale, where scans have many splits."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the scan as it is
+        return df
+    return df.repartition(target) if parts < target else df
 
 
 def _sql_list(values) -> str:
