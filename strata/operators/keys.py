@@ -32,16 +32,18 @@ def assign_surrogate_keys(df: DataFrame, order_cols, key_name: str, start: int =
     """
     order_cols = list(order_cols)
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, f"keys-{key_name}")
-    (df.repartitionByRange(n, *order_cols)
+    # Without an explicit count AQE may coalesce adjacent ranges to the data size (global order
+    # is kept: only neighbouring ranges merge); an explicit count pins the partitioning.
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    (ranged
        .sortWithinPartitions(*order_cols)
        .withColumn("_pid", F.spark_partition_id())
        .withColumn("_mid", F.monotonically_increasing_id())
        .write.mode("overwrite").parquet(path))
     stamped = spark.read.parquet(path)
     per_part = stamped.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_base"))
-    # Window over <= n rows (one per partition): bounded by construction.
+    # Window over one row per range partition: bounded by the partition count.
     offsets = per_part.withColumn(
         "_off", F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
     offsets = offsets.select("_pid", "_base", F.coalesce("_off", F.lit(0)).alias("_off"))

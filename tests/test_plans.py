@@ -11,7 +11,11 @@ def _plan(df):
 
 def test_first4_uses_window_group_limit(spark, sf_dir):
     plan = _plan(dims.dim_product_first4(testdata.dirty_events(spark, sf_dir)))
-    assert "WindowGroupLimit" in plan
+    lines = plan.splitlines()
+    partial = next(i for i, l in enumerate(lines) if "WindowGroupLimit" in l and "Partial" in l)
+    final = next(i for i, l in enumerate(lines) if "WindowGroupLimit" in l and "Final" in l)
+    between = lines[final:partial]
+    assert any("Exchange hashpartitioning(product_id" in l for l in between)  # limit applied map-side
 
 
 def test_filters_and_pruning_reach_the_scan(spark, sf_dir):
