@@ -202,7 +202,11 @@ def reject_reasons(as_of: str, cart_types=config.FEED_CART_TYPES) -> Column:
 
 
 def quarantine(df: DataFrame, as_of: str, cart_types=config.FEED_CART_TYPES) -> DataFrame:
-    """Every row with its reject reason (NULL = kept). Split with ``split_quarantine``."""
+    """Every row with its reject reason (NULL = kept). Split with ``split_quarantine``.
+
+    Run on deduped rows. With exact-copy duplicates (the feed's kind) the kept side equals the
+    intended cleaning; with non-identical duplicates, cleaning keeps a valid copy (it filters
+    before it dedupes) while this judges the deduped representative."""
     return df.withColumn("reject_reason", reject_reasons(as_of, cart_types))
 
 
