@@ -24,8 +24,10 @@ def ensure_table(spark: SparkSession, qualified: str, schema: StructType, locati
 
 
 def append_to_table(df: DataFrame, qualified: str) -> None:
-    """Append by name; errors propagate (a failed load must fail the job)."""
-    df.write.mode("append").insertInto(qualified)
+    """Append to a catalog table; columns are matched by name (``insertInto`` itself is
+    positional) and errors propagate (a failed load must fail the job)."""
+    target_cols = df.sparkSession.table(qualified).columns
+    df.select(*target_cols).write.mode("append").insertInto(qualified)
 
 
 def scan(spark: SparkSession, qualified: str) -> DataFrame:
