@@ -40,34 +40,28 @@ def as_date(df: DataFrame, name: str) -> Column:
     return F.to_date(F.col(name))
 
 
-def money_sum(c: str | Column) -> Column:
+def money_sum(c: str) -> Column:
     """Exact, order-independent sum of a 2-decimal money column, as double."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(F.sum(col.cast("decimal(18,2)")), 2).cast("double")
+    return F.expr(f"CAST(round(sum(CAST(`{c}` AS DECIMAL(18,2))), 2) AS DOUBLE)")
 
 
-def calendar(date_col: Column) -> dict[str, Column]:
-    """Calendar attributes of a date (Spark conventions: weekday Monday = 0, ISO week)."""
-    weekday = F.weekday(date_col)
+def calendar(date_col: str) -> dict[str, Column]:
+    """Calendar attributes of a date column (Spark conventions: weekday Monday = 0, ISO week)."""
+    d = f"`{date_col}`"
+    weekend = ", ".join(str(w) for w in config.WEEKEND_WEEKDAYS)
     return {
-        "year": F.year(date_col),
-        "quarter": F.quarter(date_col),
-        "month": F.month(date_col),
-        "monthname": F.monthname(date_col),
-        "weekyear": F.weekofyear(date_col),
-        "weekday": weekday,
-        "dayname": F.dayname(date_col),
-        "day": F.dayofmonth(date_col),
-        "is_weekend": F.coalesce(weekday.isin(*config.WEEKEND_WEEKDAYS), F.lit(False)),
+        "year": F.expr(f"year({d})"),
+        "quarter": F.expr(f"quarter({d})"),
+        "month": F.expr(f"month({d})"),
+        "monthname": F.expr(f"monthname({d})"),
+        "weekyear": F.expr(f"weekofyear({d})"),
+        "weekday": F.expr(f"weekday({d})"),
+        "dayname": F.expr(f"dayname({d})"),
+        "day": F.expr(f"dayofmonth({d})"),
+        "is_weekend": F.expr(f"coalesce(weekday({d}) IN ({weekend}), false)"),
     }
 
 
-def first_row_struct(df: DataFrame, keys: list[str]) -> Column:
-    """Struct of the non-key columns, used to pick one deterministic row per key with ``min``."""
-    rest = [c for c in df.columns if c not in keys]
-    return F.struct(*[F.col(c) for c in rest])
-
-
 def ts_lit(value: str) -> Column:
     """Non-null timestamp literal (a cast string literal is nullable, which ``DataFrame.to``
     rejects for a NOT NULL column); the text is read as UTC."""

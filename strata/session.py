@@ -24,6 +24,36 @@ SESSION_DEFAULTS = {
 }
 
 
+# Settings for a large cluster (e.g. 1000 executors reading ~100 TB). AQE sizes shuffle
+# partitions from measured map output (start high, coalesce to ~256 MB), splits skewed join
+# partitions and skewed rebalance partitions; scans split files at 256 MB. Checkpoints and
+# intermediate tables go to the shared folder the cluster names in spark.checkpoint.dir.
+CLUSTER_DEFAULTS = {
+    **SESSION_DEFAULTS,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def build_cluster_session(app_name: str = "strata", extra: dict | None = None) -> SparkSession:
+    """Session for a cluster (master and checkpoint folder come from the submit configuration)."""
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in {**CLUSTER_DEFAULTS, **(extra or {})}.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's object store)")
+    configure(spark)
+    return spark
+
+
 def build_session(master: str = "local[*]", app_name: str = "strata", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
     """Create (or get) a session for local runs and tests."""
