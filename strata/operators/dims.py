@@ -66,6 +66,12 @@ def dim_user_scd2(user_feed: DataFrame, bucket_seconds: int = 3600, plain: bool
         plain = plain_window_is_safe(user_feed, "user_id")
     # Plain path: one hash partitioning on user_id serves the dedupe aggregate and both windows.
     versions = user_versions(user_feed.repartition("user_id") if plain else user_feed)
+    if not plain:
+        # Bucketed path (huge histories): its self-joins read the versions twice per pass, so
+        # they are written once to the shared checkpoint folder instead of recomputed.
+        from strata.session import materialize
+
+        versions = materialize(versions, "scd2-versions")
     with_prev = with_neighbours(versions, "user_id", "updated_at", list(TRACKED_USER_ATTRIBUTES),
                                 next=False, bucket_seconds=bucket_seconds, plain=plain)
     changed = F.col("_prev").isNull()
