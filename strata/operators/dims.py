@@ -201,12 +201,12 @@ def dim_product(events: DataFrame) -> DataFrame:
 
 
 # ---- C18: backfill from dimensions ----------------------------------------------------------
-def backfill(events: DataFrame, products: DataFrame, scd2: DataFrame) -> DataFrame:
+def backfill(events: DataFrame, products: DataFrame, scd2: DataFrame, range_join: bool | None = None) -> DataFrame:
     """Null category from the product dimension, null country from the user version valid at
     the event's time; what stays null is left for ``fill_unknown``."""
     prod = products.select(F.col("product_id").alias("_bp"), F.col("category").alias("_bcat"))
     with_prod = events.join(prod, F.col("product_id") == F.col("_bp"), "left")
-    with_user = asof_join(with_prod, scd2, payload=("country",))
+    with_user = asof_join(with_prod, scd2, payload=("country",), range_join=range_join)
     return (with_user.withColumns({"category": F.coalesce("category", "_bcat"),
                                    "country": F.coalesce("country", "version_country")})
             .drop("_bp", "_bcat", "version_country", "version_from"))

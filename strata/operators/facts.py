@@ -79,10 +79,13 @@ def build_fact(clean: DataFrame, users: DataFrame, products: DataFrame, dates: D
 
 
 def build_star(clean: DataFrame, raw: DataFrame, user_feed: DataFrame, mode: str = "intended",
-               as_of: str = config.TEST_AS_OF) -> Star:
-    """Dimensions and fact; the user history is measured once and decides both the SCD2 window
-    strategy and the as-of join strategy."""
-    largest = dims.history_size(user_feed) if mode == "intended" else None
+               as_of: str = config.TEST_AS_OF, history: int | None = None) -> Star:
+    """Dimensions and fact; the user history (largest number of versions of one user) is
+    measured once -- or given by a caller that can bound it more cheaply at the source -- and
+    decides both the SCD2 window strategy and the as-of join strategy."""
+    largest = None
+    if mode == "intended":
+        largest = history if history is not None else dims.history_size(user_feed)
     plain = None if largest is None else largest <= DEFAULT_MAX_GROUP_ROWS
     range_join = None if largest is None else largest <= dims.MAX_VERSIONS_FOR_RANGE_JOIN
     users, products, dates = keyed_dimensions(clean, raw, user_feed, mode, as_of, plain)

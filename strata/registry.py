@@ -48,6 +48,11 @@ class Inputs:
     def users(self) -> DataFrame:
         return T.user_feed(self.spark, self.sf_dir)
 
+    @cached_property
+    def history(self) -> int:
+        """Largest user history, bounded at the source (signup events per user)."""
+        return T.user_history_bound(self.spark, self.sf_dir)
+
     @cached_property
     def norm(self) -> DataFrame:
         return Q.normalize_strings(self.raw, "intended")
@@ -67,7 +72,7 @@ class Inputs:
 
             clean = materialize(self.clean(mode), f"silver-events-{mode}")
             raw = materialize(self.raw, "bronze-events") if mode == "as_written" else self.raw
-            self._stars[mode] = X.build_star(clean, raw, self.users, mode, AS_OF)
+            self._stars[mode] = X.build_star(clean, raw, self.users, mode, AS_OF, self.history)
         return self._stars[mode]
 
     @cached_property
@@ -439,7 +444,8 @@ def _quarantine(x: Inputs):
 def _backfill(x: Inputs):
     """Null category from the product dimension, null country from the as-of user version."""
     events = Q.dedupe(x.norm, ["event_id"])
-    out = D.backfill(events, D.dim_product(events), D.dim_user_scd2(x.users))
+    out = D.backfill(events, D.dim_product(events), D.dim_user_scd2(x.users, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS),
+                     range_join=x.history <= D.MAX_VERSIONS_FOR_RANGE_JOIN)
     return out.select("event_id", "category", "country")
 
 
@@ -454,7 +460,7 @@ def _dim_user_latest(x: Inputs):
         valid_to IS NULL AS is_current, is_first FROM scd2""")
 def _dim_user_scd2(x: Inputs):
     """Type-2 intervals on country + loyalty tier, unchanged versions merged."""
-    return D.dim_user_scd2(x.users)
+    return D.dim_user_scd2(x.users, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS)
 
 
 @register("asof_user", """SELECT c.event_id, c.user_id, c.event_time, s.valid_from AS version_from,
@@ -463,9 +469,8 @@ def _dim_user_scd2(x: Inputs):
         AND (c.event_time >= s.valid_from OR s.is_first) AND (s.valid_to IS NULL OR c.event_time < s.valid_to)""")
 def _asof_user(x: Inputs):
     """D3: the profile version valid at each event's time."""
-    largest = D.history_size(x.users)
-    scd2 = D.dim_user_scd2(x.users, plain=largest <= D.DEFAULT_MAX_GROUP_ROWS)
-    out = D.asof_join(x.clean(), scd2, range_join=largest <= D.MAX_VERSIONS_FOR_RANGE_JOIN)
+    scd2 = D.dim_user_scd2(x.users, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS)
+    out = D.asof_join(x.clean(), scd2, range_join=x.history <= D.MAX_VERSIONS_FOR_RANGE_JOIN)
     return out.select("event_id", "user_id", "event_time", "version_from", "version_country", "version_loyalty_tier")
 
 
@@ -498,7 +503,8 @@ def _dim_product(x: Inputs):
 @register("surrogate_keys", "SELECT user_sk, user_id, valid_from FROM users_iw")
 def _surrogate_keys(x: Inputs):
     """Dense keys in natural-key order without a single-task window."""
-    keyed = assign_surrogate_keys(D.dim_user_scd2(x.users), ["user_id", "valid_from"], "user_sk")
+    keyed = assign_surrogate_keys(D.dim_user_scd2(x.users, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS),
+                                  ["user_id", "valid_from"], "user_sk")
     return keyed.select("user_sk", "user_id", "valid_from")
 
 
@@ -598,7 +604,8 @@ def _describe_silver(x: Inputs):
     db = "silver_" + root.rsplit("-", 1)[-1]
     tables.ensure_database(x.spark, db, root)
     tables.ensure_table(x.spark, f"{db}.silver_user", schemas.DIM_USER_SCD2, f"{root}/silver_user")
-    tables.append_to_table(D.dim_user_scd2(x.users).drop("is_first"), f"{db}.silver_user")
+    scd2 = D.dim_user_scd2(x.users, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS)
+    tables.append_to_table(scd2.drop("is_first"), f"{db}.silver_user")
     return tables.describe(x.spark, f"{db}.silver_user").join(
         tables.scan(x.spark, f"{db}.silver_user").agg(F.count(F.lit(1)).alias("rows_loaded")))
 

@@ -168,3 +168,10 @@ def user_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(ts AS TIMESTAMP) AS updated_at",
         "CASE WHEN ts = _first_ts THEN 'insert' ELSE 'update' END AS change_type",
     )
+
+
+def user_history_bound(spark: SparkSession, sf_dir: str) -> int:
+    """Largest number of feed versions of one user, measured at the source: one version per
+    ``signup`` event, so a filtered scan (pushed to Parquet) and a partial aggregate suffice."""
+    ev = read_table(spark, sf_dir, "events").where("event_type = 'signup'")
+    return ev.groupBy("user_id").agg(F.expr("count(1) AS _n")).agg(F.expr("max(_n)")).first()[0] or 0
