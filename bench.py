@@ -1,6 +1,7 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Each query runs to a ``noop`` sink (full execution, no collect), median of $BENCH_RUNS runs.
+Each query runs to a ``noop`` sink (full execution, no collect): one untimed warm-up run
+(codegen, JIT), then the median of $BENCH_RUNS timed runs.
 Queries marked ``tables`` derive their inputs from the driver's tables inside the timing (as
 the baseline readings do); ``gold_*`` read the silver star written once by ``silver_build``.
 """
@@ -44,6 +45,7 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
 
     def timed(fn, runs=RUNS):
+        fn()  # warm-up, untimed
         times = []
         for _ in range(runs):
             t0 = time.perf_counter()
@@ -102,6 +104,7 @@ def main() -> None:
         "sf": _sf(SF_DIR),
         "cpus": CPUS,
         "runs": RUNS,
+        "warmup_runs": 1,
         "fact_rows": fact_rows,
         "headline": headline,
     }

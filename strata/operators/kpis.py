@@ -21,29 +21,35 @@ def _cents(c: str | Column) -> Column:
     return (col.cast("decimal(18,2)") * 100).cast("long")
 
 
-def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    """round(numerator / denominator, digits), half-up, computed on integers (exact)."""
-    scale = 10 ** digits
-    num = numerator.cast("long") * (2 * scale)
-    den = denominator.cast("long")
-    return F.when(den > 0, _int_div(num + den, den * 2) / F.lit(float(scale))).cast("double")
+def _cents(c: str) -> str:
+    return f"CAST(CAST(`{c}` AS DECIMAL(18,2)) * 100 AS BIGINT)"
 
 
-def _int_div(a: Column, b: Column) -> Column:
+def _int_div_sql(a: str, b: str) -> str:
     """Exact floor(a / b) for a >= 0, b > 0 on longs: a - a % b is a multiple of b."""
-    return ((a - a % b) / b).cast("long")
+    return f"CAST((({a}) - ({a}) % ({b})) / ({b}) AS BIGINT)"
+
+
+def ratio_sql(num: str, den: str, digits: int) -> str:
+    """round(num / den, digits), half-up, computed on integers (exact)."""
+    scale = 10 ** digits
+    n, d = f"CAST({num} AS BIGINT) * {2 * scale}", f"CAST({den} AS BIGINT)"
+    return f"CASE WHEN {d} > 0 THEN CAST({_int_div_sql(f'{n} + {d}', f'{d} * 2')} / {float(scale)} AS DOUBLE) END"
 
 
-def money_avg(total_cents: Column, n: Column) -> Column:
+def money_avg_sql(total_cents: str, n: str) -> str:
     """Average of a money total over n, in currency units rounded half-up to cents."""
-    return F.when(n > 0, _int_div(total_cents * 2 + n, n * 2) / F.lit(100.0)).cast("double")
+    return (f"CASE WHEN {n} > 0 THEN CAST({_int_div_sql(f'{total_cents} * 2 + {n}', f'{n} * 2')} / 100.0 AS DOUBLE) END")
+
+
+LIVE_SQL = (f"user_sk <> {config.UNKNOWN_SK} AND date_key <> {config.UNKNOWN_SK} "
+            f"AND product_sk <> {config.UNKNOWN_SK}")
 
 
 def _live(fact: DataFrame) -> DataFrame:
     """Fact rows whose three keys resolved. Because every key in the fact came from its
     dimension, this equals the inner star join without doing it."""
-    return fact.filter((F.col("user_sk") != config.UNKNOWN_SK) & (F.col("date_key") != config.UNKNOWN_SK)
-                       & (F.col("product_sk") != config.UNKNOWN_SK))
+    return fact.where(LIVE_SQL)
 
 
 # ---- F1 / F2 -----------------------------------------------------------------------------------
@@ -81,8 +87,8 @@ def daily_kpis_volume(fact: DataFrame) -> DataFrame:
 def funnel_metrics(fact: DataFrame, mode: str = "intended") -> DataFrame:
     user = "user_id" if mode == "intended" else "user_sk"
     return (fact.groupBy("event_type")
-            .agg(F.count("event_type").alias("total_events"), F.count_distinct(user).alias("total_users"))
-            .orderBy(F.col("total_events").desc(), F.col("event_type")))
+            .agg(F.expr("count(event_type) AS total_events"), F.expr(f"count(DISTINCT {user}) AS total_users"))
+            .orderBy(F.desc("total_events"), "event_type"))
 
 
 # ---- F4 ------------------------------------------------------------------------------------------
@@ -94,15 +100,16 @@ def product_metrics(star: Star, mode: str = "intended") -> DataFrame:
     config.check_mode(mode)
     if mode == "intended":
         per_sk = _live(star.fact).groupBy("product_sk").agg(
-            F.count(F.lit(1)).alias("_n"), F.sum(F.col("price").cast("decimal(18,2)")).alias("_rev"))
+            F.expr("count(1) AS _n"), F.expr("sum(CAST(price AS DECIMAL(18,2))) AS _rev"))
         joined = per_sk.join(star.products.select("product_sk", "product_id", "category"), "product_sk")
         out = joined.groupBy("product_id", "category").agg(
-            F.sum("_n").cast("long").alias("total_interactions"),
-            F.round(F.sum("_rev"), 2).cast("double").alias("revenue"))
+            F.expr("CAST(sum(_n) AS BIGINT) AS total_interactions"),
+            F.expr("CAST(round(sum(_rev), 2) AS DOUBLE) AS revenue"))
     else:
-        out = star_join(star).groupBy(F.col("dim_product_id").alias("product_id"), "category").agg(
-            F.count(F.lit(1)).alias("total_interactions"), money_sum("price").alias("revenue"))
-    return out.orderBy(F.col("revenue").desc(), F.col("total_interactions").desc(), F.col("product_id"))
+        out = star_join(star).withColumnRenamed("product_id", "_fact_product_id").groupBy(
+            F.col("dim_product_id").alias("product_id"), "category").agg(
+            F.expr("count(1) AS total_interactions"), money_sum("price").alias("revenue"))
+    return out.orderBy(F.desc("revenue"), F.desc("total_interactions"), "product_id")
 
 
 # ---- F5 ------------------------------------------------------------------------------------------
@@ -112,22 +119,22 @@ def top_purchasers(star: Star, mode: str = "intended", limit: int | None = 50) -
     (per-partition top-k, then a merge of k rows per partition)."""
     config.check_mode(mode)
     if mode == "intended":
-        rows = _live(star.fact).filter(F.col("event_type") == PURCHASE)
-        user, product = F.col("user_id"), F.col("product_id")
+        rows = _live(star.fact).where(f"event_type = '{PURCHASE}'").selectExpr(
+            "user_id", "product_id", "event_id", "price")
     else:
-        rows = star_join(star).filter(F.col("event_type") == PURCHASE)
-        user, product = F.col("dim_user_id"), F.col("dim_product_id")
-    out = rows.groupBy(user.alias("user_id")).agg(
-        F.count_distinct(product).alias("product_count"),
+        rows = star_join(star).where(f"event_type = '{PURCHASE}'").selectExpr(
+            "dim_user_id AS user_id", "dim_product_id AS product_id", "event_id", "price")
+    out = rows.groupBy("user_id").agg(
+        F.expr("count(DISTINCT product_id) AS product_count"),
         money_sum("price").alias("purchase_totals"),
-        F.count_distinct("event_id").alias("transactions"))
-    out = out.orderBy(F.col("purchase_totals").desc(), F.col("user_id"))
+        F.expr("count(DISTINCT event_id) AS transactions"))
+    out = out.orderBy(F.desc("purchase_totals"), "user_id")
     return out.limit(limit) if limit else out
 
 
 # ---- F6 ------------------------------------------------------------------------------------------
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+    parts = [df.agg(F.expr("count(1) AS row_count")).selectExpr(f"'{name}' AS table_name", "row_count")
              for name, df in frames.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -137,68 +144,63 @@ def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
 
 # ---- F7 / F8: best sellers (purchases; sales = price x quantity) ---------------------------------
 def _sales(fact: DataFrame) -> DataFrame:
-    return (_live(fact).filter(F.col("event_type") == PURCHASE)
-            .withColumn("_sale_cents", _cents("price") * F.coalesce(F.col("quantity"), F.lit(0)).cast("long")))
+    return (_live(fact).where(f"event_type = '{PURCHASE}'")
+            .withColumn("_sale_cents", F.expr(f"{_cents('price')} * CAST(coalesce(quantity, 0) AS BIGINT)")))
 
 
-def _sales_agg():
-    return [F.sum(F.coalesce(F.col("quantity"), F.lit(0))).cast("long").alias("units_sold"),
-            (F.sum("_sale_cents") / F.lit(100.0)).cast("double").alias("sales")]
+_UNITS = "CAST(sum(coalesce(quantity, 0)) AS BIGINT) AS units_sold"
+_SALES = "CAST(sum(_sale_cents) / 100.0 AS DOUBLE) AS sales"
 
 
 def best_products(fact: DataFrame) -> DataFrame:
-    return (_sales(fact).groupBy("product_id").agg(*_sales_agg())
-            .orderBy(F.col("sales").desc(), F.col("product_id")))
+    return (_sales(fact).groupBy("product_id").agg(F.expr(_UNITS), F.expr(_SALES))
+            .orderBy(F.desc("sales"), "product_id"))
+
+
+def _partial_sales(fact: DataFrame, key: str) -> DataFrame:
+    return _sales(fact).groupBy(key).agg(F.expr("sum(coalesce(quantity, 0)) AS _u"), F.expr("sum(_sale_cents) AS _c"))
+
+
+def _rollup() -> list[Column]:
+    return [F.expr("CAST(sum(_u) AS BIGINT) AS units_sold"), F.expr("CAST(sum(_c) / 100.0 AS DOUBLE) AS sales")]
 
 
 def best_categories(star: Star) -> DataFrame:
-    per_sk = _sales(star.fact).groupBy("product_sk").agg(
-        F.sum(F.coalesce(F.col("quantity"), F.lit(0))).alias("_u"), F.sum("_sale_cents").alias("_c"))
-    joined = per_sk.join(star.products.select("product_sk", "category"), "product_sk")
-    return (joined.groupBy("category").agg(F.sum("_u").cast("long").alias("units_sold"),
-                                           (F.sum("_c") / F.lit(100.0)).cast("double").alias("sales"))
-            .orderBy(F.col("sales").desc(), F.col("category")))
+    joined = _partial_sales(star.fact, "product_sk").join(star.products.select("product_sk", "category"), "product_sk")
+    return joined.groupBy("category").agg(*_rollup()).orderBy(F.desc("sales"), "category")
 
 
 def _daily_sales(star: Star) -> DataFrame:
     """Sales per date key first (one row per day), then the calendar attributes by key."""
-    per_day = _sales(star.fact).groupBy("date_key").agg(
-        F.sum(F.coalesce(F.col("quantity"), F.lit(0))).alias("_u"), F.sum("_sale_cents").alias("_c"))
-    return per_day.join(star.dates, "date_key")
+    return _partial_sales(star.fact, "date_key").join(star.dates, "date_key")
 
 
 def best_month(star: Star) -> DataFrame:
-    return (_daily_sales(star).groupBy("year", "month", "monthname")
-            .agg(F.sum("_u").cast("long").alias("units_sold"), (F.sum("_c") / F.lit(100.0)).cast("double").alias("sales"))
-            .orderBy(F.col("sales").desc(), "year", "month"))
+    return (_daily_sales(star).groupBy("year", "month", "monthname").agg(*_rollup())
+            .orderBy(F.desc("sales"), "year", "month"))
 
 
 def best_weekday(star: Star) -> DataFrame:
-    return (_daily_sales(star).groupBy("weekday", "dayname")
-            .agg(F.sum("_u").cast("long").alias("units_sold"), (F.sum("_c") / F.lit(100.0)).cast("double").alias("sales"))
-            .orderBy(F.col("sales").desc(), "weekday"))
+    return _daily_sales(star).groupBy("weekday", "dayname").agg(*_rollup()).orderBy(F.desc("sales"), "weekday")
 
 
 # ---- F9 / F10: averages -----------------------------------------------------------------------
 def avg_sales_period(star: Star) -> DataFrame:
     """Mean of period totals for week, month and quarter, from daily totals in one pass."""
-    daily = _daily_sales(star)
-    periods = F.array(
-        F.struct(F.lit("week").alias("period"), (F.col("year") * 100 + F.col("weekyear")).alias("pkey")),
-        F.struct(F.lit("month").alias("period"), (F.col("year") * 100 + F.col("month")).alias("pkey")),
-        F.struct(F.lit("quarter").alias("period"), (F.col("year") * 100 + F.col("quarter")).alias("pkey")),
-    )
-    exploded = daily.select(F.explode(periods).alias("p"), "_c").select("p.period", "p.pkey", "_c")
-    totals = exploded.groupBy("period", "pkey").agg(F.sum("_c").alias("_t"))
-    out = totals.groupBy("period").agg(F.count(F.lit(1)).alias("periods"), F.sum("_t").alias("_all"))
-    return out.select("period", "periods", money_avg(F.col("_all"), F.col("periods")).alias("avg_sales"))
+    periods = ("inline(array(named_struct('period', 'week', 'pkey', year * 100 + weekyear), "
+               "named_struct('period', 'month', 'pkey', year * 100 + month), "
+               "named_struct('period', 'quarter', 'pkey', year * 100 + quarter)))")
+    exploded = _daily_sales(star).selectExpr("_c", periods)
+    totals = exploded.groupBy("period", "pkey").agg(F.expr("sum(_c) AS _t"))
+    out = totals.groupBy("period").agg(F.expr("count(1) AS periods"), F.expr("sum(_t) AS _all"))
+    return out.selectExpr("period", "periods", f"{money_avg_sql('_all', 'periods')} AS avg_sales")
 
 
 def avg_sale_per_user(fact: DataFrame) -> DataFrame:
-    per_user = _sales(fact).groupBy("user_id").agg(F.sum("_sale_cents").alias("_t"))
-    out = per_user.agg(F.count(F.lit(1)).alias("purchasing_users"), F.sum("_t").alias("_all"))
-    return out.select("purchasing_users", (F.col("_all") / F.lit(100.0)).cast("double").alias("total_sales"),
-                      money_avg(F.col("_all"), F.col("purchasing_users")).alias("avg_sale_per_user"))
+    per_user = _sales(fact).groupBy("user_id").agg(F.expr("sum(_sale_cents) AS _t"))
+    out = per_user.agg(F.expr("count(1) AS purchasing_users"), F.expr("sum(_t) AS _all"))
+    return out.selectExpr("purchasing_users", "CAST(_all / 100.0 AS DOUBLE) AS total_sales",
+                          f"{money_avg_sql('_all', 'purchasing_users')} AS avg_sale_per_user")
 
 
 # ---- F11: session funnel ----------------------------------------------------------------------
@@ -206,20 +208,15 @@ def session_funnel(events: DataFrame, steps=config.FEED_FUNNEL_STEPS) -> DataFra
     """Share of sessions that reach each step, a step counting only when every earlier step
     happened in the session too. One aggregate per session (partial, skew-safe), then one
     global aggregate; the output has one row per step."""
-    flags = [F.bool_or(F.col("event_type") == s).alias(f"_s{i}") for i, s in enumerate(steps)]
-    per_session = events.groupBy("session_id").agg(*flags)
-    reached, counts = F.lit(True), []
-    for i, _ in enumerate(steps):
-        reached = reached & F.col(f"_s{i}")
-        counts.append(F.count_if(reached).alias(f"_r{i}"))
-    totals = per_session.agg(F.count(F.lit(1)).alias("_sessions"), *counts)
-    rows = F.array(*[F.struct(F.lit(i + 1).alias("step_index"), F.lit(s).alias("step"),
-                              F.col(f"_r{i}").alias("sessions_reached"),
-                              F.col(f"_r{i - 1}" if i else "_sessions").alias("_prev"))
-                     for i, s in enumerate(steps)])
-    out = totals.select("_sessions", F.explode(rows).alias("r")).select("_sessions", "r.*")
-    return out.select(
+    per_session = events.groupBy("session_id").agg(
+        *[F.expr(f"bool_or(event_type = '{s}') AS _s{i}") for i, s in enumerate(steps)])
+    counts = [F.expr(f"count_if({' AND '.join(f'_s{j}' for j in range(i + 1))}) AS _r{i}") for i in range(len(steps))]
+    totals = per_session.agg(F.expr("count(1) AS _sessions"), *counts)
+    rows = ", ".join(f"named_struct('step_index', {i + 1}, 'step', '{s}', 'sessions_reached', _r{i}, "
+                     f"'_prev', {f'_r{i - 1}' if i else '_sessions'})" for i, s in enumerate(steps))
+    out = totals.selectExpr("_sessions", f"inline(array({rows}))")
+    return out.selectExpr(
         "step_index", "step", "sessions_reached",
-        rounded_ratio(F.col("sessions_reached"), F.col("_sessions"), 4).alias("conversion"),
-        rounded_ratio(F.col("sessions_reached"), F.col("_prev"), 4).alias("step_conversion"),
+        f"{ratio_sql('sessions_reached', '_sessions', 4)} AS conversion",
+        f"{ratio_sql('sessions_reached', '_prev', 4)} AS step_conversion",
     )
