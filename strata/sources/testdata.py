@@ -42,9 +42,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's (read-only) tables, read once per session: listing and footer reads are
     not repeated for every query built on them."""
     key = (id(spark), sf_dir.rstrip("/"), name)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return _TABLES[key]
+    hit = _TABLES.get(key)
+    if hit is None or hit[0] is not spark:  # ids can be reused once a session is gone
+        hit = (spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+        _TABLES[key] = hit
+    return hit[1]
 
 
 def spread(df: DataFrame) -> DataFrame:
