@@ -49,15 +49,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return hit[1]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the session has cores (a single
-    row-group file is one task). A no-op at cluster scale, where scans have many splits."""
+def spread(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the session has cores (a single
+    row-group file is one task). A no-op at cluster scale, where scans have many splits.
+
+    ``by`` hash-partitions on an expression instead of round-robin: when a later projection
+    names that same expression (e.g. ``CAST(event_id AS STRING) AS event_id``), Spark carries
+    the partitioning through the alias and an aggregate on it needs no further shuffle."""
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         parts = df.rdd.getNumPartitions()
     except Exception:  # sessions without RDD access: leave the scan as it is
         return df
-    return df.repartition(target) if parts < target else df
+    if parts >= target:
+        return df
+    return df.repartition(target, F.expr(by)) if by else df.repartition(target)
 
 
 def _sql_list(values) -> str:
@@ -79,7 +85,7 @@ def events_view(spark: SparkSession, sf_dir: str, cart_types=config.TEST_CART_TY
 
     ``json_tuple`` parses ``props`` once per row, and as a generator it keeps predicates on the
     product key above the spread instead of inside the single scan task."""
-    ev = spread(read_table(spark, sf_dir, "events")).selectExpr(
+    ev = spread(read_table(spark, sf_dir, "events"), by="CAST(event_id AS STRING)").selectExpr(
         "event_id", "ts", "user_id", "event_type", "value", "json_tuple(props, 'k') AS _k")
     if keep_numeric_id:
         # The overlay keys on _n. Produced by a generator after the spread, predicates on it
