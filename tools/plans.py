@@ -23,6 +23,8 @@ OPS = ["ReusedExchange", "AQEShuffleRead", "Exchange hashpartitioning", "Exchang
 def summarize(df) -> list[str]:
     df.collect()  # run it, so the plan below is AQE's final plan
     plan = df._jdf.queryExecution().executedPlan().toString()
+    if "== Initial Plan ==" in plan:  # AQE prints the final plan first, then the initial one
+        plan = plan.split("== Initial Plan ==")[0]
     lines = []
     counts = {op.strip(): plan.count(op) for op in OPS if plan.count(op)}
     lines.append("operators: " + ", ".join(f"{k} x{v}" for k, v in counts.items()))
