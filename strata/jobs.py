@@ -7,6 +7,7 @@ when it decides which dimension joins can be broadcast.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,30 +51,42 @@ def run_bronze(spark: SparkSession, landing: str, bronze: str, load_ts: str | No
     return feeds.ingest_batch(spark, landing, bronze, load_ts=load_ts)
 
 
+def _concurrently(*steps) -> list:
+    """Run independent Spark jobs from driver threads: the scheduler interleaves their tasks,
+    so small jobs fill cores (or executors) the others leave idle. Errors propagate."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 def run_silver(spark: SparkSession, bronze_events: DataFrame, user_feed: DataFrame, root: str,
                as_of: str, cart_types=config.FEED_CART_TYPES) -> SilverPaths:
     """Clean events, load the dimensions idempotently, then build and load the fact from the
-    dimensions as written (so surrogate keys are the stored ones)."""
+    dimensions as written (so surrogate keys are the stored ones). Independent loads run as
+    concurrent jobs: silver events with user versions, then products with dates."""
     p = SilverPaths(root)
     clean = C.clean_events(bronze_events, "intended", as_of, cart_types)
-    feeds.write_table(clean, p.events, "overwrite", partition_by=["event_date"])
+    _concurrently(
+        lambda: feeds.write_table(clean, p.events, "overwrite", partition_by=["event_date"]),
+        lambda: append_new(D.user_versions(user_feed), p.users, ["user_id", "updated_at"], key_name="user_sk"))
     clean = spark.read.parquet(p.events)
-    append_new(D.user_versions(user_feed), p.users, ["user_id", "updated_at"], key_name="user_sk")
-    append_new(D.dim_product(clean), p.products, ["product_id"], key_name="product_sk")
-    append_new(D.dim_date(clean), p.dates, ["full_date"], key_name="date_key")
-    star = load_star(spark, p, with_fact=False)
+    _concurrently(
+        lambda: append_new(D.dim_product(clean), p.products, ["product_id"], key_name="product_sk"),
+        lambda: append_new(D.dim_date(clean), p.dates, ["full_date"], key_name="date_key"))
+    versions = spark.read.parquet(p.users)
+    largest = D.history_size(versions)
+    star = load_star(spark, p, with_fact=False, history=largest)
     fact = X.build_fact(clean, star.users, star.products, star.dates, "intended",
-                        range_join=D.history_size(spark.read.parquet(p.users)) <= D.MAX_VERSIONS_FOR_RANGE_JOIN)
+                        range_join=largest <= D.MAX_VERSIONS_FOR_RANGE_JOIN)
     # one fact row per clean event (deduped on event_id upstream): no second in-batch dedupe
     append_new(fact, p.fact, ["event_id"], partition_by=["event_date"], unique=True)
     return p
 
 
-def load_star(spark: SparkSession, p: SilverPaths, with_fact: bool = True) -> X.Star:
+def load_star(spark: SparkSession, p: SilverPaths, with_fact: bool = True, history: int | None = None) -> X.Star:
     """The silver star read back; the user table is the stored change log, turned into SCD2
     intervals at read time (keys stay those of the stored versions)."""
     versions = spark.read.parquet(p.users)
-    largest = D.history_size(versions)
+    largest = history if history is not None else D.history_size(versions)
     scd2 = D.dim_user_scd2(versions, plain=largest <= D.DEFAULT_MAX_GROUP_ROWS)
     users = scd2.join(versions.select("user_id", "updated_at", "user_sk"),
                       (scd2.user_id == versions.user_id) & (scd2.valid_from == versions.updated_at)).drop(
