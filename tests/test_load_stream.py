@@ -5,7 +5,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from strata import schemas
 from strata.operators.load import append_new
 from strata.session import local_path, scratch_path
 from strata.sources import feeds

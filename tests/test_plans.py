@@ -1,6 +1,5 @@
 """Physical plan expectations: group limit, pushed filters, pruned scans, no single-key windows."""
 
-from strata import config
 from strata.operators import dims, kpis, quality
 from strata.sources import testdata
 
