@@ -593,7 +593,16 @@ def _load_events(x: Inputs):
     return out.select(*[c.strip() for c in FACT_COLS.split(",")])
 
 
-@register("describe_silver", None)
+def _describe_sql() -> str:
+    from strata import schemas
+
+    cols = ", ".join(f"('{f.name}', '{f.dataType.simpleString()}')" for f in schemas.DIM_USER_SCD2.fields)
+    return (f"""SELECT d.col_name, d.data_type, CAST(NULL AS VARCHAR) AS comment,
+        (SELECT count(*) FROM scd2) AS rows_loaded
+    FROM (VALUES {cols}) AS d(col_name, data_type)""")
+
+
+@register("describe_silver", _describe_sql())
 def _describe_silver(x: Inputs):
     """Database + external tables at stable locations, loaded, then described."""
     from strata import schemas
