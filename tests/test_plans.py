@@ -40,3 +40,20 @@ def test_top_purchasers_is_take_ordered(spark, sf_dir):
     x = Inputs(spark, sf_dir)
     plan = _plan(kpis.top_purchasers(x.star(), limit=50))
     assert "TakeOrderedAndProject" in plan or "limit=50" in plan.lower()
+
+
+def test_spread_only_when_scan_is_narrow(spark):
+    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert testdata.spread(wide) is wide  # at cluster scale scans already have many splits
+    narrow = spark.range(0, 1000, numPartitions=1)
+    assert "Exchange hashpartitioning" in _plan(testdata.spread(narrow, by="CAST(id AS STRING)"))
+    assert "RoundRobinPartitioning" in _plan(testdata.spread(narrow))
+
+
+def test_clean_dedupe_reuses_the_spread_partitioning(spark, sf_dir):
+    from strata import config
+    from strata.operators import clean
+
+    plan = _plan(clean.clean_events(testdata.dirty_events(spark, sf_dir), "intended", config.TEST_AS_OF,
+                                    config.TEST_CART_TYPES))
+    assert plan.count("Exchange hashpartitioning") == 1  # the spread; the dedupe adds none
