@@ -65,18 +65,28 @@ def ingest_stream(spark: SparkSession, landing: str, bronze: str, checkpoint: st
     return spark.read.parquet(bronze)
 
 
-def idempotent_sink(target: str, keys: list[str]):
+def idempotent_sink(target: str, keys: list[str], partition_by: list[str] | None = None):
     """H6: ``foreachBatch`` function that appends only rows whose key is not yet in ``target``.
     A batch that is re-run (after a failure or from a fresh checkpoint) therefore adds nothing
-    twice: exactly-once output on top of at-least-once delivery."""
+    twice: exactly-once output on top of at-least-once delivery.
+
+    With ``partition_by`` (e.g. an event date) the target is partitioned and each micro-batch
+    reads only the keys of the partitions it touches, so its cost does not grow with the
+    whole history of the target."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch, target, keys)
+        append_new(batch, target, keys, partition_by=partition_by)
     return sink
 
 
 def replay_stream(spark: SparkSession, landing: str, target: str, checkpoint: str, keys: list[str],
-                  schema=schemas.CLICKSTREAM_FEED, timeout_s: int | None = 600) -> StreamingQuery:
-    q = (read_stream(spark, landing, schema).writeStream.foreachBatch(idempotent_sink(target, keys))
+                  schema=schemas.CLICKSTREAM_FEED, timeout_s: int | None = 600,
+                  partition_by: list[str] | None = None, derive=None) -> StreamingQuery:
+    """Stream the landing folder into ``target`` through the idempotent sink. ``derive`` may add
+    columns (such as the partition column) to each row before the sink."""
+    stream = read_stream(spark, landing, schema)
+    if derive is not None:
+        stream = derive(stream)
+    q = (stream.writeStream.foreachBatch(idempotent_sink(target, keys, partition_by))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     run_to_completion(q, timeout_s)
     return q

@@ -81,3 +81,20 @@ def test_feed_json_roundtrip_keeps_microseconds(spark, sf_dir):
     back = feeds.read_json(spark, landing).withColumn("event_time", F.try_to_timestamp("event_time"))
     assert back.exceptAll(ev.select(*back.columns)).count() == 0
     assert ev.count() == back.count()
+
+
+def test_partitioned_idempotent_replay(spark):
+    landing = scratch_path(spark, "t_pland")
+    _write_lines(local_path(landing), "a.json", [_event(i) for i in range(4)]
+                 + [_event(i, "2024-01-02T00:00:00+00:00") for i in range(4, 6)])
+    target = scratch_path(spark, "t_pidem")
+
+    def with_date(df):
+        return df.withColumn("event_date", F.to_date(F.try_to_timestamp("event_time")))
+
+    for ck in ("t_pc1", "t_pc2"):
+        ingest.replay_stream(spark, landing, target, scratch_path(spark, ck), ["event_id"],
+                             partition_by=["event_date"], derive=with_date)
+    out = spark.read.parquet(target)
+    assert out.count() == 6
+    assert out.select("event_date").distinct().count() == 2
