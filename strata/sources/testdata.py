@@ -66,6 +66,16 @@ def spread(df: DataFrame, by: str | None = None) -> DataFrame:
     return df.repartition(target, F.expr(by)) if by else df.repartition(target)
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, by: str | None = None) -> DataFrame:
+    """``spread`` of a driver table, decided once per session (the tables are read-only)."""
+    key = (id(spark), sf_dir.rstrip("/"), name, "spread", by)
+    hit = _TABLES.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spread(read_table(spark, sf_dir, name), by=by))
+        _TABLES[key] = hit
+    return hit[1]
+
+
 def _sql_list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -85,7 +95,7 @@ def events_view(spark: SparkSession, sf_dir: str, cart_types=config.TEST_CART_TY
 
     ``json_tuple`` parses ``props`` once per row, and as a generator it keeps predicates on the
     product key above the spread instead of inside the single scan task."""
-    ev = spread(read_table(spark, sf_dir, "events"), by="CAST(event_id AS STRING)").selectExpr(
+    ev = spread_table(spark, sf_dir, "events", by="CAST(event_id AS STRING)").selectExpr(
         "event_id", "ts", "user_id", "event_type", "value", "json_tuple(props, 'k') AS _k")
     if keep_numeric_id:
         # The overlay keys on _n. Produced by a generator after the spread, predicates on it
