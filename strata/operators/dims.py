@@ -42,9 +42,9 @@ def dim_user_latest(user_feed: DataFrame) -> DataFrame:
 # ---- D2: true SCD2 history ----------------------------------------------------------------------
 def user_versions(user_feed: DataFrame) -> DataFrame:
     """The append-only change log: one row per (user_id, updated_at), typed."""
-    feed = user_feed.withColumn("updated_at", as_timestamp(user_feed, "updated_at"))
-    feed = feed.filter(F.col("user_id").isNotNull() & F.col("updated_at").isNotNull())
-    return quality.dedupe(feed.select("user_id", "updated_at", *TRACKED_USER_ATTRIBUTES), ["user_id", "updated_at"])
+    feed = user_feed.select("user_id", as_timestamp(user_feed, "updated_at").alias("updated_at"),
+                            *TRACKED_USER_ATTRIBUTES).where("user_id IS NOT NULL AND updated_at IS NOT NULL")
+    return quality.dedupe(feed, ["user_id", "updated_at"])
 
 
 def history_size(user_feed: DataFrame) -> int:
@@ -74,17 +74,15 @@ def dim_user_scd2(user_feed: DataFrame, bucket_seconds: int = 3600, plain: bool
         versions = materialize(versions, "scd2-versions")
     with_prev = with_neighbours(versions, "user_id", "updated_at", list(TRACKED_USER_ATTRIBUTES),
                                 next=False, bucket_seconds=bucket_seconds, plain=plain)
-    changed = F.col("_prev").isNull()
-    for a in TRACKED_USER_ATTRIBUTES:
-        changed = changed | ~F.col(a).eqNullSafe(F.col("_prev")[a])
-    kept = with_prev.filter(changed).withColumn("is_first", F.col("_prev").isNull()).drop("_prev")
+    changed = " OR ".join(["_prev IS NULL"] + [f"NOT (`{a}` <=> _prev.`{a}`)" for a in TRACKED_USER_ATTRIBUTES])
+    kept = with_prev.where(changed).selectExpr("*", "_prev IS NULL AS is_first").drop("_prev")
     with_next = with_neighbours(kept, "user_id", "updated_at", [], prev=False, bucket_seconds=bucket_seconds,
                                 plain=plain)
-    return with_next.select(
+    return with_next.selectExpr(
         "user_id", *TRACKED_USER_ATTRIBUTES,
-        F.col("updated_at").alias("valid_from"),
-        F.col("_next")["updated_at"].alias("valid_to"),
-        F.col("_next").isNull().alias("is_current"),
+        "updated_at AS valid_from",
+        "_next.updated_at AS valid_to",
+        "_next IS NULL AS is_current",
         "is_first",
     )
 

@@ -48,14 +48,14 @@ def with_neighbours(df: DataFrame, key: str, order: str, payload: list[str], pre
     if plain is None:
         plain = plain_window_is_safe(df, key, max_group_rows)
     if plain:
-        w = Window.partitionBy(key).orderBy(order)
-        s = F.struct(*[F.col(c) for c in fields])
-        out = df
+        struct = "struct(" + ", ".join(f"`{c}`" for c in fields) + ")"
+        over = f"OVER (PARTITION BY `{key}` ORDER BY `{order}`)"
+        cols = {}
         if prev:
-            out = out.withColumn("_prev", F.lag(s).over(w))
+            cols["_prev"] = F.expr(f"lag({struct}) {over}")
         if next:
-            out = out.withColumn("_next", F.lead(s).over(w))
-        return out
+            cols["_next"] = F.expr(f"lead({struct}) {over}")
+        return df.withColumns(cols)
     bucket = F.floor(F.unix_micros(F.col(order)) / F.lit(bucket_seconds * 1_000_000)).cast("long")
     base = df.withColumn("_b", bucket).withColumn("_s", F.struct(*[F.col(c) for c in fields]))
     w_in = Window.partitionBy(key, "_b").orderBy(order)
