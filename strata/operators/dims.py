@@ -106,10 +106,9 @@ def asof_join(events: DataFrame, scd2: DataFrame, payload=("country", "loyalty_t
         range_join = plain_window_is_safe(scd2, "user_id", MAX_VERSIONS_FOR_RANGE_JOIN)
     if not range_join:
         return _asof_by_carry(events, scd2, payload, bucket_seconds)
-    dim = scd2.select(F.col("user_id").alias("_uid"), F.col("valid_from").alias("_vf"),
-                      F.col("valid_to").alias("_vt"), F.col("is_first").alias("_first"),
-                      *[F.col(c).alias(f"_v_{c}") for c in payload],
-                      *([F.col("user_sk").alias("_v_user_sk")] if "user_sk" in scd2.columns else []))
+    dim = scd2.selectExpr("user_id AS _uid", "valid_from AS _vf", "valid_to AS _vt", "is_first AS _first",
+                          *[f"`{c}` AS `_v_{c}`" for c in payload],
+                          *(["user_sk AS _v_user_sk"] if "user_sk" in scd2.columns else []))
     cond = F.expr("user_id = _uid AND (event_time >= _vf OR _first) AND (_vt IS NULL OR event_time < _vt)")
     joined = events.join(dim, cond, "left")
     renamed = {f"_v_{c}": f"version_{c}" for c in payload}

@@ -58,22 +58,20 @@ def build_fact(clean: DataFrame, users: DataFrame, products: DataFrame, dates: D
     event time (as-of join), products have one row each. as_written: natural-key joins, so an
     event is repeated (user versions x product rows) times, as the original does."""
     config.check_mode(mode)
-    date_keys = dates.select(F.col("full_date").alias("_d"), "date_key")
+    date_keys = dates.selectExpr("full_date AS _d", "date_key")
+    prod_keys = products.selectExpr("product_id AS _p", "product_sk")
     if mode == "intended":
-        with_user = dims.asof_join(clean, users, payload=(), range_join=range_join)
-        with_user = with_user.drop("version_from")
-        prod_keys = products.select(F.col("product_id").alias("_p"), "product_sk")
-        joined = (with_user.join(prod_keys, F.col("product_id") == F.col("_p"), "left")
-                  .join(date_keys, F.col("event_date") == F.col("_d"), "left"))
+        with_user = dims.asof_join(clean, users, payload=(), range_join=range_join).drop("version_from")
+        joined = (with_user.join(prod_keys, F.expr("product_id = _p"), "left")
+                  .join(date_keys, F.expr("event_date = _d"), "left"))
     else:
-        user_keys = users.select(F.col("user_id").alias("_u"), "user_sk")
-        prod_keys = products.select(F.col("product_id").alias("_p"), "product_sk")
-        joined = (clean.join(user_keys, F.col("user_id") == F.col("_u"), "left")
-                  .join(date_keys, F.col("event_date") == F.col("_d"), "left")
-                  .join(prod_keys, F.col("product_id") == F.col("_p"), "left"))
+        user_keys = users.selectExpr("user_id AS _u", "user_sk")
+        joined = (clean.join(user_keys, F.expr("user_id = _u"), "left")
+                  .join(date_keys, F.expr("event_date = _d"), "left")
+                  .join(prod_keys, F.expr("product_id = _p"), "left"))
     # Unknown member for every unmatched key.
-    unknown = F.lit(config.UNKNOWN_SK).cast("long")
-    out = joined.withColumns({k: F.coalesce(F.col(k), unknown) for k in ("user_sk", "date_key", "product_sk")})
+    out = joined.withColumns({k: F.expr(f"coalesce({k}, CAST({config.UNKNOWN_SK} AS BIGINT))")
+                              for k in ("user_sk", "date_key", "product_sk")})
     extra = [c for c in ("ingestion_ts", "ip_file_name") if c in clean.columns]
     return out.select(*[f.name for f in schemas.FACT_EVENTS.fields], *extra)
 
