@@ -173,15 +173,13 @@ def dim_product_first4(events: DataFrame, as_of: str = config.TEST_AS_OF) -> Dat
     """Distinct (product, category, time); per product keep the rows whose time has dense rank
     <= 4 (ascending); one row per (product, time). Plans as a partial WindowGroupLimit before
     the shuffle, so at most a few rows per product leave each map task."""
-    from pyspark.sql import Window
-
     distinct = events.select(
-        F.coalesce("product_id", F.lit(config.UNKNOWN)).alias("product_id"), "category",
+        F.expr(f"coalesce(product_id, '{config.UNKNOWN}') AS product_id"), "category",
         F.coalesce(as_timestamp(events, "event_time"), ts_lit(as_of)).alias("updated_ts"),
     ).distinct()
-    w = Window.partitionBy("product_id").orderBy(F.col("updated_ts").asc())
-    ranked = distinct.withColumn("_rank", F.dense_rank().over(w)).filter(F.col("_rank") < 5)
-    one = ranked.groupBy("product_id", "updated_ts").agg(F.min("category").alias("category"))
+    ranked = (distinct.withColumn("_rank", F.expr("dense_rank() OVER (PARTITION BY product_id ORDER BY updated_ts)"))
+              .where("_rank < 5"))
+    one = ranked.groupBy("product_id", "updated_ts").agg(F.expr("min(category) AS category"))
     return one.select("product_id", "category", "updated_ts").to(schemas.DIM_PRODUCT)
 
 
