@@ -187,12 +187,12 @@ def dim_product_first4(events: DataFrame, as_of: str = config.TEST_AS_OF) -> Dat
 def dim_product(events: DataFrame) -> DataFrame:
     """Latest non-null category per product (ties broken by the larger category), last seen time."""
     ts = as_timestamp(events, "event_time")
-    latest = F.max(F.when(F.col("category").isNotNull(), F.struct(ts.alias("t"), F.col("category").alias("c"))))
-    agg = (events.filter(F.col("product_id").isNotNull())
-           .groupBy("product_id").agg(latest.alias("_l"), F.max(ts).alias("_t")))
-    return agg.select(F.coalesce("product_id", F.lit(config.UNKNOWN)).alias("product_id"), F.col("_l")["c"].alias("category"),
-                      F.coalesce("_t", ts_lit(config.DEFAULT_TIMESTAMP)).alias("updated_ts")
-                      ).to(schemas.DIM_PRODUCT)
+    agg = (events.where("product_id IS NOT NULL").withColumn("_ts", ts).groupBy("product_id")
+           .agg(F.expr("max(CASE WHEN category IS NOT NULL THEN struct(_ts AS t, category AS c) END) AS _l"),
+                F.expr("max(_ts) AS _t")))
+    return agg.select(F.expr(f"coalesce(product_id, '{config.UNKNOWN}') AS product_id"),
+                      F.expr("_l.c AS category"),
+                      F.coalesce("_t", ts_lit(config.DEFAULT_TIMESTAMP)).alias("updated_ts")).to(schemas.DIM_PRODUCT)
 
 
 # ---- C18: backfill from dimensions ----------------------------------------------------------
