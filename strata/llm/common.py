@@ -6,10 +6,12 @@ later round replaces is removed again through the Hadoop file system of its own
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,15 @@ from strata.session import scratch_path
 SLICE_ROWS, SLICE_BYTES = 2000, 8 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it (where it is installed or
+    shipped otherwise, the extra path does nothing)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` once under the shared checkpoint folder; the table read back and its path."""
     spark = df.sparkSession
@@ -50,7 +61,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(sizes):
             if i > start and (i - start >= SLICE_ROWS or held + n > SLICE_BYTES):

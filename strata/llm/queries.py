@@ -5,19 +5,36 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import spm
+from strata.llm import spm, tokens
+from strata.llm.common import importable
+
+
+def _registered(*functions):
+    def ready(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return f(spark, sf_dir)
+
+        return run
+
+    return {f.__name__: ready(f) for f in functions}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit of every whole text."""
+    return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, round_trip of every whole text."""
     return spm.encode_documents(table(spark, sf_dir, "documents"),
                                 public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op10_sentencepiece,)}
+QUERIES = _registered(op8_token_counts, op10_sentencepiece)
 
 ORACLES: dict[str, str] = {}
