@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import spm, tokens
+from strata.llm import spm, tokens, warc
 from strata.llm.common import importable
+from strata.session import scratch_path
 
 
 def _registered(*functions):
@@ -24,6 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of every page, written, committed and read back: page_id, payload_bytes, payload_digest,
+    record_type, refers_to."""
+    out = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), out)
+    return warc.read(spark, out, payloads=False).drop("url")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every whole text."""
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -35,6 +44,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
-QUERIES = _registered(op8_token_counts, op10_sentencepiece)
+QUERIES = _registered(op1_warc, op8_token_counts, op10_sentencepiece)
 
 ORACLES: dict[str, str] = {}
