@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import spm, tokens, warc
+from strata.llm import lattice, spm, tokens, warc
 from strata.llm.common import importable
 from strata.session import scratch_path
 
@@ -33,6 +33,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, out, payloads=False).drop("url")
 
 
+def op3_lattice_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector, linked within its label at cosine >= 0.98."""
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every whole text."""
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -44,6 +49,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
-QUERIES = _registered(op1_warc, op8_token_counts, op10_sentencepiece)
+QUERIES = _registered(op1_warc, op3_lattice_near_dup, op8_token_counts, op10_sentencepiece)
 
 ORACLES: dict[str, str] = {}
