@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import lattice, spm, tokens, warc
+from strata.llm import lattice, minhash, spm, tokens, warc
 from strata.llm.common import importable
 from strata.session import scratch_path
 
@@ -38,6 +38,11 @@ def op3_lattice_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document: 3-word shingles, similarity >= 0.85."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every whole text."""
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -49,6 +54,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
-QUERIES = _registered(op1_warc, op3_lattice_near_dup, op8_token_counts, op10_sentencepiece)
+QUERIES = _registered(op1_warc, op3_lattice_near_dup, op6_minhash_near_dup, op8_token_counts, op10_sentencepiece)
 
 ORACLES: dict[str, str] = {}
