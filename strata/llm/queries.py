@@ -5,11 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import lattice, minhash, spm, tokens, warc
+from strata.llm import lattice, minhash, pii, spm, tokens, warc
 from strata.llm.common import importable
 from strata.session import scratch_path
 
 
+#: Key of the registered queries; a production run passes its own secret.
+PII_KEY = "registered-query-key"
+
+
 def _registered(*functions):
     def ready(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,12 +52,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text with pseudonyms, n_replaced of every document."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, found_col="n_replaced")
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, round_trip of every whole text."""
     return spm.encode_documents(table(spark, sf_dir, "documents"),
                                 public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
-QUERIES = _registered(op1_warc, op3_lattice_near_dup, op6_minhash_near_dup, op8_token_counts, op10_sentencepiece)
+QUERIES = _registered(op1_warc, op3_lattice_near_dup, op6_minhash_near_dup, op8_token_counts, op9_pii_pseudonyms, op10_sentencepiece)
 
 ORACLES: dict[str, str] = {}
