@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import lattice, minhash, pii, spm, tokens, warc
+from strata.llm import lattice, minhash, pii, quality, spm, tokens, warc
 from strata.llm.common import importable
 from strata.session import scratch_path
 
@@ -37,6 +37,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, out, payloads=False).drop("url")
 
 
+def op2_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, p_text, p_page, score, keep of every document."""
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_lattice_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector, linked within its label at cosine >= 0.98."""
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
@@ -63,6 +68,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
-QUERIES = _registered(op1_warc, op3_lattice_near_dup, op6_minhash_near_dup, op8_token_counts, op9_pii_pseudonyms, op10_sentencepiece)
+QUERIES = _registered(op1_warc, op2_quality_cotraining, op3_lattice_near_dup, op6_minhash_near_dup, op8_token_counts, op9_pii_pseudonyms, op10_sentencepiece)
 
 ORACLES: dict[str, str] = {}
