@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import langid, lattice, minhash, pii, quality, spm, tokens, warc
+from strata.llm import langid, lattice, maxent, minhash, pii, quality, spm, tokens, warc
 from strata.llm.common import importable
 from strata.session import scratch_path
 
@@ -47,6 +47,11 @@ def op3_lattice_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op4_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every whole text."""
+    return maxent.score(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, lang, posterior, text_lang, declared, host of every page."""
     return langid.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
@@ -73,6 +78,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
-QUERIES = _registered(op1_warc, op2_quality_cotraining, op3_lattice_near_dup, op5_language_id, op6_minhash_near_dup, op8_token_counts, op9_pii_pseudonyms, op10_sentencepiece)
+QUERIES = _registered(op1_warc, op2_quality_cotraining, op3_lattice_near_dup, op4_maxent_lm, op5_language_id, op6_minhash_near_dup, op8_token_counts, op9_pii_pseudonyms, op10_sentencepiece)
 
 ORACLES: dict[str, str] = {}
