@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import langid, lattice, maxent, minhash, pii, quality, spm, tokens, warc
+from strata.llm import decontam, langid, lattice, maxent, minhash, pii, quality, spm, tokens, warc
 from strata.llm.common import importable
 from strata.session import scratch_path
 
@@ -62,6 +62,11 @@ def op6_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id, cosine, lcs_share, answer of every document that holds a benchmark passage."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every whole text."""
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -78,6 +83,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
-QUERIES = _registered(op1_warc, op2_quality_cotraining, op3_lattice_near_dup, op4_maxent_lm, op5_language_id, op6_minhash_near_dup, op8_token_counts, op9_pii_pseudonyms, op10_sentencepiece)
+QUERIES = _registered(op1_warc, op2_quality_cotraining, op3_lattice_near_dup, op4_maxent_lm, op5_language_id, op6_minhash_near_dup, op7_decontamination, op8_token_counts, op9_pii_pseudonyms, op10_sentencepiece)
 
 ORACLES: dict[str, str] = {}
