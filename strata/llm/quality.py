@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import SLICE_ROWS, fresh
 
 #: Bounds of the samples that the classifiers are fitted on; rounds of co-training.
-LABELLED, POOL, ROUNDS = 3000, 3000, 3
-WORD_DIM, SHAPE_DIM, NAME_DIM = 1024, 512, 64
+LABELLED, POOL, ROUNDS = 2500, 2500, 3
+WORD_DIM, SHAPE_DIM, NAME_DIM = 512, 256, 64
 TEXT_DIM, PAGE_DIM = WORD_DIM + SHAPE_DIM + 1, 2 * NAME_DIM + 14
 _WORDS: dict[str, int] = {}
 _MARKS = ".,;:!?\"'()"
@@ -99,9 +99,9 @@ def sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 200) -> np.ndarray:
+def fit(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 150) -> np.ndarray:
     """Weights and bias (last) of a logistic regression, by accelerated gradient steps."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float32)
     w, v, n = np.zeros(x.shape[1]), np.zeros(x.shape[1]), len(x)
     rate = 1 / (0.25 * (x ** 2).sum(1).max() + l2)
     for t in range(steps):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,6 +84,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
-QUERIES = _registered(op1_warc, op2_quality_cotraining, op3_lattice_near_dup, op4_maxent_lm, op5_language_id, op6_minhash_near_dup, op7_decontamination, op8_token_counts, op9_pii_pseudonyms, op10_sentencepiece)
+QUERIES = _registered(op1_warc, op2_quality_cotraining, op3_lattice_near_dup, op4_maxent_lm, op5_language_id, op6_minhash_near_dup, op7_decontamination, op8_token_counts, op9_pii_pseudonyms, op10_sentencepiece) | {"pipeline": corpus_pipeline.run}
 
-ORACLES: dict[str, str] = {}
+# The similarity, training, tokenizer and keyed-permutation queries are beyond SQL; tests/llm checks them
+# against brute force. WARC roles are grouped aggregates.
+ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

@@ -22,6 +22,7 @@ import heapq
 import re
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -220,18 +221,19 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         m = model(model_path)
-        counts, lists, ids_sha, text_sha, same = [], [], [], [], []
+        counts, flat, ids_sha, text_sha, same = [], [], [], [], []
         for text in texts(batch):
             ids, plain = m.encode(text)
             counts.append(ids.count(",") + 1 if ids else 0)
             if with_ids:
-                lists.append([int(i) for i in ids.split(",")] if ids else [])
+                flat.append(ids)
             ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
             text_sha.append(hashlib.sha256(plain.encode()).hexdigest())
             same.append(plain == text)
         columns = {id_col: batch.column(0), "n_tokens": pa.array(counts, pa.int64())}
         if with_ids:
-            columns["ids"] = pa.array(lists, pa.list_(pa.int32()))
+            values = pa.array(np.fromstring(",".join(filter(None, flat)), np.int32, sep=",") if any(flat) else np.zeros(0, np.int32))
+            columns["ids"] = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), values)
         return pa.RecordBatch.from_pydict(columns | {
             "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string()),
             "round_trip": pa.array(same, pa.bool_())})
