@@ -32,6 +32,8 @@ from strata.llm.common import SLICE_ROWS, fresh
 LABELLED, POOL, ROUNDS = 2500, 2500, 3
 WORD_DIM, SHAPE_DIM, NAME_DIM = 512, 256, 64
 TEXT_DIM, PAGE_DIM = WORD_DIM + SHAPE_DIM + 1, 2 * NAME_DIM + 14
+#: Words by which every text counts as longer, so that a few words alone decide little.
+FEW = 6
 _WORDS: dict[str, int] = {}
 _MARKS = ".,;:!?\"'()"
 
@@ -90,7 +92,7 @@ def _dense(codes: np.ndarray, same: float) -> np.ndarray:
     if len(codes):
         x[:WORD_DIM] = np.bincount(codes // SHAPE_DIM, minlength=WORD_DIM)
         x[WORD_DIM:-1] = np.bincount(codes % SHAPE_DIM, minlength=SHAPE_DIM)
-        x *= 10 / len(codes)
+        x *= 10 / (len(codes) + FEW)
     x[-1] = same * 4
     return x
 
@@ -117,14 +119,14 @@ class Model:
 
     def __init__(self, text: np.ndarray, page: np.ndarray, platt: list[np.ndarray], both: np.ndarray):
         self.text, self.page, self.platt, self.both = text, page, platt, both
-        # One weight for each (word bucket, shape bucket): a text's margin is then a mean over its words.
+        # One weight for each (word bucket, shape bucket): a text's margin is then a sum over its words.
         self.words, self.shapes = 10 * text[:WORD_DIM], 10 * text[WORD_DIM:WORD_DIM + SHAPE_DIM]
 
     def margins(self, text: str, lang, source, n_chars) -> tuple[float, float]:
         codes, same = text_view(text)
         t = self.text[-1] + self.text[-2] * same * 4
         if len(codes):
-            t += (self.words[codes // SHAPE_DIM] + self.shapes[codes % SHAPE_DIM]).mean()
+            t += (self.words[codes // SHAPE_DIM] + self.shapes[codes % SHAPE_DIM]).sum() / (len(codes) + FEW)
         return t, float(page_view(text, lang, source, n_chars, codes, same) @ self.page[:-1] + self.page[-1])
 
     def scores(self, margins: np.ndarray) -> np.ndarray:
