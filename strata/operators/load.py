@@ -8,43 +8,50 @@ and failures raise instead of being printed and swallowed.
 from __future__ import annotations
 
 import functools
-import os
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.keys import assign_surrogate_keys
 from strata.operators.quality import dedupe
-from strata.session import local_path
+from strata.session import materialized, remove_scratch
 
 
-def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    if path.startswith("file:") or path.startswith("/"):
-        p = local_path(path)
-        return os.path.isdir(p) and any(not n.startswith((".", "_")) or n == "_SUCCESS" for n in os.listdir(p))
-    try:  # remote filesystems: let Spark resolve the path
-        spark.read.format(fmt).load(path).schema
-        return True
-    except Exception:
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds data files or partitions, asked of the path's own file system; anything
+    but "not there" (no access, no network) raises. A folder with markers only holds no rows yet."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(target):
         return False
+    return any(not s.getPath().getName().startswith((".", "_")) for s in store.listStatus(target))
+
+
+def touched_partitions(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """``target`` reduced to the values of its partition column that ``batch`` holds (nulls included).
+    The values become literals - one for each day of a batch - so the scan prunes its folders."""
+    values = [r[0] for r in batch.select(column).distinct().collect()]
+    known = [v for v in values if v is not None]
+    keep = F.col(column).isin(known) if known else F.lit(False)
+    return target.where(keep | F.col(column).isNull() if None in values else keep)
 
 
 def new_rows(batch: DataFrame, target: DataFrame | None, keys: list[str],
              partition_column: str | None = None, unique: bool = False) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target`` (null-safe), one per key.
 
-    With ``partition_column`` the target is first reduced to the partitions the batch touches
-    (a semi join on a small distinct set), so an incremental load does not read every key ever
-    loaded."""
-    batch = dedupe(batch, keys)
+    ``unique``: the caller vouches for one row per key, so no dedupe runs. With ``partition_column``
+    only the target's partitions that the batch touches are read."""
+    if not unique:
+        batch = dedupe(batch, keys)
     if target is None:
         return batch
-    existing = target.select(*keys, *([partition_column] if partition_column and partition_column not in keys else []))
     if partition_column:
-        touched = batch.select(partition_column).distinct()
-        existing = existing.join(touched, partition_column, "left_semi")
-    existing = existing.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+        target = touched_partitions(target, batch, partition_column)
+    existing = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
     cond = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys])
     return batch.join(existing, cond, "left_anti")
 
@@ -54,14 +61,20 @@ def append_new(batch: DataFrame, path: str, keys: list[str], fmt: str = "parquet
                partition_by: list[str] | None = None, unique: bool = False) -> int:
     """Append the batch's new rows to the table at ``path``; returns the number appended.
 
-    The anti-join reads the target's file list when the job is planned, so the append can read
-    the table it writes to; the row count comes from ``observe`` on the same write (one pass).
-    Partitioned writes are rebalanced by AQE: a hot partition value is split across tasks and
-    small outputs are merged, instead of one file per task and value.
+    The batch is written to scratch once where the load reads it twice (partition values, then rows), and
+    removed afterwards. The target is read with the batch's own schema, so neither an empty table nor
+    one with null partitions only needs inference. The anti-join reads the target's file list when the
+    job is planned, so the append can read the table it writes to; the row count comes from ``observe``
+    on the same write (one pass). Partitioned writes are rebalanced by AQE: a hot partition value is
+    split across tasks and small outputs are merged, instead of one file per task and value.
     """
     spark = batch.sparkSession
-    exists = table_exists(spark, path, fmt)
-    target = spark.read.format(fmt).load(path) if exists else None
+    target, scratch = None, None
+    if table_exists(spark, path):
+        schema = T.StructType([*batch.schema.fields, *([T.StructField(key_name, T.LongType())] if key_name else [])])
+        target = spark.read.schema(schema).format(fmt).load(path)
+        if partition_by:
+            batch, scratch = materialized(batch, "load-batch")
     fresh = new_rows(batch, target, keys, partition_by[0] if partition_by else None, unique)
     if key_name:
         start = 0
@@ -77,8 +90,11 @@ def append_new(batch: DataFrame, path: str, keys: list[str], fmt: str = "parquet
         w = w.partitionBy(*partition_by)
     w.save(path)
     try:
-        return int(obs.get.get("rows", 0))
-    except Exception:
+        rows = int(obs.get["rows"])
+    except (Py4JJavaError, KeyError):
         # AQE can prune an empty plan together with its metrics node; count it directly then
         # (the batch's file listing was taken before the write, so this sees the same rows).
-        return fresh.count()
+        rows = fresh.count()
+    if scratch:
+        remove_scratch(spark, scratch)
+    return rows

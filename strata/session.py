@@ -96,7 +96,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0] if _is_generated_subdir(current) else current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="strata-ckpt-")  # local tests only: nothing was set
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        configured = tempfile.mkdtemp(prefix="strata-ckpt-")  # one machine, as in tests
     sc.setCheckpointDir(configured)
     return configured
 
@@ -126,10 +128,21 @@ def local_path(path: str) -> str:
     return os.path.abspath(path)
 
 
-def materialize(df, name: str):
-    """Write a frame once to a fresh folder under the shared checkpoint root and read it back:
-    cuts lineage (a lost executor recomputes from the files, not from the sources) and gives
+def materialized(df, name: str):
+    """Write a frame once to a fresh folder under the shared checkpoint root; the frame read back and the
+    folder. Cuts lineage (a lost executor recomputes from the files, not from the sources) and gives
     the planner the real size of the data."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df, name: str):
+    """The frame of :func:`materialized`; its folder lasts as long as the checkpoint folder."""
+    return materialized(df, name)[0]
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`materialized` made, through the file system of its path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -16,13 +16,15 @@ from pyspark.sql.streaming import StreamingQuery
 from strata import schemas
 from strata.operators.load import append_new
 
+MAX_FILES_PER_TRIGGER = 1000
+
 
 def read_stream(spark: SparkSession, landing: str, schema=schemas.CLICKSTREAM_FEED, fmt: str = "json",
-                max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
-    """H1: file-source micro-batches with a fixed schema (a malformed line -> all-null row)."""
-    r = spark.readStream.schema(schema).format(fmt)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+                max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, glob: str | None = None) -> DataFrame:
+    """H1: file-source micro-batches with a fixed schema (a malformed line -> all-null row). A
+    micro-batch takes at most ``max_files_per_trigger`` files, so a full landing folder is worked off in
+    batches of bounded size."""
+    r = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", str(max_files_per_trigger))
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(landing)
@@ -48,7 +50,8 @@ def console_preview(df: DataFrame, checkpoint: str, rows: int = 5) -> StreamingQ
 
 
 def run_to_completion(query: StreamingQuery, timeout_s: int | None = None) -> None:
-    """H8: block until the availableNow run ends; surface a failure as an exception."""
+    """H8: block until the availableNow run ends, however long it takes unless the caller sets a
+    limit; surface a failure as an exception."""
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
@@ -58,9 +61,11 @@ def run_to_completion(query: StreamingQuery, timeout_s: int | None = None) -> No
 
 
 def ingest_stream(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
-                  schema=schemas.CLICKSTREAM_FEED, timeout_s: int | None = 600) -> DataFrame:
+                  schema=schemas.CLICKSTREAM_FEED, timeout_s: int | None = None,
+                  max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Landing -> bronze in one availableNow run; returns the bronze table read back."""
-    q = write_stream(stamp_stream(read_stream(spark, landing, schema)), bronze, checkpoint)
+    stream = read_stream(spark, landing, schema, max_files_per_trigger=max_files_per_trigger)
+    q = write_stream(stamp_stream(stream), bronze, checkpoint)
     run_to_completion(q, timeout_s)
     return spark.read.parquet(bronze)
 
@@ -79,11 +84,12 @@ def idempotent_sink(target: str, keys: list[str], partition_by: list[str] | None
 
 
 def replay_stream(spark: SparkSession, landing: str, target: str, checkpoint: str, keys: list[str],
-                  schema=schemas.CLICKSTREAM_FEED, timeout_s: int | None = 600,
-                  partition_by: list[str] | None = None, derive=None) -> StreamingQuery:
+                  schema=schemas.CLICKSTREAM_FEED, timeout_s: int | None = None,
+                  partition_by: list[str] | None = None, derive=None,
+                  max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
     """Stream the landing folder into ``target`` through the idempotent sink. ``derive`` may add
     columns (such as the partition column) to each row before the sink."""
-    stream = read_stream(spark, landing, schema)
+    stream = read_stream(spark, landing, schema, max_files_per_trigger=max_files_per_trigger)
     if derive is not None:
         stream = derive(stream)
     q = (stream.writeStream.foreachBatch(idempotent_sink(target, keys, partition_by))

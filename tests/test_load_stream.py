@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.load import append_new
@@ -98,3 +99,53 @@ def test_partitioned_idempotent_replay(spark):
     out = spark.read.parquet(target)
     assert out.count() == 6
     assert out.select("event_date").distinct().count() == 2
+
+
+def test_null_partitions_stay_idempotent(spark):
+    path = scratch_path(spark, "null-part")
+    batch = spark.createDataFrame([("a", "2024-01-01", 1), ("b", None, 2), (None, None, 3)], "id string, day string, v int")
+    assert append_new(batch, path, ["id"], partition_by=["day"]) == 3
+    assert append_new(batch, path, ["id"], partition_by=["day"]) == 0
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_only_null_partitions(spark):
+    path = scratch_path(spark, "only-null")
+    batch = spark.createDataFrame([("b", None)], "id string, day date")
+    assert [append_new(batch, path, ["id"], partition_by=["day"]) for _ in range(3)] == [1, 0, 0]
+
+
+def test_empty_first_load(spark):
+    path = scratch_path(spark, "empty-first")
+    batch = spark.createDataFrame([("a", 1)], "id string, v int")
+    assert append_new(batch.limit(0), path, ["id"], key_name="sk") == 0
+    assert append_new(batch, path, ["id"], key_name="sk") == 1
+    assert append_new(batch, path, ["id"], key_name="sk") == 0
+
+
+def test_target_that_cannot_be_listed_raises(spark):
+    with pytest.raises(Exception):
+        append_new(spark.range(1), "nosuchfs://x/y", ["id"])
+
+
+def test_load_reads_touched_partitions_only(spark):
+    from strata.operators.load import new_rows
+
+    path = scratch_path(spark, "pruned")
+    old = spark.createDataFrame([(i, f"2024-01-{i:02d}") for i in range(1, 10)], "id long, day string")
+    append_new(old, path, ["id"], partition_by=["day"])
+    target = spark.read.schema(old.schema).parquet(path)
+    batch = old.where("id in (3, 4)")
+    plan = new_rows(batch, target, ["id"], "day")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [day#" in plan and "2024-01-03" in plan.split("PartitionFilters")[1]
+
+
+def test_replay_of_malformed_and_null_date_rows_adds_nothing(spark):
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "target")
+    _write_lines(local_path(landing), "a.json", [_event(1), "{not json", _event(2, "x")])
+    counts = []
+    for _ in range(3):
+        ingest.replay_stream(spark, landing, target, scratch_path(spark, "ck"), ["event_id"], partition_by=["event_date"],
+                             derive=lambda df: df.withColumn("event_date", F.to_date(F.try_to_timestamp("event_time"))))
+        counts.append(spark.read.parquet(target).count())
+    assert counts[0] == counts[1] == counts[2]
