@@ -35,6 +35,7 @@ def main() -> None:
     from strata.operators import dims as D
     from strata.operators import kpis as K
     from strata.operators import quality as Q
+    from strata.registry import REGISTRY
     from strata.session import build_session, scratch_path
     from strata.sources import testdata as T
 
@@ -73,7 +74,7 @@ def main() -> None:
         run(D.asof_join(T.events_view(spark, SF_DIR), versions, range_join=bound <= D.MAX_VERSIONS_FOR_RANGE_JOIN))
 
     table_queries = {
-        "daily_kpis": lambda: run(K.daily_kpis(clean())),
+        "daily_kpis": lambda: run(REGISTRY["daily_kpis"].run(spark, SF_DIR)),
         "dedup_clean": lambda: run(clean()),
         "scd2_intervals": scd2,
         "asof_join": asof,

@@ -41,8 +41,8 @@ def as_date(df: DataFrame, name: str) -> Column:
 
 
 def money_sum(c: str) -> Column:
-    """Exact, order-independent sum of a 2-decimal money column, as double."""
-    return F.expr(f"CAST(round(sum(CAST(`{c}` AS DECIMAL(18,2))), 2) AS DOUBLE)")
+    """Exact, order-independent sum of a money column, rounded once, at the end; as double."""
+    return F.expr(f"CAST(round(sum(CAST(`{c}` AS DECIMAL(24,6))), 2) AS DOUBLE)")
 
 
 def calendar(date_col: str) -> dict[str, Column]:

@@ -11,14 +11,17 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata import config
+from strata.functions.columns import as_timestamp
 from strata.operators import clean as C
 from strata.operators import dims as D
 from strata.operators import facts as X
 from strata.operators import kpis as K
-from strata.operators.load import append_new
-from strata.sources import feeds
+from strata.operators import quality as Q
+from strata.operators.load import append_new, table_exists
+from strata.sources import feeds, tables
 
 
 @dataclass
@@ -41,6 +44,10 @@ class SilverPaths:
     def dates(self) -> str:
         return f"{self.root}/silver_date"
 
+    @property
+    def rejected(self) -> str:
+        return f"{self.root}/quarantine_events"
+
     @property
     def fact(self) -> str:
         return f"{self.root}/silver_fact"
@@ -67,10 +74,11 @@ def run_silver(spark: SparkSession, bronze_events: DataFrame, user_feed: DataFra
     clean = C.clean_events(bronze_events, "intended", as_of, cart_types)
     _concurrently(
         lambda: feeds.write_table(clean, p.events, "overwrite", partition_by=["event_date"]),
+        lambda: feeds.write_table(rejected_events(bronze_events, as_of, cart_types), p.rejected, "overwrite"),
         lambda: append_new(D.user_versions(user_feed), p.users, ["user_id", "updated_at"], key_name="user_sk"))
     clean = spark.read.parquet(p.events)
     _concurrently(
-        lambda: append_new(D.dim_product(clean), p.products, ["product_id"], key_name="product_sk"),
+        lambda: load_products(D.dim_product(clean), p.products),
         lambda: append_new(D.dim_date(clean), p.dates, ["full_date"], key_name="date_key"))
     versions = spark.read.parquet(p.users)
     largest = D.history_size(versions)
@@ -78,10 +86,49 @@ def run_silver(spark: SparkSession, bronze_events: DataFrame, user_feed: DataFra
     fact = X.build_fact(clean, star.users, star.products, star.dates, "intended",
                         range_join=largest <= D.MAX_VERSIONS_FOR_RANGE_JOIN)
     # one fact row per clean event (deduped on event_id upstream): no second in-batch dedupe
-    append_new(fact, p.fact, ["event_id"], partition_by=["event_date"], unique=True)
+    append_new(fact, p.fact, ["event_id"], key_name="event_sk", partition_by=["event_date"], unique=True)
     return p
 
 
+def rejected_events(bronze_events: DataFrame, as_of: str, cart_types=config.FEED_CART_TYPES) -> DataFrame:
+    """One row for each event that cleaning drops, with its reasons. An event with a valid copy is not
+    rejected, so copies are judged before they are merged."""
+    rows = Q.normalize_strings(bronze_events, "intended")
+    rows = rows.withColumn("event_time", as_timestamp(rows, "event_time"))
+    marked = Q.quarantine(rows, as_of, cart_types)
+    per = marked.groupBy("event_id").agg(F.min(F.struct(
+        F.col("reject_reason").isNotNull().alias("rejected"), *[F.col(c) for c in marked.columns if c != "event_id"])).alias("first"))
+    return per.where("first.rejected").select("event_id", *[f"first.{c}" for c in marked.columns if c != "event_id"])
+
+
+def load_products(products: DataFrame, path: str) -> int:
+    """Append a version of every product that is new or whose category differs from its latest stored one."""
+    spark = products.sparkSession
+    if table_exists(spark, path):
+        stored = latest_products(spark.read.parquet(path)).selectExpr("product_id AS _id", "category AS _category", "true AS _known")
+        products = products.join(stored, F.expr("product_id <=> _id"), "left").where(
+            "_known IS NULL OR NOT (category <=> _category)").select(*products.columns)
+    return append_new(products, path, ["product_id", "updated_ts"], key_name="product_sk")
+
+
+def latest_products(versions: DataFrame) -> DataFrame:
+    """The current version of each product."""
+    rest = [c for c in versions.columns if c not in ("product_id", "updated_ts", "product_sk")]
+    per = versions.groupBy("product_id").agg(F.max(F.struct("updated_ts", "product_sk", *rest)).alias("last"))
+    return per.select("product_id", *[f"last.{c}" for c in versions.columns if c != "product_id"])
+
+
+def register_tables(spark: SparkSession, p: SilverPaths, database: str) -> list[str]:
+    """The silver tables as external tables of ``database`` at their locations."""
+    tables.ensure_database(spark, database, f"{p.root}/_database")
+    names = {"silver_user": p.users, "silver_product": p.products, "silver_date": p.dates, "silver_events": p.fact}
+    for name, path in names.items():
+        spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
+        if path == p.fact:
+            spark.catalog.recoverPartitions(f"{database}.{name}")
+    return sorted(names)
+
+
 def load_star(spark: SparkSession, p: SilverPaths, with_fact: bool = True, history: int | None = None) -> X.Star:
     """The silver star read back; the user table is the stored change log, turned into SCD2
     intervals at read time (keys stay those of the stored versions)."""
@@ -91,13 +138,14 @@ def load_star(spark: SparkSession, p: SilverPaths, with_fact: bool = True, histo
     users = scd2.join(versions.select("user_id", "updated_at", "user_sk"),
                       (scd2.user_id == versions.user_id) & (scd2.valid_from == versions.updated_at)).drop(
         versions.user_id).drop("updated_at")
-    products = spark.read.parquet(p.products)
+    products = latest_products(spark.read.parquet(p.products))
     dates = spark.read.parquet(p.dates)
     fact = spark.read.parquet(p.fact) if with_fact else None
     return X.Star(fact, users, products, dates)
 
 
-def run_gold(spark: SparkSession, p: SilverPaths, out_root: str | None = None) -> dict[str, DataFrame]:
+def run_gold(spark: SparkSession, p: SilverPaths, out_root: str | None = None,
+             funnel_steps=config.FEED_FUNNEL_STEPS) -> dict[str, DataFrame]:
     """Gold KPIs from the written star; written (overwrite) when ``out_root`` is given."""
     star = load_star(spark, p)
     results = {
@@ -105,8 +153,14 @@ def run_gold(spark: SparkSession, p: SilverPaths, out_root: str | None = None) -
         "funnel_metrics": K.funnel_metrics(star.fact),
         "product_metrics": K.product_metrics(star),
         "top_purchasers": K.top_purchasers(star),
+        "daily_kpis_volume": K.daily_kpis_volume(star.fact),
         "best_products": K.best_products(star.fact),
+        "best_categories": K.best_categories(star),
+        "best_month": K.best_month(star),
+        "best_weekday": K.best_weekday(star),
         "avg_sales_period": K.avg_sales_period(star),
+        "avg_sale_per_user": K.avg_sale_per_user(star.fact),
+        "session_funnel": K.session_funnel(spark.read.parquet(p.events), funnel_steps),
     }
     if out_root:
         for name, df in results.items():

@@ -28,8 +28,9 @@ def dim_user_latest(user_feed: DataFrame) -> DataFrame:
     """
     feed = quality.normalize_strings(user_feed, "as_written")
     feed = feed.withColumns({"_from": as_date(feed, "signup_date"), "_to": as_timestamp(feed, "updated_at")})
-    latest = feed.groupBy("user_id").agg(F.max("_to").alias("_max_to"))
-    flagged = feed.join(latest, "user_id", "left").select(
+    latest = feed.groupBy("user_id").agg(F.max("_to").alias("_max_to")).withColumnRenamed("user_id", "_latest_of")
+    # Null-safe: versions without a user are one group, as they are for rank().
+    flagged = feed.join(latest, F.expr("user_id <=> _latest_of"), "left").select(
         F.coalesce("user_id", F.lit(config.UNKNOWN)).alias("user_id"),
         "country",
         F.coalesce("_from", date_lit(config.DEFAULT_DATE)).alias("effective_from"),
@@ -94,7 +95,8 @@ MAX_VERSIONS_FOR_RANGE_JOIN = 10_000
 def asof_join(events: DataFrame, scd2: DataFrame, payload=("country", "loyalty_tier"), range_join: bool | None = None,
               bucket_seconds: int = 3600) -> DataFrame:
     """Each event gets the user version valid at its event_time (the first version when the
-    event precedes all of them); unknown users keep NULL attributes.
+    event precedes all of them); unknown users and events without a time keep NULL attributes.
+    Both strategies give the same rows (compared by the ``asof_uncleaned`` query and the tests).
 
     Range join (default when every user has at most ``MAX_VERSIONS_FOR_RANGE_JOIN`` versions,
     measured): an equi-join on user_id with a range residual; AQE splits a hot user on the
@@ -109,7 +111,7 @@ def asof_join(events: DataFrame, scd2: DataFrame, payload=("country", "loyalty_t
     dim = scd2.selectExpr("user_id AS _uid", "valid_from AS _vf", "valid_to AS _vt", "is_first AS _first",
                           *[f"`{c}` AS `_v_{c}`" for c in payload],
                           *(["user_sk AS _v_user_sk"] if "user_sk" in scd2.columns else []))
-    cond = F.expr("user_id = _uid AND (event_time >= _vf OR _first) AND (_vt IS NULL OR event_time < _vt)")
+    cond = F.expr("user_id = _uid AND event_time IS NOT NULL AND (event_time >= _vf OR _first) AND (_vt IS NULL OR event_time < _vt)")
     joined = events.join(dim, cond, "left")
     renamed = {f"_v_{c}": f"version_{c}" for c in payload}
     if "user_sk" in scd2.columns:
@@ -170,17 +172,15 @@ def dim_date(events: DataFrame) -> DataFrame:
 
 # ---- D6: product dimension, first four versions (as written) -------------------------------------
 def dim_product_first4(events: DataFrame, as_of: str = config.TEST_AS_OF) -> DataFrame:
-    """Distinct (product, category, time); per product keep the rows whose time has dense rank
-    <= 4 (ascending); one row per (product, time). Plans as a partial WindowGroupLimit before
-    the shuffle, so at most a few rows per product leave each map task."""
-    distinct = events.select(
+    """The first four event times of each product, one row per (product, time) with the least
+    category. The rank plans as a partial WindowGroupLimit before the shuffle: only rows of a product's
+    first four times leave a task. Dense rank ignores repeated times, so no distinct is needed."""
+    seen = events.select(
         F.expr(f"coalesce(product_id, '{config.UNKNOWN}') AS product_id"), "category",
-        F.coalesce(as_timestamp(events, "event_time"), ts_lit(as_of)).alias("updated_ts"),
-    ).distinct()
-    ranked = (distinct.withColumn("_rank", F.expr("dense_rank() OVER (PARTITION BY product_id ORDER BY updated_ts)"))
-              .where("_rank < 5"))
-    one = ranked.groupBy("product_id", "updated_ts").agg(F.expr("min(category) AS category"))
-    return one.select("product_id", "category", "updated_ts").to(schemas.DIM_PRODUCT)
+        F.coalesce(as_timestamp(events, "event_time"), ts_lit(as_of)).alias("updated_ts"))
+    ranked = seen.withColumn("_rank", F.expr("dense_rank() OVER (PARTITION BY product_id ORDER BY updated_ts)"))
+    return ranked.where("_rank <= 4").groupBy("product_id", "updated_ts").agg(
+        F.min("category").alias("category")).select("product_id", "category", "updated_ts").to(schemas.DIM_PRODUCT)
 
 
 # ---- D7: product dimension, one row per product ------------------------------------------------

@@ -27,6 +27,7 @@ class Star:
     users: DataFrame
     products: DataFrame
     dates: DataFrame
+    events: DataFrame | None = None  # the cleaned events behind the fact, where they are at hand
 
 
 def keyed_dimensions(clean: DataFrame, raw: DataFrame, user_feed: DataFrame, mode: str = "intended",

@@ -10,17 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata import config
-from strata.functions.columns import money_sum
-from strata.operators.facts import Star, star_join
+from strata.operators.facts import Star
 
 PURCHASE = "purchase"
 
 
-def _cents(c: str | Column) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return (col.cast("decimal(18,2)") * 100).cast("long")
-
-
 def _cents(c: str) -> str:
     return f"CAST(CAST(`{c}` AS DECIMAL(18,2)) * 100 AS BIGINT)"
 
@@ -52,23 +46,87 @@ def _live(fact: DataFrame) -> DataFrame:
     return fact.where(LIVE_SQL)
 
 
+# ---- as written, without the fan-out ------------------------------------------------------------
+class Fanned:
+    """The as-written star by its multiplicities.
+
+    As written, the fact repeats a clean event once for each version of its user and each row of its
+    product. Sums and counts over those copies are sums over the events weighted with both numbers, so
+    the copies are never made: versions per user and rows per product are counted once and joined to the
+    events many-to-one. An event without a user or product keeps weight 1 (the unknown member)."""
+
+    def __init__(self, clean: DataFrame, users: DataFrame, products: DataFrame, dates: DataFrame):
+        versions = users.groupBy("user_id").agg(F.count(F.lit(1)).alias("_versions")).withColumnRenamed("user_id", "_u")
+        rows = products.groupBy("product_id").agg(F.count(F.lit(1)).alias("_rows")).withColumnRenamed("product_id", "_p")
+        days = dates.select(F.col("full_date").alias("_d")).distinct()
+        self.products = products
+        self.events = (clean.join(versions, F.expr("user_id = _u"), "left").join(rows, F.expr("product_id = _p"), "left")
+                       .join(days, F.expr("event_date = _d"), "left"))
+
+    def live(self) -> DataFrame:
+        """The events that survive the inner star join."""
+        return self.events.where("_versions IS NOT NULL AND _rows IS NOT NULL AND _d IS NOT NULL")
+
+
+_WEIGHT = "coalesce(_versions, 1) * coalesce(_rows, 1)"
+_MONEY = "CAST(price AS DECIMAL(20,6))"
+
+
+def _distinct_user_keys() -> Column:
+    """Distinct user keys among rows of one user each: every version of a known user, and
+    the unknown member once."""
+    return F.expr("CAST(coalesce(sum(_versions), 0) + max(CASE WHEN _versions IS NULL THEN 1 ELSE 0 END) AS BIGINT)")
+
+
+def daily_kpis_as_written(star: Fanned) -> DataFrame:
+    per = star.events.groupBy("event_date", "session_id", "user_id").agg(
+        F.first("_versions").alias("_versions"), F.expr(f"sum({_MONEY} * {_WEIGHT}) AS _rev"))
+    users = per.groupBy("event_date", "user_id").agg(F.first("_versions").alias("_versions"), F.sum("_rev").alias("_rev"))
+    by_user = users.groupBy("event_date").agg(_distinct_user_keys().alias("distinct_users"),
+                                              F.expr("CAST(round(sum(_rev), 2) AS DOUBLE) AS total_revenue"))
+    sessions = per.groupBy("event_date").agg(F.expr("count(DISTINCT session_id) AS sessions")).withColumnRenamed("event_date", "_day")
+    return by_user.join(sessions, F.expr("event_date <=> _day")).select("event_date", "distinct_users", "sessions", "total_revenue")
+
+
+def funnel_metrics_as_written(star: Fanned) -> DataFrame:
+    users = star.events.groupBy("event_type", "user_id").agg(
+        F.first("_versions").alias("_versions"), F.expr(f"sum(CASE WHEN event_type IS NOT NULL THEN {_WEIGHT} ELSE 0 END) AS _n"))
+    return (users.groupBy("event_type").agg(F.expr("CAST(sum(_n) AS BIGINT) AS total_events"),
+                                            _distinct_user_keys().alias("total_users"))
+            .orderBy(F.desc("total_events"), "event_type"))
+
+
+def product_metrics_as_written(star: Fanned) -> DataFrame:
+    """Each product's events are summed once, then met by the product's rows (at most four times)."""
+    per = star.live().groupBy("product_id").agg(F.expr("sum(_versions) AS _n"), F.expr(f"sum({_MONEY} * _versions) AS _rev"))
+    out = star.products.select("product_id", "category").join(per, "product_id").groupBy("product_id", "category").agg(
+        F.expr("CAST(sum(_n) AS BIGINT) AS total_interactions"), F.expr("CAST(round(sum(_rev), 2) AS DOUBLE) AS revenue"))
+    return out.orderBy(F.desc("revenue"), F.desc("total_interactions"), "product_id")
+
+
+def top_purchasers_as_written(star: Fanned) -> DataFrame:
+    """Every purchaser, as the original orders them all."""
+    per = star.live().where(f"event_type = '{PURCHASE}'").groupBy("user_id", "product_id", "event_id").agg(
+        F.expr(f"sum({_MONEY} * _versions * _rows) AS _rev"))
+    out = per.groupBy("user_id").agg(
+        F.expr("count(DISTINCT product_id) AS product_count"), F.expr("CAST(round(sum(_rev), 2) AS DOUBLE) AS purchase_totals"),
+        F.expr("count(DISTINCT event_id) AS transactions"))
+    return out.orderBy(F.desc("purchase_totals"), "user_id")
+
+
 # ---- F1 / F2 -----------------------------------------------------------------------------------
 def _per_session(fact: DataFrame, user: str) -> DataFrame:
     """One row per (date, session, user) with its event count and exact revenue. Two exact
     distinct counts plan as an Expand that doubles its input; done over this reduced frame
     (partial-aggregated map-side) instead of the whole fact, the doubling is cheap."""
     return fact.groupBy("event_date", "session_id", user).agg(
-        F.expr("count(1) AS _n"), F.expr("sum(CAST(price AS DECIMAL(18,2))) AS _rev"))
-
+        F.expr("count(1) AS _n"), F.expr("sum(CAST(price AS DECIMAL(24,6))) AS _rev"))
 
-def daily_kpis(fact: DataFrame, mode: str = "intended") -> DataFrame:
-    """Per event_date: distinct users, distinct sessions, revenue = sum(price).
 
-    as_written counts distinct user_sk (one per user *version*); intended counts users."""
-    config.check_mode(mode)
-    user = "user_id" if mode == "intended" else "user_sk"
-    return _per_session(fact, user).groupBy("event_date").agg(
-        F.expr(f"count(DISTINCT {user}) AS distinct_users"),
+def daily_kpis(fact: DataFrame) -> DataFrame:
+    """Per event_date: distinct users, distinct sessions, revenue = sum(price)."""
+    return _per_session(fact, "user_id").groupBy("event_date").agg(
+        F.expr("count(DISTINCT user_id) AS distinct_users"),
         F.expr("count(DISTINCT session_id) AS sessions"),
         F.expr("CAST(round(sum(_rev), 2) AS DOUBLE) AS total_revenue"),
     )
@@ -84,51 +142,35 @@ def daily_kpis_volume(fact: DataFrame) -> DataFrame:
 
 
 # ---- F3 ------------------------------------------------------------------------------------------
-def funnel_metrics(fact: DataFrame, mode: str = "intended") -> DataFrame:
-    user = "user_id" if mode == "intended" else "user_sk"
+def funnel_metrics(fact: DataFrame) -> DataFrame:
     return (fact.groupBy("event_type")
-            .agg(F.expr("count(event_type) AS total_events"), F.expr(f"count(DISTINCT {user}) AS total_users"))
+            .agg(F.expr("count(event_type) AS total_events"), F.expr("count(DISTINCT user_id) AS total_users"))
             .orderBy(F.desc("total_events"), "event_type"))
 
 
 # ---- F4 ------------------------------------------------------------------------------------------
-def product_metrics(star: Star, mode: str = "intended") -> DataFrame:
-    """Per (product, category): interactions and revenue, best first.
-
-    intended: eager aggregation -- the fact is reduced to one row per product_sk before it meets
-    the product dimension, so the join sees (#products) rows instead of (#events)."""
-    config.check_mode(mode)
-    if mode == "intended":
-        per_sk = _live(star.fact).groupBy("product_sk").agg(
-            F.expr("count(1) AS _n"), F.expr("sum(CAST(price AS DECIMAL(18,2))) AS _rev"))
-        joined = per_sk.join(star.products.select("product_sk", "product_id", "category"), "product_sk")
-        out = joined.groupBy("product_id", "category").agg(
-            F.expr("CAST(sum(_n) AS BIGINT) AS total_interactions"),
-            F.expr("CAST(round(sum(_rev), 2) AS DOUBLE) AS revenue"))
-    else:
-        out = star_join(star).withColumnRenamed("product_id", "_fact_product_id").groupBy(
-            F.col("dim_product_id").alias("product_id"), "category").agg(
-            F.expr("count(1) AS total_interactions"), money_sum("price").alias("revenue"))
+def product_metrics(star: Star) -> DataFrame:
+    """Per (product, category): interactions and revenue, best first. Eager aggregation: the fact is
+    reduced to one row per product_sk before it meets the product dimension."""
+    per_sk = _live(star.fact).groupBy("product_sk").agg(
+        F.expr("count(1) AS _n"), F.expr("sum(CAST(price AS DECIMAL(24,6))) AS _rev"))
+    joined = per_sk.join(star.products.select("product_sk", "product_id", "category"), "product_sk")
+    out = joined.groupBy("product_id", "category").agg(
+        F.expr("CAST(sum(_n) AS BIGINT) AS total_interactions"),
+        F.expr("CAST(round(sum(_rev), 2) AS DOUBLE) AS revenue"))
     return out.orderBy(F.desc("revenue"), F.desc("total_interactions"), "product_id")
 
 
 # ---- F5 ------------------------------------------------------------------------------------------
-def top_purchasers(star: Star, mode: str = "intended", limit: int | None = 50) -> DataFrame:
-    """Purchases per user: distinct products, total, distinct transactions; by total desc.
-    With a limit the order is total (user_id as tie-break), planned as TakeOrderedAndProject
-    (per-partition top-k, then a merge of k rows per partition)."""
-    config.check_mode(mode)
-    if mode == "intended":
-        rows = _live(star.fact).where(f"event_type = '{PURCHASE}'").selectExpr(
-            "user_id", "product_id", "event_id", "price")
-    else:
-        rows = star_join(star).where(f"event_type = '{PURCHASE}'").selectExpr(
-            "dim_user_id AS user_id", "dim_product_id AS product_id", "event_id", "price")
-    out = rows.groupBy("user_id").agg(
-        F.expr("count(DISTINCT product_id) AS product_count"),
-        money_sum("price").alias("purchase_totals"),
-        F.expr("count(DISTINCT event_id) AS transactions"))
-    out = out.orderBy(F.desc("purchase_totals"), "user_id")
+def top_purchasers(star: Star, limit: int | None = 50) -> DataFrame:
+    """Purchases per user: distinct products, total, transactions; by total desc (user_id as tie-break).
+    The fact has one row per event, so transactions are a count; products are counted over one row per
+    (user, product), combined map-side. A limit plans as TakeOrderedAndProject."""
+    per = _live(star.fact).where(f"event_type = '{PURCHASE}'").groupBy("user_id", "product_id").agg(
+        F.expr("count(1) AS _n"), F.expr("sum(CAST(price AS DECIMAL(24,6))) AS _rev"))
+    out = per.groupBy("user_id").agg(
+        F.expr("count(product_id) AS product_count"), F.expr("CAST(round(sum(_rev), 2) AS DOUBLE) AS purchase_totals"),
+        F.expr("CAST(sum(_n) AS BIGINT) AS transactions")).orderBy(F.desc("purchase_totals"), "user_id")
     return out.limit(limit) if limit else out
 
 
@@ -170,27 +212,33 @@ def best_categories(star: Star) -> DataFrame:
     return joined.groupBy("category").agg(*_rollup()).orderBy(F.desc("sales"), "category")
 
 
-def _daily_sales(star: Star) -> DataFrame:
+def daily_sales(star: Star) -> DataFrame:
     """Sales per date key first (one row per day), then the calendar attributes by key."""
     return _partial_sales(star.fact, "date_key").join(star.dates, "date_key")
 
 
 def best_month(star: Star) -> DataFrame:
-    return (_daily_sales(star).groupBy("year", "month", "monthname").agg(*_rollup())
+    return (daily_sales(star).groupBy("year", "month", "monthname").agg(*_rollup())
             .orderBy(F.desc("sales"), "year", "month"))
 
 
 def best_weekday(star: Star) -> DataFrame:
-    return _daily_sales(star).groupBy("weekday", "dayname").agg(*_rollup()).orderBy(F.desc("sales"), "weekday")
+    return daily_sales(star).groupBy("weekday", "dayname").agg(*_rollup()).orderBy(F.desc("sales"), "weekday")
 
 
 # ---- F9 / F10: averages -----------------------------------------------------------------------
 def avg_sales_period(star: Star) -> DataFrame:
     """Mean of period totals for week, month and quarter, from daily totals in one pass."""
-    periods = ("inline(array(named_struct('period', 'week', 'pkey', year * 100 + weekyear), "
-               "named_struct('period', 'month', 'pkey', year * 100 + month), "
-               "named_struct('period', 'quarter', 'pkey', year * 100 + quarter)))")
-    exploded = _daily_sales(star).selectExpr("_c", periods)
+    return period_averages(daily_sales(star).select("full_date", "_c"))
+
+
+def period_averages(daily: DataFrame) -> DataFrame:
+    """From totals ``_c`` (cents) by ``full_date``: weeks are ISO weeks of ISO years, so the days around
+    a turn of the year fall into one week and weeks of different years stay apart."""
+    periods = ("inline(array(named_struct('period', 'week', 'pkey', extract(YEAROFWEEK FROM full_date) * 100 + weekofyear(full_date)), "
+               "named_struct('period', 'month', 'pkey', year(full_date) * 100 + month(full_date)), "
+               "named_struct('period', 'quarter', 'pkey', year(full_date) * 100 + quarter(full_date))))")
+    exploded = daily.selectExpr("_c", periods)
     totals = exploded.groupBy("period", "pkey").agg(F.expr("sum(_c) AS _t"))
     out = totals.groupBy("period").agg(F.expr("count(1) AS periods"), F.expr("sum(_t) AS _all"))
     return out.selectExpr("period", "periods", f"{money_avg_sql('_all', 'periods')} AS avg_sales")

@@ -116,7 +116,7 @@ _CTES = {
     "ul0": """SELECT lower(trim(user_id)) AS user_id, lower(trim(country)) AS country, signup_date, updated_at
         FROM user_feed""",
     "ul1": """SELECT a.*, m._max_to FROM ul0 a
-        LEFT JOIN (SELECT user_id, max(updated_at) AS _max_to FROM ul0 GROUP BY user_id) m ON a.user_id = m.user_id""",
+        LEFT JOIN (SELECT user_id, max(updated_at) AS _max_to FROM ul0 GROUP BY user_id) m ON a.user_id IS NOT DISTINCT FROM m.user_id""",
     "ul2": """SELECT coalesce(user_id, 'unknown') AS user_id, country,
             coalesce(signup_date, DATE '1970-01-01') AS effective_from, updated_at AS effective_to,
             coalesce(updated_at = _max_to, false) AS is_current
@@ -189,7 +189,7 @@ def sql(select: str) -> str:
 
 
 def money(expr: str) -> str:
-    return f"CAST(round(sum(CAST({expr} AS DECIMAL(18,2))), 2) AS DOUBLE)"
+    return f"CAST(round(sum(CAST({expr} AS DECIMAL(24,6))), 2) AS DOUBLE)"
 
 
 def int_ratio(num: str, den: str, digits: int) -> str:

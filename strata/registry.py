@@ -48,6 +48,11 @@ class Inputs:
     def users(self) -> DataFrame:
         return T.user_feed(self.spark, self.sf_dir)
 
+    @cached_property
+    def changes(self) -> DataFrame:
+        """The user feed without its first-signup columns, for operators that need only the versions."""
+        return T.user_changes(self.spark, self.sf_dir)
+
     @cached_property
     def history(self) -> int:
         """Largest user history, bounded at the source (signup events per user)."""
@@ -72,9 +77,16 @@ class Inputs:
 
             clean = materialize(self.clean(mode), f"silver-events-{mode}")
             raw = materialize(self.raw, "bronze-events") if mode == "as_written" else self.raw
-            self._stars[mode] = X.build_star(clean, raw, self.users, mode, AS_OF, self.history)
+            self._stars[mode] = star = X.build_star(clean, raw, self.changes if mode == "intended" else self.users, mode, AS_OF, self.history)
+            star.events = clean
         return self._stars[mode]
 
+    @cached_property
+    def fanned(self) -> K.Fanned:
+        """The as-written star as events with multiplicities."""
+        return K.Fanned(self.clean("as_written"), D.dim_user_latest(self.users), D.dim_product_first4(self.raw, AS_OF),
+                        D.dim_date(self.raw))
+
     @cached_property
     def _stars(self) -> dict:
         return {}
@@ -117,8 +129,8 @@ def _daily_kpis(x: Inputs):
         count(DISTINCT session_id) AS sessions, {O.money('price')} AS total_revenue
     FROM fact_aw GROUP BY event_date""")
 def _daily_kpis_aw(x: Inputs):
-    """F1 as written: fan-out fact, distinct user_sk (versions)."""
-    return K.daily_kpis(x.star("as_written").fact, "as_written")
+    """F1 as written: every copy of an event counts, distinct user_sk (versions); by multiplicities."""
+    return K.daily_kpis_as_written(x.fanned)
 
 
 @register("daily_kpis_volume", f"""SELECT event_date, count(*) AS total_events, count(DISTINCT user_id) AS active_users,
@@ -138,7 +150,7 @@ def _funnel(x: Inputs):
 @register("funnel_metrics_as_written", """SELECT event_type, count(event_type) AS total_events,
         count(DISTINCT user_sk) AS total_users FROM fact_aw GROUP BY event_type""")
 def _funnel_aw(x: Inputs):
-    return K.funnel_metrics(x.star("as_written").fact, "as_written")
+    return K.funnel_metrics_as_written(x.fanned)
 
 
 @register("product_metrics", f"""SELECT p.product_id, p.category, count(*) AS total_interactions,
@@ -152,7 +164,7 @@ def _product_metrics(x: Inputs):
 @register("product_metrics_as_written", f"""SELECT dim_product_id AS product_id, category, count(*) AS total_interactions,
         {O.money('price')} AS revenue FROM star_aw GROUP BY dim_product_id, category""")
 def _product_metrics_aw(x: Inputs):
-    return K.product_metrics(x.star("as_written"), "as_written")
+    return K.product_metrics_as_written(x.fanned)
 
 
 @register("top_purchasers", f"""SELECT user_id, count(DISTINCT product_id) AS product_count,
@@ -169,7 +181,7 @@ def _top_purchasers(x: Inputs):
     FROM star_aw WHERE event_type = 'purchase' GROUP BY dim_user_id""")
 def _top_purchasers_all(x: Inputs):
     """F5 as written: every purchasing user, ordered, no limit, over the fan-out star."""
-    return K.top_purchasers(x.star("as_written"), "as_written", limit=None)
+    return K.top_purchasers_as_written(x.fanned)
 
 
 @register("row_counts", """SELECT 'bronze_events' AS table_name, count(*) AS row_count FROM raw_ev
@@ -181,7 +193,7 @@ def _top_purchasers_all(x: Inputs):
 def _row_counts(x: Inputs):
     """row count of every layer in one job."""
     s = x.star()
-    return K.row_counts({"bronze_events": x.raw, "silver_events": x.clean(), "silver_user": s.users,
+    return K.row_counts({"bronze_events": x.raw, "silver_events": s.events, "silver_user": s.users,
                          "silver_product": s.products, "silver_date": s.dates, "silver_fact": s.fact})
 
 
@@ -218,7 +230,7 @@ def _best_weekday(x: Inputs):
 
 @register("avg_sales_period", f"""SELECT period, count(*) AS periods, {O.money_avg('CAST(sum(c) AS BIGINT)', 'count(*)')} AS avg_sales
     FROM (
-        SELECT 'week' AS period, d.year * 100 + d.weekyear AS pkey, sum(s._sale_cents) AS c
+        SELECT 'week' AS period, isoyear(d.full_date) * 100 + weekofyear(d.full_date) AS pkey, sum(s._sale_cents) AS c
             FROM sales_iw s JOIN dates_iw d ON s.date_key = d.date_key GROUP BY 1, 2
         UNION ALL SELECT 'month', d.year * 100 + d.month, sum(s._sale_cents)
             FROM sales_iw s JOIN dates_iw d ON s.date_key = d.date_key GROUP BY 1, 2
@@ -230,6 +242,22 @@ def _avg_sales_period(x: Inputs):
     return K.avg_sales_period(x.star())
 
 
+# The test tables cover one January; moved so that they run from one year's end into the next.
+_YEAR_END_SHIFT = 16
+
+
+@register("avg_sales_year_end", f"""SELECT period, count(*) AS periods, {O.money_avg('CAST(sum(c) AS BIGINT)', 'count(*)')} AS avg_sales
+    FROM (
+        SELECT 'week' AS period, strftime(day, '%G-%V') AS pkey, sum(c) AS c FROM moved GROUP BY 1, 2
+        UNION ALL SELECT 'month', strftime(day, '%Y-%m'), sum(c) FROM moved GROUP BY 1, 2
+        UNION ALL SELECT 'quarter', CAST(year(day) AS VARCHAR) || '-' || CAST(quarter(day) AS VARCHAR), sum(c) FROM moved GROUP BY 1, 2) t
+    GROUP BY period""".replace("moved", f"(SELECT event_date - {_YEAR_END_SHIFT} AS day, _sale_cents AS c FROM sales_iw) m"))
+def _avg_sales_year_end(x: Inputs):
+    """F9 over dates that cross a turn of the year: ISO weeks, not calendar year and week number."""
+    daily = K.daily_sales(x.star()).selectExpr(f"date_sub(full_date, {_YEAR_END_SHIFT}) AS full_date", "_c")
+    return K.period_averages(daily)
+
+
 @register("avg_sale_per_user", f"""SELECT count(*) AS purchasing_users, CAST(sum(t) AS DOUBLE) / 100.0 AS total_sales,
         {O.money_avg('CAST(sum(t) AS BIGINT)', 'count(*)')} AS avg_sale_per_user
     FROM (SELECT user_id, sum(_sale_cents) AS t FROM sales_iw GROUP BY user_id) u""")
@@ -439,12 +467,12 @@ def _quarantine(x: Inputs):
         coalesce(d.country, s.country) AS country
     FROM dedup_norm d
     LEFT JOIN bf_products p ON d.product_id = p.product_id
-    LEFT JOIN scd2 s ON d.user_id = s.user_id AND (d.event_time >= s.valid_from OR s.is_first)
+    LEFT JOIN scd2 s ON d.user_id = s.user_id AND d.event_time IS NOT NULL AND (d.event_time >= s.valid_from OR s.is_first)
         AND (s.valid_to IS NULL OR d.event_time < s.valid_to)""")
 def _backfill(x: Inputs):
     """Null category from the product dimension, null country from the as-of user version."""
     events = Q.dedupe(x.norm, ["event_id"])
-    out = D.backfill(events, D.dim_product(events), D.dim_user_scd2(x.users, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS),
+    out = D.backfill(events, D.dim_product(events), D.dim_user_scd2(x.changes, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS),
                      range_join=x.history <= D.MAX_VERSIONS_FOR_RANGE_JOIN)
     return out.select("event_id", "category", "country")
 
@@ -460,7 +488,7 @@ def _dim_user_latest(x: Inputs):
         valid_to IS NULL AS is_current, is_first FROM scd2""")
 def _dim_user_scd2(x: Inputs):
     """Type-2 intervals on country + loyalty tier, unchanged versions merged."""
-    return D.dim_user_scd2(x.users, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS)
+    return D.dim_user_scd2(x.changes, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS)
 
 
 @register("asof_user", """SELECT c.event_id, c.user_id, c.event_time, s.valid_from AS version_from,
@@ -469,11 +497,25 @@ def _dim_user_scd2(x: Inputs):
         AND (c.event_time >= s.valid_from OR s.is_first) AND (s.valid_to IS NULL OR c.event_time < s.valid_to)""")
 def _asof_user(x: Inputs):
     """D3: the profile version valid at each event's time."""
-    scd2 = D.dim_user_scd2(x.users, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS)
+    scd2 = D.dim_user_scd2(x.changes, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS)
     out = D.asof_join(x.clean(), scd2, range_join=x.history <= D.MAX_VERSIONS_FOR_RANGE_JOIN)
     return out.select("event_id", "user_id", "event_time", "version_from", "version_country", "version_loyalty_tier")
 
 
+@register("asof_uncleaned", """SELECT d.event_id, s.valid_from AS by_range, s.valid_from AS by_carry
+    FROM (SELECT event_id, user_id, CASE WHEN device IS NULL THEN NULL ELSE event_time END AS event_time FROM dedup_norm) d
+    LEFT JOIN scd2 s ON d.user_id = s.user_id AND d.event_time IS NOT NULL
+        AND (d.event_time >= s.valid_from OR s.is_first) AND (s.valid_to IS NULL OR d.event_time < s.valid_to)""")
+def _asof_uncleaned(x: Inputs):
+    """D3 on uncleaned events, null users and null times included, by both strategies."""
+    events = Q.dedupe(x.norm, ["event_id"]).select(
+        "event_id", "user_id", F.expr("CASE WHEN device IS NULL THEN NULL ELSE event_time END AS event_time"))
+    scd2 = D.dim_user_scd2(x.changes, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS)
+    by_range, by_carry = (D.asof_join(events, scd2, payload=(), range_join=r) for r in (True, False))
+    return by_range.selectExpr("event_id", "version_from AS by_range").join(
+        by_carry.selectExpr("event_id", "version_from AS by_carry"), "event_id", "full")
+
+
 @register("users_with_history", """SELECT CAST(sum(n) AS BIGINT) AS user_records, count(*) AS users,
         count(*) FILTER (WHERE n > 1) AS users_with_history
     FROM (SELECT user_id, count(*) AS n FROM uv GROUP BY user_id) v""")
@@ -503,7 +545,7 @@ def _dim_product(x: Inputs):
 @register("surrogate_keys", "SELECT user_sk, user_id, valid_from FROM users_iw")
 def _surrogate_keys(x: Inputs):
     """Dense keys in natural-key order without a single-task window."""
-    keyed = assign_surrogate_keys(D.dim_user_scd2(x.users, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS),
+    keyed = assign_surrogate_keys(D.dim_user_scd2(x.changes, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS),
                                   ["user_id", "valid_from"], "user_sk")
     return keyed.select("user_sk", "user_id", "valid_from")
 
@@ -560,7 +602,7 @@ def _load_user(x: Inputs):
     from strata.session import scratch_path
 
     path = scratch_path(x.spark, "silver_user")
-    out = _load_twice(D.user_versions(x.users), path, ["user_id", "updated_at"], "user_sk", ["user_id", "updated_at"])
+    out = _load_twice(D.user_versions(x.changes), path, ["user_id", "updated_at"], "user_sk", ["user_id", "updated_at"])
     return out.select("user_sk", "user_id", "updated_at", "country", "loyalty_tier")
 
 
@@ -613,10 +655,54 @@ def _describe_silver(x: Inputs):
     db = "silver_" + root.rsplit("-", 1)[-1]
     tables.ensure_database(x.spark, db, root)
     tables.ensure_table(x.spark, f"{db}.silver_user", schemas.DIM_USER_SCD2, f"{root}/silver_user")
-    scd2 = D.dim_user_scd2(x.users, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS)
+    scd2 = D.dim_user_scd2(x.changes, plain=x.history <= D.DEFAULT_MAX_GROUP_ROWS)
     tables.append_to_table(scd2.drop("is_first"), f"{db}.silver_user")
-    return tables.describe(x.spark, f"{db}.silver_user").join(
-        tables.scan(x.spark, f"{db}.silver_user").agg(F.count(F.lit(1)).alias("rows_loaded")))
+    loaded = tables.scan(x.spark, f"{db}.silver_user").count()
+    return tables.describe(x.spark, f"{db}.silver_user").withColumn("rows_loaded", F.lit(loaded).cast("long"))
+
+
+@register("silver_quarantine", f"""SELECT event_id, user_id IS NULL AS no_user, product_id IS NULL AS no_product,
+        coalesce(event_time > TIMESTAMP '{AS_OF}', false) AS in_future FROM dedup_norm
+    WHERE event_id NOT IN (SELECT event_id FROM clean_iw)""")
+def _silver_quarantine(x: Inputs):
+    """C17: the rejected events that the silver job stores, read back."""
+    p = _silver(x)
+    return x.spark.read.parquet(p.rejected).selectExpr(
+        "event_id", "user_id IS NULL AS no_user", "product_id IS NULL AS no_product",
+        f"coalesce(event_time > TIMESTAMP '{AS_OF}', false) AS in_future")
+
+
+@register("silver_fact_stamped", """SELECT row_number() OVER (ORDER BY event_id) AS event_sk, event_id, product_sk,
+        TIMESTAMP '2024-06-01 00:00:00' AS ingestion_ts, 'part' AS ip_file_name FROM fact_iw""")
+def _silver_fact_stamped(x: Inputs):
+    """A11 + B1: the stored fact with its surrogate key and ingestion stamps (file name reduced to its stem)."""
+    p = _silver(x, x.raw.selectExpr("*", "TIMESTAMP '2024-06-01 00:00:00' AS ingestion_ts", "'part-0001.json' AS ip_file_name"))
+    return x.spark.read.parquet(p.fact).selectExpr(
+        "event_sk", "event_id", "product_sk", "ingestion_ts", "split_part(ip_file_name, '-', 1) AS ip_file_name")
+
+
+@register("silver_product_versions", """SELECT product_id, category, version FROM (
+        SELECT product_id, category, 1 AS version FROM products_iw
+        UNION ALL SELECT product_id, upper(category), 2 FROM products_iw WHERE category IS NOT NULL AND upper(category) <> category) v""")
+def _silver_product_versions(x: Inputs):
+    """D7 + E6: a second load with changed categories appends a version of each changed product."""
+    from strata import jobs
+    from strata.session import scratch_path
+
+    path = scratch_path(x.spark, "product_versions")
+    products = D.dim_product(x.clean())
+    later = products.withColumns({"category": F.upper("category"), "updated_ts": F.expr("updated_ts + INTERVAL 1 DAY")})
+    for batch in (products, products, later, later):
+        jobs.load_products(batch, path)
+    return x.spark.read.parquet(path).selectExpr(
+        "product_id", "category", "CAST(row_number() OVER (PARTITION BY product_id ORDER BY updated_ts) AS INT) AS version")
+
+
+def _silver(x: Inputs, events: DataFrame | None = None):
+    from strata import jobs
+    from strata.session import scratch_path
+
+    return jobs.run_silver(x.spark, x.raw if events is None else events, x.changes, scratch_path(x.spark, "silver"), AS_OF, CART)
 
 
 # ================================ ingest (batch and stream) ======================================

@@ -81,12 +81,11 @@ def _sql_list(values) -> str:
 
 
 def _with_country(spark: SparkSession, sf_dir: str, df: DataFrame, user_col: str) -> DataFrame:
-    """Country of the user: customer first (its scan size is known, so the planner's size check
-    decides broadcast vs sort-merge), then the 25-row nation table (a proven bound: broadcast)."""
+    """Country of the user, by way of customer and nation; the planner's size check decides on broadcasts."""
     customer = read_table(spark, sf_dir, "customer").selectExpr("c_custkey AS _uid", "c_nationkey AS _nk")
     nation = read_table(spark, sf_dir, "nation").selectExpr("n_nationkey AS _nk", "n_name AS country")
     joined = df.join(customer, F.expr(f"{user_col} = _uid"), "left")
-    return joined.join(F.broadcast(nation), "_nk", "left").drop("_uid", "_nk")
+    return joined.join(nation, "_nk", "left").drop("_uid", "_nk")
 
 
 def events_view(spark: SparkSession, sf_dir: str, cart_types=config.TEST_CART_TYPES,
@@ -188,6 +187,16 @@ def user_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions of :func:`user_feed` with the columns that a history needs: one scan of ``events``."""
+    ev = read_table(spark, sf_dir, "events").where("event_type = 'signup'").selectExpr(
+        "user_id", "ts", "json_tuple(props, 'k') AS _k")
+    tiers = _sql_list(config.LOYALTY_TIERS)
+    return _with_country(spark, sf_dir, ev, "user_id").selectExpr(
+        "concat('user_', CAST(user_id AS STRING)) AS user_id", "country",
+        f"element_at(array({tiers}), CAST(CAST(_k AS BIGINT) % 4 + 1 AS INT)) AS loyalty_tier", "CAST(ts AS TIMESTAMP) AS updated_at")
+
+
 def user_history_bound(spark: SparkSession, sf_dir: str) -> int:
     """Largest number of feed versions of one user, measured at the source: one version per
     ``signup`` event, so a filtered scan (pushed to Parquet) and a partial aggregate suffice."""

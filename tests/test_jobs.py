@@ -21,4 +21,10 @@ def test_silver_job_idempotent_and_gold_matches_registry(spark, sf_dir):
     reg = sorted(map(tuple, REGISTRY["daily_kpis"].run(spark, sf_dir).collect()))
     assert gold == reg
     out = jobs.run_gold(spark, p, scratch_path(spark, "t_gold"))
-    assert set(out) >= {"daily_kpis", "funnel_metrics", "product_metrics", "top_purchasers"}
+    assert set(out) >= {"daily_kpis", "funnel_metrics", "product_metrics", "top_purchasers", "session_funnel", "best_month"}
+    names = jobs.register_tables(spark, p, "silver_t")
+    assert names == ["silver_date", "silver_events", "silver_product", "silver_user"]
+    assert spark.table("silver_t.silver_events").count() == counts["fact"]
+    kept, rejected = spark.read.parquet(p.events), spark.read.parquet(p.rejected)
+    assert rejected.join(kept, "event_id", "left_semi").count() == 0
+    assert rejected.count() + kept.count() == raw.select("event_id").distinct().count()
