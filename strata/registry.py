@@ -40,10 +40,6 @@ class Inputs:
         """Bronze events: the feed with the anomaly overlay."""
         return T.dirty_events(self.spark, self.sf_dir, CART)
 
-    @cached_property
-    def feed(self) -> DataFrame:
-        return T.events_view(self.spark, self.sf_dir, CART)
-
     @cached_property
     def users(self) -> DataFrame:
         return T.user_feed(self.spark, self.sf_dir)

@@ -30,22 +30,6 @@ CLICKSTREAM_FEED = StructType([
     StructField("quantity", IntegerType()),
 ])
 
-# User profile change feed (one row per version).
-USER_FEED = StructType([
-    StructField("user_id", StringType()),
-    StructField("email", StringType()),
-    StructField("country", StringType()),
-    StructField("loyalty_tier", StringType()),
-    StructField("signup_date", StringType()),
-    StructField("updated_at", StringType()),
-    StructField("change_type", StringType()),
-])
-
-BRONZE_STAMPS = [
-    StructField("ingestion_ts", TimestampType()),
-    StructField("ip_file_name", StringType()),
-]
-
 # Cleaned, typed events (silver input to the fact).
 SILVER_EVENTS = StructType([
     StructField("event_id", StringType(), nullable=False),
@@ -62,8 +46,6 @@ SILVER_EVENTS = StructType([
     StructField("quantity", IntegerType()),
 ])
 
-EVENT_COLUMNS = [f.name for f in SILVER_EVENTS.fields]
-
 # User dimension as the batch job writes it (latest-flag form).
 DIM_USER_LATEST = StructType([
     StructField("user_id", StringType(), nullable=False),

@@ -63,7 +63,3 @@ def ingest_batch(spark: SparkSession, landing: str, bronze: str, schema=schemas.
 
 def feed_columns(schema=schemas.CLICKSTREAM_FEED) -> list[str]:
     return [f.name for f in schema.fields]
-
-
-def is_string(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, StringType)

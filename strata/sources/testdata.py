@@ -35,18 +35,11 @@ DUPLICATE_MOD = 33            # exact copy of a row no other class touched
 # --------------------------------------------------------------------------------------------
 
 _CLASSES = ("null_user", "null_product", "null_attribute", "dirty_type", "bad_quantity", "future", "duplicate")
-_TABLES: dict = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver's (read-only) tables, read once per session: listing and footer reads are
-    not repeated for every query built on them."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    hit = _TABLES.get(key)
-    if hit is None or hit[0] is not spark:  # ids can be reused once a session is gone
-        hit = (spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-        _TABLES[key] = hit
-    return hit[1]
+    """One of the driver's tables, listed anew each time."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def spread(df: DataFrame, by: str | None = None) -> DataFrame:
@@ -56,26 +49,12 @@ def spread(df: DataFrame, by: str | None = None) -> DataFrame:
     ``by`` hash-partitions on an expression instead of round-robin: when a later projection
     names that same expression (e.g. ``CAST(event_id AS STRING) AS event_id``), Spark carries
     the partitioning through the alias and an aggregate on it needs no further shuffle."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the scan as it is
-        return df
-    if parts >= target:
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, F.expr(by)) if by else df.repartition(target)
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, by: str | None = None) -> DataFrame:
-    """``spread`` of a driver table, decided once per session (the tables are read-only)."""
-    key = (id(spark), sf_dir.rstrip("/"), name, "spread", by)
-    hit = _TABLES.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, spread(read_table(spark, sf_dir, name), by=by))
-        _TABLES[key] = hit
-    return hit[1]
-
-
 def _sql_list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -94,7 +73,7 @@ def events_view(spark: SparkSession, sf_dir: str, cart_types=config.TEST_CART_TY
 
     ``json_tuple`` parses ``props`` once per row, and as a generator it keeps predicates on the
     product key above the spread instead of inside the single scan task."""
-    ev = spread_table(spark, sf_dir, "events", by="CAST(event_id AS STRING)").selectExpr(
+    ev = spread(read_table(spark, sf_dir, "events"), by="CAST(event_id AS STRING)").selectExpr(
         "event_id", "ts", "user_id", "event_type", "value", "json_tuple(props, 'k') AS _k")
     if keep_numeric_id:
         # The overlay keys on _n. Produced by a generator after the spread, predicates on it

@@ -115,3 +115,22 @@ def test_asof_strategies_agree(spark, sf_dir):
     a = dims.asof_join(ev, scd, range_join=True).select(*cols)
     b = dims.asof_join(ev, scd, range_join=False, bucket_seconds=6 * 3600).select(*cols)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_null_user_has_a_latest_version(spark):
+    feed = spark.createDataFrame([(None, "de", "2024-01-01", "2024-01-01T00:00:00"), (None, "fr", "2024-01-01", "2024-02-01T00:00:00")],
+                                 "user_id string, country string, signup_date string, updated_at string")
+    assert sorted((r.country, r.is_current) for r in dims.dim_user_latest(feed).collect()) == [("de", False), ("fr", True)]
+
+
+def test_asof_strategies_agree_on_null_times_ties_and_single_versions(spark):
+    import datetime as dt
+
+    day = lambda d: dt.datetime(2024, 1, d)
+    feed = spark.createDataFrame([("one", day(5), "DE", "gold"), ("two", day(5), "DE", "gold"), ("two", day(9), "FR", "gold")],
+                                 "user_id string, updated_at timestamp, country string, loyalty_tier string")
+    events = spark.createDataFrame([(i, u, t) for i, (u, t) in enumerate(
+        [(u, t) for u in ("one", "two", "none", None) for t in (None, day(1), day(5), day(9), day(20))])], "event_id int, user_id string, event_time timestamp")
+    scd2 = dims.dim_user_scd2(feed)
+    by = [{r.event_id: r.version_country for r in dims.asof_join(events, scd2, range_join=p).collect()} for p in (True, False)]
+    assert by[0] == by[1] and by[0][0] is None and by[0][1] == "DE" and by[0][8] == "FR"
