@@ -42,19 +42,27 @@ def main(argv):
     from strata import config, jobs
     from strata.operators import clean as C
     from strata.operators import dims as D
+    from strata.operators import facts as X
     from strata.operators import kpis as K
     from strata.operators import quality as Q
+    from strata.operators.load import new_rows
     from strata.session import build_session, scratch_path
     from strata.sources import testdata as T
 
     spark = build_session("local[8]")
     cart, as_of = config.TEST_CART_TYPES, config.TEST_AS_OF
-    raw, users = T.dirty_events(spark, sf_dir), T.user_feed(spark, sf_dir)
+    raw, users = T.dirty_events(spark, sf_dir), T.user_changes(spark, sf_dir)
     clean = C.clean_events(raw, "intended", as_of, cart)
+    wide_path = scratch_path(spark, "plans_wide")
+    raw.repartition(24).write.parquet(wide_path)
+    wide = spark.read.parquet(wide_path)
     largest = D.history_size(users)
     scd2 = D.dim_user_scd2(users, plain=largest <= D.DEFAULT_MAX_GROUP_ROWS)
     p = jobs.run_silver(spark, raw, users, scratch_path(spark, "plans_silver"), as_of, cart)
     star = jobs.load_star(spark, p)
+    stored = spark.read.schema(star.fact.schema).parquet(p.fact)
+    batch = X.build_fact(spark.read.parquet(p.events), star.users, star.products, star.dates)
+    day = spark.read.parquet(p.events).where("event_date = DATE '2024-01-15'")
     queries = {
         "clean_events (intended)": clean,
         "daily_kpis (from clean)": K.daily_kpis(clean),
@@ -64,6 +72,12 @@ def main(argv):
         "asof_join (bucketed carry)": D.asof_join(T.events_view(spark, sf_dir), scd2, range_join=False),
         "dim_product_first4": D.dim_product_first4(raw, as_of),
         "anomaly_report": Q.anomaly_report(raw, as_of, cart),
+        "fact build (as-of user, product and date keys)": batch,
+        "user load (anti-join on the stored change log)": new_rows(D.user_versions(users), spark.read.parquet(p.users), ["user_id", "updated_at"]),
+        "fact load of one day (target pruned to its partitions)": new_rows(day, stored, ["event_id"], "event_date", unique=True),
+        "cleaning on a wide scan (no spread)": C.clean_events(wide, "intended", as_of, cart),
+        "daily_kpis as written (multiplicities)": K.daily_kpis_as_written(K.Fanned(
+            C.clean_events(raw, "as_written", as_of, cart), D.dim_user_latest(T.user_feed(spark, sf_dir)), D.dim_product_first4(raw, as_of), D.dim_date(raw))),
         "gold daily_kpis (written fact)": K.daily_kpis(star.fact),
         "gold product_metrics (eager aggregation)": K.product_metrics(star),
         "gold top_purchasers (top 50)": K.top_purchasers(star),
