@@ -30,14 +30,31 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write ``df`` once under the shared checkpoint folder; the table read back and its path."""
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, forget: Callable[[], None]) -> None:
+    """Called in a worker before an operator fills a cache: the caches of other operators are emptied, so that
+    a worker which serves several operators, as in a pipeline, holds the cache of one at a time."""
+    for other in [n for n in _HELD if n != name]:
+        _HELD.pop(other)()
+    _HELD[name] = forget
+
+
+def written(df: DataFrame, name: str, parts: int | None = None) -> tuple[DataFrame, str]:
+    """Write ``df`` once under the shared checkpoint folder; the table read back and its path. ``parts``: the
+    number of files, for tables known to be small against the session's number of shuffle partitions."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    (df.coalesce(parts) if parts else df).write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def parts_for(rows: int) -> int:
+    """Files for a table of at most so many narrow rows."""
+    return 1 + rows // 200_000
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder that :func:`written` made."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -112,19 +129,20 @@ def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
     spark = edges.sparkSession
     pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
     edges_now, edges_path = written(pairs, f"{name}-edges")
+    parts = parts_for(2 * edges_now.count())  # no later table has more rows
     both = edges_now.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
         edges_now.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    roots, roots_path = written(both.select("node").distinct().withColumn("component", F.col("node")), f"{name}-roots")
+    roots, roots_path = written(both.select("node").distinct().withColumn("component", F.col("node")), f"{name}-roots", parts)
     while not edges_now.isEmpty():
         both = edges_now.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
             edges_now.select(F.col("b").alias("node"), F.col("a").alias("other")))
         hook, hook_path = written(
             both.groupBy("node").agg(F.min("other").alias("to")).select("node", F.least("node", "to").alias("to")),
-            f"{name}-hook")
+            f"{name}-hook", parts)
         while True:
             nxt = hook.select(F.col("node").alias("to"), F.col("to").alias("further"))
             jumped, jumped_path = written(
-                hook.join(nxt, "to").select("node", "to", "further"), f"{name}-jump")
+                hook.join(nxt, "to").select("node", "to", "further"), f"{name}-jump", parts)
             moved = not jumped.where("further <> to").isEmpty()
             hook = jumped.select("node", F.col("further").alias("to"))
             remove(spark, hook_path)
@@ -133,12 +151,12 @@ def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
                 break
         new_roots, new_roots_path = written(
             roots.join(hook.select(F.col("node").alias("component"), "to"), "component", "left")
-            .select("node", F.coalesce("to", "component").alias("component")), f"{name}-roots")
+            .select("node", F.coalesce("to", "component").alias("component")), f"{name}-roots", parts)
         new_edges, new_edges_path = written(
             edges_now.join(hook.select(F.col("node").alias("a"), F.col("to").alias("ra")), "a")
             .join(hook.select(F.col("node").alias("b"), F.col("to").alias("rb")), "b")
             .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).where("a < b").distinct(),
-            f"{name}-edges")
+            f"{name}-edges", parts)
         for path in (hook_path, roots_path, edges_path):
             remove(spark, path)
         roots, roots_path, edges_now, edges_path = new_roots, new_roots_path, new_edges, new_edges_path
