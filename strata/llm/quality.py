@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SLICE_ROWS, fresh
+from strata.llm.common import SLICE_ROWS, fresh, hold
 
 #: Bounds of the samples that the classifiers are fitted on; rounds of co-training.
 LABELLED, POOL, ROUNDS = 2500, 2500, 3
@@ -181,6 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", labell
     shared = docs.sparkSession.sparkContext.broadcast(chosen)
 
     def make(batches):
+        hold("quality", _WORDS.clear)
         for batch in batches:
             ids = batch.column("id").to_pylist()
             take = [i for i, d in enumerate(ids) if d in shared.value]
@@ -211,6 +212,7 @@ def score(docs: DataFrame, model: Model | None, out: str) -> DataFrame:
 
     def rate(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
         margins = []
+        hold("quality", _WORDS.clear)
         for i in range(0, len(text), SLICE_ROWS):
             part = (c.slice(i, SLICE_ROWS).to_pylist() for c in (text, lang, source, n_chars))
             margins += [model.margins(t or "", la, s, n) for t, la, s, n in zip(*part)]

@@ -27,7 +27,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from strata.llm.common import per_batch, texts
+from strata.llm.common import hold, per_batch, texts
 
 SPACE = "▁"
 #: Segments kept in each of the two generations of a worker's cache, and the longest kept.
@@ -173,6 +173,10 @@ class PieceModel:
         text = raw.decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if start and text.startswith(" ") else text
 
+    def forget(self):
+        self.young, self.old, self.odd = {}, {}, {}
+        self.fits.clear()
+
     def lookup(self, segment: str) -> str:
         """Decimal ids of a segment, each followed by a comma."""
         if (ids := self.old.get(segment)) is None:
@@ -221,6 +225,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         m = model(model_path)
+        hold("spm", m.forget)
         counts, flat, ids_sha, text_sha, same = [], [], [], [], []
         for text in texts(batch):
             ids, plain = m.encode(text)
