@@ -18,7 +18,7 @@
 Words are runs of anything but space and tab to carriage return, A-Z lower-cased. Defined results: a
 text with fewer words than a shingle is one shingle, texts that are null, empty or without words have
 no shingles, link with nothing and are kept; repeated rows are exact copies of each other; a null id
-gets its class's component and is kept only where that has no id; an empty table gives an empty
+gets the component of its exact copies and is kept only where none of them has an id; an empty table gives an empty
 result; other columns are ignored.
 """
 
