@@ -203,3 +203,37 @@ def test_decontamination_odd_rows(spark, odd_docs):
     assert kept.columns == odd_docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 7, 8, 9]
     assert decontam.leaks(odd_docs.limit(0), bench).count() == 0 and decontam.leaks(odd_docs, bench.limit(0)).count() == 0
     assert decontam.without_leaks(odd_docs, bench.limit(0)).count() == 10
+
+
+def planted_in(held, passages, pick, replaced, times=1):
+    """(doc_id, text) rows with a passage of each kind in the middle of a document's words, the last ``keep`` words untouched."""
+    rows, spare = [], [w for t in held for w in t.split()]
+    for k, (text, keep) in enumerate(passages):
+        for n in range(times):
+            w, outer = text.split(), held[pick.randrange(len(held))].split()
+            for i in pick.sample(range(len(w) - keep), int(replaced * (len(w) - keep))):
+                w[i] = pick.choice(spare)
+            at = pick.randrange(len(outer) + 1)
+            rows.append((k * times + n, " ".join(outer[:at] + w + outer[at:])))
+    return rows
+
+
+def confirmed(item, text):
+    """Brute force: the rule of the docstring over the whole document, without any search before it."""
+    one = decontam.Passages([(0, item)])
+    codes, (words,), (answer,) = one.codes(text), one.items, one.answers
+    share = decontam.common_length(words, codes) / len(words)
+    return share >= decontam.LCS or share >= decontam.LOOSE and decontam.common_length(answer, codes) >= 0.8 * len(answer)
+
+
+def test_decontamination_recall_of_large_benchmarks(spark, sf_dir):
+    pick = random.Random(11)
+    held = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() if r.text and len(r.text.split()) > 80]
+    spare = [w for t in held for w in t.split()]
+    items = [" ".join(pick.choice(spare) for _ in range(pick.randrange(25, 60))) for _ in range(240)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for replaced in (0.3, 0.5):
+        rows = planted_in(held, [(t, 5) for t in items], pick, replaced)
+        due = {(d, d) for d, text in rows if confirmed(items[d], text)}
+        found = {(r.doc_id, r.item_id) for r in decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+        assert len(due) > 100 and len(due & found) >= 0.97 * len(due)
