@@ -237,3 +237,18 @@ def test_decontamination_recall_of_large_benchmarks(spark, sf_dir):
         due = {(d, d) for d, text in rows if confirmed(items[d], text)}
         found = {(r.doc_id, r.item_id) for r in decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
         assert len(due) > 100 and len(due & found) >= 0.97 * len(due)
+
+
+def test_decontamination_long_passages(spark, sf_dir):
+    pick = random.Random(12)
+    held = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() if r.text and len(r.text.split()) > 80]
+    spare = [w for t in held for w in t.split()]
+    starts = [pick.randrange(len(spare) - n) for n in (400, 700, 1000, 1500, 2500) for _ in range(4)]
+    items = [" ".join(spare[s:s + n]) for s, n in zip(starts, [n for n in (400, 700, 1000, 1500, 2500) for _ in range(4)])]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = planted_in(held, [(t, 60) for t in items], pick, 0) + [(100 + d, t) for d, t in planted_in(held, [(t, 60) for t in items], pick, 0.25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()}
+    missed = [d for d, text in rows if confirmed(items[d % 100], text) and (d, d % 100) not in found]
+    assert not missed
+    assert {len(p) for p in decontam.Passages([(0, items[-1])]).pieces} == {59, 60}
