@@ -252,3 +252,14 @@ def test_decontamination_long_passages(spark, sf_dir):
     missed = [d for d, text in rows if confirmed(items[d % 100], text) and (d, d % 100) not in found]
     assert not missed
     assert {len(p) for p in decontam.Passages([(0, items[-1])]).pieces} == {59, 60}
+
+
+def test_decontamination_short_passages(spark, sf_dir):
+    pick = random.Random(13)
+    held = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() if r.text and len(r.text.split()) > 80]
+    spare = [w for w in " ".join(held).split() if decontam.words_of(w)]
+    items = [" ".join(spare[s:s + n]) for n in (2, 3, 4, 5, 8, 11) for s in pick.sample(range(len(spare) - n), 25)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = planted_in(held, [(t, len(t.split())) for t in items], pick, 0)
+    found = {(r.doc_id, r.item_id) for r in decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert {(d, d) for d, _ in rows} <= found
