@@ -2,8 +2,8 @@
 
 log P(text) = sum over tokens of log P(group | context) + log P(class | group, context) + log P(word | class).
 
-Classes are the leaves of a two-level tree (GROUPS x GROUPS). Words with a share of at least 1/HOT_CLASSES
-of the training tokens (at most HOT_CLASSES of them) are classes of their own, every other word is hashed
+Classes are the leaves of a two-level tree (GROUPS x GROUPS). The HOT_CLASSES most frequent words of the
+training tokens (ties by the word) are classes of their own, every other word is hashed
 by its last three bytes into a class, the end of a text is one class. A word's class is its hashed
 feature; the context features are the previous word (bigram), the word before it (skip, hashed into
 GROUPS buckets) and a hash of both. The group softmax uses all three, the class softmax the bigram.
@@ -19,7 +19,7 @@ what the discount leaves is the class's unknown word. So the model is a distribu
 words, one unknown word for each hashed class, and the end.
 
 Word counts are exact, over all training tokens. Words with a share of 1/HOT_WORDS (hence at most
-HOT_WORDS of them) are broadcast for scoring; every other (word, text, frequency) row meets its count
+HOT_WORDS of them) or a class of their own are broadcast for scoring; every other (word, text, frequency) row meets its count
 in a join on the word, where no key can be hot.
 
 Defined results: null and empty texts are the end alone; a null id is not held out; repeated rows are
@@ -237,11 +237,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
     total, size = spoken + ends, distinct + (ends > 0)
     discount = once / (once + 2 * twice) if once else 0.5
 
-    # At most HOT_CLASSES words have such a share.
-    own = vocabulary.where(F.col("n") * HOT_CLASSES >= spoken).orderBy(F.desc("n"), "word").collect()
+    own = vocabulary.orderBy(F.desc("n"), "word").limit(HOT_CLASSES).collect()
     hot = {r.word.encode(): i for i, r in enumerate(own)}
+    has_class = F.col("word").isin([r.word for r in own])
     leaf = F.lit(TAIL) + F.crc32(F.expr("substring(cast(word as binary), -3, 3)")) % SUFFIXES
-    tail = vocabulary.where(F.col("n") * HOT_CLASSES < spoken).groupBy(leaf.cast("int").alias("leaf")).agg(
+    tail = vocabulary.where(~has_class).groupBy(leaf.cast("int").alias("leaf")).agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()  # at most SUFFIXES rows
     tokens, kinds = np.zeros(LEAVES), np.zeros(LEAVES)
     for r in tail:
@@ -252,7 +252,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
         "h1", "held.at", "held.n").repartition(8, "h1"), "maxent-cells")
     weights = train_weights(cells)
 
-    known = dict(vocabulary.where(F.col("n") * hot_words >= spoken).toPandas().itertuples(index=False, name=None)) if spoken else {}
+    known = dict(vocabulary.where((F.col("n") * hot_words >= spoken) | has_class).toPandas().itertuples(index=False, name=None)) if spoken else {}
     names = [w.encode() for w in known]
     counts = np.array(list(known.values()), float)
     base = np.log10((counts + 1) / (total + size + 1))
@@ -306,7 +306,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
                 "score": pa.concat_arrays([none(pa.float64()), pa.array(scores, pa.float64())])})
 
     rows = frame.mapInArrow(rate, f"word string, row long, times long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double")
-    rare = vocabulary.where(F.col("n") * hot_words < spoken).select("word", F.col("n").alias("c"))
+    rare = vocabulary.where((F.col("n") * hot_words < spoken) & ~has_class).select("word", F.col("n").alias("c"))
     log_tokens = F.array(*(F.lit(float(x)) for x in np.log10(np.maximum(tokens[TAIL:END], 1))))
     log_unknown = F.array(*(F.lit(float(x)) for x in np.log10(unknown[TAIL:END])))
     place = (F.crc32(F.expr("substring(cast(word as binary), -3, 3)")) % SUFFIXES).cast("int")

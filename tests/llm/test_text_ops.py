@@ -125,6 +125,17 @@ def test_base_scores_equal_brute_force(spark, odd_docs, hot):
     assert maxent.score(odd_docs.limit(0)).count() == 0
 
 
+def pairs_of_rarer_words():
+    """Texts of 200 fixed pairs of words, each word under 1/510 of the tokens and with the same last three bytes, among words seen once."""
+    pick = random.Random(6)
+    return [" ".join(f"{k}left_ab {k}right_ab once{n}x{i}" for i, k in enumerate(pick.choices(range(200), k=20))) for n in range(300)]
+
+
+def test_frequent_words_have_classes_of_their_own_whatever_their_share(spark):
+    got = maxent.score(frame(spark, pairs_of_rarer_words())).where("held_out").collect()
+    assert len(got) > 20 and sum(r.score for r in got) > 0.57 * sum(r.base_score for r in got)
+
+
 def test_model_beats_the_base_on_held_out_texts(spark):
     pick = random.Random(4)
     east, west = [[f"{p}{i}" for i in range(60)] for p in "ew"]
