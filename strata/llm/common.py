@@ -72,16 +72,17 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that no slice holds more than SLICE_ROWS rows or, when it has more than
-    one row, much more than SLICE_BYTES of ``column``."""
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", rows: int = SLICE_ROWS,
+           size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that no slice holds more than ``rows`` rows or, when it has more than
+    one row, much more than ``size`` bytes of ``column``."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(sizes):
-            if i > start and (i - start >= SLICE_ROWS or held + n > SLICE_BYTES):
+            if i > start and (i - start >= rows or held + n > size):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += int(n)

@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontam, langid, lattice, maxent, minhash, pii, quality, spm, tokens, warc
+from strata.llm import collocations, conversations, decontam, divergence, langid, lattice, maxent, minhash, oracles, pii, quality, spm, tokens, warc
 from strata.llm.common import importable
 from strata.session import scratch_path
 
@@ -84,8 +84,26 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
-QUERIES = _registered(op1_warc, op2_quality_cotraining, op3_lattice_near_dup, op4_maxent_lm, op5_language_id, op6_minhash_near_dup, op7_decontamination, op8_token_counts, op9_pii_pseudonyms, op10_sentencepiece) | {"pipeline": corpus_pipeline.run}
+def op11_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of every whole text."""
+    return divergence.judge(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
-# The similarity, training, tokenizer and keyed-permutation queries are beyond SQL; tests/llm checks them
-# against brute force. WARC roles are grouped aggregates.
-ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of every conversation, after
+    damage to its rows."""
+    hurt = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.audit(hurt, present_col="present").drop("rows", "repaired_rows")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lang, rank, phrase, a, l, r, n, score of each language's first 2,000 phrases of two and three words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = _registered(op1_warc, op2_quality_cotraining, op3_lattice_near_dup, op4_maxent_lm, op5_language_id, op6_minhash_near_dup, op7_decontamination, op8_token_counts, op9_pii_pseudonyms, op10_sentencepiece,
+                      op11_distribution_divergence, op12_conversation_repair, op13_collocations) | {"pipeline": corpus_pipeline.run}
+
+# The other similarity, training, tokenizer and keyed-permutation queries are beyond SQL; tests/llm checks them
+# against brute force.
+ORACLES: dict[str, str] = oracles.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
