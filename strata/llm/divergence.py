@@ -113,7 +113,8 @@ def references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     by_word = docs.where(f"length(text) >= {min_chars}").selectExpr("lang", f"explode({words('text')}) as word").groupBy(
         "lang", "word").agg(F.expr("count(1) as n"))
     by_word, _ = written(by_word, "divergence-words")
-    totals = by_word.groupBy("lang").agg(F.expr("sum(n) as total"))
+    # Written, so that its size is known and the join needs no shuffle of the words by language.
+    totals, _ = written(by_word.groupBy("lang").agg(F.expr("sum(n) as total")), "divergence-totals", 1)
     common = by_word.join(totals, "lang").where(f"n * {COMMON_SHARE} >= total").groupBy("lang").agg(
         F.expr("sort_array(collect_list(struct(-n as m, word as word))) as top"))
     return totals.join(common, "lang", "left").selectExpr(
