@@ -1,21 +1,24 @@
 """Operator 13: phrase collocations by dynamic itemset counting.
 
-Documents are dealt into ``shards`` parts of a written table that are scanned in turn, over and over. Words are counted
-from the first scan on. A phrase of two words begins to be counted with the scan after both its words have been seen
-``least`` times, one of three words after both its two-word phrases have; each is counted for one full cycle, so over
-every part once, and the scans end when no phrase is left whose cycle runs. A phrase that occurs ``least`` times has
-parts that do, so it is never missed, and phrases that cannot reach it are mostly never counted.
-
-When a phrase becomes active is kept by its hash: one byte for each of a fixed number of slots of words and of two-word
-phrases holds the first scan after which a phrase of that slot had ``least`` occurrences (by exact counts; the slots
-come to the driver as bitmaps). The bytes are the only thing broadcast, and their number does not depend on the data.
-Phrases that share a slot may begin early, which costs time but changes no count: a phrase's cycle starts where its parts'
-bytes say, the same in every task and scan. With far more phrases than slots more phrases are counted than need be.
+Documents are dealt into ``shards`` parts of a written table that are scanned in turn, over and over. Words are on trial
+from the first scan on. A phrase of two words goes on trial with the scan after both its words reached ``least``
+occurrences. A trial ends when the phrase reaches ``least`` itself, or after one full cycle. A phrase that reached it
+is counted by name for one full cycle, so over every part once, and so is one of three words from the scan after both
+its two-word phrases reached it. A phrase that occurs ``least`` times has parts that do, so none is missed, and the scans
+end when no cycle runs any more. All lengths share the scans.
+
+Trials are counted by hash: per slice of texts and hash bucket one sorted run of cells and counts, merged bucket by
+bucket (their number grows with the texts, so a bucket stays small). When a phrase reached ``least`` is kept by slot: one
+byte for each of a fixed number of slots of words and of two-word phrases holds the first scan after which a cell of the slot had
+``least`` occurrences. These bytes are the only thing broadcast, and their number does not depend on the data.
+Phrases that share a cell or slot may go on early, which costs time but changes no count: all results come from the counts by
+name, whose cycles start where the bytes say, the same in every task and scan. With far more frequent phrases
+than slots more phrases are named than need be.
 
 Within a task, bounded slices of texts are cut into words and counted by number as numpy arrays; only distinct phrases
-of a slice leave it, are combined map-side and meet by (language, phrase). Scores use the exact totals: a candidate's cuts
-are joined with the counts of their parts, which adaptive execution splits where a part is hot; the rank per language is
-limited before its shuffle.
+of a slice leave it, are combined map-side and meet by (language, phrase) once. Scores use the exact totals: a candidate's
+cuts are joined with the counts of their parts, which adaptive execution splits where a part is hot; the rank per
+language is limited before its shuffle.
 
 Defined results: null texts count as empty, a null language is ``und``; a text without words adds nothing; repeated rows
 count each; equal scores go by count, then phrase; an empty table gives an empty result. Other columns play no part.
@@ -51,7 +54,12 @@ _KIND[list(b".,;:!?\n\x0b\x0c\r")] = _END
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_COUNTS = "len tinyint, lang string, phrase string, slot int, waits boolean, n long"
+_CELLS = np.uint64((1 << 32) - 1)
+#: Bytes of text for one hash bucket of trials.
+BUCKET_BYTES = 4 << 20
+#: What a scan writes: counts by name, and runs of cells on trial (lang, phrase and n null).
+_COUNTS = "len tinyint, lang string, phrase string, n long, bucket int, cells binary"
+_TRIALS = "len tinyint, bucket int, cells binary, slots array<int>"
 
 
 def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -116,17 +124,51 @@ def _words(batch: pa.RecordBatch):
     return unit, joined, units // len(words), units % len(words), counts, langs.dictionary, words
 
 
-def _rows(length: int, langs: pa.Array, words: pa.Array, lang: np.ndarray, parts: list, slot: np.ndarray, waits: np.ndarray,
-          n: np.ndarray) -> pa.RecordBatch:
+def _named(length: int, langs: pa.Array, words: pa.Array, lang: np.ndarray, parts: list, n: np.ndarray) -> pa.RecordBatch:
     taken = [words.take(pa.array(p)) for p in parts]
     phrase = taken[0] if length == 1 else pc.binary_join_element_wise(*taken, pa.scalar(b" ", pa.large_binary()))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(n), length, np.int8)), langs.take(pa.array(lang)).cast(pa.string()), phrase.cast(pa.large_string()).cast(pa.string()),
-         pa.array(slot.astype(np.int32)), pa.array(waits), pa.array(n.astype(np.int64))], ["len", "lang", "phrase", "slot", "waits", "n"])
+    return _batch(length, langs.take(pa.array(lang)).cast(pa.string()), phrase.cast(pa.large_string()).cast(pa.string()),
+                  pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary()))
 
 
-def _count(batch: pa.RecordBatch, scan: int, shards: int, word_starts: np.ndarray, pair_starts: np.ndarray):
-    """The phrases of a slice whose cycle holds this scan, with their occurrences."""
+def _batch(length: int, *columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), length, np.int8)), *columns], ["len", "lang", "phrase", "n", "bucket", "cells"])
+
+
+def _packed(cells: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted cells as differences, byte plane by byte plane (the upper ones are nearly all zero), then the counts."""
+    steps = np.diff(cells, prepend=np.uint32(0)).astype("<u4")
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes() + np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(data) // 5
+    planes = np.frombuffer(data, np.uint8)
+    steps = np.ascontiguousarray(planes[:4 * n].reshape(4, n).T).view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.uint32), planes[4 * n:].astype(np.int64)
+
+
+def _cells(hashed: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    buckets = np.uint64(buckets)
+    return (hashed % buckets).astype(np.int64), ((hashed // buckets) & _CELLS).astype(np.uint32)
+
+
+def _slots(bucket: np.ndarray, cell: np.ndarray, slots: int) -> np.ndarray:
+    return (mix64((bucket.astype(np.uint64) << np.uint64(32)) | cell.astype(np.uint64)) % np.uint64(slots)).astype(np.int64)
+
+
+def _trial(length: int, bucket: np.ndarray, cell: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    order = np.lexsort((cell, bucket))
+    bucket, cell, n = bucket[order], cell[order], n[order]
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
+    runs = [_packed(cell[i:j], n[i:j]) for i, j in zip(edges[:-1], edges[1:])]
+    none = len(runs)
+    return _batch(length, pa.nulls(none, pa.string()), pa.nulls(none, pa.string()), pa.nulls(none, pa.int64()),
+                  pa.array(bucket[edges[:-1]].astype(np.int32)), pa.array(runs, pa.binary()))
+
+
+def _count(batch: pa.RecordBatch, scan: int, shards: int, buckets: int, word_starts: np.ndarray, pair_starts: np.ndarray):
+    """What a slice adds in this scan: cells of phrases on trial, and occurrences of those counted by name."""
     found = _words(batch)
     if found is None:
         return
@@ -135,38 +177,62 @@ def _count(batch: pa.RecordBatch, scan: int, shards: int, word_starts: np.ndarra
     def runs(start):
         return (start <= scan) & (scan < start.astype(np.int64) + shards)
 
+    def counted(length, hashed, starts, on_trial, counts, lang, parts):
+        """Each phrase's start by name; rows of those on trial or by name in this scan."""
+        bucket, cell = _cells(hashed, buckets)
+        start = starts[_slots(bucket, cell, len(starts))]
+        tried, named = on_trial & (start > scan), runs(start)
+        rows = [_trial(length, bucket[tried], cell[tried], counts[tried])] if tried.any() else []
+        if named.any():
+            rows.append(_named(length, langs, words, lang[named], [p[named] for p in parts], counts[named]))
+        return start, rows
+
     hashed = mix64(_hashes(words)[unit_word] ^ mix64(_hashes(langs)[unit_lang] + _BASE))
-    slot = (hashed % np.uint64(len(word_starts))).astype(np.int64)
-    start = word_starts[slot]
-    if scan < shards:
-        yield _rows(1, langs, words, unit_lang, [unit_word], slot, start == NEVER, counts)
+    if scan < shards:  # all words of each language, in rows of length 0
+        total = np.bincount(unit_lang, weights=counts, minlength=len(langs)).astype(np.int64)
+        own = np.flatnonzero(total)
+        yield _batch(0, langs.take(pa.array(own)).cast(pa.string()), pa.array([""] * len(own)), pa.array(total[own]),
+                     pa.nulls(len(own), pa.int32()), pa.nulls(len(own), pa.binary()))
+    trial = np.full(len(hashed), scan < shards)
+    start, rows = counted(1, hashed, word_starts, trial, counts, unit_lang, [unit_word])
+    yield from rows
     ready = start[unit] <= scan
-    at = np.flatnonzero(joined[:-1] & ready[:-1] & ready[1:])  # where a phrase of two active words begins
+    at = np.flatnonzero(joined[:-1] & ready[:-1] & ready[1:])  # where a phrase of two frequent words begins
     if not len(at):
         return
     pairs, pair, counts = _distinct(unit[at] * len(unit_lang) + unit[at + 1], len(unit_lang) ** 2)
     one, two = pairs // len(unit_lang), pairs % len(unit_lang)
-    slot = (mix64(hashed[one] * _BASE + mix64(hashed[two])) % np.uint64(len(pair_starts))).astype(np.int64)
-    pair_start = pair_starts[slot]
-    now = runs(np.maximum(start[one], start[two]))
-    if now.any():
-        yield _rows(2, langs, words, unit_lang[one[now]], [unit_word[one[now]], unit_word[two[now]]], slot[now], pair_start[now] == NEVER, counts[now])
+    pair_start, rows = counted(2, mix64(hashed[one] * _BASE + mix64(hashed[two])), pair_starts, runs(np.maximum(start[one], start[two])),
+                               counts, unit_lang[one], [unit_word[one], unit_word[two]])
+    yield from rows
     follows = np.flatnonzero(np.diff(at) == 1)  # the next phrase begins one word later
     follows = follows[runs(np.maximum(pair_start[pair[follows]], pair_start[pair[follows + 1]]))]
     if len(follows):
         triples, _, counts = _distinct(pair[follows] * len(unit_lang) + unit[at[follows] + 2], len(pairs) * len(unit_lang))
         first, third = triples // len(unit_lang), triples % len(unit_lang)
-        none = np.zeros(len(triples), bool)
-        yield _rows(3, langs, words, unit_lang[third], [unit_word[one[first]], unit_word[two[first]], unit_word[third]], none, none, counts)
+        yield _named(3, langs, words, unit_lang[third], [unit_word[one[first]], unit_word[two[first]], unit_word[third]], counts)
 
 
 # ---- scans -----------------------------------------------------------------------------------------------
-def _reached(sums: DataFrame, least: int, starts: dict[int, np.ndarray], scan: int) -> None:
-    """Slots with a phrase of ``least`` occurrences become active with the next scan."""
-    bitmaps = sums.where(f"n >= {least}").groupBy("len", F.expr("bitmap_bucket_number(slot + 1) as bucket")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(slot + 1)) as bits"))
-    for length, bucket, bits in bitmaps.collect():  # at most slots / 8 bytes
-        marked = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")) + (bucket - 1) * _BITMAP
+def _merged(runs: pa.Table, least: int, slots: dict[int, int]) -> pa.Table:
+    """One bucket's runs as one: cells below ``least``, and the slots of those that reached it."""
+    length, bucket = runs.column("len")[0].as_py(), runs.column("bucket")[0].as_py()
+    cells, counts = (np.concatenate(x) for x in zip(*map(_unpacked, runs.column("cells").to_pylist())))
+    cells, which = np.unique(cells, return_inverse=True)
+    counts = np.bincount(which, weights=counts).astype(np.int64)
+    reached = cells[counts >= least]
+    rest = _packed(cells[counts < least], counts[counts < least])
+    slot = _slots(np.full(len(reached), bucket), reached, slots[length]).astype(np.int32)
+    return pa.table({"len": pa.array([length], pa.int8()), "bucket": pa.array([bucket], pa.int32()), "cells": pa.array([rest], pa.binary()),
+                     "slots": pa.array([slot], pa.list_(pa.int32()))})
+
+
+def _reached(merged: DataFrame, starts: dict[int, np.ndarray], scan: int) -> None:
+    """Slots with a cell that reached the threshold count by name from the next scan on."""
+    bitmaps = merged.selectExpr("len", "explode(slots) as at").groupBy("len", F.expr("bitmap_bucket_number(at + 1) as part")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(at + 1)) as bits"))
+    for length, part, bits in bitmaps.collect():  # at most slots / 8 bytes
+        marked = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")) + (part - 1) * _BITMAP
         new = marked[starts[length][marked] == NEVER]
         starts[length][new] = scan + 1
 
@@ -174,40 +240,45 @@ def _reached(sums: DataFrame, least: int, starts: dict[int, np.ndarray], scan: i
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, shards: int = SHARDS,
                   word_slots: int = WORD_SLOTS, pair_slots: int = PAIR_SLOTS) -> tuple[DataFrame, DataFrame]:
     """(len, lang, phrase, n of every phrase of 1 to 3 words with ``least`` occurrences; lang, words of every language
-    with a word), as written tables."""
+    with a word), as written tables. ``least`` is at most 255 (trial counts are bytes)."""
+    if not 1 <= least <= 255:
+        raise ValueError(f"least must be in 1..255, got {least}")
     spark: SparkSession = docs.sparkSession
     root = scratch_path(spark, "collocation-shards")
     docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                 (F.monotonically_increasing_id() % shards).cast("int").alias("shard")).write.partitionBy("shard").parquet(root)
+    dealt = spark.read.schema("lang string, text string, shard int").parquet(root)
+    buckets = 64 + (dealt.agg(F.expr("sum(octet_length(text))")).first()[0] or 0) // BUCKET_BYTES
     starts = {1: np.full(word_slots, NEVER, np.uint8), 2: np.full(pair_slots, NEVER, np.uint8)}
+    sizes = {1: word_slots, 2: pair_slots}
     tables, waiting, scan = [], None, 0
 
-    def last_scan():
-        active = [int(s[s != NEVER].max(initial=0)) for s in starts.values()]
-        return max(a + shards - 1 if a else 0 for a in [*active, 0])
+    def last(length):
+        """The last scan in which a cycle that starts with a slot of phrases of this length runs."""
+        return int(starts[length][starts[length] != NEVER].max(initial=0)) + shards - 1
 
-    while scan < shards or scan <= last_scan():
+    while scan < shards or scan <= max(last(1), last(2)):
         shared = spark.sparkContext.broadcast((starts[1], starts[2]))
 
         def run(batches, scan=scan, shared=shared):
             for part in slices(batches, rows=SLICE_ROWS, size=SLICE_BYTES):
-                yield from _count(part, scan, shards, *shared.value)
+                yield from _count(part, scan, shards, buckets, *shared.value)
 
-        shard = spark.read.schema("lang string, text string, shard int").parquet(root).where(f"shard = {scan % shards}").select("lang", "text")
-        tables.append(written(shard.mapInArrow(run, _COUNTS).groupBy("len", "lang", "phrase").agg(
-            F.expr("max(slot) as slot"), F.expr("bool_or(waits) as waits"), F.expr("sum(n) as n")), f"collocations-{scan}"))
+        tables.append(written(dealt.where(f"shard = {scan % shards}").select("lang", "text").mapInArrow(run, _COUNTS), f"collocations-{scan}"))
         shared.destroy()
-        new = tables[-1][0].where("len < 3 and waits" + (" and len > 1" if scan >= shards else "")).select("len", "lang", "phrase", "slot", "n")
-        if waiting:
-            new = new.unionByName(waiting[0].where(f"n < {least}" + (" and len > 1" if scan >= shards else "")))
-        sums = written(new.groupBy("len", "lang", "phrase").agg(F.expr("max(slot) as slot"), F.expr("sum(n) as n")), "collocations-waiting")
-        _reached(sums[0], least, starts, scan)
-        if waiting:
-            remove(spark, waiting[1])
-        waiting, scan = sums, scan + 1
-    counted = functools.reduce(DataFrame.unionByName, [t[0].select("len", "lang", "phrase", "n") for t in tables])
-    totals, _ = written(counted.groupBy("len", "lang", "phrase").agg(F.expr("sum(n) as n")).where(f"n >= {least}"), "collocations-totals")
-    langs, _ = written(counted.where("len = 1").groupBy("lang").agg(F.expr("sum(n) as words")), "collocations-languages")
+        if scan < shards or scan <= last(1):  # trials run
+            trials = tables[-1][0].where("bucket is not null").select("len", "bucket", "cells")
+            if waiting:
+                trials = trials.unionByName(waiting[0].select("len", "bucket", "cells").where("len > 1" if scan >= shards else "true"))
+            merged = written(trials.groupBy("len", "bucket").applyInArrow(lambda runs: _merged(runs, least, sizes), _TRIALS), "collocations-waiting")
+            _reached(merged[0], starts, scan)
+            if waiting:
+                remove(spark, waiting[1])
+            waiting = merged
+        scan += 1
+    named = functools.reduce(DataFrame.unionByName, [t[0] for t in tables]).where("bucket is null")
+    langs, _ = written(named.where("len = 0").groupBy("lang").agg(F.expr("sum(n) as words")), "collocations-languages", 1)
+    totals, _ = written(named.where("len > 0").groupBy("len", "lang", "phrase").agg(F.expr("sum(n) as n")).where(f"n >= {least}"), "collocations-totals")
     for path in [root, waiting[1], *[t[1] for t in tables]]:
         remove(spark, path)
     return totals, langs

@@ -69,13 +69,25 @@ def test_a_phrase_is_counted_for_one_cycle():
     import pyarrow as pa
 
     batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 2, "text": ["a b c. a b", "a\nb c"]})
-    words, pairs = np.full(4, C.NEVER, np.uint8), np.full(4, C.NEVER, np.uint8)
+    words, pairs = np.full(1 << 16, C.NEVER, np.uint8), np.full(1 << 16, C.NEVER, np.uint8)
 
     def counted(scan):
-        return {r["phrase"]: r["n"] for part in C._count(batch, scan, 3, words, pairs) for r in part.to_pylist()}
+        rows = [r for part in C._count(batch, scan, 3, 1, words, pairs) for r in part.to_pylist()]
+        trials = {r["len"]: sorted(C._unpacked(r["cells"])[1].tolist()) for r in rows if r["cells"] is not None}
+        return trials, {r["phrase"]: r["n"] for r in rows if r["cells"] is None and r["len"]}
 
-    assert counted(0) == {"a": 3, "b": 3, "c": 2} and counted(3) == {}
+    assert counted(0) == ({1: [2, 3, 3]}, {}) and counted(3) == ({}, {})
     words[:] = 2
-    assert set(counted(1)) == {"a", "b", "c"} and counted(2)["a b"] == 2 and counted(4) == {"a b": 2, "b c": 2} and counted(5) == {}
+    assert counted(1) == ({1: [2, 3, 3]}, {}) and counted(2) == ({2: [2, 2]}, {"a": 3, "b": 3, "c": 2})
+    assert counted(4) == counted(2) and counted(5) == ({}, {})
     pairs[:] = 3
-    assert counted(5) == {"a b c": 1} and counted(6) == {}
+    assert counted(3) == ({}, {"a": 3, "b": 3, "c": 2, "a b": 2, "b c": 2, "a b c": 1})
+    assert counted(5) == ({}, {"a b": 2, "b c": 2, "a b c": 1}) and counted(6) == ({}, {})
+
+
+def test_runs_of_cells_round_trip():
+    import numpy as np
+
+    cells = np.unique(np.random.default_rng(1).integers(0, 1 << 32, 1000, dtype=np.uint64).astype(np.uint32))
+    got, counts = C._unpacked(C._packed(cells, np.full(len(cells), 300)))
+    assert (got == cells).all() and (counts == 255).all() and len(C._unpacked(b"")[0]) == 0
