@@ -43,6 +43,9 @@ TEST_AS_OF = "2024-02-01 00:00:00"
 # Load time stamped on bronze rows built from the test tables (reproducible runs).
 TEST_LOAD_TS = "2024-02-01 00:00:00"
 
+# A price from here on is no amount of money (a broken feed); keeps sums within their decimals.
+MAX_PRICE = 1_000_000_000
+
 MODES = ("intended", "as_written")
 
 

@@ -46,7 +46,7 @@ def keep_condition(mode: str, as_of: str, cart_types=config.FEED_CART_TYPES):
     config.check_mode(mode)
     rule = "intended" if mode == "intended" else "as_written"
     parts = [f"`{c}` IS NOT NULL" for c in config.REQUIRED_EVENT_COLUMNS]
-    parts += [quality.quantity_sql(rule, cart_types), quality.product_sql(mode, cart_types), quality.PRICE_SQL,
+    parts += [quality.quantity_sql(rule, cart_types), quality.product_sql(mode, cart_types), quality.price_sql(mode),
               quality.time_sql(as_of)]
     return F.expr(" AND ".join(f"({p})" for p in parts))
 

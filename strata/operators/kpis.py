@@ -15,10 +15,6 @@ from strata.operators.facts import Star
 PURCHASE = "purchase"
 
 
-def _cents(c: str) -> str:
-    return f"CAST(CAST(`{c}` AS DECIMAL(18,2)) * 100 AS BIGINT)"
-
-
 def _int_div_sql(a: str, b: str) -> str:
     """Exact floor(a / b) for a >= 0, b > 0 on longs: a - a % b is a multiple of b."""
     return f"CAST((({a}) - ({a}) % ({b})) / ({b}) AS BIGINT)"
@@ -31,9 +27,10 @@ def ratio_sql(num: str, den: str, digits: int) -> str:
     return f"CASE WHEN {d} > 0 THEN CAST({_int_div_sql(f'{n} + {d}', f'{d} * 2')} / {float(scale)} AS DOUBLE) END"
 
 
-def money_avg_sql(total_cents: str, n: str) -> str:
-    """Average of a money total over n, in currency units rounded half-up to cents."""
-    return (f"CASE WHEN {n} > 0 THEN CAST({_int_div_sql(f'{total_cents} * 2 + {n}', f'{n} * 2')} / 100.0 AS DOUBLE) END")
+def money_avg_sql(total: str, n: str) -> str:
+    """Average of an exact money total (six decimals) over n, rounded half-up to cents once, on whole numbers."""
+    micros, per = f"CAST({total} * 1000000 AS DECIMAL(38,0))", f"CAST({n} AS DECIMAL(20,0))"
+    return f"CASE WHEN {n} > 0 THEN CAST(({micros} * 2 + {per} * 10000) div ({per} * 20000) / 100.0 AS DOUBLE) END"
 
 
 LIVE_SQL = (f"user_sk <> {config.UNKNOWN_SK} AND date_key <> {config.UNKNOWN_SK} "
@@ -187,11 +184,11 @@ def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
 # ---- F7 / F8: best sellers (purchases; sales = price x quantity) ---------------------------------
 def _sales(fact: DataFrame) -> DataFrame:
     return (_live(fact).where(f"event_type = '{PURCHASE}'")
-            .withColumn("_sale_cents", F.expr(f"{_cents('price')} * CAST(coalesce(quantity, 0) AS BIGINT)")))
+            .withColumn("_sale", F.expr("CAST(price AS DECIMAL(18,6)) * CAST(coalesce(quantity, 0) AS DECIMAL(10,0))")))
 
 
 _UNITS = "CAST(sum(coalesce(quantity, 0)) AS BIGINT) AS units_sold"
-_SALES = "CAST(sum(_sale_cents) / 100.0 AS DOUBLE) AS sales"
+_SALES = "CAST(round(sum(_sale), 2) AS DOUBLE) AS sales"
 
 
 def best_products(fact: DataFrame) -> DataFrame:
@@ -200,11 +197,11 @@ def best_products(fact: DataFrame) -> DataFrame:
 
 
 def _partial_sales(fact: DataFrame, key: str) -> DataFrame:
-    return _sales(fact).groupBy(key).agg(F.expr("sum(coalesce(quantity, 0)) AS _u"), F.expr("sum(_sale_cents) AS _c"))
+    return _sales(fact).groupBy(key).agg(F.expr("sum(coalesce(quantity, 0)) AS _u"), F.expr("sum(_sale) AS _c"))
 
 
 def _rollup() -> list[Column]:
-    return [F.expr("CAST(sum(_u) AS BIGINT) AS units_sold"), F.expr("CAST(sum(_c) / 100.0 AS DOUBLE) AS sales")]
+    return [F.expr("CAST(sum(_u) AS BIGINT) AS units_sold"), F.expr("CAST(round(sum(_c), 2) AS DOUBLE) AS sales")]
 
 
 def best_categories(star: Star) -> DataFrame:
@@ -233,7 +230,7 @@ def avg_sales_period(star: Star) -> DataFrame:
 
 
 def period_averages(daily: DataFrame) -> DataFrame:
-    """From totals ``_c`` (cents) by ``full_date``: weeks are ISO weeks of ISO years, so the days around
+    """From exact totals ``_c`` by ``full_date``: weeks are ISO weeks of ISO years, so the days around
     a turn of the year fall into one week and weeks of different years stay apart."""
     periods = ("inline(array(named_struct('period', 'week', 'pkey', extract(YEAROFWEEK FROM full_date) * 100 + weekofyear(full_date)), "
                "named_struct('period', 'month', 'pkey', year(full_date) * 100 + month(full_date)), "
@@ -245,9 +242,9 @@ def period_averages(daily: DataFrame) -> DataFrame:
 
 
 def avg_sale_per_user(fact: DataFrame) -> DataFrame:
-    per_user = _sales(fact).groupBy("user_id").agg(F.expr("sum(_sale_cents) AS _t"))
+    per_user = _sales(fact).groupBy("user_id").agg(F.expr("sum(_sale) AS _t"))
     out = per_user.agg(F.expr("count(1) AS purchasing_users"), F.expr("sum(_t) AS _all"))
-    return out.selectExpr("purchasing_users", "CAST(_all / 100.0 AS DOUBLE) AS total_sales",
+    return out.selectExpr("purchasing_users", "CAST(round(_all, 2) AS DOUBLE) AS total_sales",
                           f"{money_avg_sql('_all', 'purchasing_users')} AS avg_sale_per_user")
 
 

@@ -124,16 +124,17 @@ def filter_product(df: DataFrame, mode: str = "intended", cart_types=config.FEED
 
 
 # ---- C11: positive price ---------------------------------------------------------------------
-PRICE_SQL = "NOT (try_cast(price AS DOUBLE) <= 0)"
-
-
-def price_condition() -> Column:
-    """Drops price <= 0, null and unparseable (the comparison is NULL there)."""
-    return F.expr(PRICE_SQL)
+def price_sql(mode: str = "intended") -> str:
+    """as_written: drops price <= 0, null and unparseable (the comparison is NULL there), which keeps NaN and
+    infinity. intended: an amount of money above 0 and below ``MAX_PRICE``; NaN compares as the greatest number."""
+    config.check_mode(mode)
+    if mode == "as_written":
+        return "NOT (try_cast(price AS DOUBLE) <= 0)"
+    return f"(try_cast(price AS DOUBLE) > 0 AND try_cast(price AS DOUBLE) < {config.MAX_PRICE}d)"
 
 
-def filter_positive_price(df: DataFrame) -> DataFrame:
-    return df.filter(price_condition())
+def filter_positive_price(df: DataFrame, mode: str = "as_written") -> DataFrame:
+    return df.filter(F.expr(price_sql(mode)))
 
 
 # ---- C12 / C13: time ---------------------------------------------------------------------------
@@ -194,7 +195,8 @@ def reject_reasons(as_of: str, cart_types=config.FEED_CART_TYPES) -> Column:
         ("null_event_time", "event_time IS NULL"),
         ("null_product", "product_id IS NULL"),
         ("invalid_quantity", f"NOT coalesce({quantity_sql('intended', cart_types)}, false)"),
-        ("non_positive_price", f"NOT coalesce({PRICE_SQL}, false)"),
+        ("non_positive_price", "NOT coalesce(try_cast(price AS DOUBLE) > 0, false)"),
+        ("price_out_of_range", f"coalesce(try_cast(price AS DOUBLE) >= {config.MAX_PRICE}d, false)"),
         ("future_event", f"coalesce(event_time > TIMESTAMP '{as_of}', false)"),
     ]
     arr = ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in checks)

@@ -73,7 +73,7 @@ _CTES = {
           AND (quantity IS NULL OR quantity >= 0)
           AND NOT (coalesce(event_type IN ({CART}), false) AND (quantity IS NULL OR quantity <= 0))
           AND product_id IS NOT NULL
-          AND NOT (TRY_CAST(price AS DOUBLE) <= 0)
+          AND TRY_CAST(price AS DOUBLE) > 0 AND TRY_CAST(price AS DOUBLE) < {config.MAX_PRICE}
           AND event_time <= TIMESTAMP '{AS_OF}'""",
     "dedup_iw": """SELECT DISTINCT ON (event_id) * REPLACE (coalesce(category, 'unknown') AS category,
             coalesce(country, 'unknown') AS country, coalesce(device, 'unknown') AS device)
@@ -177,7 +177,7 @@ _CTES = {
         FROM fact_aw f JOIN users_aw u ON f.user_sk = u.user_sk
         JOIN products_aw p ON f.product_sk = p.product_sk
         JOIN dates_aw d ON f.date_key = d.date_key""",
-    "sales_iw": """SELECT *, CAST(CAST(price AS DECIMAL(18,2)) * 100 AS BIGINT) * CAST(coalesce(quantity, 0) AS BIGINT) AS _sale_cents
+    "sales_iw": """SELECT *, CAST(price AS DECIMAL(18,6)) * CAST(coalesce(quantity, 0) AS DECIMAL(10,0)) AS _sale
         FROM live_iw WHERE event_type = 'purchase'""",
 }
 
@@ -199,5 +199,19 @@ def int_ratio(num: str, den: str, digits: int) -> str:
             f" AS DOUBLE) / {float(scale)} END")
 
 
-def money_avg(total_cents: str, n: str) -> str:
-    return f"CASE WHEN ({n}) > 0 THEN CAST((({total_cents}) * 2 + ({n})) // (({n}) * 2) AS DOUBLE) / 100.0 END"
+def money_avg(total: str, n: str) -> str:
+    """Half-up average of an exact total, in cents, on whole numbers."""
+    return (f"CASE WHEN ({n}) > 0 THEN CAST((CAST(({total}) * 1000000 AS HUGEINT) * 2 + ({n}) * 10000) // (({n}) * 20000) AS DOUBLE)"
+            " / 100.0 END")
+
+
+def total(expr: str) -> str:
+    return f"CAST(round(sum({expr}), 2) AS DOUBLE)"
+
+
+def with_odd_prices(select: str) -> str:
+    """``select`` over a feed whose prices are those of ``testdata.odd_prices``."""
+    price = ("CASE CAST(event_id AS BIGINT) % 13 WHEN 0 THEN CAST('nan' AS DOUBLE) WHEN 1 THEN CAST('inf' AS DOUBLE) WHEN 2 THEN CAST('-inf' AS DOUBLE) "
+             "WHEN 3 THEN 1e20 WHEN 4 THEN 1e9 WHEN 5 THEN 2.345 WHEN 6 THEN 0.005 ELSE price END")
+    ctes = {**_CTES, "raw_ev": f"SELECT * REPLACE ({price} AS price) FROM ({_CTES['raw_ev']}) r"}
+    return "WITH " + ",\n".join(f"{name} AS (\n{body}\n)" for name, body in ctes.items()) + "\n" + select

@@ -195,7 +195,7 @@ def _row_counts(x: Inputs):
                          "silver_product": s.products, "silver_date": s.dates, "silver_fact": s.fact})
 
 
-_UNITS = "CAST(sum(coalesce(quantity, 0)) AS BIGINT) AS units_sold, CAST(sum(_sale_cents) AS DOUBLE) / 100.0 AS sales"
+_UNITS = f"CAST(sum(coalesce(quantity, 0)) AS BIGINT) AS units_sold, {O.total('_sale')} AS sales"
 
 
 @register("best_products", f"SELECT product_id, {_UNITS} FROM sales_iw GROUP BY product_id")
@@ -205,14 +205,14 @@ def _best_products(x: Inputs):
 
 
 @register("best_categories", f"""SELECT p.category, CAST(sum(coalesce(s.quantity, 0)) AS BIGINT) AS units_sold,
-        CAST(sum(s._sale_cents) AS DOUBLE) / 100.0 AS sales
+        {O.total('s._sale')} AS sales
     FROM sales_iw s JOIN products_iw p ON s.product_sk = p.product_sk GROUP BY p.category""")
 def _best_categories(x: Inputs):
     return K.best_categories(x.star())
 
 
 @register("best_month", f"""SELECT d.year, d.month, d.monthname, CAST(sum(coalesce(s.quantity, 0)) AS BIGINT) AS units_sold,
-        CAST(sum(s._sale_cents) AS DOUBLE) / 100.0 AS sales
+        {O.total('s._sale')} AS sales
     FROM sales_iw s JOIN dates_iw d ON s.date_key = d.date_key GROUP BY d.year, d.month, d.monthname""")
 def _best_month(x: Inputs):
     """F8: sales per calendar month."""
@@ -220,19 +220,19 @@ def _best_month(x: Inputs):
 
 
 @register("best_weekday", f"""SELECT d.weekday, d.dayname, CAST(sum(coalesce(s.quantity, 0)) AS BIGINT) AS units_sold,
-        CAST(sum(s._sale_cents) AS DOUBLE) / 100.0 AS sales
+        {O.total('s._sale')} AS sales
     FROM sales_iw s JOIN dates_iw d ON s.date_key = d.date_key GROUP BY d.weekday, d.dayname""")
 def _best_weekday(x: Inputs):
     return K.best_weekday(x.star())
 
 
-@register("avg_sales_period", f"""SELECT period, count(*) AS periods, {O.money_avg('CAST(sum(c) AS BIGINT)', 'count(*)')} AS avg_sales
+@register("avg_sales_period", f"""SELECT period, count(*) AS periods, {O.money_avg('sum(c)', 'count(*)')} AS avg_sales
     FROM (
-        SELECT 'week' AS period, isoyear(d.full_date) * 100 + weekofyear(d.full_date) AS pkey, sum(s._sale_cents) AS c
+        SELECT 'week' AS period, isoyear(d.full_date) * 100 + weekofyear(d.full_date) AS pkey, sum(s._sale) AS c
             FROM sales_iw s JOIN dates_iw d ON s.date_key = d.date_key GROUP BY 1, 2
-        UNION ALL SELECT 'month', d.year * 100 + d.month, sum(s._sale_cents)
+        UNION ALL SELECT 'month', d.year * 100 + d.month, sum(s._sale)
             FROM sales_iw s JOIN dates_iw d ON s.date_key = d.date_key GROUP BY 1, 2
-        UNION ALL SELECT 'quarter', d.year * 100 + d.quarter, sum(s._sale_cents)
+        UNION ALL SELECT 'quarter', d.year * 100 + d.quarter, sum(s._sale)
             FROM sales_iw s JOIN dates_iw d ON s.date_key = d.date_key GROUP BY 1, 2) t
     GROUP BY period""")
 def _avg_sales_period(x: Inputs):
@@ -244,21 +244,21 @@ def _avg_sales_period(x: Inputs):
 _YEAR_END_SHIFT = 16
 
 
-@register("avg_sales_year_end", f"""SELECT period, count(*) AS periods, {O.money_avg('CAST(sum(c) AS BIGINT)', 'count(*)')} AS avg_sales
+@register("avg_sales_year_end", f"""SELECT period, count(*) AS periods, {O.money_avg('sum(c)', 'count(*)')} AS avg_sales
     FROM (
         SELECT 'week' AS period, strftime(day, '%G-%V') AS pkey, sum(c) AS c FROM moved GROUP BY 1, 2
         UNION ALL SELECT 'month', strftime(day, '%Y-%m'), sum(c) FROM moved GROUP BY 1, 2
         UNION ALL SELECT 'quarter', CAST(year(day) AS VARCHAR) || '-' || CAST(quarter(day) AS VARCHAR), sum(c) FROM moved GROUP BY 1, 2) t
-    GROUP BY period""".replace("moved", f"(SELECT event_date - {_YEAR_END_SHIFT} AS day, _sale_cents AS c FROM sales_iw) m"))
+    GROUP BY period""".replace("moved", f"(SELECT event_date - {_YEAR_END_SHIFT} AS day, _sale AS c FROM sales_iw) m"))
 def _avg_sales_year_end(x: Inputs):
     """F9 over dates that cross a turn of the year: ISO weeks, not calendar year and week number."""
     daily = K.daily_sales(x.star()).selectExpr(f"date_sub(full_date, {_YEAR_END_SHIFT}) AS full_date", "_c")
     return K.period_averages(daily)
 
 
-@register("avg_sale_per_user", f"""SELECT count(*) AS purchasing_users, CAST(sum(t) AS DOUBLE) / 100.0 AS total_sales,
-        {O.money_avg('CAST(sum(t) AS BIGINT)', 'count(*)')} AS avg_sale_per_user
-    FROM (SELECT user_id, sum(_sale_cents) AS t FROM sales_iw GROUP BY user_id) u""")
+@register("avg_sale_per_user", f"""SELECT count(*) AS purchasing_users, {O.total('t')} AS total_sales,
+        {O.money_avg('sum(t)', 'count(*)')} AS avg_sale_per_user
+    FROM (SELECT user_id, sum(_sale) AS t FROM sales_iw GROUP BY user_id) u""")
 def _avg_sale_per_user(x: Inputs):
     """total purchase sales over purchasing users."""
     return K.avg_sale_per_user(x.star().fact)
@@ -375,10 +375,49 @@ def _product_required_iw(x: Inputs):
 
 @register("positive_price", "SELECT * FROM raw_ev WHERE NOT (TRY_CAST(price AS DOUBLE) <= 0)")
 def _positive_price(x: Inputs):
-    """C11: drops price <= 0, null, unparseable."""
+    """C11 as written: drops price <= 0, null, unparseable."""
     return Q.filter_positive_price(x.raw)
 
 
+def _odd(x: Inputs) -> Inputs:
+    """The inputs with prices that are no amounts of money."""
+    odd = Inputs(x.spark, x.sf_dir)
+    odd.raw = T.odd_prices(x.raw)
+    return odd
+
+
+_PRICE = "TRY_CAST(price AS DOUBLE)"
+
+
+@register("price_rules", None)
+def _price_rules(x: Inputs):
+    """C11/C17: which rule each event's price breaks, NaN, infinite and huge prices among them, and what each mode keeps."""
+    rows = _odd(x).raw.select("event_id", "price")
+    return rows.selectExpr("event_id", f"coalesce({Q.price_sql('intended')}, false) AS kept", f"coalesce({Q.price_sql('as_written')}, false) AS kept_as_written",
+                           "coalesce(price >= 1e9, false) AS out_of_range")
+
+
+@register("daily_kpis_odd_prices", None)
+def _daily_kpis_odd(x: Inputs):
+    """F2 over a feed with impossible prices: they are rejected, and no sum overflows."""
+    return K.daily_kpis_volume(_odd(x).clean())
+
+
+@register("best_products_odd_prices", None)
+def _best_products_odd(x: Inputs):
+    """F7 with prices of three decimals: totals are rounded once."""
+    return K.best_products(_odd(x).star().fact)
+
+
+REGISTRY["price_rules"].sql = O.with_odd_prices(
+    f"""SELECT event_id, coalesce({_PRICE} > 0 AND {_PRICE} < {config.MAX_PRICE}, false) AS kept,
+        coalesce(NOT ({_PRICE} <= 0), false) AS kept_as_written, coalesce(price >= 1e9, false) AS out_of_range FROM raw_ev""")
+REGISTRY["daily_kpis_odd_prices"].sql = O.with_odd_prices(
+    f"""SELECT event_date, count(*) AS total_events, count(DISTINCT user_id) AS active_users,
+        count(DISTINCT session_id) AS sessions, {O.money('price')} AS total_revenue FROM clean_iw GROUP BY event_date""")
+REGISTRY["best_products_odd_prices"].sql = O.with_odd_prices(f"SELECT product_id, {_UNITS} FROM sales_iw GROUP BY product_id")
+
+
 @register("drop_future", f"SELECT * FROM raw_ev WHERE event_time <= TIMESTAMP '{AS_OF}'")
 def _drop_future(x: Inputs):
     """Events after the as-of time are dropped."""
@@ -453,7 +492,8 @@ def _anomaly_report(x: Inputs):
         CASE WHEN NOT coalesce((quantity IS NULL OR quantity >= 0)
              AND NOT (coalesce(event_type IN ({O.CART}), false) AND (quantity IS NULL OR quantity <= 0)), false)
              THEN 'invalid_quantity' END,
-        CASE WHEN NOT coalesce(NOT (TRY_CAST(price AS DOUBLE) <= 0), false) THEN 'non_positive_price' END,
+        CASE WHEN NOT coalesce(TRY_CAST(price AS DOUBLE) > 0, false) THEN 'non_positive_price' END,
+        CASE WHEN coalesce(TRY_CAST(price AS DOUBLE) >= {config.MAX_PRICE}, false) THEN 'price_out_of_range' END,
         CASE WHEN coalesce(event_time > TIMESTAMP '{AS_OF}', false) THEN 'future_event' END), '') AS reject_reason
     FROM (SELECT DISTINCT ON (event_id) * FROM norm_iw ORDER BY event_id) d""")
 def _quarantine(x: Inputs):

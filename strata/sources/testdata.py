@@ -37,20 +37,39 @@ DUPLICATE_MOD = 33            # exact copy of a row no other class touched
 _CLASSES = ("null_user", "null_product", "null_attribute", "dirty_type", "bad_quantity", "future", "duplicate")
 
 
+#: Columns that the adapter reads; stated, so that no job opens a file to infer them.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_type string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables, listed anew each time."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def odd_prices(df: DataFrame) -> DataFrame:
+    """The feed with prices that are no amounts of money, and some of more than two decimals, by event id."""
+    return df.withColumn("price", F.expr(
+        "CASE CAST(event_id AS BIGINT) % 13 WHEN 0 THEN double('NaN') WHEN 1 THEN double('Infinity') WHEN 2 THEN double('-Infinity') "
+        "WHEN 3 THEN 1e20 WHEN 4 THEN 1e9 WHEN 5 THEN 2.345 WHEN 6 THEN 0.005 ELSE price END"))
 
 
 def spread(df: DataFrame, by: str | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the session has cores (a single
-    row-group file is one task). A no-op at cluster scale, where scans have many splits.
+    """Spread a scan of fewer split sizes than the session has cores (a single
+    row-group file is one task). A no-op at cluster scale, where scans have many splits. The size is that of
+    the listed files, so nothing is planned or run for it.
 
     ``by`` hash-partitions on an expression instead of round-robin: when a later projection
     names that same expression (e.g. ``CAST(event_id AS STRING) AS event_id``), Spark carries
     the partitioning through the alias and an aggregate on it needs no further shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >= target * split:
         return df
     return df.repartition(target, F.expr(by)) if by else df.repartition(target)
 
