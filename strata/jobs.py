@@ -54,8 +54,8 @@ class SilverPaths:
 
 
 def run_bronze(spark: SparkSession, landing: str, bronze: str, load_ts: str | None = None) -> DataFrame:
-    """Landing JSON -> stamped bronze table (full refresh)."""
-    return feeds.ingest_batch(spark, landing, bronze, load_ts=load_ts)
+    """Landing JSON -> stamped bronze table (full refresh); lines that are no events are kept beside it."""
+    return feeds.ingest_checked(spark, landing, bronze, load_ts=load_ts)
 
 
 def _concurrently(*steps) -> list:

@@ -673,6 +673,26 @@ def _load_events(x: Inputs):
     return out.select(*[c.strip() for c in FACT_COLS.split(",")])
 
 
+# Two batches of the user change log, by the day of the change; the first is sent again.
+_LATER = "2024-01-16 00:00:00"
+
+
+@register("load_ledger", f"""SELECT b AS batch_id, CAST(count(*) AS BIGINT) AS rows, max(max(sk)) OVER (ORDER BY b) AS greatest_key FROM (
+        SELECT CASE WHEN updated_at < TIMESTAMP '{_LATER}' THEN 'first' ELSE 'second' END AS b,
+            row_number() OVER (ORDER BY updated_at >= TIMESTAMP '{_LATER}', user_id, updated_at) AS sk FROM uv) k GROUP BY b""")
+def _load_ledger(x: Inputs):
+    """Batches noted in the table's ledger; keys go on from it, a batch sent again is skipped."""
+    from strata.operators.ledger import batches
+    from strata.operators.load import append_new
+    from strata.session import scratch_path
+
+    path, log = scratch_path(x.spark, "user_ledger"), D.user_versions(x.changes)
+    first, second = (log.where(f"updated_at {op} TIMESTAMP '{_LATER}'") for op in ("<", ">="))
+    for name, batch in (("first", first), ("second", second), ("first", first)):
+        append_new(batch, path, ["user_id", "updated_at"], key_name="user_sk", batch_id=name)
+    return batches(x.spark, path).select("batch_id", "rows", "greatest_key")
+
+
 def _describe_sql() -> str:
     from strata import schemas
 
@@ -781,6 +801,64 @@ def _stream_ingest(x: Inputs):
     return bronze.select(*feeds.feed_columns())
 
 
+# Some lines of the feed replaced by broken ones, by event id: (divisor, line before and after the id, reason, id readable).
+_BROKEN = [(53, '{"event_id": "', '", "user_id": "us', "malformed", False), (59, '{"event_id": "', '", "price": "n/a", "device": "x"}', "bad_field", True),
+           (61, "{}", None, "empty", False), (47, "not json ", "", "malformed", False)]
+
+
+def _broken(kind: str, otherwise: str) -> str:
+    """CASE over the broken forms: their line, raw text, reason or readable id (both dialects)."""
+    whens = []
+    for by, before, after, reason, known in _BROKEN:
+        line = f"'{before}'" if after is None else f"concat('{before}', event_id, '{after}')"
+        what = {"line": line, "raw": "NULL" if after is None else line, "reason": f"'{reason}'", "id": "event_id" if known else "NULL"}[kind]
+        whens.append(f"WHEN CAST(event_id AS BIGINT) % {by} = 0 THEN {what}")
+    return f"CASE {' '.join(whens)} ELSE {otherwise} END"
+
+
+_CHECKED_SQL = (f"SELECT {_broken('id', 'event_id')} AS event_id, {_broken('raw', 'NULL')} AS raw_line, {_broken('reason', 'NULL')} AS reject_reason, "
+                "TRUE AS stamped FROM raw_ev")
+
+
+def _broken_landing(x: Inputs) -> str:
+    from strata.session import scratch_path
+    from strata.sources import feeds
+
+    path = scratch_path(x.spark, "landing_broken")
+    feeds.to_feed_json(x.raw).selectExpr(f"{_broken('line', 'to_json(struct(*))')} AS value").write.text(path)
+    return path
+
+
+def _kept_and_rejected(x: Inputs, bronze: str) -> DataFrame:
+    from strata.sources import feeds
+
+    stamped = "ingestion_ts IS NOT NULL AND contains(ip_file_name, '/part-') AS stamped"
+    good = feeds.events(x.spark, bronze).selectExpr("event_id", "CAST(NULL AS STRING) AS raw_line", "CAST(NULL AS STRING) AS reject_reason", stamped)
+    return good.unionByName(feeds.rejected_lines(x.spark, bronze).selectExpr("event_id", "raw_line", "reject_reason", stamped))
+
+
+@register("batch_ingest_rejects", _CHECKED_SQL)
+def _batch_ingest_rejects(x: Inputs):
+    """A2/B1: a landing with broken lines; each is kept with its text, file and reason, none becomes an event."""
+    from strata.session import scratch_path
+    from strata.sources import feeds
+
+    bronze = scratch_path(x.spark, "bronze_checked")
+    feeds.ingest_checked(x.spark, _broken_landing(x), bronze)
+    return _kept_and_rejected(x, bronze)
+
+
+@register("stream_ingest_rejects", _CHECKED_SQL)
+def _stream_ingest_rejects(x: Inputs):
+    """A1/H7: the same landing as a stream; events and rejected lines are committed together."""
+    from strata.session import scratch_path
+    from strata.streaming import ingest
+
+    bronze = scratch_path(x.spark, "bronze_stream_checked")
+    ingest.ingest_stream_checked(x.spark, _broken_landing(x), bronze, scratch_path(x.spark, "ckpt"))
+    return _kept_and_rejected(x, bronze)
+
+
 @register("stream_replay", "SELECT DISTINCT ON (event_id) * FROM (" + _FEED_SQL + ") ORDER BY event_id")
 def _stream_replay(x: Inputs):
     """H6: the same landing replayed from a fresh checkpoint into an idempotent sink adds nothing."""

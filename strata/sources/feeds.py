@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, TimestampType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampType
 
 from strata import config, schemas
 
@@ -29,6 +29,49 @@ def read_json(spark: SparkSession, path: str, schema=schemas.CLICKSTREAM_FEED) -
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
+# ---- malformed lines ------------------------------------------------------------------------
+#: Text of a line that does not fit the feed's schema, and whether and why a row is no event.
+CORRUPT, REJECTED, REASON = "_corrupt_record", "rejected", "reject_reason"
+
+
+def checked_schema(schema=schemas.CLICKSTREAM_FEED) -> StructType:
+    """The feed's schema with a column for the text of lines that do not fit it."""
+    return StructType([*schema.fields, StructField(CORRUPT, StringType())])
+
+
+def mark_lines(df: DataFrame, schema=schemas.CLICKSTREAM_FEED) -> DataFrame:
+    """Why a line is no event: ``malformed`` (no JSON object), ``bad_field`` (a value of another type; the other fields
+    are kept beside the text), ``empty`` (an object without a field of the feed)."""
+    some = "(" + " OR ".join(f"`{f.name}` IS NOT NULL" for f in schema.fields) + ")"
+    reason = f"CASE WHEN {CORRUPT} IS NOT NULL THEN if({some}, 'bad_field', 'malformed') WHEN NOT {some} THEN 'empty' END"
+    return df.withColumn(REASON, F.expr(reason)).withColumn(REJECTED, F.col(REASON).isNotNull())
+
+
+def ingest_checked(spark: SparkSession, landing: str, bronze: str, schema=schemas.CLICKSTREAM_FEED, load_ts: str | None = None) -> DataFrame:
+    """Bronze job that keeps every line: one read and one write of stamped rows, events and rejected lines in
+    folders of their own (:func:`events`, :func:`rejected_lines`). Returns the events."""
+    lines = spark.read.schema(checked_schema(schema)).option("columnNameOfCorruptRecord", CORRUPT).json(landing)
+    mark_lines(stamp(lines, load_ts), schema).write.mode("overwrite").partitionBy(REJECTED).parquet(bronze)
+    return events(spark, bronze, schema)
+
+
+def _bronze(spark: SparkSession, bronze: str, schema) -> DataFrame:
+    stamps = [StructField("ingestion_ts", TimestampType()), StructField("ip_file_name", StringType())]
+    return spark.read.schema(StructType([*checked_schema(schema).fields, *stamps, StructField(REASON, StringType()),
+                                         StructField(REJECTED, BooleanType())])).parquet(bronze)
+
+
+def events(spark: SparkSession, bronze: str, schema=schemas.CLICKSTREAM_FEED) -> DataFrame:
+    """The stamped events of a checked bronze table; the scan reads their folder only."""
+    return _bronze(spark, bronze, schema).where(f"{REJECTED} = false").drop(CORRUPT, REASON, REJECTED)
+
+
+def rejected_lines(spark: SparkSession, bronze: str, schema=schemas.CLICKSTREAM_FEED) -> DataFrame:
+    """The quarantine of a checked bronze table: the fields that could be read, the line's text (null for an empty
+    object), its file, load time and the reason."""
+    return _bronze(spark, bronze, schema).where(f"{REJECTED} = true").drop(REJECTED).withColumnRenamed(CORRUPT, "raw_line")
+
+
 def stamp(df: DataFrame, load_ts: str | None = None) -> DataFrame:
     """B1: load time and source file of every row (``_metadata`` replaces input_file_name)."""
     ts = F.current_timestamp() if load_ts is None else F.lit(load_ts).cast("timestamp")

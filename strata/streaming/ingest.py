@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata import schemas
 from strata.operators.load import append_new
+from strata.sources import feeds
 
 MAX_FILES_PER_TRIGGER = 1000
 
@@ -36,11 +37,12 @@ def stamp_stream(df: DataFrame) -> DataFrame:
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                 output_mode: str = "append") -> StreamingQuery:
+                 output_mode: str = "append", partition_by: list[str] | None = None) -> StreamingQuery:
     """A5/A6 + H2/H4/H5: append, checkpointed, ``availableNow``."""
-    return (df.writeStream.format(fmt).outputMode(output_mode)
-            .option("checkpointLocation", checkpoint).option("path", path)
-            .trigger(availableNow=True).start())
+    w = df.writeStream.format(fmt).outputMode(output_mode).option("checkpointLocation", checkpoint).option("path", path)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    return w.trigger(availableNow=True).start()
 
 
 def console_preview(df: DataFrame, checkpoint: str, rows: int = 5) -> StreamingQuery:
@@ -70,16 +72,27 @@ def ingest_stream(spark: SparkSession, landing: str, bronze: str, checkpoint: st
     return spark.read.parquet(bronze)
 
 
-def idempotent_sink(target: str, keys: list[str], partition_by: list[str] | None = None):
+def ingest_stream_checked(spark: SparkSession, landing: str, bronze: str, checkpoint: str, schema=schemas.CLICKSTREAM_FEED,
+                          timeout_s: int | None = None, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """As :func:`ingest_stream`, with malformed lines kept: one query, whose file sink commits events and rejected lines
+    of a micro-batch together. Returns the events; ``feeds.rejected_lines`` has the rest."""
+    lines = read_stream(spark, landing, feeds.checked_schema(schema), max_files_per_trigger=max_files_per_trigger)
+    q = write_stream(feeds.mark_lines(stamp_stream(lines), schema), bronze, checkpoint, partition_by=[feeds.REJECTED])
+    run_to_completion(q, timeout_s)
+    return feeds.events(spark, bronze, schema)
+
+
+def idempotent_sink(target: str, keys: list[str], partition_by: list[str] | None = None, source: str | None = None):
     """H6: ``foreachBatch`` function that appends only rows whose key is not yet in ``target``.
     A batch that is re-run (after a failure or from a fresh checkpoint) therefore adds nothing
     twice: exactly-once output on top of at-least-once delivery.
 
     With ``partition_by`` (e.g. an event date) the target is partitioned and each micro-batch
     reads only the keys of the partitions it touches, so its cost does not grow with the
-    whole history of the target."""
+    whole history of the target. ``source`` names the query's checkpoint: a micro-batch of it that the
+    target's ledger has is skipped before anything is read."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch, target, keys, partition_by=partition_by)
+        append_new(batch, target, keys, partition_by=partition_by, batch_id=f"{source}#{batch_id}" if source else None)
     return sink
 
 
@@ -92,7 +105,7 @@ def replay_stream(spark: SparkSession, landing: str, target: str, checkpoint: st
     stream = read_stream(spark, landing, schema, max_files_per_trigger=max_files_per_trigger)
     if derive is not None:
         stream = derive(stream)
-    q = (stream.writeStream.foreachBatch(idempotent_sink(target, keys, partition_by))
+    q = (stream.writeStream.foreachBatch(idempotent_sink(target, keys, partition_by, checkpoint))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     run_to_completion(q, timeout_s)
     return q

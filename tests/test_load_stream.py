@@ -149,3 +149,60 @@ def test_replay_of_malformed_and_null_date_rows_adds_nothing(spark):
                              derive=lambda df: df.withColumn("event_date", F.to_date(F.try_to_timestamp("event_time"))))
         counts.append(spark.read.parquet(target).count())
     assert counts[0] == counts[1] == counts[2]
+
+
+def test_ledger_gives_the_next_key_without_the_target(spark):
+    """The data files are gone but for the ledger: keys still go on, so no scan of the target gave them."""
+    import glob
+
+    from strata.operators.ledger import batches
+
+    path = scratch_path(spark, "t_ledger")
+    a = spark.createDataFrame([("x", 1), ("y", 2)], "k string, v int")
+    assert append_new(a, path, ["k"], key_name="sk", batch_id="a") == 2
+    for f in glob.glob(f"{local_path(path)}/part-*") + glob.glob(f"{local_path(path)}/.part-*"):
+        os.truncate(f, 0) if f.endswith("crc") else os.remove(f)
+    assert append_new(a, path, ["k"], key_name="sk", batch_id="a") == 0
+    b = spark.createDataFrame([("z", 3)], "k string, v int")
+    assert append_new(b, path, ["k"], key_name="sk", batch_id="b") == 1
+    assert [r.sk for r in spark.read.parquet(path).collect()] == [3]
+    assert sorted((r.batch_id, r.rows, r.greatest_key) for r in batches(spark, path).collect()) == [("a", 2, 2), ("b", 1, 3)]
+
+
+def test_ledger_after_a_load_that_broke_off(spark):
+    from strata.operators.ledger import Ledger
+
+    path = scratch_path(spark, "t_broken_load")
+    append_new(spark.createDataFrame([("x", 1)], "k string, v int"), path, ["k"], key_name="sk", batch_id="a")
+    Ledger(spark, path).begin("b", 1)  # batch b wrote its rows, but its note is missing
+    spark.createDataFrame([("y", 2, 2)], "k string, v int, sk long").write.mode("append").parquet(path)
+    assert Ledger(spark, path).greatest_key() is None
+    rows = spark.createDataFrame([("y", 2), ("z", 3)], "k string, v int")
+    assert append_new(rows, path, ["k"], key_name="sk", batch_id="b") == 1
+    assert sorted((r.k, r.sk) for r in spark.read.parquet(path).collect()) == [("x", 1), ("y", 2), ("z", 3)]
+
+
+def test_ledger_notes_partitions(spark):
+    from strata.operators.ledger import batches
+
+    path = scratch_path(spark, "t_ledger_parts")
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, None)], "k int, d string").withColumn("d", F.col("d").cast("date"))
+    assert append_new(rows, path, ["k"], partition_by=["d"], batch_id="x") == 3
+    assert batches(spark, path).first().partitions == ["2024-01-01", "2024-01-02"]
+
+
+@pytest.mark.parametrize("stream", [False, True])
+def test_broken_lines_are_kept(spark, stream):
+    landing, bronze = scratch_path(spark, "t_broken"), scratch_path(spark, "t_broken_bronze")
+    lines = [_event(1), "{not json", "", "{}", '{"unknown": 1}', '{"event_id": "e9", "price": "x"}', "[]", "null", _event(2)]
+    _write_lines(local_path(landing), "a.json", lines)
+    if stream:
+        events = ingest.ingest_stream_checked(spark, landing, bronze, scratch_path(spark, "t_broken_ck"))
+    else:
+        events = feeds.ingest_checked(spark, landing, bronze)
+    assert sorted(r.event_id for r in events.collect()) == ["e1", "e2"]
+    rejected = feeds.rejected_lines(spark, bronze)
+    assert all(r.ip_file_name.endswith("a.json") and r.ingestion_ts for r in rejected.collect())
+    got = {(r.raw_line, r.reject_reason) for r in rejected.collect()}
+    assert ("{not json", "malformed") in got and ('{"event_id": "e9", "price": "x"}', "bad_field") in got and (None, "empty") in got
+    assert "rejected" in events._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:80]
