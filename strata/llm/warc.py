@@ -17,6 +17,9 @@ that was done before is recognised by name and size), and the manifest table is
 of lost or repeated attempts are never listed. Files are opened by URI through Arrow's file systems, so
 shared mounts and object stores work alike.
 
+Addresses that no header can hold (line breaks, control characters, white space at their ends) are escaped in their
+record and read back as they were, so no address can add or change a header.
+
 Defined results: null payloads are empty payloads; rows with a null id are written to the first shard
 and compare as smaller than every id; of repeated rows with the largest id one is the response, the
 others revisit it; an empty table gives no files and an empty result; other columns are ignored.
@@ -29,8 +32,10 @@ import gzip
 import hashlib
 import os
 import posixpath
+import re
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -46,6 +51,10 @@ DATE, IP = "2000-01-01T00:00:00Z", "0.0.0.0"
 SHARD_BYTES, FILE_BYTES = 32 << 20, 16 << 20
 #: Buckets of the id histogram that shard bounds are cut from.
 BUCKETS = 1 << 14
+#: Tasks that read archives or commit them, at most; fewer files take a task each.
+READERS = 10_000
+_CONTROL = re.compile(r"[\x00-\x1f\x7f\x85\u2028\u2029]")
+_PLAIN = "!\"#$&'()*+,/:;<=>?@[\\]^`{|}~"
 MANIFEST = "shard int, file int, temporary string, final string, bytes long, sha1 string, records long, first_id long, last_id long"
 
 
@@ -57,17 +66,26 @@ def _name(kind: str, key: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind}:{key}')}>"
 
 
+def _header_value(url: str) -> tuple[str, bool]:
+    """The address as a header can hold it. One with line breaks, other control characters or white space at its ends
+    is percent-escaped, its percent signs too, and marked so that reading undoes it."""
+    if url == url.strip() and not _CONTROL.search(url):
+        return url, False
+    return quote(url, safe=_PLAIN), True
+
+
 def record(ident: int | None, url: str, payload: bytes, sha: str, refers_to: tuple[int | None, str] | None) -> bytes:
     """The bytes of one WARC record; ``refers_to``: id and address of the response it revisits."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to else http + payload
+    target, escaped = _header_value(url)
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if refers_to else 'response'}", f"WARC-Record-ID: {_name('record', f'{ident}/{sha}')}",
-            f"WARC-Target-URI: {url}", f"WARC-Date: {DATE}", f"WARC-IP-Address: {IP}",
+            f"WARC-Target-URI: {target}", f"WARC-Date: {DATE}", f"WARC-IP-Address: {IP}",
             f"WARC-Payload-Digest: sha1:{sha}", f"WARC-Block-Digest: sha1:{digest(block)}"]
     if refers_to:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
                  f"WARC-Refers-To: {_name('record', f'{refers_to[0]}/{sha}')}", f"X-Refers-To-Id: {refers_to[0]}"]
-    head += ["" if ident is None else f"X-Id: {ident}", "Content-Type: application/http; msgtype=response",
+    head += ["X-Target-URI-Escaped: 1" if escaped else "", "" if ident is None else f"X-Id: {ident}", "Content-Type: application/http; msgtype=response",
              f"Content-Length: {len(block)}"]
     return "\r\n".join(h for h in head if h).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -80,7 +98,7 @@ def parse(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         headers = {}
         while (line := stream.readline()) not in (b"\r\n", b""):
             key, _, value = line.decode().partition(":")
-            headers[key] = value.strip()
+            headers.setdefault(key, value.strip())  # the first of a name counts
         block = stream.read(int(headers["Content-Length"]))
         if stream.read(4) != b"\r\n\r\n":
             raise ValueError("record end missing")
@@ -191,10 +209,15 @@ def write(pages: DataFrame, out: str, id_col: str = "page_id", url_col: str = "u
                     raise OSError(f"{final} is neither written nor committed")
             yield batch
 
-    listed.mapInArrow(commit, MANIFEST).write.mode("overwrite").parquet(f"{out}/_manifest")
+    _dealt(listed).mapInArrow(commit, MANIFEST).write.mode("overwrite").parquet(f"{out}/_manifest")
     return spark.read.schema(listed.schema).parquet(f"{out}/_manifest")
 
 
+def _dealt(listed: DataFrame) -> DataFrame:
+    """Manifest rows over tasks of their own: the table is tiny, so without a number they would meet in one task."""
+    return listed.repartition(max(1, min(listed.count(), READERS)))
+
+
 _MANIFEST = pa.schema([("shard", pa.int32()), ("file", pa.int32()), ("temporary", pa.string()), ("final", pa.string()),
                        ("bytes", pa.int64()), ("sha1", pa.string()), ("records", pa.int64()), ("first_id", pa.int64()),
                        ("last_id", pa.int64())])
@@ -223,7 +246,7 @@ def read(spark: SparkSession, out: str, payloads: bool = True) -> DataFrame:
                         if kind == "response" and (len(payload) != size or digest(payload) != sha):
                             raise ValueError(f"{path}: payload digest differs")
                         ident, to = headers.get("X-Id"), headers.get("X-Refers-To-Id")
-                        rows.append({"page_id": ident and int(ident), "url": headers["WARC-Target-URI"], "payload": payload,
+                        rows.append({"page_id": ident and int(ident), "url": unquote(target) if (target := headers["WARC-Target-URI"]) and "X-Target-URI-Escaped" in headers else target, "payload": payload,
                                      "payload_bytes": size, "payload_digest": sha, "record_type": kind,
                                      "refers_to": int(to) if to not in (None, "None") else None})
                         held += len(payload)
@@ -237,4 +260,4 @@ def read(spark: SparkSession, out: str, payloads: bool = True) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     kinds = READ if payloads else READ.replace("payload binary, ", "")
-    return listed.repartition("final").mapInArrow(load, kinds)
+    return _dealt(listed).mapInArrow(load, kinds)

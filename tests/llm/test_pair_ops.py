@@ -74,6 +74,19 @@ def test_warc_round_trip(spark, sizes):
     assert len(files) > 3 or not sizes
 
 
+def test_warc_addresses_cannot_change_headers(spark):
+    """Line breaks, header lines, escapes and white space in addresses: read back as they were, beside a record each."""
+    urls = ["http://a\nWARC-Type: revisit", "..\nX-Id: 99", "x\r\n\r\nbody", "\n", " http://b ", "http://c/%0A%25", "%\n%0A", "http://d/\x85\u2028é", "\x00", None, ""]
+    rows = [(None if i == 1 else i, u, "same" if i % 2 else f"p{i}") for i, u in enumerate(urls)]
+    out = scratch_path(spark, "t_warc_urls")
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), out, shard_bytes=900)
+    got = warc.read(spark, out)
+    assert got.rdd.getNumPartitions() > 1
+    own = {(r.page_id, r.url, r.record_type, r.refers_to) for r in got.collect()}
+    last = max(i for i in range(len(urls)) if i % 2)
+    assert own == {(r[0], r[1] or "", "revisit" if i % 2 and i != last else "response", last if i % 2 and i != last else None) for i, r in enumerate(rows)}
+
+
 def test_warc_small_payloads_are_all_responses(spark):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     out = scratch_path(spark, "warc")
