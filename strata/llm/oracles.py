@@ -64,4 +64,36 @@ weakest AS (SELECT DISTINCT ON (lang, phrase) lang, phrase, a, l, r, score FROM
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest)
 SELECT x.lang, rank, phrase, a, l, r, g.n, score FROM ranked x JOIN langs g ON g.lang = x.lang WHERE rank <= {collocations.TOP}"""
 
-ORACLES = {"op11_distribution_divergence": DIVERGENCE, "op13_collocations": COLLOCATIONS}
+_BASE32 = ("array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, (i // 4) * 5 + 1, 5) AS BIGINT) "
+           ">> (15 - 5 * (i % 4))) & 31 AS BIGINT), 1) for i in range(32)], '')")
+
+WARC = f"""WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+h AS (SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes, sha1(body) AS h FROM p),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM h)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> last THEN last END AS refers_to FROM r"""
+
+_REACH = """reach AS (SELECT id AS a, id AS b FROM nodes UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+comp AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY a)"""
+
+LATTICE = f"""WITH RECURSIVE v AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+nodes AS (SELECT id FROM v),
+good AS (SELECT id, label, len(e) AS dim, e, sqrt(list_sum([x * x for x in e])) AS norm FROM v WHERE label IS NOT NULL AND e IS NOT NULL
+    AND len([x for x in e if x IS NULL OR NOT isfinite(x)]) = 0),
+links AS (SELECT x.id AS a, y.id AS b FROM good x JOIN good y ON x.label = y.label AND x.dim = y.dim AND x.id <> y.id
+    WHERE x.norm > 0 AND y.norm > 0 AND list_dot_product(x.e, y.e) / (x.norm * y.norm) >= 0.98),
+{_REACH},
+n AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT v.id AS vec_id, coalesce(n.n, 0) AS n_links, component_id, v.id = component_id AS kept FROM v JOIN comp USING (id) LEFT JOIN n USING (id)"""
+
+MINHASH = rf"""WITH RECURSIVE w AS (SELECT doc_id AS id, [x for x in string_split_regex({_LOWER_SQL}, '[ \t-\r]+') if x <> ''] AS w FROM documents),
+nodes AS (SELECT id FROM w),
+sh AS (SELECT DISTINCT id, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT id, count(*) AS n FROM sh GROUP BY id),
+met AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM sh x JOIN sh y ON x.g = y.g AND x.id <> y.id GROUP BY x.id, y.id),
+links AS (SELECT a, b FROM met JOIN n p ON p.id = a JOIN n q ON q.id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+{_REACH}
+SELECT w.id AS doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.id = component_id AS kept FROM w JOIN comp USING (id) LEFT JOIN n USING (id)"""
+
+ORACLES = {"op1_warc": WARC, "op3_lattice_near_dup": LATTICE, "op6_minhash_near_dup": MINHASH,
+           "op11_distribution_divergence": DIVERGENCE, "op13_collocations": COLLOCATIONS}
