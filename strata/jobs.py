@@ -21,6 +21,7 @@ from strata.operators import facts as X
 from strata.operators import kpis as K
 from strata.operators import quality as Q
 from strata.operators.load import append_new, table_exists
+from strata.session import materialized, remove_scratch
 from strata.sources import feeds, tables
 
 
@@ -101,6 +102,51 @@ def rejected_events(bronze_events: DataFrame, as_of: str, cart_types=config.FEED
     return per.where("first.rejected").select("event_id", *[f"first.{c}" for c in marked.columns if c != "event_id"])
 
 
+def refresh_days(spark: SparkSession, bronze_events: DataFrame, p: SilverPaths, as_of: str, cart_types=config.FEED_CART_TYPES,
+                 gold: str | None = None) -> list[str]:
+    """Clean the days that ``bronze_events`` holds anew: their partitions of silver events are replaced, and with ``gold``
+    their rows of the daily KPIs, a table by day. Returns the days."""
+    clean, scratch = materialized(C.clean_events(bronze_events, "intended", as_of, cart_types), "refresh")
+    days = [r[0] for r in clean.select("event_date").distinct().collect()]  # one row per day
+    feeds.refresh_partitions(clean, p.events, "event_date")
+    if gold:
+        feeds.refresh_partitions(K.daily_kpis(clean), f"{gold}/daily_kpis_by_day", "event_date")
+    remove_scratch(spark, scratch)
+    return sorted(map(str, days))
+
+
+#: Folders of the user history; a change batch rewrites those of its users only.
+HISTORY_PARTS = 64
+_PART = f"CAST(pmod(xxhash64(user_id), {HISTORY_PARTS}) AS INT)"
+
+
+def splice_history(spark: SparkSession, changes: DataFrame, root: str) -> list[int]:
+    """Put a batch of user changes, late ones included, into the stored history (D2): the change log and the type-2
+    intervals made of it lie in folders by user; only folders with users of the batch are read and replaced, and in them
+    only those users' intervals are worked out. Returns the folders."""
+    log, history = f"{root}/user_log", f"{root}/user_history"
+    batch, scratch = materialized(D.user_versions(changes).withColumn("part", F.expr(_PART)), "history-batch")
+    parts = [r[0] for r in batch.select("part").distinct().collect()]  # at most HISTORY_PARTS
+    touched = batch.select("user_id").distinct()
+    versions, others = batch, None
+    if table_exists(spark, log):
+        here = F.col("part").isin(parts)
+        stored = spark.read.schema(batch.schema).parquet(log).where(here)
+        versions = Q.dedupe(stored.unionByName(batch), ["user_id", "updated_at"])
+        kept = spark.read.parquet(history).where(here)
+        others = kept.join(touched, "user_id", "left_anti")
+    versions, held = materialized(versions, "history-versions")
+    intervals = D.dim_user_scd2(versions.join(touched, "user_id", "left_semi")).withColumn("part", F.expr(_PART))
+    if others is not None:
+        intervals = intervals.unionByName(others.select(*intervals.columns))
+    intervals, made = materialized(intervals, "history-intervals")
+    feeds.refresh_partitions(intervals, history, "part")
+    feeds.refresh_partitions(versions, log, "part")
+    for path in (scratch, held, made):
+        remove_scratch(spark, path)
+    return sorted(parts)
+
+
 def load_products(products: DataFrame, path: str) -> int:
     """Append a version of every product that is new or whose category differs from its latest stored one."""
     spark = products.sparkSession

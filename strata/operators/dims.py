@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata import config, schemas
 from strata.functions.columns import as_date, as_timestamp, calendar, date_lit, ts_lit
 from strata.operators import quality
-from strata.operators.sequence import DEFAULT_MAX_GROUP_ROWS, plain_window_is_safe, with_neighbours
+from strata.operators.sequence import DEFAULT_MAX_GROUP_ROWS, dealt_by_range, plain_window_is_safe, with_neighbours
 
 TRACKED_USER_ATTRIBUTES = ("country", "loyalty_tier")
 
@@ -56,7 +56,7 @@ def history_size(user_feed: DataFrame) -> int:
     return largest_group(user_feed, "user_id")
 
 
-def dim_user_scd2(user_feed: DataFrame, bucket_seconds: int = 3600, plain: bool | None = None) -> DataFrame:
+def dim_user_scd2(user_feed: DataFrame, plain: bool | None = None) -> DataFrame:
     """Type-2 intervals [valid_from, valid_to) per user on the tracked attributes.
 
     A version that changes neither tracked attribute is merged into the one before it; the
@@ -67,18 +67,11 @@ def dim_user_scd2(user_feed: DataFrame, bucket_seconds: int = 3600, plain: bool
         plain = plain_window_is_safe(user_feed, "user_id")
     # Plain path: one hash partitioning on user_id serves the dedupe aggregate and both windows.
     versions = user_versions(user_feed.repartition("user_id") if plain else user_feed)
-    if not plain:
-        # Bucketed path (huge histories): its self-joins read the versions twice per pass, so
-        # they are written once to the shared checkpoint folder instead of recomputed.
-        from strata.session import materialize
-
-        versions = materialize(versions, "scd2-versions")
     with_prev = with_neighbours(versions, "user_id", "updated_at", list(TRACKED_USER_ATTRIBUTES),
-                                next=False, bucket_seconds=bucket_seconds, plain=plain)
+                                next=False, plain=plain)
     changed = " OR ".join(["_prev IS NULL"] + [f"NOT (`{a}` <=> _prev.`{a}`)" for a in TRACKED_USER_ATTRIBUTES])
     kept = with_prev.where(changed).selectExpr("*", "_prev IS NULL AS is_first").drop("_prev")
-    with_next = with_neighbours(kept, "user_id", "updated_at", [], prev=False, bucket_seconds=bucket_seconds,
-                                plain=plain)
+    with_next = with_neighbours(kept, "user_id", "updated_at", [], prev=False, plain=plain)
     return with_next.selectExpr(
         "user_id", *TRACKED_USER_ATTRIBUTES,
         "updated_at AS valid_from",
@@ -92,8 +85,7 @@ def dim_user_scd2(user_feed: DataFrame, bucket_seconds: int = 3600, plain: bool
 MAX_VERSIONS_FOR_RANGE_JOIN = 10_000
 
 
-def asof_join(events: DataFrame, scd2: DataFrame, payload=("country", "loyalty_tier"), range_join: bool | None = None,
-              bucket_seconds: int = 3600) -> DataFrame:
+def asof_join(events: DataFrame, scd2: DataFrame, payload=("country", "loyalty_tier"), range_join: bool | None = None) -> DataFrame:
     """Each event gets the user version valid at its event_time (the first version when the
     event precedes all of them); unknown users and events without a time keep NULL attributes.
     Both strategies give the same rows (compared by the ``asof_uncleaned`` query and the tests).
@@ -101,13 +93,13 @@ def asof_join(events: DataFrame, scd2: DataFrame, payload=("country", "loyalty_t
     Range join (default when every user has at most ``MAX_VERSIONS_FOR_RANGE_JOIN`` versions,
     measured): an equi-join on user_id with a range residual; AQE splits a hot user on the
     event side and each event checks at most that many versions. Beyond the bound, a carry-
-    forward over events and versions merged in time order, split by time buckets (no task holds
-    a whole user), which relies on the intervals being contiguous, as ``dim_user_scd2`` makes them.
+    forward over events and versions merged in time order, cut by ranges of (user, time) with about equally
+    many rows (no task holds a whole user), which relies on the intervals being contiguous, as ``dim_user_scd2`` makes them.
     """
     if range_join is None:
         range_join = plain_window_is_safe(scd2, "user_id", MAX_VERSIONS_FOR_RANGE_JOIN)
     if not range_join:
-        return _asof_by_carry(events, scd2, payload, bucket_seconds)
+        return _asof_by_carry(events, scd2, payload)
     dim = scd2.selectExpr("user_id AS _uid", "valid_from AS _vf", "valid_to AS _vt", "is_first AS _first",
                           *[f"`{c}` AS `_v_{c}`" for c in payload],
                           *(["user_sk AS _v_user_sk"] if "user_sk" in scd2.columns else []))
@@ -120,18 +112,17 @@ def asof_join(events: DataFrame, scd2: DataFrame, payload=("country", "loyalty_t
     return out.drop("_uid", "_vt", "_first")
 
 
-def _asof_by_carry(events: DataFrame, scd2: DataFrame, payload, bucket_seconds: int) -> DataFrame:
+def _asof_by_carry(events: DataFrame, scd2: DataFrame, payload) -> DataFrame:
     from pyspark.sql import Window
 
     fields = ["valid_from", *payload, *(["user_sk"] if "user_sk" in scd2.columns else [])]
     vstruct = "struct(" + ", ".join(f"`{c}`" for c in fields) + ")"
-    bucket = f"floor(unix_micros(_t) / {bucket_seconds * 1_000_000})"
     versions = scd2.selectExpr("user_id", "valid_from AS _t", "0 AS _kind", f"{vstruct} AS _v")
     ev = events.selectExpr("*", "event_time AS _t", "1 AS _kind", f"CAST(NULL AS {_struct_type(scd2, fields)}) AS _v")
-    merged = ev.unionByName(versions, allowMissingColumns=True).withColumn("_b", F.expr(bucket))
+    merged = dealt_by_range(ev.unionByName(versions, allowMissingColumns=True), ["user_id", "_t", "_kind"], "asof-merged")
     w_in = Window.partitionBy("user_id", "_b").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     merged = merged.withColumn("_in", F.last("_v", ignorenulls=True).over(w_in))
-    # One summary row per (user, bucket) that holds events or versions: bounded by the time span.
+    # One summary row per (user, range): bounded by the number of ranges.
     summary = merged.groupBy("user_id", "_b").agg(
         F.expr("max(CASE WHEN _kind = 0 THEN struct(_t, _v) END) AS _last"),
         F.expr("min(CASE WHEN _kind = 0 THEN struct(_t, _v) END) AS _first"))
@@ -142,7 +133,7 @@ def _asof_by_carry(events: DataFrame, scd2: DataFrame, payload, bucket_seconds:
         F.first("_first", ignorenulls=True).over(w_b.rowsBetween(Window.unboundedPreceding,
                                                                  Window.unboundedFollowing)).alias("_first_v"))
     ev_rows = merged.where("_kind = 1").join(edges, ["user_id", "_b"], "left")
-    out = ev_rows.withColumn("_ver", F.expr("coalesce(_in, _carry._v, _first_v._v)"))
+    out = ev_rows.withColumn("_ver", F.expr("CASE WHEN _t IS NOT NULL THEN coalesce(_in, _carry._v, _first_v._v) END"))
     cols = {"version_from": F.col("_ver.valid_from"), **{f"version_{c}": F.col(f"_ver.{c}") for c in payload}}
     if "user_sk" in scd2.columns:
         cols["user_sk"] = F.col("_ver.user_sk")

@@ -1,21 +1,21 @@
 """Previous / next row within a key, without putting a whole key into one task.
 
 ``lag``/``lead`` over ``Window.partitionBy(key)`` sends every row of a key to one task; a key
-holding a third of the data would then be sorted and buffered by a single core. Here the order
-column is cut into time buckets:
+holding a third of the data would then be sorted and buffered by a single core. Here the rows are dealt by
+ranges of (key, order), whose edges Spark chooses by their number of rows, so a hot key is cut wherever its
+rows lie, within a second as within a year:
 
-1. ``lag``/``lead`` inside each (key, bucket) -- a bounded group;
-2. a partial+final aggregate gives the first and last row of every (key, bucket);
-3. a window over those summaries (at most one row per bucket of the key's time span) carries
-   the neighbour across bucket edges;
-4. a join on (key, bucket) stitches the two. Steps 1 and 2 share one shuffle.
+1. the range number is stored with the rows (written once, so that a second look cannot deal them anew);
+2. ``lag``/``lead`` inside each (key, range) -- a bounded group;
+3. a partial+final aggregate gives the first and last row of every (key, range);
+4. a window over those summaries (at most one row per range) carries the neighbour across the edges;
+5. a join on (key, range) stitches the two. Steps 2 and 3 share one shuffle.
 
-The result equals a plain window over the key for any data, because the buckets are ordered
-like the order column.
+The result equals a plain window over the key for any data, because ranges are ordered like the order column.
 
 When the largest key group is measured (one partial aggregate) and found under
 ``max_group_rows``, a plain window is used instead: one shuffle, and no task holds more than
-that many rows. The measurement is the size check; the bucketed plan is the way beyond it.
+that many rows. The measurement is the size check; the cut plan is the way beyond it.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_SECONDS = 3600
+from strata.session import materialize
+
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
 
 
@@ -36,9 +37,13 @@ def plain_window_is_safe(df: DataFrame, key: str, max_group_rows: int = DEFAULT_
     return largest_group(df, key) <= max_group_rows
 
 
+def dealt_by_range(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """``df`` with the number ``_b`` of its range of ``columns``; ranges hold about equally many rows."""
+    return materialize(df.repartitionByRange(*columns).withColumn("_b", F.spark_partition_id()), name)
+
+
 def with_neighbours(df: DataFrame, key: str, order: str, payload: list[str], prev: bool = True,
-                    next: bool = True, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                    plain: bool | None = None, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+                    next: bool = True, plain: bool | None = None, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """Adds ``_prev`` / ``_next`` struct columns (order column + payload of the neighbour row).
 
     ``order`` must be a non-null timestamp, unique within ``key`` (dedupe first). ``plain``
@@ -56,8 +61,7 @@ def with_neighbours(df: DataFrame, key: str, order: str, payload: list[str], pre
         if next:
             cols["_next"] = F.expr(f"lead({struct}) {over}")
         return df.withColumns(cols)
-    bucket = F.floor(F.unix_micros(F.col(order)) / F.lit(bucket_seconds * 1_000_000)).cast("long")
-    base = df.withColumn("_b", bucket).withColumn("_s", F.struct(*[F.col(c) for c in fields]))
+    base = dealt_by_range(df, [key, order], "sequence").withColumn("_s", F.struct(*[F.col(c) for c in fields]))
     w_in = Window.partitionBy(key, "_b").orderBy(order)
     if prev:
         base = base.withColumn("_prev_in", F.lag("_s").over(w_in))

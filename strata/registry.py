@@ -182,6 +182,75 @@ def _top_purchasers_all(x: Inputs):
     return K.top_purchasers_as_written(x.fanned)
 
 
+@register("active_users_by_period", """SELECT 'day' AS period, event_date AS starts, count(DISTINCT user_id) AS members FROM clean_iw GROUP BY 2
+    UNION ALL SELECT 'week', CAST(date_trunc('week', event_date) AS DATE), count(DISTINCT user_id) FROM clean_iw GROUP BY 2
+    UNION ALL SELECT 'month', CAST(date_trunc('month', event_date) AS DATE), count(DISTINCT user_id) FROM clean_iw GROUP BY 2""")
+def _active_users(x: Inputs):
+    """exact distinct users of days, weeks and months from one stored table of daily bitmaps."""
+    from strata.operators import distincts
+    from strata.session import materialize
+
+    events = x.clean()
+    numbers = assign_surrogate_keys(events.select("user_id").distinct(), ["user_id"], "user_no")
+    bitmaps = materialize(distincts.day_bitmaps(events, numbers), "user-bitmaps")
+    day, week, month = (distincts.distinct_members(bitmaps, p) for p in distincts.PERIODS)
+    return day.unionByName(week).unionByName(month)
+
+
+@register("product_metrics_ranked", f"""SELECT *, rank() OVER (ORDER BY revenue DESC, total_interactions DESC) AS rank FROM (
+        SELECT p.product_id, p.category, count(*) AS total_interactions, {O.money('f.price')} AS revenue
+        FROM live_iw f JOIN products_iw p ON f.product_sk = p.product_sk GROUP BY p.product_id, p.category) m""")
+def _product_metrics_ranked(x: Inputs):
+    """F4 + G5: the order as a rank column."""
+    from strata.operators.ranking import with_rank
+
+    return with_rank(K.product_metrics(x.star()), ["revenue", "total_interactions"])
+
+
+@register("purchasers_ranked", """SELECT *, rank() OVER (ORDER BY transactions DESC) AS rank FROM (
+        SELECT user_id, count(*) AS transactions FROM clean_iw WHERE event_type = 'purchase' GROUP BY user_id) u""")
+def _purchasers_ranked(x: Inputs):
+    """Purchasers by number of purchases, with many ties."""
+    from strata.operators.ranking import with_rank
+
+    per = x.clean().where("event_type = 'purchase'").groupBy("user_id").agg(F.expr("count(1) AS transactions"))
+    return with_rank(per, ["transactions"])
+
+
+# Days that are sent again with other prices.
+_AGAIN = ("2024-01-05", "2024-01-20")
+
+
+@register("refresh_days", f"""SELECT event_date, count(*) AS events, {O.money(f"CASE WHEN event_date IN (DATE '{_AGAIN[0]}', DATE '{_AGAIN[1]}') THEN price + 1 ELSE price END")} AS revenue
+    FROM clean_iw GROUP BY event_date""")
+def _refresh_days(x: Inputs):
+    """Two days loaded again replace their partitions of silver events; all others stay."""
+    from strata import jobs
+    from strata.session import scratch_path
+    from strata.sources import feeds
+
+    p = jobs.SilverPaths(scratch_path(x.spark, "refresh"))
+    feeds.write_table(x.clean(), p.events, partition_by=["event_date"])
+    days = ", ".join(f"DATE '{d}'" for d in _AGAIN)
+    later = x.raw.where(f"to_date(event_time) IN ({days})").withColumn("price", F.col("price") + 1)
+    jobs.refresh_days(x.spark, later, p, AS_OF, CART)
+    return x.spark.read.parquet(p.events).groupBy("event_date").agg(
+        F.expr("count(1) AS events"), F.expr("CAST(round(sum(CAST(price AS DECIMAL(24,6))), 2) AS DOUBLE) AS revenue"))
+
+
+@register("events_between", """SELECT event_id, event_time, event_date FROM clean_iw
+    WHERE event_time >= TIMESTAMP '2024-01-03 06:00:00' AND event_time < TIMESTAMP '2024-01-05 12:30:00'""")
+def _events_between(x: Inputs):
+    """A time range over stored events opens the days of the range only."""
+    from strata.session import scratch_path
+    from strata.sources import feeds
+
+    path = scratch_path(x.spark, "events_by_day")
+    feeds.write_table(x.clean(), path, partition_by=["event_date"])
+    stored = x.spark.read.parquet(path)
+    return feeds.between(stored, "2024-01-03 06:00:00", "2024-01-05 12:30:00").select("event_id", "event_time", "event_date")
+
+
 @register("row_counts", """SELECT 'bronze_events' AS table_name, count(*) AS row_count FROM raw_ev
     UNION ALL SELECT 'silver_events', count(*) FROM clean_iw
     UNION ALL SELECT 'silver_user', count(*) FROM users_iw
@@ -554,6 +623,26 @@ def _asof_uncleaned(x: Inputs):
         by_carry.selectExpr("event_id", "version_from AS by_carry"), "event_id", "full")
 
 
+@register("scd2_by_ranges", """SELECT user_id, country, loyalty_tier, valid_from, valid_to,
+        valid_to IS NULL AS is_current, is_first FROM scd2""")
+def _scd2_by_ranges(x: Inputs):
+    """D2 by ranges of (user, time) with about equally many rows, whatever a user holds."""
+    return D.dim_user_scd2(x.changes, plain=False)
+
+
+@register("scd2_two_batches", """SELECT user_id, country, loyalty_tier, valid_from, valid_to,
+        valid_to IS NULL AS is_current, is_first FROM scd2""")
+def _scd2_two_batches(x: Inputs):
+    """D2 spliced: the change log in two batches with late changes gives the intervals of one batch."""
+    from strata import jobs
+    from strata.session import scratch_path
+
+    root, changes = scratch_path(x.spark, "history"), D.user_versions(x.changes)
+    for rest in (1, 0):
+        jobs.splice_history(x.spark, changes.where(f"pmod(unix_seconds(updated_at) div 60, 2) = {rest}"), root)
+    return x.spark.read.parquet(f"{root}/user_history").drop("part")
+
+
 @register("users_with_history", """SELECT CAST(sum(n) AS BIGINT) AS user_records, count(*) AS users,
         count(*) FILTER (WHERE n > 1) AS users_with_history
     FROM (SELECT user_id, count(*) AS n FROM uv GROUP BY user_id) v""")

@@ -92,6 +92,18 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     w.save(path)
 
 
+def refresh_partitions(df: DataFrame, path: str, column: str) -> None:
+    """A7 for a part of a table: the partitions of ``column`` that ``df`` holds are replaced, all others keep their files."""
+    df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def between(df: DataFrame, start: str, end: str, time: str = "event_time", date: str = "event_date") -> DataFrame:
+    """Rows of [start, end): the range of the time column also as a range of the date derived from it (A12), which is the
+    partition column of stored events, so that the scan opens the days of the range only."""
+    return df.where(f"`{time}` >= TIMESTAMP '{start}' AND `{time}` < TIMESTAMP '{end}' "
+                    f"AND `{date}` >= to_date(TIMESTAMP '{start}') AND `{date}` <= to_date(TIMESTAMP '{end}')")
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A3: load a lakehouse table by path."""
     return spark.read.format(fmt).load(path)
