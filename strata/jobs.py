@@ -107,12 +107,27 @@ def refresh_days(spark: SparkSession, bronze_events: DataFrame, p: SilverPaths,
     """Clean the days that ``bronze_events`` holds anew: their partitions of silver events are replaced, and with ``gold``
     their rows of the daily KPIs, a table by day. Returns the days."""
     clean, scratch = materialized(C.clean_events(bronze_events, "intended", as_of, cart_types), "refresh")
-    days = [r[0] for r in clean.select("event_date").distinct().collect()]  # one row per day
+    days = [str(r[0]) for r in clean.select("event_date").distinct().collect()]  # one row per day
+    sent = bronze_events.select(F.to_date(as_timestamp(bronze_events, "event_time")).alias("d")).where("d IS NOT NULL").distinct()
     feeds.refresh_partitions(clean, p.events, "event_date")
-    if gold:
-        feeds.refresh_partitions(K.daily_kpis(clean), f"{gold}/daily_kpis_by_day", "event_date")
+    kpis = f"{gold}/daily_kpis_by_day" if gold else None
+    if kpis:
+        feeds.refresh_partitions(K.daily_kpis(clean), kpis, "event_date")
+    for day in {str(r[0]) for r in sent.collect()} - set(days):  # sent again, and no event of the day is valid any more
+        for table in filter(None, (p.events, kpis)):
+            remove_scratch(spark, f"{table}/event_date={day}")
     remove_scratch(spark, scratch)
-    return sorted(map(str, days))
+    return sorted(days)
+
+
+def bucket_star(spark: SparkSession, p: SilverPaths, database: str, buckets: int) -> None:
+    """The fact and its dimensions as catalog tables bucketed by the keys they meet on (E1, E5): ``fact_by_product`` with
+    ``products``, ``fact_by_user`` with ``users``. Joins and totals by a key then need no shuffle of the fact."""
+    tables.ensure_database(spark, database, f"{p.root}/_bucketed")
+    star = load_star(spark, p)
+    for name, df, key in (("fact_by_product", star.fact, "product_sk"), ("products", star.products, "product_sk"),
+                          ("fact_by_user", star.fact, "user_sk"), ("users", star.users, "user_sk")):
+        tables.save_bucketed(df, f"{database}.{name}", key, buckets, f"{p.root}/_bucketed/{name}")
 
 
 #: Folders of the user history; a change batch rewrites those of its users only.

@@ -221,6 +221,49 @@ def _purchasers_ranked(x: Inputs):
 _AGAIN = ("2024-01-05", "2024-01-20")
 
 
+@register("product_metrics_bucketed", f"""SELECT p.product_id, p.category, count(*) AS total_interactions,
+        {O.money('f.price')} AS revenue
+    FROM live_iw f JOIN products_iw p ON f.product_sk = p.product_sk GROUP BY p.product_id, p.category""")
+def _product_metrics_bucketed(x: Inputs):
+    """F4 + E5 + A10: over catalog tables bucketed by the product key."""
+    from strata import jobs
+    from strata.sources import tables
+
+    p = _silver(x)
+    db = "bucketed_" + p.root.rsplit("-", 1)[-1]
+    jobs.bucket_star(x.spark, p, db, 8)
+    return K.product_metrics(X.Star(tables.scan(x.spark, f"{db}.fact_by_product"), None, tables.scan(x.spark, f"{db}.products"), None))
+
+
+_NULLS = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in EVENT_COLS.split(", "))
+
+
+@register("load_metrics", f"""SELECT 'batch' AS source, count(*) AS rows, {_NULLS} FROM raw_ev
+    UNION ALL SELECT 'stream', count(*), {_NULLS} FROM raw_ev""")
+def _load_metrics(x: Inputs):
+    """C5 + F6 + E4: rows and nulls of a batch and a stream load, taken from the writes themselves."""
+    from strata.operators import metrics
+    from strata.session import scratch_path
+    from strata.sources import feeds
+    from strata.streaming import ingest
+
+    landing, columns = _landing(x), [c.strip() for c in EVENT_COLS.split(",")]
+    batch, seen = metrics.observed(feeds.stamp(feeds.read_json(x.spark, landing)), columns)
+    feeds.write_table(batch, scratch_path(x.spark, "bronze_measured"))
+    listener = metrics.StreamCounts("bronze")
+    x.spark.streams.addListener(listener)
+    try:
+        stream = ingest.stamp_stream(ingest.read_stream(x.spark, landing, max_files_per_trigger=3)).observe("bronze", *metrics.counts(columns))
+        query = ingest.write_stream(stream, scratch_path(x.spark, "bronze_stream_measured"), scratch_path(x.spark, "ckpt"))
+        ingest.run_to_completion(query)
+        streamed = listener.totals(query)
+    finally:
+        x.spark.streams.removeListener(listener)
+    names = ["rows", *columns]
+    return x.spark.createDataFrame([("batch", *[int(seen.get[n]) for n in names]), ("stream", *[int(streamed[n]) for n in names])],
+                                   "source string, " + ", ".join(f"{n} long" for n in names))
+
+
 @register("refresh_days", f"""SELECT event_date, count(*) AS events, {O.money(f"CASE WHEN event_date IN (DATE '{_AGAIN[0]}', DATE '{_AGAIN[1]}') THEN price + 1 ELSE price END")} AS revenue
     FROM clean_iw GROUP BY event_date""")
 def _refresh_days(x: Inputs):

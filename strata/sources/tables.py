@@ -30,6 +30,11 @@ def append_to_table(df: DataFrame, qualified: str) -> None:
     df.select(*target_cols).write.mode("append").insertInto(qualified)
 
 
+def save_bucketed(df: DataFrame, qualified: str, key: str, buckets: int, location: str) -> None:
+    """Replace a table by ``df`` in buckets of ``key``, sorted inside; rows are dealt like the buckets first, so each is one file."""
+    df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", location).bucketBy(buckets, key).sortBy(key).saveAsTable(qualified)
+
+
 def scan(spark: SparkSession, qualified: str) -> DataFrame:
     """``SELECT * FROM table``."""
     return spark.sql(f"SELECT * FROM {qualified}")

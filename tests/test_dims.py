@@ -23,7 +23,7 @@ def test_neighbours_equal_plain_window(spark):
         seen.add((k, t))
         rows.append((k, t, rnd.randint(0, 9)))
     df = spark.createDataFrame(rows, "k string, t timestamp, v int")
-    got = with_neighbours(df, "k", "t", ["v"], bucket_seconds=7200, plain=False).select(
+    got = with_neighbours(df, "k", "t", ["v"], plain=False).select(
         "k", "t", F.col("_prev")["t"].alias("pt"), F.col("_prev")["v"].alias("pv"), F.col("_next")["t"].alias("nt"))
     w = Window.partitionBy("k").orderBy("t")
     exp = df.select("k", "t", F.lag("t").over(w).alias("pt"), F.lag("v").over(w).alias("pv"),
@@ -113,7 +113,7 @@ def test_asof_strategies_agree(spark, sf_dir):
     scd = dims.dim_user_scd2(T.user_feed(spark, sf_dir))
     cols = ["event_id", "version_from", "version_country", "version_loyalty_tier"]
     a = dims.asof_join(ev, scd, range_join=True).select(*cols)
-    b = dims.asof_join(ev, scd, range_join=False, bucket_seconds=6 * 3600).select(*cols)
+    b = dims.asof_join(ev, scd, range_join=False).select(*cols)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
