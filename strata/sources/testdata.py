@@ -59,9 +59,9 @@ def odd_prices(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, by: str | None = None) -> DataFrame:
-    """Spread a scan of fewer split sizes than the session has cores (a single
-    row-group file is one task). A no-op at cluster scale, where scans have many splits. The size is that of
-    the listed files, so nothing is planned or run for it.
+    """Spread a scan that yields fewer partitions than the session has cores (a single
+    row-group file is one task). A no-op at cluster scale, where scans have many splits. The size and number of
+    the listed files tell, so a scan is not planned for it.
 
     ``by`` hash-partitions on an expression instead of round-robin: when a later projection
     names that same expression (e.g. ``CAST(event_id AS STRING) AS event_id``), Spark carries
@@ -71,6 +71,9 @@ def spread(df: DataFrame, by: str | None = None) -> DataFrame:
     split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >= target * split:
         return df
+    files = df.inputFiles()
+    if (len(files) if files else df.rdd.getNumPartitions()) >= target:
+        return df
     return df.repartition(target, F.expr(by)) if by else df.repartition(target)
 
 
