@@ -1,20 +1,26 @@
 """Operator 2: co-training quality classifier.
 
 Two logistic classifiers see different views of a document: the text view has hashed words and word
-shapes (relative frequencies), the page view has the declared metadata (language, source, recorded
-length) and layout counts (lines, character classes, repeated words). Both start from the labelled
-rows; in each round each view hands the unlabelled rows it is surest of, in the classes' proportion, to
-the other view as pseudo-labels. At the end each view is calibrated on labelled rows that took no part
-in training (Platt scaling), and a logistic combination fitted on the same rows scores every document.
-
-The classifiers are fitted on bounded samples, chosen by a hash of the id over the whole table: at most
-LABELLED labelled and POOL unlabelled rows, whatever the table's size. Scoring runs over every document
-as an Arrow function, without a shuffle.
+shapes (relative frequencies) and repeated neighbours, the page view has the declared metadata alone
+(language, source, both together, recorded length). Neither sees the other's evidence. Both start from the
+labelled rows; in each round each view hands the unlabelled rows it is sure of (probability SURE or more)
+to the other view as pseudo-labels, weighted so that the classes keep their proportion; while it is sure of
+no row of one class, or was not right about labelled rows in the same way (cross-validation), it hands over none. At the end each view is calibrated on labelled rows that took no part
+in training (Platt scaling; with under ENOUGH rows of a class, on the training rows), and a logistic combination fitted on the same rows scores every document.
+
+Only the labelled rows are bounded: at most LABELLED, chosen by a hash of the id over the whole table. Every
+other document is unlabelled and takes part in every round. Features are written once; a round broadcasts the
+weights of both views, tasks sum the loss gradient of the rows handed over and a diagonal bound of its
+curvature, and the driver gets those sums (a fixed number of rows, whatever the table's size), with which it
+refits each view: the labelled loss plus a quadratic that lies above the pseudo-labelled loss. The sums are
+whole numbers (steps of 1/UNIT), so their order changes nothing. Scoring runs over every document as an Arrow
+function, without a shuffle.
 
 Defined results: null or empty texts are scored as empty texts; a null language, source or length is a
-value of its own; rows whose label is null or whose id has no document are not used; of repeated labels
-the majority counts (a tie is good); without rows of both classes nothing is rejected (score 1); an
-empty table gives an empty result; all other columns are kept as they are.
+value of its own; labels that are null or whose id has no document are not used; of repeated labels
+the majority counts (a tie is good); of documents that share a labelled id one is taken; documents without id
+are unlabelled; without rows of both classes nothing is rejected (score 1); an empty table gives an empty
+result; all other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -26,12 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SLICE_ROWS, fresh, hold
+from strata.llm.common import SLICE_ROWS, fresh, hold, remove, slices, written
 
-#: Bounds of the samples that the classifiers are fitted on; rounds of co-training.
-LABELLED, POOL, ROUNDS = 2500, 2500, 3
+#: Bound of the labelled sample, rounds of co-training, probability from which a view is sure.
+LABELLED, ROUNDS, SURE = 2500, 3, 0.9
+#: Labelled rows of each class from which a fifth is kept out of training, for calibration alone.
+ENOUGH = 50
 WORD_DIM, SHAPE_DIM, NAME_DIM = 512, 256, 64
-TEXT_DIM, PAGE_DIM = WORD_DIM + SHAPE_DIM + 1, 2 * NAME_DIM + 14
+TEXT_DIM, PAGE_DIM, PAGE_CODES = WORD_DIM + SHAPE_DIM + 1, 4 * NAME_DIM, 4
+#: Steps of a whole in the sums of a round.
+UNIT = 1 << 20
 #: Words by which every text counts as longer, so that a few words alone decide little.
 FEW = 6
 _WORDS: dict[str, int] = {}
@@ -60,14 +70,6 @@ def _codes(words: list[str]) -> np.ndarray:
     return np.array(known, np.int64)
 
 
-_CLASS = np.full(256, 5)
-_CLASS[[*range(97, 123), *range(128, 256)]] = 0
-_CLASS[65:91] = 1
-_CLASS[48:58] = 2
-_CLASS[[32, 9, 13]] = 3
-_CLASS[10] = 4
-
-
 def text_view(text: str) -> tuple[np.ndarray, float]:
     """(codes of the words, share of words equal to the one before)."""
     codes = _codes(text.split())
@@ -75,16 +77,11 @@ def text_view(text: str) -> tuple[np.ndarray, float]:
     return codes, same
 
 
-def page_view(text: str, lang: str | None, source: str | None, n_chars: int | None, codes: np.ndarray, same: float) -> np.ndarray:
-    x = np.zeros(PAGE_DIM)
-    x[zlib.crc32(f"l{lang}".encode()) % NAME_DIM] = 1
-    x[NAME_DIM + zlib.crc32(f"s{source}".encode()) % NAME_DIM] = 1
-    raw = np.frombuffer(text.encode(), np.uint8)
-    share = np.bincount(_CLASS[raw], minlength=6) / max(1, len(raw)) if len(raw) else np.zeros(6)
-    x[2 * NAME_DIM:] = [*share * 4, np.log1p(n_chars or 0) / 5, n_chars is None, np.log1p(len(raw)) / 5,
-                        np.log1p(text.count("\n")) / 3, same * 4, len(np.unique(codes)) / max(1, len(codes)),
-                        len(raw) / max(1, len(codes)) / 10, not len(raw)]
-    return x
+def page_view(lang: str | None, source: str | None, n_chars: int | None) -> list[int]:
+    """The page view's features that are 1: language, source, both, half octave of the recorded length."""
+    size = 0 if n_chars is None else 1 + min(int(2 * np.log2(1 + max(0, n_chars))), NAME_DIM - 2)
+    names = [zlib.crc32(f"{k}{v}".encode()) % NAME_DIM for k, v in (("l", lang), ("s", source), ("p", (lang, source)))]
+    return [i * NAME_DIM + v for i, v in enumerate([*names, size])]
 
 
 def _dense(codes: np.ndarray, same: float) -> np.ndarray:
@@ -101,13 +98,16 @@ def sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 150) -> np.ndarray:
-    """Weights and bias (last) of a logistic regression, by accelerated gradient steps."""
+def fit(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 150,
+        handed: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Weights and bias (last) of a logistic regression, by accelerated gradient steps. ``handed``: weights at which
+    the pseudo-labelled loss was looked at, its gradient there and a bound of its curvature."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float32)
-    w, v, n = np.zeros(x.shape[1]), np.zeros(x.shape[1]), len(x)
-    rate = 1 / (0.25 * (x ** 2).sum(1).max() + l2)
+    at, slope, bend = handed or (np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]))
+    w, v, n = at.copy(), at.copy(), len(x)
+    rate = 1 / (0.25 * (x ** 2).sum(1).max() + l2 + bend.max())
     for t in range(steps):
-        g = x.T @ (sigmoid(x @ v) - y) / n + l2 * np.r_[v[:-1], 0]
+        g = x.T @ (sigmoid(x @ v.astype(np.float32)) - y).astype(np.float32) / n + l2 * np.r_[v[:-1], 0] + slope + bend * (v - at)
         new = v - rate * g
         v = new + t / (t + 3) * (new - w)
         w = new
@@ -127,7 +127,7 @@ class Model:
         t = self.text[-1] + self.text[-2] * same * 4
         if len(codes):
             t += (self.words[codes // SHAPE_DIM] + self.shapes[codes % SHAPE_DIM]).sum() / (len(codes) + FEW)
-        return t, float(page_view(text, lang, source, n_chars, codes, same) @ self.page[:-1] + self.page[-1])
+        return t, float(self.page[page_view(lang, source, n_chars)].sum() + self.page[-1])
 
     def scores(self, margins: np.ndarray) -> np.ndarray:
         """(p_text, p_page, score) columns from the margins of both views."""
@@ -135,76 +135,149 @@ class Model:
         return np.hstack([sigmoid(z), sigmoid(z @ self.both[:-1] + self.both[-1])[:, None]])
 
 
-def co_train(xt, xp, y, rounds: int = ROUNDS) -> Model | None:
-    """``y``: 1, 0, or -1 for unlabelled rows; every fifth labelled row is kept for calibration."""
-    labelled = np.flatnonzero(y >= 0)
-    if len(np.unique(y[labelled])) < 2:
+def features(docs: DataFrame) -> DataFrame:
+    """id, codes (4-byte numbers of all words), same, page (codes of the page view) of every document."""
+
+    def make(batches):
+        hold("quality", _WORDS.clear)
+        for part in slices(batches):
+            views = [text_view(t or "") for t in part.column("text").to_pylist()]
+            pages = map(page_view, *(part.column(c).to_pylist() for c in ("lang", "source", "n_chars")))
+            yield pa.RecordBatch.from_pydict({
+                "id": part.column("id"), "codes": pa.array([c.astype(np.int32).tobytes() for c, _ in views], pa.binary()),
+                "same": pa.array([s for _, s in views], pa.float64()), "page": pa.array(list(pages), pa.list_(pa.int32()))})
+
+    frame = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text"), docs["lang"].cast("string").alias("lang"),
+                        docs["source"].cast("string").alias("source"), docs["n_chars"].cast("long").alias("n_chars"))
+    return frame.mapInArrow(make, "id long, codes binary, same double, page array<int>")
+
+
+def handed_over(table: DataFrame, labelled: dict[int, int], text: np.ndarray, page: np.ndarray) -> dict[tuple[int, int], tuple]:
+    """One round's sums over all unlabelled rows of a :func:`features` table: for each (view that learns, class) the
+    number of rows that the other view is sure of, the gradient of their summed loss and its curvature bound."""
+    shared = table.sparkSession.sparkContext.broadcast((np.array(sorted(labelled), np.int64), text, page))
+    dims = TEXT_DIM + 1, PAGE_DIM + 1
+
+    def run(batches):
+        ids, wt, wp = shared.value
+        words, shapes = wt[:WORD_DIM], wt[WORD_DIM:WORD_DIM + SHAPE_DIM]
+        sums = {(k, c): [0, np.zeros(dims[k]), np.zeros(dims[k])] for k in (0, 1) for c in (0, 1)}
+        for part in slices(batches, "codes"):
+            known = np.array([i is not None for i in part.column("id").to_pylist()])
+            own = known & np.isin(part.column("id").fill_null(0).to_numpy(zero_copy_only=False), ids)
+            part = part.filter(pa.array(~own))
+            n = part.num_rows
+            if not n:
+                continue
+            texts = [np.frombuffer(b, np.int32) for b in part.column("codes").to_pylist()]
+            length, codes, same = np.array(list(map(len, texts))), np.concatenate(texts), 4 * part.column("same").to_numpy()
+            doc, word, shape = np.repeat(np.arange(n), length), codes // SHAPE_DIM, codes % SHAPE_DIM
+            weight = 10 / (length + FEW)
+            pages = part.column("page").flatten().to_numpy().reshape(n, PAGE_CODES)
+            p = [sigmoid(np.bincount(doc, words[word] + shapes[shape], n) * weight + same * wt[-2] + wt[-1]),
+                 sigmoid(wp[pages].sum(1) + wp[-1])]
+            bound = [0.25 * (2 * weight * length + same + 1), np.full(n, 0.25 * (PAGE_CODES + 1))]
+            for (k, c), held in sums.items():
+                sure = (p[1 - k] if c else 1 - p[1 - k]) >= SURE
+                held[0] += int(sure.sum())
+                for total, per_row in ((held[1], np.where(sure, p[k] - c, 0.0)), (held[2], np.where(sure, bound[k], 0.0))):
+                    total[-1] += per_row.sum()
+                    if k:
+                        total[:-1] += np.bincount(pages.ravel(), np.repeat(per_row, PAGE_CODES), PAGE_DIM)
+                    else:
+                        by_word = (per_row * weight)[doc]
+                        total[:WORD_DIM] += np.bincount(word, by_word, WORD_DIM)
+                        total[WORD_DIM:-2] += np.bincount(shape, by_word, SHAPE_DIM)
+                        total[-2] += per_row @ same
+        for (k, c), (rows, g, d) in sums.items():
+            if rows:
+                yield pa.RecordBatch.from_pydict({
+                    "view": np.full(len(g), k, np.int32), "class": np.full(len(g), c, np.int32), "at": np.arange(len(g), dtype=np.int32),
+                    "rows": np.full(len(g), rows, np.int64), "g": np.rint(g * UNIT).astype(np.int64), "d": np.rint(d * UNIT).astype(np.int64)})
+
+    found = table.mapInArrow(run, "view int, class int, at int, rows long, g long, d long").groupBy("view", "class", "at").agg(
+        *(F.sum(c).alias(c) for c in ("rows", "g", "d"))).collect()  # at most 2 * (sum of dims) rows
+    shared.destroy()
+    out = {(k, c): [0, np.zeros(dims[k]), np.zeros(dims[k])] for k in (0, 1) for c in (0, 1)}
+    for r in found:
+        held = out[r["view"], r["class"]]
+        held[0], held[1][r["at"]], held[2][r["at"]] = r["rows"], r["g"] / UNIT, r["d"] / UNIT
+    return {key: tuple(held) for key, held in out.items()}
+
+
+def proven(x: np.ndarray, y: np.ndarray, folds: int = 5) -> list[bool]:
+    """For each class: are the rows that a view is sure of, judged without their own fold, of that class with
+    probability SURE (one right and one wrong row added)?"""
+    p = np.full(len(y), 0.5)
+    for f in range(folds):
+        out = np.arange(len(y)) % folds == f
+        if len(np.unique(y[~out])) == 2:
+            w = fit(x[~out], y[~out])
+            p[out] = sigmoid(x[out] @ w[:-1] + w[-1])
+    sure = [(p if c else 1 - p) >= SURE for c in (0, 1)]
+    return [((y[s] == c).sum() + 1) / (s.sum() + 2) >= SURE for c, s in enumerate(sure)]
+
+
+def co_train(xt: np.ndarray, xp: np.ndarray, y: np.ndarray, exchange, rounds: int = ROUNDS) -> Model | None:
+    """Both views of the labelled rows and their classes; ``exchange(text, page)`` gives a round's sums
+    (:func:`handed_over`). Every fifth labelled row is kept for calibration, if each class has ENOUGH; fewer serve for both."""
+    if len(np.unique(y)) < 2:
         return None
     held = np.zeros(len(y), bool)
-    for c in (0, 1):
-        held[labelled[y[labelled] == c][::5]] = True
-    if len(labelled) < 50:
-        held[:] = False
-    own = [np.where(held, -1, y).astype(float) for _ in range(2)]
-    share = np.array([(y[labelled] == c).mean() for c in (0, 1)])
-    views, pool = (xt, xp), np.flatnonzero(y < 0)
-    for r in range(rounds + 1):
-        w = [fit(x[s >= 0], s[s >= 0]) for x, s in zip(views, own)]
-        if r == rounds or not len(pool):
-            break
-        new = [s.copy() for s in own]
+    if np.bincount(y).min() >= ENOUGH:
+        for c in (0, 1):
+            held[np.flatnonzero(y == c)[::5]] = True
+    share = [float((y == c).mean()) for c in (0, 1)]
+    views, learn = (xt, xp), ~held
+    w = [fit(x[learn], y[learn]) for x in views]
+    trusted = [all(proven(x[learn], y[learn])) for x in views]
+    for _ in range(rounds if any(trusted) else 0):
+        sums, new = exchange(*w), list(w)
         for k in (0, 1):
-            p = sigmoid(views[k][pool] @ w[k][:-1] + w[k][-1])
-            for c in (0, 1):
-                free = (new[1 - k][pool] < 0) & ((p if c else 1 - p) >= 0.9)
-                sure = pool[free][np.argsort(-(p if c else 1 - p)[free])]
-                new[1 - k][sure[:max(1, int(share[c] * len(pool) / rounds))]] = c
-        own = new
+            if trusted[1 - k] and all(sums[k, c][0] for c in (0, 1)):
+                slope, bend = (sum(share[c] * sums[k, c][i] / sums[k, c][0] for c in (0, 1)) for i in (1, 2))
+                new[k] = fit(views[k][learn], y[learn], handed=(w[k], slope, bend))
+        w = new
     margin = np.stack([x @ v[:-1] + v[-1] for x, v in zip(views, w)], 1)
-    use = np.flatnonzero(held) if held.any() else labelled
-    platt = [fit(margin[use, k:k + 1], y[use], 1e-4, 2000) for k in (0, 1)]
+    use = np.flatnonzero(held) if held.any() else np.arange(len(y))
+    n = np.bincount(y[use], minlength=2)
+    target = np.where(y[use] == 1, (n[1] + 1) / (n[1] + 2), 1 / (n[0] + 2))  # Platt's: no row is beyond doubt
+    platt = [fit(margin[use, k:k + 1], target, 1e-4, 2000) for k in (0, 1)]
     z = np.stack([margin[use, k] * platt[k][0] + platt[k][1] for k in (0, 1)], 1)
-    return Model(w[0], w[1], platt, fit(z, y[use], 1e-3, 2000))
-
-
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", labelled: int = LABELLED, pool: int = POOL) -> Model | None:
-    """Fit on bounded samples of ``docs`` (doc_id, text, lang, source, n_chars) and ``labels``."""
-    order = F.xxhash64("id", F.lit(17))
-    known = labels.select(labels["doc_id"].alias("id"), labels[label_col].alias("good")).where("id is not null and good is not null") \
-        .groupBy("id").agg(F.avg("good").alias("good")).select("id", (F.col("good") >= 0.5).cast("int").alias("y"))
-    ids = docs.select(docs["doc_id"].alias("id")).where("id is not null")
-    some = known.join(ids.distinct(), "id", "left_semi").orderBy(order, "id").limit(labelled)
-    free = ids.join(known, "id", "left_anti").distinct().orderBy(order, "id").limit(pool).withColumn("y", F.lit(-1))
-    chosen = {int(r.id): r.y for r in some.unionByName(free).collect()}  # at most labelled + pool ids
-    if not chosen:
+    return Model(w[0], w[1], platt, fit(z, target, 1e-3, 2000))
+
+
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS) -> Model | None:
+    """Fit on at most ``labelled`` rows of ``labels`` and on all other rows of ``docs`` (doc_id, text, lang, source, n_chars)."""
+    known = labels.select(labels["doc_id"].cast("long").alias("id"), labels[label_col].alias("good")) \
+        .where("id is not null and good is not null").groupBy("id").agg(F.avg("good").alias("good"))
+    ids = docs.select(docs["doc_id"].cast("long").alias("id")).where("id is not null")
+    some = known.join(ids.distinct(), "id", "left_semi").orderBy(F.xxhash64("id", F.lit(17)), "id").limit(labelled)
+    chosen = {r.id: int(r.good >= 0.5) for r in some.collect()}  # at most ``labelled`` ids
+    if len(set(chosen.values())) < 2:
         return None
     shared = docs.sparkSession.sparkContext.broadcast(chosen)
 
-    def make(batches):
-        hold("quality", _WORDS.clear)
+    def dense(batches):
         for batch in batches:
-            ids = batch.column("id").to_pylist()
-            take = [i for i, d in enumerate(ids) if d in shared.value]
-            if not take:
-                continue
-            rows = batch.take(pa.array(take)).to_pylist()
-            out = {"y": [], "t": [], "p": [], "id": []}
-            for r in rows:
-                codes, same = text_view(r["text"] or "")
-                out["id"].append(r["id"])
-                out["y"].append(shared.value[r["id"]])
-                out["t"].append(_dense(codes, same).tobytes())
-                out["p"].append(page_view(r["text"] or "", r["lang"], r["source"], r["n_chars"], codes, same).astype(np.float32).tobytes())
-            yield pa.RecordBatch.from_pydict({"id": pa.array(out["id"], pa.int64()), "y": pa.array(out["y"], pa.int32()),
-                                              "t": pa.array(out["t"], pa.binary()), "p": pa.array(out["p"], pa.binary())})
-
-    frame = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text"), docs["lang"].cast("string").alias("lang"),
-                        docs["source"].cast("string").alias("source"), docs["n_chars"].cast("long").alias("n_chars"))
-    rows = frame.mapInArrow(make, "id long, y int, t binary, p binary").dropDuplicates(["id"]).toArrow().sort_by("id")
-    if not rows.num_rows:
-        return None
-    view = lambda c: np.stack([np.frombuffer(b, np.float32) for b in rows.column(c).to_pylist()])
-    return co_train(view("t"), view("p"), rows.column("y").to_numpy())
+            take = [i for i, d in enumerate(batch.column("id").to_pylist()) if d in shared.value]
+            if take:
+                rows = batch.take(pa.array(take))
+                codes = (np.frombuffer(b, np.int32) for b in rows.column("codes").to_pylist())
+                yield pa.RecordBatch.from_pydict({
+                    "id": rows.column("id"), "t": pa.array([_dense(c, s).tobytes() for c, s in zip(codes, rows.column("same").to_pylist())], pa.binary()),
+                    "p": rows.column("page")})
+
+    table, path = written(features(docs), "quality-features")
+    rows = table.mapInArrow(dense, "id long, t binary, p array<int>").dropDuplicates(["id"]).toArrow().sort_by("id")
+    xt = np.stack([np.frombuffer(b, np.float32) for b in rows.column("t").to_pylist()])
+    xp = np.zeros((len(xt), PAGE_DIM), np.float32)
+    np.put_along_axis(xp, np.array(rows.column("p").to_pylist()), 1, 1)
+    y = np.array([chosen[i] for i in rows.column("id").to_pylist()])
+    shared.destroy()
+    model = co_train(xt, xp, y, lambda text, page: handed_over(table, chosen, text, page), rounds)
+    remove(docs.sparkSession, path)
+    return model
 
 
 def score(docs: DataFrame, model: Model | None, out: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Quality classifier, language identification and the pipeline."""
 
+import numpy as np
 import public_tokenizers as P
 
 import corpus_pipeline
@@ -16,6 +17,52 @@ def test_classifier_on_labelled_rows(spark, sf_dir):
     assert len(got) == docs.count() and all(0 <= g.score <= 1 for g in got.values())
 
 
+def test_exchange_sums_over_all_unlabelled_rows(spark, sf_dir):
+    """Sums of a round against dense matrices of every row."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").unionByName(spark.createDataFrame(
+        [(None, None, None, None, None), (-1, "", "en", "x", 0), (-1, "", "en", "x", 0)], "doc_id long, text string, lang string, source string, n_chars long"),
+        allowMissingColumns=True)
+    rows = [r for r in docs.collect()]
+    table, _ = written(quality.features(docs.repartition(5)), "features")
+    rng = np.random.default_rng(3)
+    wt, wp = rng.normal(0, 0.8, quality.TEXT_DIM + 1), rng.normal(0, 1.5, quality.PAGE_DIM + 1)
+    labelled = {r.doc_id: 1 for r in rows[::7] if r.doc_id is not None}
+    free = [r for r in rows if r.doc_id not in labelled]
+    xt = np.stack([np.r_[quality._dense(*quality.text_view(r.text or "")), 1.0] for r in free])
+    xp = np.zeros((len(free), quality.PAGE_DIM + 1))
+    for x, r in zip(xp, free):
+        x[[*quality.page_view(r.lang, r.source, r.n_chars), -1]] = 1
+    views, p = (xt, xp), (quality.sigmoid(xt @ wt), quality.sigmoid(xp @ wp))
+    got = quality.handed_over(table, labelled, wt, wp)
+    for (k, c), (n, g, d) in got.items():
+        sure = (p[1 - k] if c else 1 - p[1 - k]) >= quality.SURE
+        x = views[k][sure]
+        assert n == sure.sum() > 0
+        assert np.allclose(g, x.T @ (p[k][sure] - c), atol=1e-2)
+        assert np.allclose(d, 0.25 * x.T @ x.sum(1), rtol=1e-3, atol=1e-2)
+
+
+def test_exchange_teaches_the_page_view(spark):
+    """The texts of unlabelled rows from a source without labels say what that source is worth."""
+    rng = np.random.default_rng(5)
+    good, bad = "steady careful reading of the river report".split(), "WIN $$$ CLICK!!! 777 cheap pills now".split()
+    rows, labels = [], []
+    for i in range(600):
+        fine = bool(rng.random() < 0.5)
+        source = ("books" if fine else "ads") if i >= 100 else "mixed"
+        rows.append((i, " ".join(rng.choice(good if fine else bad, 30)), "en", source, 200))
+        if i < 100:
+            labels.append((i, int(fine)))
+    rows += [(1000, "", "en", "books", 200), (1001, "", "en", "ads", 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    model, alone = quality.train(docs, table), quality.train(docs, table, rounds=0)
+    gap = lambda m: m.margins("", "en", "books", 200)[1] - m.margins("", "en", "ads", 200)[1]
+    assert abs(gap(alone)) < 1e-6 and gap(model) > 0.1
+    got = {r.doc_id: r for r in quality.scored(docs, table).collect()}
+    assert len(got) == len(rows) and all(got[i].keep == (t.split()[0] in good) for i, t, *_ in rows[:600])
+
+
 def test_classifier_odd_rows(spark, odd_docs):
     labels = spark.createDataFrame([(1, 1), (5, 1), (7, 0), (7, 0), (7, None), (None, 1), (99, 0)], "doc_id long, quality int")
     for some in (labels, labels.limit(0), labels.where("quality = 1")):
