@@ -7,7 +7,10 @@ stages but the last return the columns of their input, extra ones included.
 
 from __future__ import annotations
 
+import gc
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,10 +65,18 @@ STAGES = [
     ("sentencepiece", sentencepiece),
 ]
 
-#: Trained classifiers and similarity groups are beyond SQL; see tests/llm/test_pipeline.py.
+#: Trained classifiers and similarity groups are beyond SQL; see test_pipeline_stages in tests/llm/test_models.py.
 ORACLE_SQL = None
 
 
+def release(spark: SparkSession) -> None:
+    """After a stage: Spark drops the shuffle files and broadcasts of a finished stage once the driver has collected
+    its garbage, which otherwise happens only when the driver's memory is short."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    spark.sparkContext._jvm.System.gc()
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``, in order."""
     docs, path = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
@@ -74,4 +85,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs, path = written(stage(spark, before, sf_dir), f"pipeline-{name}")
         if done:
             remove(spark, done)
+        release(spark)
     return docs
