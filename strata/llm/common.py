@@ -6,6 +6,8 @@ later round replaces is removed again through the Hadoop file system of its own
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterable, Iterator
 
@@ -35,9 +37,17 @@ _HELD: dict[str, Callable[[], None]] = {}
 
 def hold(name: str, forget: Callable[[], None]) -> None:
     """Called in a worker before an operator fills a cache: the caches of other operators are emptied, so that
-    a worker which serves several operators, as in a pipeline, holds the cache of one at a time."""
-    for other in [n for n in _HELD if n != name]:
+    a worker which serves several operators, as in a pipeline, holds the cache of one at a time. What they took
+    goes back to the system where the C library can give it back."""
+    others = [n for n in _HELD if n != name]
+    for other in others:
         _HELD.pop(other)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
     _HELD[name] = forget
 
 

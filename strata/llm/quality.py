@@ -40,8 +40,8 @@ LABELLED, ROUNDS, SURE = 2500, 3, 0.9
 ENOUGH = 50
 WORD_DIM, SHAPE_DIM, NAME_DIM = 512, 256, 64
 TEXT_DIM, PAGE_DIM, PAGE_CODES = WORD_DIM + SHAPE_DIM + 1, 4 * NAME_DIM, 4
-#: Steps of a whole in the sums of a round.
-UNIT = 1 << 20
+#: Steps of a whole in the sums of a round; bytes of codes and texts that a task holds at once; words it remembers.
+UNIT, HELD_BYTES, REMEMBERED = 1 << 20, 1 << 20, 200_000
 #: Words by which every text counts as longer, so that a few words alone decide little.
 FEW = 6
 _WORDS: dict[str, int] = {}
@@ -61,7 +61,7 @@ def _codes(words: list[str]) -> np.ndarray:
     """Word bucket * SHAPE_DIM + shape bucket of each word."""
     known = list(map(_WORDS.get, words))
     if None in known:
-        if len(_WORDS) > 400_000:
+        if len(_WORDS) > REMEMBERED:
             _WORDS.clear()
         for i, (w, k) in enumerate(zip(words, known)):
             if k is None:
@@ -140,7 +140,7 @@ def features(docs: DataFrame) -> DataFrame:
 
     def make(batches):
         hold("quality", _WORDS.clear)
-        for part in slices(batches):
+        for part in slices(batches, size=HELD_BYTES):
             views = [text_view(t or "") for t in part.column("text").to_pylist()]
             pages = map(page_view, *(part.column(c).to_pylist() for c in ("lang", "source", "n_chars")))
             yield pa.RecordBatch.from_pydict({
@@ -162,7 +162,7 @@ def handed_over(table: DataFrame, labelled: dict[int, int], text: np.ndarray, pa
         ids, wt, wp = shared.value
         words, shapes = wt[:WORD_DIM], wt[WORD_DIM:WORD_DIM + SHAPE_DIM]
         sums = {(k, c): [0, np.zeros(dims[k]), np.zeros(dims[k])] for k in (0, 1) for c in (0, 1)}
-        for part in slices(batches, "codes"):
+        for part in slices(batches, "codes", size=HELD_BYTES):
             known = np.array([i is not None for i in part.column("id").to_pylist()])
             own = known & np.isin(part.column("id").fill_null(0).to_numpy(zero_copy_only=False), ids)
             part = part.filter(pa.array(~own))
