@@ -1,6 +1,6 @@
 """Operator 4: hashed maximum-entropy language model with a class-factored softmax.
 
-log P(text) = sum over tokens of log P(group | context) + log P(class | group, context) + log P(word | class).
+log P(text) = sum over tokens of log P(group | context) + log P(class | group, context) + log P(word | class, word before).
 
 Classes are the leaves of a two-level tree (GROUPS x GROUPS). The HOT_CLASSES most frequent words of the
 training tokens (ties by the word) are classes of their own, every other word is hashed
@@ -14,9 +14,18 @@ the cluster. Each round broadcasts the weights, every task computes expected fea
 Spark sums them and the weights move along the gradient (observed - expected - l2 * w), scaled by the
 expected count. Weight tables have a fixed size, whatever the corpus.
 
-P(word | class) is the discounted relative frequency of the word among the training tokens of its class;
-what the discount leaves is the class's unknown word. So the model is a distribution over the known
-words, one unknown word for each hashed class, and the end.
+q(word | class) is the discounted relative frequency of the word among the training tokens of its class;
+what the discount leaves is the class's unknown word. It is the base measure of the word softmax
+P(word | class, before) = q(word | class) exp(weight(before, word)) / Z(before, class), whose features are hashed
+pairs of whole words. A pair has a weight if it was met at least twice and tells MIN_GAIN nats or more beyond q;
+all others weigh 0, so Z = 1 + sum of q (exp(weight) - 1) over the weighted pairs of the context alone. Pairs are
+counted over all training tokens in a table that grows with the corpus. Their weights start where the discounted
+counts are met exactly and take gradient steps (observed - expected - l2 * w) by context on Spark. So the model is
+a distribution over the known words, one unknown word for each hashed class, and the end.
+
+Scoring looks up each pair and context of a text in the table of weights, in the join that also serves the rare
+words. A bitmap of the table's hashed keys, of fixed size, spares the shuffle most keys that have no weight; it
+passes every key that has one, however full it is.
 
 Word counts are exact, over all training tokens. Words with a share of 1/HOT_WORDS (hence at most
 HOT_WORDS of them) or a class of their own are broadcast for scoring; every other (word, text, frequency) row meets its count
@@ -34,16 +43,21 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import slices, texts, written
+from strata.llm.common import mix64, remove, slices, texts, written
 
 GROUPS, HOT_CLASSES, HOT_WORDS, CROSS = 32, 510, 1 << 20, 1 << 13
 LEAVES = GROUPS * GROUPS
 TAIL, END, START = 512, 1022, 1023
 SUFFIXES = END - TAIL
 ROUNDS, RATE, L2, PRIOR, PART_DISTINCT = 8, 0.6, 0.5, 2.0, 300_000
+#: Pair weights: least gain, what is taken off a pair's count, rounds and l2 of its weights; pairs sorted at once in a task.
+MIN_GAIN, PAIR_DISCOUNT, PAIR_ROUNDS, PAIR_L2, PART_PAIRS = 4.0, 0.5, 2, 0.05, 1_500_000
+#: Bits of the bitmap of keys with a weight, and of one of its rows.
+KEY_BITS, ROW_BITS = 26, 15
 
 _H1 = np.arange(LEAVES)
 _K = np.arange(GROUPS)
@@ -87,6 +101,28 @@ def contexts(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return before, _SKIP[np.r_[START, before[:-1]]]
 
 
+class _Hashes(dict):
+    """64-bit hashes of words, as Spark's xxhash64 gives them, filled on demand (bounded like _Suffixes)."""
+
+    def __missing__(self, word):
+        if len(self) > 200_000:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word, 42)
+        return found
+
+
+_HASH = _Hashes()
+
+
+def pair_keys(hashes: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position, context, word hash) of the tokens of one text whose class has several words. A context is the word
+    before and the class, hashed below zero; context xor word hash, its sign taken off, is the pair's key."""
+    at = np.flatnonzero((leaf >= TAIL) & (leaf < END))
+    before = np.r_[np.uint64(0), hashes][at]
+    context = mix64(before + leaf[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1 << 63)
+    return at, context.view(np.int64), hashes[at].view(np.int64)
+
+
 def log_softmax(z: np.ndarray) -> np.ndarray:
     z = z - z.max(-1, keepdims=True)
     return z - np.log(np.exp(z).sum(-1, keepdims=True))
@@ -131,26 +167,74 @@ def _count_words(train: DataFrame) -> DataFrame:
 
 
 def _statistics(train: DataFrame, hot: dict[bytes, int]) -> DataFrame:
-    """(h1, at, n): counts by previous class; ``at`` below LEAVES: skip bucket and group, else LEAVES + class."""
+    """(a, b, n, total): counts by previous class, a = h1 * 2 * LEAVES + place >= 0, place below LEAVES: skip bucket and
+    group, else LEAVES + class; and counts of word pairs met at least twice, a = context < 0, b = word hash, with the
+    tokens of the context. Tasks combine their rows first, so a context of any share is a few rows from each."""
     shared = train.sparkSession.sparkContext.broadcast(hot)
 
+    def batches_of(a, b, n):
+        for i in range(0, len(a), 100_000):
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a[i:i + 100_000], pa.int64()), "b": pa.array(b[i:i + 100_000], pa.int64()),
+                                              "n": pa.array(n[i:i + 100_000], pa.int64())})
+
+    def combined(found):
+        context, word = (np.concatenate(c) for c in zip(*found))
+        _, first, n = np.unique(context ^ word, return_index=True, return_counts=True)
+        yield from batches_of(context[first], word[first], n)
+
     def count(batches):
-        cells = np.zeros(2 * LEAVES * LEAVES, np.int64)
+        cells, found, held = np.zeros(2 * LEAVES * LEAVES, np.int64), [], 0
         for part in slices(batches):
             codes = []
             for text in texts(part):
-                leaf = classes_of(words_of(text), shared.value)
+                words = words_of(text)
+                leaf = classes_of(words, shared.value)
                 before, skip = contexts(leaf)
                 codes += [before * 2 * LEAVES + skip * GROUPS + leaf // GROUPS, before * 2 * LEAVES + LEAVES + leaf]
+                found.append(pair_keys(np.array([_HASH[w] for w in words], np.uint64), leaf)[1:])
+                held += len(found[-1][0])
+                if held > PART_PAIRS:
+                    yield from combined(found)
+                    found, held = [], 0
             at, n = np.unique(np.concatenate(codes), return_counts=True)
             cells[at] += n
+        if held:
+            yield from combined(found)
         at = np.flatnonzero(cells)
-        for i in range(0, len(at), 100_000):
-            some = at[i:i + 100_000]
-            yield pa.RecordBatch.from_pydict({"h1": pa.array(some // (2 * LEAVES), pa.int32()), "at": pa.array(some % (2 * LEAVES), pa.int32()),
-                                              "n": pa.array(cells[some], pa.int64())})
+        yield from batches_of(at, np.zeros(len(at), np.int64), cells[at])
 
-    return train.select("text").mapInArrow(count, "h1 int, at int, n long").groupBy("h1", "at").agg(F.sum("n").alias("n"))
+    counted = train.select("text").mapInArrow(count, "a long, b long, n long").repartition("a").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return counted.withColumn("total", F.sum("n").over(Window.partitionBy("a"))).where("a >= 0 or n >= 2")
+
+
+def train_pairs(pairs: DataFrame, words: DataFrame, min_gain: float) -> DataFrame:
+    """(a, b, weight, log_z) of every pair with a weight; ``pairs``: a, b, n, total; ``words``: b, q."""
+    expected, context = F.col("total") * F.col("q"), Window.partitionBy("a")
+    gain = F.col("n") * F.log(F.col("n") / expected) - F.col("n") + expected
+    held = pairs.join(words, "b").where((F.col("n") > expected) & (gain >= F.lit(min_gain))).withColumn("seen", F.col("n") - PAIR_DISCOUNT)
+
+    def left(share: Column) -> Column:
+        return F.greatest(1 - F.sum(share).over(context), F.lit(1e-9))
+
+    share = F.col("seen") / F.col("total")
+    held = held.withColumn("weight", F.log(share / F.col("q") * left(F.col("q")) / left(share)))
+    norm = 1 + F.sum(F.col("q") * (F.exp("weight") - 1)).over(context)
+    for _ in range(PAIR_ROUNDS):
+        model = F.col("total") * F.col("q") * F.exp("weight") / F.col("z")
+        step = RATE * (F.col("seen") - model - PAIR_L2 * F.col("weight")) / (model + PAIR_L2)
+        held = held.withColumn("z", norm).withColumn("weight", F.col("weight") + F.greatest(F.least(step, F.lit(1.0)), F.lit(-1.0)))
+    return held.withColumn("log_z", F.log(norm)).select("a", "b", "weight", "log_z")
+
+
+def _key_map(features: DataFrame) -> np.ndarray:
+    """Bitmap of the low KEY_BITS of all keys, in bytes; built by Spark in rows of 2^ROW_BITS bits."""
+    low = F.col("key").bitwiseAND(F.lit((1 << KEY_BITS) - 1))
+    out = np.zeros(1 << KEY_BITS - 3, np.uint8)
+    rows = features.groupBy(F.shiftright(low, ROW_BITS).alias("line")).agg(
+        F.bitmap_construct_agg(low.bitwiseAND(F.lit((1 << ROW_BITS) - 1))).alias("bits")).collect()  # at most 2^(KEY_BITS - ROW_BITS) rows
+    for r in rows:
+        out[r.line << ROW_BITS - 3:r.line + 1 << ROW_BITS - 3] = np.frombuffer(r.bits, np.uint8)
+    return out
 
 
 def train_weights(cells: DataFrame, rounds: int = ROUNDS, trace: list | None = None) -> Weights:
@@ -223,7 +307,7 @@ def train_weights(cells: DataFrame, rounds: int = ROUNDS, trace: list | None = N
     return weights
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_words: int = HOT_WORDS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_words: int = HOT_WORDS, min_gain: float = MIN_GAIN) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
@@ -248,8 +332,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
         tokens[r.leaf], kinds[r.leaf] = r.n, r.v
     unknown = np.where(tokens > 0, discount * kinds / np.maximum(tokens, 1), 1.0)
 
-    cells, _ = written(_statistics(train, hot).groupBy("h1").agg(F.collect_list(F.struct("at", "n")).alias("held")).select(
+    place = (F.crc32(F.expr("substring(cast(word as binary), -3, 3)")) % SUFFIXES).cast("int")
+    log_tokens = F.array(*(F.lit(float(x)) for x in np.log10(np.maximum(tokens[TAIL:END], 1))))
+    log_unknown = F.array(*(F.lit(float(x)) for x in np.log10(unknown[TAIL:END])))
+    counted, counted_path = written(_statistics(train, hot), "maxent-counts")
+    cells, _ = written(counted.where("a >= 0").groupBy(F.expr(f"cast(a div {2 * LEAVES} as int)").alias("h1")).agg(
+        F.collect_list(F.struct((F.col("a") % (2 * LEAVES)).cast("int").alias("at"), "n")).alias("held")).select(
         "h1", "held.at", "held.n").repartition(8, "h1"), "maxent-cells")
+    base_measure = F.greatest(F.col("n") - discount, F.lit(1e-9)) / F.pow(F.lit(10.0), log_tokens[place])
+    pairs, _ = written(train_pairs(counted.where("a < 0"), vocabulary.where(~has_class).select(F.xxhash64("word").alias("b"), base_measure.alias("q")),
+                                   min_gain), "maxent-pairs")
+    remove(spark, counted_path)
+    features = pairs.select(F.col("a").bitwiseXOR(F.col("b")).bitwiseAND(F.lit((1 << 63) - 1)).alias("key"), (F.col("weight") / np.log(10)).alias("value")).unionByName(
+        pairs.groupBy(F.col("a").alias("key")).agg((-F.first("log_z") / np.log(10)).alias("value")))
     weights = train_weights(cells)
 
     known = dict(vocabulary.where((F.col("n") * hot_words >= spoken) | has_class).toPandas().itertuples(index=False, name=None)) if spoken else {}
@@ -262,6 +357,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
     ten = np.log(10)
     shared = spark.sparkContext.broadcast({
         "code": {w: i for i, w in enumerate(names)}, "base": np.r_[base, base_end], "inner": np.r_[inner, 0.0], "leaf": np.r_[leaves, END],
+        "hash": np.array([xxhash.xxh64_intdigest(w, 42) for w in names], np.uint64), "keys": _key_map(features),
         "group": (weights.group_logp(_H1) / ten).astype(np.float32), "class": (weights.class_logp(_H1) / ten).astype(np.float32)})
 
     def rate(batches):
@@ -269,35 +365,42 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
         code, end = m["code"].get, len(m["code"])
         group, classes = m["group"].ravel(), m["class"].ravel()
         for part in slices(batches):
-            words, at, times, out = [], [], [], []
-            for row, text in zip(part.column("row").to_pylist(), texts(part)):
+            words, at, times, out, met = [], [], [], [], []
+            for i, (row, text) in enumerate(zip(part.column("row").to_pylist(), texts(part))):
                 spoken_here = words_of(text)
                 found = list(map(code, spoken_here))
+                codes = np.array([-1 if c is None else c for c in found] + [end], np.int64)
+                leaf = m["leaf"][codes]
+                hashes = m["hash"][codes[:-1]] if end else np.zeros(len(found), np.uint64)
                 if None in found:
                     rare = [w for w, c in zip(spoken_here, found) if c is None]
                     counted = Counter(rare)
                     words += counted.keys()
                     times += counted.values()
                     at += [row] * len(counted)
-                    codes = np.array([-1 if c is None else c for c in found] + [end], np.int64)
-                    leaf = m["leaf"][codes]
                     leaf[codes < 0] = [_SUFFIX[w[-3:]] for w in rare]
-                else:
-                    codes = np.array(found + [end], np.int64)
-                    leaf = m["leaf"][codes]
+                    hashes[codes[:-1] < 0] = [_HASH[w] for w in rare]
                 before, skip = contexts(leaf)
                 ctx = group[before * LEAVES + skip * GROUPS + leaf // GROUPS].sum(dtype=float) + classes[before * LEAVES + leaf].sum(dtype=float)
                 have = codes[codes >= 0]
                 out.append((len(codes), len(have) - (ends == 0), m["base"][have].sum(), ctx + m["inner"][have].sum()))
+                _, context, word = pair_keys(hashes, leaf)
+                key = np.r_[context, (context ^ word) & np.int64((1 << 63) - 1)]
+                low = key & np.int64((1 << KEY_BITS) - 1)
+                key, n = np.unique(key[(m["keys"][low >> 3] >> (low & 7).astype(np.uint8)) & 1 > 0], return_counts=True)
+                met.append((np.full(len(key), row), key, n))
+            met = [np.concatenate(c) for c in zip(*met)]
             n_tokens, n_known, bases, scores = zip(*out)
-            k, n = len(words), part.num_rows
-            none = lambda t: pa.nulls(k, t)
+            f, k, n = len(met[0]), len(words), part.num_rows
+            none = lambda t: pa.nulls(f + k, t)
             rows = part.column("row")
             yield pa.RecordBatch.from_pydict({
-                # A text's own row has a key that no word can be: words hold no space.
-                "word": pa.concat_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array([f" {r}" for r in rows.to_pylist()], pa.string())]),
-                "row": pa.concat_arrays([pa.array(at, pa.int64()), rows.cast(pa.int64())]),
-                "times": pa.concat_arrays([pa.array(times, pa.int64()), pa.nulls(n, pa.int64())]),
+                # Pairs and contexts have no word; a text's own row has one that no word can be: words hold no space.
+                "key": pa.concat_arrays([pa.array(met[1], pa.int64()), pa.array(np.array([_HASH[w] for w in words], np.uint64).view(np.int64)), rows.cast(pa.int64())]),
+                "word": pa.concat_arrays([pa.array([""], pa.string()).take(pa.array(np.zeros(f, np.int64))), pa.array(words, pa.binary()).cast(pa.string()),
+                                          pa.array([f" {r}" for r in rows.to_pylist()], pa.string())]),
+                "row": pa.concat_arrays([pa.array(met[0], pa.int64()), pa.array(at, pa.int64()), rows.cast(pa.int64())]),
+                "times": pa.concat_arrays([pa.array(met[2], pa.int64()), pa.array(times, pa.int64()), pa.nulls(n, pa.int64())]),
                 "id": pa.concat_arrays([none(part.column("id").type), part.column("id")]),
                 "held_out": pa.concat_arrays([none(pa.bool_()), part.column("held_out")]),
                 "n_tokens": pa.concat_arrays([none(pa.int64()), pa.array(n_tokens, pa.int64())]),
@@ -305,18 +408,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
                 "base": pa.concat_arrays([none(pa.float64()), pa.array(bases, pa.float64())]),
                 "score": pa.concat_arrays([none(pa.float64()), pa.array(scores, pa.float64())])})
 
-    rows = frame.mapInArrow(rate, f"word string, row long, times long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double")
-    rare = vocabulary.where((F.col("n") * hot_words < spoken) & ~has_class).select("word", F.col("n").alias("c"))
-    log_tokens = F.array(*(F.lit(float(x)) for x in np.log10(np.maximum(tokens[TAIL:END], 1))))
-    log_unknown = F.array(*(F.lit(float(x)) for x in np.log10(unknown[TAIL:END])))
-    place = (F.crc32(F.expr("substring(cast(word as binary), -3, 3)")) % SUFFIXES).cast("int")
+    rows = frame.mapInArrow(rate, f"key long, word string, row long, times long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double")
+    rare = vocabulary.where((F.col("n") * hot_words < spoken) & ~has_class).select(F.xxhash64("word").alias("key"), "word", F.col("n").alias("c"), F.lit(0.0).alias("value"))
+    looked_up = rare.unionByName(features.select("key", F.lit("").alias("word"), F.lit(0).cast("long").alias("c"), "value"))
     inside = F.when(F.col("c").isNull(), log_unknown[place]).otherwise(F.log10(F.greatest(F.col("c") - discount, F.lit(1e-9))) - log_tokens[place])
-    is_word, n = F.col("times").isNotNull(), F.col("times")
-    seen = rows.join(rare, "word", "left").select(
+    is_pair, is_word, n = F.col("word") == "", F.col("times").isNotNull(), F.col("times")
+    seen = rows.join(looked_up, ["key", "word"], "left").select(
         "row", "id", "held_out", "n_tokens",
-        F.when(is_word, F.when(F.col("c").isNotNull(), n).otherwise(0)).otherwise(F.col("n_known")).alias("n_known"),
-        F.when(is_word, n * (F.log10(F.coalesce("c", F.lit(0)) + F.lit(1.0)) + float(base_unknown))).otherwise(F.col("base")).alias("base"),
-        F.when(is_word, n * inside).otherwise(F.col("score")).alias("score"))
+        F.when(is_pair, 0).when(is_word, F.when(F.col("c").isNotNull(), n).otherwise(0)).otherwise(F.col("n_known")).alias("n_known"),
+        F.when(is_pair, 0.0).when(is_word, n * (F.log10(F.coalesce("c", F.lit(0)) + F.lit(1.0)) + float(base_unknown))).otherwise(F.col("base")).alias("base"),
+        F.when(is_pair, n * F.coalesce("value", F.lit(0.0))).when(is_word, n * inside).otherwise(F.col("score")).alias("score"))
     return seen.groupBy("row").agg(
         F.max("id").alias(id_col), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"), F.sum("base").alias("base_score"), F.sum("score").alias("score")).drop("row")

@@ -154,3 +154,75 @@ def test_model_is_a_distribution(spark):
     h1 = np.arange(maxent.LEAVES)
     group, member = np.exp(w.group_logp(h1)), np.exp(w.class_logp(h1))
     assert abs((group[:, :, :, None] * member[:, None]).sum((2, 3)) - 1).max() < 1e-9
+
+
+def pair_scores(rows, min_gain):
+    """By row: what word pairs add to the score; plain Python, from the counts of the training rows."""
+    import math
+    import zlib
+    from collections import Counter, defaultdict
+
+    split = [(i, t.encode().lower().split()) for i, t in rows]
+    train = [w for i, w in split if zlib.crc32(str(i).encode()) % 7 != 2]
+    count = Counter(w for words in train for w in words)
+    own = {w for w, _ in sorted(count.items(), key=lambda c: (-c[1], c[0]))[:maxent.HOT_CLASSES]}
+    once, twice = (sum(n == k for n in count.values()) for k in (1, 2))
+    discount, tokens = once / (once + 2 * twice), Counter()
+    for w, n in count.items():
+        if w not in own:
+            tokens[maxent.tail_class(w)] += n
+    pairs = Counter((b, w) for words in train for b, w in zip([None, *words], words) if w not in own)
+    total, kept = Counter(), defaultdict(dict)
+    for (b, w), n in pairs.items():
+        total[b, maxent.tail_class(w)] += n
+    for (b, w), n in pairs.items():
+        c, q = (b, maxent.tail_class(w)), max(count[w] - discount, 1e-9) / tokens[maxent.tail_class(w)]
+        e = total[c] * q
+        if n >= 2 and n > e and n * math.log(n / e) - n + e >= min_gain:
+            kept[c][w] = [n - maxent.PAIR_DISCOUNT, q, 0.0]
+    norm = {}
+    for c, found in kept.items():
+        left = lambda at: max(1 - sum(at(v) for v in found.values()), 1e-9)
+        alpha = left(lambda v: v[0] / total[c]) / left(lambda v: v[1])
+        for v in found.values():
+            v[2] = math.log(v[0] / total[c] / v[1] / alpha)
+        for _ in range(maxent.PAIR_ROUNDS):
+            z = 1 + sum(q * (math.exp(x) - 1) for _, q, x in found.values())
+            for v in found.values():
+                model = total[c] * v[1] * math.exp(v[2]) / z
+                v[2] += min(max(maxent.RATE * (v[0] - model - maxent.PAIR_L2 * v[2]) / (model + maxent.PAIR_L2), -1), 1)
+        norm[c] = math.log10(1 + sum(q * (math.exp(x) - 1) for _, q, x in found.values()))
+    out = {}
+    for i, words in split:
+        at = [((b, maxent.tail_class(w)), w) for b, w in zip([None, *words], words) if w not in own]
+        out[i] = sum((kept[c][w][2] / math.log(10) if w in kept[c] else 0.0) - norm[c] for c, w in at if c in norm)
+    return out
+
+
+@pytest.mark.parametrize("hot", [2, maxent.HOT_WORDS])
+def test_pair_weights_equal_brute_force(spark, hot):
+    pick = random.Random(8)
+    vocabulary = [f"{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in ("ing", "ed", "s", "日", "Ly", "er", "est", "ion")]
+    fixed = [(vocabulary[k], vocabulary[799 - k]) for k in range(400)]
+    texts = [" ".join(w for _ in range(60) for w in (pick.choice(fixed) if pick.random() < 0.5 else [pick.choice(vocabulary)])) for _ in range(80)]
+    rows = list(enumerate(texts))
+    bare, full = ({r.doc_id: r.score for r in maxent.score(frame(spark, texts), hot_words=hot, min_gain=g).collect()} for g in (float("inf"), 1.0))
+    want = pair_scores(rows, 1.0)
+    assert sum(abs(v) > 0.5 for v in want.values()) > 40
+    assert all(abs(full[i] - bare[i] - want[i]) < 1e-6 for i in want)
+
+
+def test_rare_pairs_are_learnt(spark):
+    """5,000 fixed pairs, no word of them among those with a class of their own: held-out texts gain by the pairs alone."""
+    pick = random.Random(9)
+    texts = [" ".join([f"{k:04d}left {k:04d}mate" for k in pick.choices(range(5000), k=60)] + [f"often{j}" for j in range(510)]) for _ in range(900)]
+    docs = frame(spark, texts)
+    bare, full = ([r for r in maxent.score(docs, min_gain=g).where("held_out").collect()] for g in (float("inf"), maxent.MIN_GAIN))
+    gain = sum(r.score for r in full) - sum(r.score for r in bare)
+    assert gain / sum(60 for _ in full) > 1.5  # of at most log10(5000) for each pair
+
+
+def test_hashes_of_words_are_those_of_spark(spark):
+    words = ["a", "é日本😀", "x" * 100, "word", "12345678", "0123456789abcdef0123456789abcdefg"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w) h").collect()
+    assert all(r.h % 2**64 == maxent._HASH[r.w.encode()] for r in got)
