@@ -16,15 +16,15 @@ expected count. Weight tables have a fixed size, whatever the corpus.
 
 q(word | class) is the discounted relative frequency of the word among the training tokens of its class;
 what the discount leaves is the class's unknown word. It is the base measure of the word softmax
-P(word | class, before) = q(word | class) exp(weight(before, word)) / Z(before, class), whose features are hashed
-pairs of whole words. A pair has a weight if it was met at least twice and tells MIN_GAIN nats or more beyond q;
+P(word | class, before) = q(word | class) exp(weight(before, word)) / Z(before, class), whose features are pairs of
+whole words, the word before hashed to PREVIOUS_BITS, the word within its class to WORD_BITS. A pair has a weight if it was met at least twice and tells MIN_GAIN nats or more beyond q;
 all others weigh 0, so Z = 1 + sum of q (exp(weight) - 1) over the weighted pairs of the context alone. Pairs are
 counted over all training tokens in a table that grows with the corpus. Their weights start where the discounted
 counts are met exactly and take gradient steps (observed - expected - l2 * w) by context on Spark. So the model is
 a distribution over the known words, one unknown word for each hashed class, and the end.
 
-Scoring looks up each pair and context of a text in the table of weights, in the join that also serves the rare
-words. A bitmap of the table's hashed keys, of fixed size, spares the shuffle most keys that have no weight; it
+Scoring takes the weights of pairs and contexts with a share of 1/HOT_WORDS from a broadcast, as for words, and looks
+up all others in the table of weights, in the join that also serves the rare words. A bitmap of the table's hashed keys, of fixed size, spares the shuffle most keys that have no weight; it
 passes every key that has one, however full it is.
 
 Word counts are exact, over all training tokens. Words with a share of 1/HOT_WORDS (hence at most
@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import mix64, remove, slices, texts, written
+from strata.llm.common import SLICE_BYTES, remove, slices, texts, written
 
 GROUPS, HOT_CLASSES, HOT_WORDS, CROSS = 32, 510, 1 << 20, 1 << 13
 LEAVES = GROUPS * GROUPS
@@ -56,6 +56,9 @@ SUFFIXES = END - TAIL
 ROUNDS, RATE, L2, PRIOR, PART_DISTINCT = 8, 0.6, 0.5, 2.0, 300_000
 #: Pair weights: least gain, what is taken off a pair's count, rounds and l2 of its weights; pairs sorted at once in a task.
 MIN_GAIN, PAIR_DISCOUNT, PAIR_ROUNDS, PAIR_L2, PART_PAIRS = 4.0, 0.5, 2, 0.05, 1_500_000
+#: Bits of a pair's key: class, hash of the word before, hash of the word; the bit above marks the key of a context.
+CLASS_BITS, PREVIOUS_BITS, WORD_BITS = 10, 28, 24
+CONTEXT = 1 << CLASS_BITS + PREVIOUS_BITS + WORD_BITS
 #: Bits of the bitmap of keys with a weight, and of one of its rows.
 KEY_BITS, ROW_BITS = 26, 15
 
@@ -114,13 +117,11 @@ class _Hashes(dict):
 _HASH = _Hashes()
 
 
-def pair_keys(hashes: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, context, word hash) of the tokens of one text whose class has several words. A context is the word
-    before and the class, hashed below zero; context xor word hash, its sign taken off, is the pair's key."""
+def pair_keys(hashes: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """Keys of the word pairs of one text, for tokens whose class has several words; key >> WORD_BITS is the context."""
     at = np.flatnonzero((leaf >= TAIL) & (leaf < END))
-    before = np.r_[np.uint64(0), hashes][at]
-    context = mix64(before + leaf[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1 << 63)
-    return at, context.view(np.int64), hashes[at].view(np.int64)
+    before = (np.r_[np.uint64(0), hashes][at] >> np.uint64(64 - PREVIOUS_BITS)).astype(np.int64)
+    return (leaf[at] << PREVIOUS_BITS | before) << WORD_BITS | (hashes[at] >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
 
 def log_softmax(z: np.ndarray) -> np.ndarray:
@@ -167,20 +168,17 @@ def _count_words(train: DataFrame) -> DataFrame:
 
 
 def _statistics(train: DataFrame, hot: dict[bytes, int]) -> DataFrame:
-    """(a, b, n, total): counts by previous class, a = h1 * 2 * LEAVES + place >= 0, place below LEAVES: skip bucket and
-    group, else LEAVES + class; and counts of word pairs met at least twice, a = context < 0, b = word hash, with the
+    """(c, a, n, total): counts by previous class, c < 0, -1 - c = h1 * 2 * LEAVES + place, place below LEAVES: skip bucket
+    and group, else LEAVES + class; and counts of word pairs met at least twice, a = pair, c = context, with the
     tokens of the context. Tasks combine their rows first, so a context of any share is a few rows from each."""
     shared = train.sparkSession.sparkContext.broadcast(hot)
 
-    def batches_of(a, b, n):
+    def batches_of(a, n):
         for i in range(0, len(a), 100_000):
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a[i:i + 100_000], pa.int64()), "b": pa.array(b[i:i + 100_000], pa.int64()),
-                                              "n": pa.array(n[i:i + 100_000], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a[i:i + 100_000], pa.int64()), "n": pa.array(n[i:i + 100_000], pa.int64())})
 
     def combined(found):
-        context, word = (np.concatenate(c) for c in zip(*found))
-        _, first, n = np.unique(context ^ word, return_index=True, return_counts=True)
-        yield from batches_of(context[first], word[first], n)
+        yield from batches_of(*np.unique(np.concatenate(found), return_counts=True))
 
     def count(batches):
         cells, found, held = np.zeros(2 * LEAVES * LEAVES, np.int64), [], 0
@@ -191,8 +189,8 @@ def _statistics(train: DataFrame, hot: dict[bytes, int]) -> DataFrame:
                 leaf = classes_of(words, shared.value)
                 before, skip = contexts(leaf)
                 codes += [before * 2 * LEAVES + skip * GROUPS + leaf // GROUPS, before * 2 * LEAVES + LEAVES + leaf]
-                found.append(pair_keys(np.array([_HASH[w] for w in words], np.uint64), leaf)[1:])
-                held += len(found[-1][0])
+                found.append(pair_keys(np.array([_HASH[w] for w in words], np.uint64), leaf))
+                held += len(found[-1])
                 if held > PART_PAIRS:
                     yield from combined(found)
                     found, held = [], 0
@@ -201,17 +199,19 @@ def _statistics(train: DataFrame, hot: dict[bytes, int]) -> DataFrame:
         if held:
             yield from combined(found)
         at = np.flatnonzero(cells)
-        yield from batches_of(at, np.zeros(len(at), np.int64), cells[at])
+        yield from batches_of(-1 - at << WORD_BITS, cells[at])
 
-    counted = train.select("text").mapInArrow(count, "a long, b long, n long").repartition("a").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    return counted.withColumn("total", F.sum("n").over(Window.partitionBy("a"))).where("a >= 0 or n >= 2")
+    context = F.shiftright("a", WORD_BITS)
+    counted = train.select("text").mapInArrow(count, "a long, n long").repartition(context).withColumn("c", context).groupBy("c", "a").agg(F.sum("n").alias("n"))
+    return counted.withColumn("total", F.sum("n").over(Window.partitionBy("c"))).where("c < 0 or n >= 2")
 
 
 def train_pairs(pairs: DataFrame, words: DataFrame, min_gain: float) -> DataFrame:
-    """(a, b, weight, log_z) of every pair with a weight; ``pairs``: a, b, n, total; ``words``: b, q."""
-    expected, context = F.col("total") * F.col("q"), Window.partitionBy("a")
+    """(c, a, n, total, weight, log_z) of every pair with a weight; ``pairs``: c, a, n, total; ``words``: leaf, code, q."""
+    expected, context = F.col("total") * F.col("q"), Window.partitionBy("c")
+    pairs = pairs.withColumn("leaf", F.shiftright("a", PREVIOUS_BITS + WORD_BITS)).withColumn("code", F.col("a").bitwiseAND(F.lit((1 << WORD_BITS) - 1)))
     gain = F.col("n") * F.log(F.col("n") / expected) - F.col("n") + expected
-    held = pairs.join(words, "b").where((F.col("n") > expected) & (gain >= F.lit(min_gain))).withColumn("seen", F.col("n") - PAIR_DISCOUNT)
+    held = pairs.join(words.groupBy("leaf", "code").agg(F.sum("q").alias("q")), ["leaf", "code"]).where((F.col("n") > expected) & (gain >= F.lit(min_gain))).withColumn("seen", F.col("n") - PAIR_DISCOUNT)
 
     def left(share: Column) -> Column:
         return F.greatest(1 - F.sum(share).over(context), F.lit(1e-9))
@@ -223,12 +223,21 @@ def train_pairs(pairs: DataFrame, words: DataFrame, min_gain: float) -> DataFram
         model = F.col("total") * F.col("q") * F.exp("weight") / F.col("z")
         step = RATE * (F.col("seen") - model - PAIR_L2 * F.col("weight")) / (model + PAIR_L2)
         held = held.withColumn("z", norm).withColumn("weight", F.col("weight") + F.greatest(F.least(step, F.lit(1.0)), F.lit(-1.0)))
-    return held.withColumn("log_z", F.log(norm)).select("a", "b", "weight", "log_z")
+    return held.withColumn("log_z", F.log(norm)).select("c", "a", "n", "total", "weight", "log_z")
+
+
+def _fold(key: np.ndarray) -> np.ndarray:
+    return (key ^ key >> 28 ^ key >> 36) & ((1 << KEY_BITS) - 1)
+
+
+def _own_key(row: np.ndarray) -> np.ndarray:
+    """Keys that spread texts' own rows and that neither a pair nor a context has: both top bits after the sign are set."""
+    return row.astype(np.int64) | 3 << 61
 
 
 def _key_map(features: DataFrame) -> np.ndarray:
-    """Bitmap of the low KEY_BITS of all keys, in bytes; built by Spark in rows of 2^ROW_BITS bits."""
-    low = F.col("key").bitwiseAND(F.lit((1 << KEY_BITS) - 1))
+    """Bitmap of the folded keys (see _fold), in bytes; built by Spark in rows of 2^ROW_BITS bits."""
+    low = F.expr(f"(key ^ shiftright(key, 28) ^ shiftright(key, 36)) & {(1 << KEY_BITS) - 1}")
     out = np.zeros(1 << KEY_BITS - 3, np.uint8)
     rows = features.groupBy(F.shiftright(low, ROW_BITS).alias("line")).agg(
         F.bitmap_construct_agg(low.bitwiseAND(F.lit((1 << ROW_BITS) - 1))).alias("bits")).collect()  # at most 2^(KEY_BITS - ROW_BITS) rows
@@ -336,15 +345,23 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
     log_tokens = F.array(*(F.lit(float(x)) for x in np.log10(np.maximum(tokens[TAIL:END], 1))))
     log_unknown = F.array(*(F.lit(float(x)) for x in np.log10(unknown[TAIL:END])))
     counted, counted_path = written(_statistics(train, hot), "maxent-counts")
-    cells, _ = written(counted.where("a >= 0").groupBy(F.expr(f"cast(a div {2 * LEAVES} as int)").alias("h1")).agg(
-        F.collect_list(F.struct((F.col("a") % (2 * LEAVES)).cast("int").alias("at"), "n")).alias("held")).select(
+    cells, _ = written(counted.where("c < 0").groupBy(F.expr(f"cast((-1 - c) div {2 * LEAVES} as int)").alias("h1")).agg(
+        F.collect_list(F.struct(((-1 - F.col("c")) % (2 * LEAVES)).cast("int").alias("at"), "n")).alias("held")).select(
         "h1", "held.at", "held.n").repartition(8, "h1"), "maxent-cells")
     base_measure = F.greatest(F.col("n") - discount, F.lit(1e-9)) / F.pow(F.lit(10.0), log_tokens[place])
-    pairs, _ = written(train_pairs(counted.where("a < 0"), vocabulary.where(~has_class).select(F.xxhash64("word").alias("b"), base_measure.alias("q")),
-                                   min_gain), "maxent-pairs")
+    hashed = vocabulary.where(~has_class).select((place + TAIL).cast("long").alias("leaf"), F.shiftrightunsigned(F.xxhash64("word"), 64 - WORD_BITS).alias("code"),
+                                                 base_measure.alias("q"))
+    pairs, _ = written(train_pairs(counted.where("c >= 0"), hashed, min_gain), "maxent-pairs")
     remove(spark, counted_path)
-    features = pairs.select(F.col("a").bitwiseXOR(F.col("b")).bitwiseAND(F.lit((1 << 63) - 1)).alias("key"), (F.col("weight") / np.log(10)).alias("value")).unionByName(
-        pairs.groupBy(F.col("a").alias("key")).agg((-F.first("log_z") / np.log(10)).alias("value")))
+    features = pairs.select(F.col("a").alias("key"), F.col("n").alias("uses"), (F.col("weight") / np.log(10)).alias("value")).unionByName(
+        pairs.groupBy(F.col("c").bitwiseOR(F.lit(CONTEXT)).alias("key")).agg(F.first("total").alias("uses"), (-F.first("log_z") / np.log(10)).alias("value")))
+    features, _ = written(features, "maxent-features")
+    often = F.col("uses") * hot_words >= spoken
+    held = features.where(often).select("key", "value").toArrow()  # at most 2 * HOT_WORDS rows
+    hot_keys, hot_values = (held.column(c).to_numpy() for c in ("key", "value"))
+    order = np.argsort(hot_keys)
+    hot_keys, hot_values = np.r_[hot_keys[order], np.iinfo(np.int64).max], np.r_[hot_values[order], 0.0]
+    features = features.where(~often)
     weights = train_weights(cells)
 
     known = dict(vocabulary.where((F.col("n") * hot_words >= spoken) | has_class).toPandas().itertuples(index=False, name=None)) if spoken else {}
@@ -358,13 +375,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
     shared = spark.sparkContext.broadcast({
         "code": {w: i for i, w in enumerate(names)}, "base": np.r_[base, base_end], "inner": np.r_[inner, 0.0], "leaf": np.r_[leaves, END],
         "hash": np.array([xxhash.xxh64_intdigest(w, 42) for w in names], np.uint64), "keys": _key_map(features),
+        "hot": hot_keys, "value": hot_values, "unknown": np.log10(unknown),
         "group": (weights.group_logp(_H1) / ten).astype(np.float32), "class": (weights.class_logp(_H1) / ten).astype(np.float32)})
 
     def rate(batches):
         m = shared.value
         code, end = m["code"].get, len(m["code"])
         group, classes = m["group"].ravel(), m["class"].ravel()
-        for part in slices(batches):
+        for part in slices(batches, size=SLICE_BYTES // 2):
             words, at, times, out, met = [], [], [], [], []
             for i, (row, text) in enumerate(zip(part.column("row").to_pylist(), texts(part))):
                 spoken_here = words_of(text)
@@ -382,42 +400,46 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
                     hashes[codes[:-1] < 0] = [_HASH[w] for w in rare]
                 before, skip = contexts(leaf)
                 ctx = group[before * LEAVES + skip * GROUPS + leaf // GROUPS].sum(dtype=float) + classes[before * LEAVES + leaf].sum(dtype=float)
-                have = codes[codes >= 0]
-                out.append((len(codes), len(have) - (ends == 0), m["base"][have].sum(), ctx + m["inner"][have].sum()))
-                _, context, word = pair_keys(hashes, leaf)
-                key = np.r_[context, (context ^ word) & np.int64((1 << 63) - 1)]
-                low = key & np.int64((1 << KEY_BITS) - 1)
+                have, new = codes[codes >= 0], codes < 0
+                key = pair_keys(hashes, leaf)
+                key = np.r_[key, key >> WORD_BITS | CONTEXT]
+                place = np.searchsorted(m["hot"], key)
+                often = m["hot"][place] == key
+                out.append((len(codes), len(have) - (ends == 0), m["base"][have].sum() + new.sum() * base_unknown,
+                            ctx + m["inner"][have].sum() + m["unknown"][leaf[new]].sum() + m["value"][place[often]].sum()))
+                key = key[~often]
+                low = _fold(key)
                 key, n = np.unique(key[(m["keys"][low >> 3] >> (low & 7).astype(np.uint8)) & 1 > 0], return_counts=True)
                 met.append((np.full(len(key), row), key, n))
             met = [np.concatenate(c) for c in zip(*met)]
             n_tokens, n_known, bases, scores = zip(*out)
             f, k, n = len(met[0]), len(words), part.num_rows
-            none = lambda t: pa.nulls(f + k, t)
             rows = part.column("row")
+            own = pa.StructArray.from_arrays([part.column("id"), part.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
+                                              pa.array(bases, pa.float64()), pa.array(scores, pa.float64())],
+                                             ["id", "held_out", "n_tokens", "n_known", "base", "score"])
+            hashes = np.array([_HASH[w] for w in words], np.uint64).view(np.int64) | np.iinfo(np.int64).min
             yield pa.RecordBatch.from_pydict({
-                # Pairs and contexts have no word; a text's own row has one that no word can be: words hold no space.
-                "key": pa.concat_arrays([pa.array(met[1], pa.int64()), pa.array(np.array([_HASH[w] for w in words], np.uint64).view(np.int64)), rows.cast(pa.int64())]),
+                # Keys of words are below zero, those of pairs and contexts are not; a text's own row has one that no lookup has.
+                "key": pa.concat_arrays([pa.array(met[1], pa.int64()), pa.array(hashes), pa.array(_own_key(rows.to_numpy()))]),
                 "word": pa.concat_arrays([pa.array([""], pa.string()).take(pa.array(np.zeros(f, np.int64))), pa.array(words, pa.binary()).cast(pa.string()),
-                                          pa.array([f" {r}" for r in rows.to_pylist()], pa.string())]),
+                                          pa.nulls(n, pa.string())]),
                 "row": pa.concat_arrays([pa.array(met[0], pa.int64()), pa.array(at, pa.int64()), rows.cast(pa.int64())]),
                 "times": pa.concat_arrays([pa.array(met[2], pa.int64()), pa.array(times, pa.int64()), pa.nulls(n, pa.int64())]),
-                "id": pa.concat_arrays([none(part.column("id").type), part.column("id")]),
-                "held_out": pa.concat_arrays([none(pa.bool_()), part.column("held_out")]),
-                "n_tokens": pa.concat_arrays([none(pa.int64()), pa.array(n_tokens, pa.int64())]),
-                "n_known": pa.concat_arrays([none(pa.int64()), pa.array(n_known, pa.int64())]),
-                "base": pa.concat_arrays([none(pa.float64()), pa.array(bases, pa.float64())]),
-                "score": pa.concat_arrays([none(pa.float64()), pa.array(scores, pa.float64())])})
-
-    rows = frame.mapInArrow(rate, f"key long, word string, row long, times long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double")
-    rare = vocabulary.where((F.col("n") * hot_words < spoken) & ~has_class).select(F.xxhash64("word").alias("key"), "word", F.col("n").alias("c"), F.lit(0.0).alias("value"))
-    looked_up = rare.unionByName(features.select("key", F.lit("").alias("word"), F.lit(0).cast("long").alias("c"), "value"))
-    inside = F.when(F.col("c").isNull(), log_unknown[place]).otherwise(F.log10(F.greatest(F.col("c") - discount, F.lit(1e-9))) - log_tokens[place])
-    is_pair, is_word, n = F.col("word") == "", F.col("times").isNotNull(), F.col("times")
-    seen = rows.join(looked_up, ["key", "word"], "left").select(
-        "row", "id", "held_out", "n_tokens",
-        F.when(is_pair, 0).when(is_word, F.when(F.col("c").isNotNull(), n).otherwise(0)).otherwise(F.col("n_known")).alias("n_known"),
-        F.when(is_pair, 0.0).when(is_word, n * (F.log10(F.coalesce("c", F.lit(0)) + F.lit(1.0)) + float(base_unknown))).otherwise(F.col("base")).alias("base"),
-        F.when(is_pair, n * F.coalesce("value", F.lit(0.0))).when(is_word, n * inside).otherwise(F.col("score")).alias("score"))
-    return seen.groupBy("row").agg(
-        F.max("id").alias(id_col), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
-        F.lit(int(total)).cast("long").alias("train_tokens"), F.sum("base").alias("base_score"), F.sum("score").alias("score")).drop("row")
+                "own": pa.concat_arrays([pa.nulls(f + k, own.type), own])})
+
+    rows = frame.mapInArrow(rate, f"key long, word string, row long, times long, own struct<id: {kind}, held_out: boolean, n_tokens: long, n_known: long, base: double, score: double>")
+    gain = F.log10(F.greatest(F.col("n") - discount, F.lit(1e-9))) - log_tokens[place] - log_unknown[place]
+    rare = vocabulary.where((F.col("n") * hot_words < spoken) & ~has_class).select(
+        F.xxhash64("word").bitwiseOR(F.lit(-1 << 63)).alias("key"), F.col("word").alias("its"), F.col("n").alias("c"), gain.alias("value"))
+    looked_up = rare.unionByName(features.select("key", F.lit("").alias("its"), F.lit(0).cast("long").alias("c"), "value"))
+    # A text's own row counts its rare words as unknown; each word found adds the difference, each pair and context its value.
+    # The join is by key alone; a word that merely shares the hash of another adds nothing.
+    hit, times = F.coalesce(F.col("word") == F.col("its"), F.lit(False)), F.col("times")
+    found = rows.join(looked_up, "key", "left").select(
+        "row", "own", F.when(hit & (F.col("word") != ""), times).otherwise(0).alias("known"),
+        F.when(hit, times * F.log10(F.col("c") + F.lit(1.0))).otherwise(0.0).alias("base"), F.when(hit, times * F.col("value")).otherwise(0.0).alias("score"))
+    return found.groupBy("row").agg(
+        F.max("own.id").alias(id_col), F.max("own.held_out").alias("held_out"), F.max("own.n_tokens").alias("n_tokens"),
+        (F.max("own.n_known") + F.sum("known")).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
+        (F.max("own.base") + F.sum("base")).alias("base_score"), (F.max("own.score") + F.sum("score")).alias("score")).drop("row")
