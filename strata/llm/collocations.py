@@ -12,7 +12,7 @@ bucket (their number grows with the texts, so a bucket stays small). When a phra
 byte for each of a fixed number of slots of words and of two-word phrases holds the first scan after which a cell of the slot had
 ``least`` occurrences. These bytes are the only thing broadcast, and their number does not depend on the data.
 Phrases that share a cell or slot may go on early, which costs time but changes no count: all results come from the counts by
-name, whose cycles start where the bytes say, the same in every task and scan. With far more frequent phrases
+name, whose cycles start where the bytes say, though not before the phrase's own trial, the same in every task and scan. With far more frequent phrases
 than slots more phrases are named than need be.
 
 Within a task, bounded slices of texts are cut into words and counted by number as numpy arrays; only distinct phrases
@@ -177,11 +177,12 @@ def _count(batch: pa.RecordBatch, scan: int, shards: int, buckets: int, word_sta
     def runs(start):
         return (start <= scan) & (scan < start.astype(np.int64) + shards)
 
-    def counted(length, hashed, starts, on_trial, counts, lang, parts):
-        """Each phrase's start by name; rows of those on trial or by name in this scan."""
+    def counted(length, hashed, starts, tested, counts, lang, parts):
+        """Each phrase's start by name, ``tested`` (the scan its trial starts with) at the earliest, as another phrase
+        of its slot may have gone on before; rows of those on trial or by name in this scan."""
         bucket, cell = _cells(hashed, buckets)
-        start = starts[_slots(bucket, cell, len(starts))]
-        tried, named = on_trial & (start > scan), runs(start)
+        start = np.maximum(starts[_slots(bucket, cell, len(starts))], tested)
+        tried, named = runs(tested) & (start > scan), runs(start)
         rows = [_trial(length, bucket[tried], cell[tried], counts[tried])] if tried.any() else []
         if named.any():
             rows.append(_named(length, langs, words, lang[named], [p[named] for p in parts], counts[named]))
@@ -193,8 +194,7 @@ def _count(batch: pa.RecordBatch, scan: int, shards: int, buckets: int, word_sta
         own = np.flatnonzero(total)
         yield _batch(0, langs.take(pa.array(own)).cast(pa.string()), pa.array([""] * len(own)), pa.array(total[own]),
                      pa.nulls(len(own), pa.int32()), pa.nulls(len(own), pa.binary()))
-    trial = np.full(len(hashed), scan < shards)
-    start, rows = counted(1, hashed, word_starts, trial, counts, unit_lang, [unit_word])
+    start, rows = counted(1, hashed, word_starts, np.zeros(len(hashed), np.uint8), counts, unit_lang, [unit_word])
     yield from rows
     ready = start[unit] <= scan
     at = np.flatnonzero(joined[:-1] & ready[:-1] & ready[1:])  # where a phrase of two frequent words begins
@@ -202,7 +202,7 @@ def _count(batch: pa.RecordBatch, scan: int, shards: int, buckets: int, word_sta
         return
     pairs, pair, counts = _distinct(unit[at] * len(unit_lang) + unit[at + 1], len(unit_lang) ** 2)
     one, two = pairs // len(unit_lang), pairs % len(unit_lang)
-    pair_start, rows = counted(2, mix64(hashed[one] * _BASE + mix64(hashed[two])), pair_starts, runs(np.maximum(start[one], start[two])),
+    pair_start, rows = counted(2, mix64(hashed[one] * _BASE + mix64(hashed[two])), pair_starts, np.maximum(start[one], start[two]),
                                counts, unit_lang[one], [unit_word[one], unit_word[two]])
     yield from rows
     follows = np.flatnonzero(np.diff(at) == 1)  # the next phrase begins one word later

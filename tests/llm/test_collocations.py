@@ -50,6 +50,17 @@ def test_collocations_equal_plain_counts(spark, shards, slots, least, top):
     assert got == plain(rows, least, top)
 
 
+@pytest.mark.parametrize("shards, slots", [(3, (1 << 16, 16)), (4, (512, 64)), (3, (1 << 16, 1 << 10))])
+def test_pairs_that_share_a_slot_are_counted_whole(spark, shards, slots):
+    """A slot that a pair of early words starts holds pairs, too, whose words reach the threshold scans later."""
+    phrases = [f"p{i} q{i} r{i}" for i in range(40) for _ in range(60)] + [f"x{i} y{i} z{i}" for i in range(100) for _ in range(10 + i % 3)]
+    random.Random(7).shuffle(phrases)
+    rows = [("en", p) for p in phrases]
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    got = sorted(tuple(r) for r in C.collocations(frame, shards=shards, word_slots=slots[0], pair_slots=slots[1]).collect())
+    assert got == plain(rows, 10, 2000)
+
+
 def test_collocations_odd_rows(spark, odd_docs):
     rows = [(r.lang, r.text) for r in odd_docs.collect()]
     got = sorted(tuple(r) for r in C.collocations(odd_docs, least=2).collect())
