@@ -3,11 +3,12 @@
 Passages longer than the longest window are cut into pieces of at most its length, which are searched one by one.
 The benchmark is taken in blocks of at most BLOCK pieces, each with a latent space of its own, with a dimension for each piece:
 
-1. Document frequencies of the block's terms are counted over all documents.
-2. A distributed randomised SVD of TF-IDF passages - the block's own, and passages of a bounded sample of
-   documents chosen by a hash of the id (about SAMPLE documents whatever the corpus holds) - gives the
-   latent space. The columns are the block's terms: no other term has a part in a product with a
-   benchmark passage. Tasks multiply their rows with the current basis, the sums have a fixed size.
+1. Every document's words are written as numbers of the block's terms, from which the document frequencies of these
+   are counted.
+2. A distributed randomised SVD of TF-IDF passages - the block's own, and those of PASSAGE words of all
+   documents - gives the latent space. The columns are the block's terms: no other term has a part in a product with a
+   benchmark passage. Tasks multiply the Gram matrix of their rows with a sparse random basis, the sums have a fixed size; the
+   space is taken from that one product (Nystroem's method).
 3. Every document is cut into overlapping windows of three lengths, STRIDE words apart; a window's latent
    vector is a sum of its words' vectors, so its products with the pieces are sums of its words' products,
    which are worked out once. The window's norm counts all its words, so a shared word or two do not make a
@@ -35,9 +36,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import slices
+from strata.llm.common import SLICE_BYTES, remove, slices, written
 
-BLOCK, SAMPLE, STRIDE, PARTS, EXTRA = 256, 2000, 12, 8, 8
+BLOCK, PASSAGE, STRIDE, PARTS, EXTRA = 256, 48, 12, 8, 8
+#: Bytes of word numbers in a slice; passages multiplied at once.
+CODE_BYTES, GROUP = SLICE_BYTES // 4, 1024
 #: Windows in strides, and from how many words on a passage is searched with them.
 LENGTHS = ((2, 0), (3, 22), (5, 38))
 COSINE, LCS, LOOSE = 0.28, 0.75, 0.5
@@ -118,21 +121,40 @@ class Passages:
     def codes(self, text: str) -> np.ndarray:
         return self.coded(pa.array([text]))[0]
 
-    def rows(self, codes: np.ndarray, length: int) -> np.ndarray:
-        """Unit TF-IDF rows (dense over the terms) of consecutive passages of ``length`` words."""
-        at = np.arange(len(codes)) // length
-        out = np.zeros((int(at[-1]) + 1 if len(at) else 0, len(self.terms)))
-        known = codes >= 0
-        np.add.at(out, (at[known], codes[known]), self.idf[codes[known]])
-        norm = np.linalg.norm(out, axis=1, keepdims=True)
-        return out[norm[:, 0] > 0] / norm[norm[:, 0] > 0]
+    def rows(self, codes: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Unit TF-IDF rows of the texts' consecutive passages of ``length`` words: (row, term, value), by row."""
+        sizes = np.diff(at)
+        count = -(-sizes // length)
+        place = np.arange(len(codes)) - np.repeat(at[:-1] - at[0], sizes)
+        row, known = np.repeat(np.cumsum(count) - count, sizes) + place // length, codes >= 0
+        key, n = np.unique(row[known] * len(self.terms) + codes[known], return_counts=True)
+        row, term = key // len(self.terms), key % len(self.terms)
+        value = n * self.idf[term]
+        return row, term, value / np.sqrt(np.bincount(row, value * value))[row]
 
     def set_frequencies(self, counts: np.ndarray, documents: int):
         self.idf = np.log((documents + 1) / (counts + 0.5)).clip(0.05)
         self.other = float(np.median(self.idf))  # the weight of words outside the block, in norms only
 
     def own_rows(self) -> np.ndarray:
-        return np.vstack([self.rows(p, len(p)) for p in self.pieces])
+        sizes = [len(p) for p in self.pieces]
+        row, term, value = self.rows(np.concatenate(self.pieces), np.cumsum([0, *sizes]), max(sizes))
+        out = np.zeros((len(sizes), len(self.terms)))
+        out[row, term] = value
+        return out
+
+    def add_products(self, sums: np.ndarray, codes: np.ndarray, at: np.ndarray, bucket: np.ndarray, sign: np.ndarray):
+        """Add the product of the Gram matrix of all passages of the texts with the basis that holds, for each term, ``sign``
+        in column ``bucket``: every two words of a passage add to one of the sums."""
+        row, term, value = self.rows(codes, at, PASSAGE)
+        width = sums.shape[1]
+        for first in range(0, int(row[-1]) + 1 if len(row) else 0, GROUP):
+            i, j = np.searchsorted(row, [first, first + GROUP])
+            t, v, n = term[i:j], value[i:j], np.bincount(row[i:j] - first, minlength=GROUP)
+            start, n = np.repeat(np.cumsum(n) - n, n), np.repeat(n, n)
+            one = np.repeat(np.arange(j - i), n)
+            two = np.arange(len(one)) - np.repeat(np.cumsum(n) - n - start, n)
+            sums += np.bincount(t[one] * width + bucket[t[two]], v[one] * (v * sign[t])[two], sums.size).reshape(sums.shape)
 
     def set_space(self, basis: np.ndarray):
         """``basis``: terms x rank, orthonormal columns."""
@@ -207,9 +229,8 @@ class Passages:
                 return
             yield region[at:at + size]
 
-    def leaks(self, column: pa.Array) -> list[tuple[int, int, float, float, bool]]:
+    def leaks(self, codes: np.ndarray, at: np.ndarray) -> list[tuple[int, int, float, float, bool]]:
         """(document, item, cosine, share of the item's words, answer found) of confirmed matches."""
-        codes, at = self.coded(column)
         docs = [codes[i:j] for i, j in zip(at[:-1], at[1:])]
         best: dict[tuple[int, int], tuple] = {}
         tried = set()
@@ -239,65 +260,93 @@ class Passages:
 
 
 def _summed(strips: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_buffer()) for x in strips.column("sum"))
+    total = sum(np.frombuffer(x.as_buffer(), np.float32).astype(float) for x in strips.column("sum"))
     return pa.table({"strip": strips.column("strip")[:1], "sum": pa.array([total.tobytes()], pa.binary())})
 
 
-def prepare(docs: DataFrame, items: list[tuple]) -> Passages | None:
-    """Frequencies and the latent space of one block."""
+def _number(block: Passages) -> type:
+    """The narrowest type for the numbers of a block's terms."""
+    return np.int16 if len(block.terms) < 1 << 15 else np.int32
+
+
+def _packed(codes: np.ndarray, at: np.ndarray, kind: type) -> pa.Array:
+    """Each text's word numbers as bytes."""
+    ends = (at * np.dtype(kind).itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(ends), pa.py_buffer(codes.astype(kind))])
+
+
+def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.int64), np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes, dtype=np.int64)])
+
+
+def prepare(docs: DataFrame, items: list[tuple]) -> tuple[Passages, DataFrame, str] | None:
+    """One block with its frequencies and latent space; the documents (doc_id, codes) in its numbers, as a written
+    table, and the path of that."""
     block = Passages(items)
     if not block.items:
         return None
-    spark = docs.sparkSession
-    frame = docs.select(docs["doc_id"].alias("id"), docs["text"].alias("text"))
+    spark, kind = docs.sparkSession, _number(block)
     shared = spark.sparkContext.broadcast(block)
 
-    def count(batches):
-        m, n, counts = shared.value, 0, np.zeros(len(shared.value.terms), np.int64)
+    def encode(batches):
         for part in slices(batches):
-            codes, at = m.coded(part.column("text"))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), _packed(*shared.value.coded(part.column("text")), kind)], ["doc_id", "codes"])
+
+    named = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
+    coded, path = written(named.mapInArrow(encode, f"doc_id {dict(docs.dtypes)['doc_id']}, codes binary"), "decontam-codes")
+    terms = len(block.terms)
+
+    def count(batches):
+        n, counts = 0, np.zeros(terms, np.int64)
+        for part in slices(batches, "codes", size=CODE_BYTES):
+            codes, at = _unpacked(part.column("codes"), kind)
             text = np.repeat(np.arange(part.num_rows), np.diff(at))[codes >= 0]
-            seen = np.unique(text * len(counts) + codes[codes >= 0])  # each term once a text
-            counts += np.bincount(seen % len(counts), minlength=len(counts))
+            seen = np.unique(text * terms + codes[codes >= 0])  # each term once a text
+            counts += np.bincount(seen % terms, minlength=terms)
             n += part.num_rows
-        yield pa.RecordBatch.from_pydict({"term": pa.array([*range(len(counts)), -1], pa.int32()), "n": pa.array([*counts, n], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"term": pa.array([*range(terms), -1], pa.int32()), "n": pa.array([*counts, n], pa.int64())})
 
-    rows = frame.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    rows = coded.select("codes").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     counts = dict(zip(rows.column("term").to_pylist(), rows.column("n").to_pylist()))  # one row for each term
-    total = counts.get(-1, 0)
     shared.destroy()
-    block.set_frequencies(np.array([counts.get(t, 0) for t in range(len(block.terms))], float), total)
-
-    chosen = F.pmod(F.xxhash64("id", F.lit(29)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / max(total, 1)))
-    sample = frame.where(chosen).select("text")
-    rank = min(len(block.pieces), len(block.terms))
-    basis = np.linalg.qr(np.random.default_rng(23).standard_normal((len(block.terms), min(rank + EXTRA, len(block.terms)))))[0]
-    own = block.own_rows()
-    for _ in range(2):  # a power step, then the Ritz values
-        step = spark.sparkContext.broadcast((block, basis))
-
-        def multiply(batches):
-            m, q = step.value
-            out = np.zeros(q.shape)
-            for part in slices(batches):
-                codes, at = m.coded(part.column("text"))
-                for i, j in zip(at[:-1], at[1:]):
-                    r = m.rows(codes[i:j], 48)
-                    out += r.T @ (r @ q)
-            strips = np.array_split(np.arange(len(out)), PARTS)
-            yield pa.RecordBatch.from_pydict({"strip": pa.array(range(PARTS), pa.int32()), "sum": pa.array([out[k].tobytes() for k in strips], pa.binary())})
-
-        # Each task's matrix is cut into strips, whose sums are made on the executors; one matrix comes back.
-        strips = sample.repartition(PARTS).mapInArrow(multiply, "strip int, sum binary").groupBy("strip").applyInArrow(_summed, "strip int, sum binary")
-        parts = {r.strip: np.frombuffer(r["sum"]) for r in strips.toLocalIterator()}
-        product = np.concatenate([parts[k] for k in sorted(parts)]).reshape(basis.shape) if parts else np.zeros(basis.shape)
-        step.destroy()
-        # The benchmark's rows weigh as much as all sampled rows together, so its passages shape the space.
-        product = product / max(np.trace(basis.T @ product), 1e-9) + own.T @ (own @ basis) / max(np.trace((own @ basis).T @ (own @ basis)), 1e-9) * len(block.pieces)
-        last, basis = basis, np.linalg.qr(product)[0]
-    values, turn = np.linalg.eigh(last.T @ product)
-    block.set_space(last @ turn[:, np.argsort(-values)[:rank]])
-    return block
+    block.set_frequencies(np.array([counts.get(t, 0) for t in range(terms)], float), counts.get(-1, 0))
+
+    rank = min(len(block.pieces), terms)
+    width, random = min(rank + EXTRA, terms), np.random.default_rng(23)
+    bucket = random.permutation(terms) % width
+    sign = random.choice([-1.0, 1.0], terms) / np.sqrt(np.bincount(bucket))[bucket]  # the basis has orthonormal columns
+    basis = np.zeros((terms, width))
+    basis[np.arange(terms), bucket] = sign
+    cut = np.array_split(np.arange(terms), min(terms, max(PARTS, coded.rdd.getNumPartitions() // 4)))
+    shared = spark.sparkContext.broadcast((block, bucket, sign))
+
+    def multiply(batches):
+        m, *of = shared.value
+        out = np.zeros((terms, width))
+        for part in slices(batches, "codes", size=CODE_BYTES):
+            m.add_products(out, *_unpacked(part.column("codes"), kind), *of)
+        yield pa.RecordBatch.from_pydict({"strip": pa.array(range(len(cut)), pa.int32()),
+                                          "sum": pa.array([out[k].astype(np.float32).tobytes() for k in cut], pa.binary())})
+
+    # Each task's sums are cut into strips, the more the more tasks there are, which are added up on the executors; one matrix comes back.
+    strips = coded.select("codes").mapInArrow(multiply, "strip int, sum binary").groupBy("strip").applyInArrow(_summed, "strip int, sum binary")
+    parts = {r.strip: np.frombuffer(r["sum"]) for r in strips.toLocalIterator()}
+    product = np.concatenate([parts[k] for k in sorted(parts)]).reshape(basis.shape) if parts else np.zeros(basis.shape)
+    shared.destroy()
+    block.set_space(space(basis, product, block.own_rows(), rank))
+    return block, coded, path
+
+
+def space(basis: np.ndarray, product: np.ndarray, own: np.ndarray, rank: int) -> np.ndarray:
+    """The first ``rank`` principal directions of the documents' Gram matrix, known by its ``product`` with the basis, and that of
+    the benchmark's rows, which weigh as much as all documents together, so its passages shape the space."""
+    ours = own.T @ (own @ basis)
+    product = product / max(np.trace(basis.T @ product), 1e-9) + ours / max(np.trace(basis.T @ ours), 1e-9) * len(own)
+    middle = basis.T @ product
+    values, turn = np.linalg.eigh((middle + middle.T) / 2)
+    kept = values > 1e-8 * values[-1]
+    return np.linalg.svd(product @ (turn[:, kept] / np.sqrt(values[kept])), full_matrices=False)[0][:, :rank]
 
 
 def _blocks(benchmark: DataFrame):
@@ -323,20 +372,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = f"doc_id {kind}, item_id long, cosine double, lcs_share double, answer boolean"
     found = spark.createDataFrame([], schema)
     for items in _blocks(benchmark):
-        if (block := prepare(docs, items)) is None:
+        if (ready := prepare(docs, items)) is None:
             continue
+        block, coded, path = ready
         shared = spark.sparkContext.broadcast(block)
 
-        def search(batches, shared=shared):
-            for part in slices(batches):
-                if not (rows := shared.value.leaks(part.column("text"))):
+        def search(batches, shared=shared, number=_number(block)):
+            for part in slices(batches, "codes", size=CODE_BYTES):
+                if not (rows := shared.value.leaks(*_unpacked(part.column("codes"), number))):
                     continue
                 d, i, cosine, share, answer = zip(*rows)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id").take(pa.array(d)), "item_id": pa.array([shared.value.ids[k] for k in i], pa.int64()),
                     "cosine": pa.array(cosine, pa.float64()), "lcs_share": pa.array(share, pa.float64()), "answer": pa.array(answer, pa.bool_())})
 
-        found = found.unionByName(docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text")).mapInArrow(search, schema))
+        found = found.unionByName(written(coded.mapInArrow(search, schema), "decontam-found")[0])
+        shared.destroy()
+        remove(spark, path)
     return found.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max("lcs_share").alias("lcs_share"), F.max("answer").alias("answer"))
 
 
@@ -344,7 +396,9 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark passage, with their columns as they were."""
     out = docs
     for items in _blocks(benchmark):
-        if (block := prepare(docs, items)) is not None:
+        if (ready := prepare(docs, items)) is not None:
+            block, _, path = ready
+            remove(docs.sparkSession, path)
             out = out.where(F.arrow_udf(_clean(docs.sparkSession.sparkContext.broadcast(block)), "boolean")(out["text"]))
     return out
 
@@ -353,7 +407,7 @@ def _clean(shared):
     def clean(text: pa.Array) -> pa.Array:
         keep, at = np.ones(len(text), bool), 0
         for part in slices([pa.RecordBatch.from_arrays([text], ["text"])]):
-            for d, *_ in shared.value.leaks(part.column("text")):
+            for d, *_ in shared.value.leaks(*shared.value.coded(part.column("text"))):
                 keep[at + d] = False
             at += part.num_rows
         return pa.array(keep)

@@ -208,6 +208,32 @@ def test_decontamination_finds_planted_passages(spark, sf_dir):
     assert decontam.without_leaks(docs, bench).count() == clean.count()
 
 
+def test_latent_space_comes_from_all_documents(spark, sf_dir, monkeypatch):
+    """The product behind the latent space against dense rows of every passage of 6,000 documents."""
+    pick = random.Random(17)
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    spare = [w for t in texts for w in t.split()] + ["other", "words"] * 200
+    rows = [(i, None if i % 500 == 0 else " ".join(pick.choice(spare) for _ in range(pick.randrange(120)))) for i in range(6000)]
+    seen, plain = {}, decontam.space
+    monkeypatch.setattr(decontam, "space", lambda basis, product, own, rank: seen.update(basis=basis, product=product, own=own) or plain(basis, product, own, rank))
+    block, coded, _ = decontam.prepare(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), list(enumerate(texts[:12])))
+    assert coded.count() == len(rows)
+    dense = []
+    for _, text in rows:
+        codes = block.codes(text)
+        for part in (codes[i:i + decontam.PASSAGE] for i in range(0, len(codes), decontam.PASSAGE)):
+            row = np.bincount(part[part >= 0], minlength=len(block.terms)) * block.idf
+            if row.any():
+                dense.append(row / np.linalg.norm(row))
+    dense = np.array(dense)
+    assert np.allclose(seen["basis"].T @ seen["basis"], np.eye(seen["basis"].shape[1]))
+    assert np.allclose(seen["product"], dense.T @ (dense @ seen["basis"]), rtol=1e-4, atol=1e-3)
+    # The space holds the passages about as well as the principal directions of the whole matrix do.
+    gram, own = dense.T @ dense, seen["own"]
+    best = np.linalg.eigh(gram / np.trace(gram) + own.T @ own / np.trace(own.T @ own) * len(own))[1][:, -len(own):]
+    assert (block.held >= 0.9 * np.linalg.norm(own @ best, axis=1)).all()
+
+
 def test_decontamination_odd_rows(spark, odd_docs):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "The cat sat on the mat again"), (None, "a text without"), (4, "...")], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontam.leaks(odd_docs, bench).collect()}
