@@ -63,6 +63,27 @@ def test_exchange_teaches_the_page_view(spark):
     assert len(got) == len(rows) and all(got[i].keep == (t.split()[0] in good) for i, t, *_ in rows[:600])
 
 
+def test_every_labelled_row_takes_part(spark, monkeypatch):
+    """The fitted weights against the gradient over dense rows of 4,000 labelled documents."""
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(words[20 * (i % 2):20 * (i % 2) + 40], 20)) for i in range(4000)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 100) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    seen, plain = [], quality.co_train
+    monkeypatch.setattr(quality, "co_train", lambda rows, *more: seen.append((rows.counts.copy(), rows.split, rows.fit([(0, None, np.zeros(quality.TEXT_DIM + 1), None)])[0],
+                                                                             {r.id: r.part for r in rows.table.select("id", "part").collect()})) or plain(rows, *more))
+    model = quality.train(docs, spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, quality int"), rounds=0)
+    (counts, split, w, part), = seen
+    assert counts.sum() == 4000 and split and len(part) == 4000
+    learn = [i for i in range(4000) if part[i] % quality.FOLDS]
+    x = np.stack([np.r_[quality._dense(*quality.text_view(texts[i])), 1.0] for i in learn])
+    y = np.array(learn) % 2
+    start = x.T @ (0.5 - y) / len(y)
+    left = x.T @ (quality.sigmoid(x @ w) - y) / len(y) + quality.L2 * np.r_[w[:-1], 0]
+    assert np.abs(left).max() < 0.02 * np.abs(start).max()
+    assert np.mean([(model.margins(texts[i], "en", "s", 100)[0] > 0) == i % 2 for i in range(4000)]) > 0.9
+
+
 def test_classifier_odd_rows(spark, odd_docs):
     labels = spark.createDataFrame([(1, 1), (5, 1), (7, 0), (7, 0), (7, None), (None, 1), (99, 0)], "doc_id long, quality int")
     for some in (labels, labels.limit(0), labels.where("quality = 1")):
