@@ -124,10 +124,8 @@ class Model:
         return np.hstack([sigmoid(z), sigmoid(z @ self.both[:-1] + self.both[-1])[:, None]])
 
 
-def features(docs: DataFrame, label: str | None = None) -> DataFrame:
-    """id, codes (4-byte numbers of all words), same, page (codes of the page view) of every document, and the column
-    ``label`` as good, if given."""
-    own = ["good"] if label else []
+def features(docs: DataFrame) -> DataFrame:
+    """id, codes (4-byte numbers of all words), same, page (codes of the page view) of every document."""
 
     def make(batches):
         hold("quality", _WORDS.clear)
@@ -136,12 +134,11 @@ def features(docs: DataFrame, label: str | None = None) -> DataFrame:
             pages = map(page_view, *(part.column(c).to_pylist() for c in ("lang", "source", "n_chars")))
             yield pa.RecordBatch.from_pydict({
                 "id": part.column("id"), "codes": pa.array([c.astype(np.int32).tobytes() for c, _ in views], pa.binary()),
-                "same": pa.array([s for _, s in views], pa.float64()), "page": pa.array(list(pages), pa.list_(pa.int32())), **{c: part.column(c) for c in own}})
+                "same": pa.array([s for _, s in views], pa.float64()), "page": pa.array(list(pages), pa.list_(pa.int32()))})
 
     frame = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text"), docs["lang"].cast("string").alias("lang"),
-                        docs["source"].cast("string").alias("source"), docs["n_chars"].cast("long").alias("n_chars"),
-                        *(docs[label].cast("int").alias(c) for c in own))
-    return frame.mapInArrow(make, "id long, codes binary, same double, page array<int>" + "".join(f", {c} int" for c in own))
+                        docs["source"].cast("string").alias("source"), docs["n_chars"].cast("long").alias("n_chars"))
+    return frame.mapInArrow(make, "id long, codes binary, same double, page array<int>")
 
 
 def handed_over(table: DataFrame, labelled: dict[int, int], text: np.ndarray, page: np.ndarray) -> dict[tuple[int, int], tuple]:
@@ -400,11 +397,10 @@ def co_train(rows: Labelled, exchange, rounds: int = ROUNDS) -> Model | None:
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rounds: int = ROUNDS) -> Model | None:
     """Fit on all rows of ``labels`` and on all other rows of ``docs`` (doc_id, text, lang, source, n_chars)."""
     spark = docs.sparkSession
-    key, good = fresh(docs, "label_id", "label_good")
-    known = labels.select(labels["doc_id"].cast("long").alias(key), labels[label_col].alias(good)) \
-        .where(F.col(key).isNotNull() & F.col(good).isNotNull()).groupBy(key).agg((F.avg(good) >= 0.5).cast("int").alias(good))
+    known = labels.select(labels["doc_id"].cast("long").alias("label_id"), labels[label_col].alias("good")) \
+        .where("label_id is not null and good is not null").groupBy("label_id").agg((F.avg("good") >= 0.5).cast("int").alias("good"))
     path = scratch_path(spark, "quality-features")
-    made = features(docs.join(known, docs["doc_id"].cast("long") == known[key], "left"), good)
+    made = features(docs).join(known, F.expr("id = label_id"), "left").drop("label_id")
     made.withColumn("labelled", F.col("good").isNotNull().cast("int")).write.partitionBy("labelled").parquet(path)
     table = spark.read.schema(made.schema.add("labelled", "integer")).parquet(path)
     some, again = table.where("labelled = 1").drop("labelled"), None
