@@ -10,13 +10,14 @@ on labelled rows that took no part in training (Platt scaling; with under ENOUGH
 and a logistic combination fitted on the same rows scores every document.
 
 Every labelled row serves and every other document is unlabelled and takes part in every round. Features are written
-once, the labelled rows' apart from the others'. A view is fitted by accelerated steps in the metric of its Gram matrix, which bounds the curvature of
+once. A bitmap of the labelled ids, of fixed size, tells most unlabelled rows at once; it passes every labelled row, and what
+it passes meets the labels in a shuffled join, at any size of the labels, and is written anew, the labelled rows apart from the others. A view is fitted by accelerated steps in the metric of its Gram matrix, which bounds the curvature of
 its loss: each step sums the gradients of all models of a stage (both views, with and without each fold) over the labelled rows on Spark. A round broadcasts the
 weights of both views, tasks sum the loss gradient of the rows handed over and a diagonal bound of its
 curvature, and the driver gets those sums (a fixed number of rows, whatever the table's size), with which it
 refits each view: the labelled loss plus a quadratic that lies above the pseudo-labelled loss. The sums are
-whole numbers (steps of 1/UNIT), so their order changes nothing. Scoring runs over every document as an Arrow
-function, without a shuffle.
+whole numbers (steps of 1/UNIT), so their order changes nothing. Scoring runs without a shuffle: over the written
+features where the ids alone are asked for, else over every document as an Arrow function.
 
 Defined results: null or empty texts are scored as empty texts; a null language, source or length is a
 value of its own; labels that are null or whose id has no document are not used; of repeated labels
@@ -27,10 +28,12 @@ result; all other columns are kept as they are.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,8 +52,11 @@ TEXT_DIM, PAGE_DIM, PAGE_CODES = WORD_DIM + SHAPE_DIM + 1, 4 * NAME_DIM, 4
 UNIT, HELD_BYTES, REMEMBERED = 1 << 20, 1 << 20, 200_000
 #: Words by which every text counts as longer, so that a few words alone decide little.
 FEW = 6
-_WORDS: dict[str, int] = {}
+#: Bits of the bitmap of labelled ids, and of one of its rows.
+ID_BITS, ROW_BITS = 25, 15
 _MARKS = ".,;:!?\"'()"
+_PLAIN = {c: "A" if chr(c).isupper() else "a" if chr(c).isalpha() else "9" if chr(c).isdigit() else chr(c) for c in range(128)}
+_RUNS = re.compile(r"(.)\1+", re.S)
 
 
 def _shape(word: str) -> str:
@@ -62,24 +68,68 @@ def _shape(word: str) -> str:
     return out
 
 
-def _codes(words: list[str]) -> np.ndarray:
-    """Word bucket * SHAPE_DIM + shape bucket of each word."""
-    known = list(map(_WORDS.get, words))
-    if None in known:
-        if len(_WORDS) > REMEMBERED:
-            _WORDS.clear()
-        for i, (w, k) in enumerate(zip(words, known)):
-            if k is None:
-                known[i] = _WORDS[w] = (zlib.crc32(w.lower().strip(_MARKS).encode()) % WORD_DIM * SHAPE_DIM
-                                        + zlib.crc32(_shape(w).encode()) % SHAPE_DIM)
-    return np.array(known, np.int64)
+class _Shapes(dict):
+    """Shape bucket of ASCII words by their first 40 characters' kinds, filled on demand (bounded like _Words)."""
+
+    def __missing__(self, kinds):
+        if len(self) > REMEMBERED // 4:
+            self.clear()
+        self[kinds] = found = zlib.crc32(_RUNS.sub(r"\1", kinds).encode()) % SHAPE_DIM
+        return found
+
+
+_SHAPES = _Shapes()
+
+
+class _Words(dict):
+    """Word bucket * SHAPE_DIM + shape bucket of each word, filled on demand (emptied when it has grown)."""
+
+    def __missing__(self, word):
+        if len(self) > REMEMBERED:
+            self.clear()
+        shape = _SHAPES[word[:40].translate(_PLAIN)] if word.isascii() else zlib.crc32(_shape(word).encode()) % SHAPE_DIM
+        self[word] = found = zlib.crc32(word.lower().strip(_MARKS).encode()) % WORD_DIM * SHAPE_DIM + shape
+        return found
+
+
+_WORDS = _Words()
+
+
+def _forget() -> None:
+    _WORDS.clear()
+    _SHAPES.clear()
+
+
+def text_views(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of words of each text, codes of all their words, share of words equal to the one before in each text)."""
+    words, length = [], np.zeros(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        own = (text or "").split()
+        words += own
+        length[i] = len(own)
+    codes = np.fromiter(map(_WORDS.__getitem__, words), np.int32, len(words))
+    doc = np.repeat(np.arange(len(texts)), length)
+    again = doc[1:][(codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1])]
+    return length, codes, np.bincount(again, minlength=len(texts)) / np.maximum(length - 1, 1)
 
 
 def text_view(text: str) -> tuple[np.ndarray, float]:
     """(codes of the words, share of words equal to the one before)."""
-    codes = _codes(text.split())
-    same = float((codes[1:] == codes[:-1]).mean()) if len(codes) > 1 else 0.0
-    return codes, same
+    _, codes, same = text_views([text])
+    return codes.astype(np.int64), float(same[0])
+
+
+def packed(length: np.ndarray, codes: np.ndarray) -> pa.Array:
+    """The codes of each text as bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(np.r_[0, 4 * length.cumsum()].astype(np.int32)), pa.py_buffer(codes)])
+
+
+def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(number of words of each text, codes of all their words) of a column that :func:`packed` made."""
+    n, column = len(column), column.cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + n + 1]
+    data = column.buffers()[2] if n and ends[-1] > ends[0] else None
+    return np.diff(ends) // 4, np.frombuffer(data, np.int32)[ends[0] // 4:ends[-1] // 4] if data else np.zeros(0, np.int32)
 
 
 def page_view(lang: str | None, source: str | None, n_chars: int | None) -> list[int]:
@@ -108,15 +158,17 @@ class Model:
 
     def __init__(self, text: np.ndarray, page: np.ndarray, platt: list[np.ndarray], both: np.ndarray):
         self.text, self.page, self.platt, self.both = text, page, platt, both
-        # One weight for each (word bucket, shape bucket): a text's margin is then a sum over its words.
+        # A text's margin is a sum over its words.
         self.words, self.shapes = 10 * text[:WORD_DIM], 10 * text[WORD_DIM:WORD_DIM + SHAPE_DIM]
 
+    def all_margins(self, length: np.ndarray, codes: np.ndarray, same: np.ndarray, pages: np.ndarray) -> np.ndarray:
+        """Margins (text, page) of texts with so many words and these codes, their shares of repeated words and page codes."""
+        weight = (self.words[:, None] + self.shapes).ravel()
+        total = np.bincount(np.repeat(np.arange(len(length)), length), weight[codes], len(length))
+        return np.stack([self.text[-1] + self.text[-2] * same * 4 + total / (length + FEW), self.page[pages].sum(1) + self.page[-1]], 1)
+
     def margins(self, text: str, lang, source, n_chars) -> tuple[float, float]:
-        codes, same = text_view(text)
-        t = self.text[-1] + self.text[-2] * same * 4
-        if len(codes):
-            t += (self.words[codes // SHAPE_DIM] + self.shapes[codes % SHAPE_DIM]).sum() / (len(codes) + FEW)
-        return t, float(self.page[page_view(lang, source, n_chars)].sum() + self.page[-1])
+        return tuple(self.all_margins(*text_views([text]), np.array([page_view(lang, source, n_chars)]))[0].tolist())
 
     def scores(self, margins: np.ndarray) -> np.ndarray:
         """(p_text, p_page, score) columns from the margins of both views."""
@@ -124,21 +176,43 @@ class Model:
         return np.hstack([sigmoid(z), sigmoid(z @ self.both[:-1] + self.both[-1])[:, None]])
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """id, codes (4-byte numbers of all words), same, page (codes of the page view) of every document."""
+def features(docs: DataFrame, labelled=None) -> DataFrame:
+    """doc_id, id, codes (4-byte numbers of all words), same, page (codes of the page view) of every document; with a
+    broadcast bitmap of :func:`id_map`, maybe: 1 for ids that the bitmap has, else 0."""
 
     def make(batches):
-        hold("quality", _WORDS.clear)
+        hold("quality", _forget)
         for part in slices(batches, size=HELD_BYTES):
-            views = [text_view(t or "") for t in part.column("text").to_pylist()]
+            length, codes, same = text_views(part.column("text").to_pylist())
             pages = map(page_view, *(part.column(c).to_pylist() for c in ("lang", "source", "n_chars")))
-            yield pa.RecordBatch.from_pydict({
-                "id": part.column("id"), "codes": pa.array([c.astype(np.int32).tobytes() for c, _ in views], pa.binary()),
-                "same": pa.array([s for _, s in views], pa.float64()), "page": pa.array(list(pages), pa.list_(pa.int32()))})
-
-    frame = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text"), docs["lang"].cast("string").alias("lang"),
+            out = {"doc_id": part.column("doc_id"), "id": part.column("id"), "codes": packed(length, codes),
+                   "same": pa.array(same, pa.float64()), "page": pa.array(list(pages), pa.list_(pa.int32()))}
+            if labelled:
+                at = _places(part.column("id"))
+                out["maybe"] = pa.array((labelled.value[at >> 3] >> (at & 7).astype(np.uint8)) & (at >= 0), pa.int32())
+            yield pa.RecordBatch.from_pydict(out)
+
+    frame = docs.select(docs["doc_id"], docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text"), docs["lang"].cast("string").alias("lang"),
                         docs["source"].cast("string").alias("source"), docs["n_chars"].cast("long").alias("n_chars"))
-    return frame.mapInArrow(make, "id long, codes binary, same double, page array<int>")
+    made = f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, id long, codes binary, same double, page array<int>"
+    return frame.mapInArrow(make, made + ", maybe int" if labelled else made)
+
+
+def _places(ids: pa.Array) -> np.ndarray:
+    """Bits of ids in the bitmap, as Spark's xxhash64 places them; -1 for null."""
+    mask = (1 << ID_BITS) - 1
+    return np.array([-1 if i is None else xxhash.xxh64_intdigest(i.to_bytes(8, "little", signed=True), 42) & mask for i in ids.to_pylist()], np.int64)
+
+
+def id_map(ids: DataFrame) -> np.ndarray:
+    """Bitmap of hashed ids (column label_id), in bytes; built by Spark in rows of 2^ROW_BITS bits."""
+    place = F.xxhash64("label_id").bitwiseAND(F.lit((1 << ID_BITS) - 1))
+    out = np.zeros(1 << ID_BITS - 3, np.uint8)
+    rows = ids.groupBy(F.shiftright(place, ROW_BITS).alias("line")).agg(
+        F.bitmap_construct_agg(place.bitwiseAND(F.lit((1 << ROW_BITS) - 1))).alias("bits")).collect()  # at most 2^(ID_BITS - ROW_BITS) rows
+    for r in rows:
+        out[r.line << ROW_BITS - 3:r.line + 1 << ROW_BITS - 3] = np.frombuffer(r.bits, np.uint8)
+    return out
 
 
 def handed_over(table: DataFrame, labelled: dict[int, int], text: np.ndarray, page: np.ndarray) -> dict[tuple[int, int], tuple]:
@@ -158,8 +232,7 @@ def handed_over(table: DataFrame, labelled: dict[int, int], text: np.ndarray, pa
             n = part.num_rows
             if not n:
                 continue
-            texts = [np.frombuffer(b, np.int32) for b in part.column("codes").to_pylist()]
-            length, codes, same = np.array(list(map(len, texts))), np.concatenate(texts), 4 * part.column("same").to_numpy()
+            (length, codes), same = unpacked(part.column("codes")), 4 * part.column("same").to_numpy()
             doc, word, shape = np.repeat(np.arange(n), length), codes // SHAPE_DIM, codes % SHAPE_DIM
             weight = 10 / (length + FEW)
             pages = part.column("page").flatten().to_numpy().reshape(n, PAGE_CODES)
@@ -224,8 +297,7 @@ def matrix(part: pa.RecordBatch, view: int) -> np.ndarray:
     if view:
         np.put_along_axis(x, part.column("page").flatten().to_numpy().reshape(n, PAGE_CODES), 1, 1)
         return x
-    texts = [np.frombuffer(b, np.int32) for b in part.column("codes").to_pylist()]
-    length, codes = np.array(list(map(len, texts))), np.concatenate(texts)
+    length, codes = unpacked(part.column("codes"))
     doc = np.repeat(np.arange(n), length)
     x[:, :WORD_DIM] = np.bincount(doc * WORD_DIM + codes // SHAPE_DIM, minlength=n * WORD_DIM).reshape(n, -1)
     x[:, WORD_DIM:-2] = np.bincount(doc * SHAPE_DIM + codes % SHAPE_DIM, minlength=n * SHAPE_DIM).reshape(n, -1)
@@ -394,23 +466,44 @@ def co_train(rows: Labelled, exchange, rounds: int = ROUNDS) -> Model | None:
     return Model(w[0], w[1], platt, combined)
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rounds: int = ROUNDS) -> Model | None:
-    """Fit on all rows of ``labels`` and on all other rows of ``docs`` (doc_id, text, lang, source, n_chars)."""
+def learned(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rounds: int = ROUNDS) -> tuple[Model | None, DataFrame, list[str]]:
+    """The model fitted on all rows of ``labels`` and on all other rows of ``docs`` (doc_id, text, lang, source, n_chars);
+    the features of all rows of ``docs`` (doc_id, codes, same, page); the folders that hold them."""
     spark = docs.sparkSession
-    known = labels.select(labels["doc_id"].cast("long").alias("label_id"), labels[label_col].alias("good")) \
-        .where("label_id is not null and good is not null").groupBy("label_id").agg((F.avg("good") >= 0.5).cast("int").alias("good"))
-    path = scratch_path(spark, "quality-features")
-    made = features(docs).join(known, F.expr("id = label_id"), "left").drop("label_id")
-    made.withColumn("labelled", F.col("good").isNotNull().cast("int")).write.partitionBy("labelled").parquet(path)
-    table = spark.read.schema(made.schema.add("labelled", "integer")).parquet(path)
+    known, known_path = written(labels.select(labels["doc_id"].cast("long").alias("label_id"), labels[label_col].alias("good"))
+                                .where("label_id is not null and good is not null").groupBy("label_id").agg((F.avg("good") >= 0.5).cast("int").alias("good")), "quality-labels")
+    shared = spark.sparkContext.broadcast(id_map(known))
+    all_path, path = scratch_path(spark, "quality-features"), scratch_path(spark, "quality-met")
+
+    def kept(rows: DataFrame, by: str, to: str) -> DataFrame:
+        rows.write.partitionBy(by).option("compression", "zstd").parquet(to)
+        return spark.read.schema(rows.drop(by).schema.add(by, "integer")).parquet(to)
+
+    found = kept(features(docs, shared), "maybe", all_path)
+    # Labels grow with the documents: a merge join whatever their size, so that disk and time grow in proportion.
+    met = found.where("maybe = 1").drop("maybe").join(known.hint("merge"), F.expr("id = label_id"), "left").drop("label_id")
+    table = kept(met.withColumn("labelled", F.col("good").isNotNull().cast("int")), "labelled", path)
+    remove(spark, f"{all_path}/maybe=1")
+    others = spark.read.schema(found.schema).parquet(all_path).where("maybe = 0")
+    shared.destroy()
     some, again = table.where("labelled = 1").drop("labelled"), None
     if not some.groupBy("id").count().where("count > 1").isEmpty():  # one of the documents that share an id
         some, again = written(some.dropDuplicates(["id"]), "quality-labelled")
     part = F.pmod(F.xxhash64("id", F.lit(17)), F.lit(FOLDS ** 2)).cast("int")
-    model = co_train(Labelled(some.withColumn("part", part)), lambda text, page: handed_over(table.where("labelled = 0"), {}, text, page), rounds)
-    for old in (path, again):
+    columns = ["doc_id", "id", "codes", "same", "page"]
+    free = others.select(columns).unionByName(table.where("labelled = 0").select(columns))
+    model = co_train(Labelled(some.withColumn("part", part)), lambda text, page: handed_over(free, {}, text, page), rounds)
+    for old in (known_path, again):
         if old:
             remove(spark, old)
+    return model, others.select(columns).unionByName(table.select(columns)), [all_path, path]
+
+
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rounds: int = ROUNDS) -> Model | None:
+    """The model of :func:`learned` alone."""
+    model, _, paths = learned(docs, labels, label_col, rounds)
+    for path in paths:
+        remove(docs.sparkSession, path)
     return model
 
 
@@ -418,12 +511,12 @@ def score(docs: DataFrame, model: Model | None, out: str) -> DataFrame:
     """``docs`` with a struct column ``out`` of p_text, p_page and score."""
 
     def rate(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
-        margins = []
-        hold("quality", _WORDS.clear)
-        for i in range(0, len(text), SLICE_ROWS):
-            part = (c.slice(i, SLICE_ROWS).to_pylist() for c in (text, lang, source, n_chars))
-            margins += [model.margins(t or "", la, s, n) for t, la, s, n in zip(*part)]
-        p = model.scores(np.array(margins).reshape(-1, 2)) if model and margins else np.ones((len(text), 3))
+        margins = [np.zeros((0, 2))]
+        hold("quality", _forget)
+        for part in slices([pa.RecordBatch.from_arrays([text, lang, source, n_chars], ["text", "lang", "source", "n_chars"])], size=HELD_BYTES):
+            t, *page = (c.to_pylist() for c in part.columns)
+            margins.append(model.all_margins(*text_views(t), np.array(list(map(page_view, *page)))))
+        p = model.scores(np.concatenate(margins))
         return pa.StructArray.from_arrays([pa.array(p[:, k]) for k in range(3)], ["p_text", "p_page", "score"])
 
     if model is None:
@@ -434,8 +527,17 @@ def score(docs: DataFrame, model: Model | None, out: str) -> DataFrame:
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, p_text, p_page, score, keep (score >= 0.5)."""
-    (held,) = fresh(docs, "rated")
-    return score(docs, train(docs, labels), held).select("doc_id", f"{held}.*", (F.col(f"{held}.score") >= 0.5).alias("keep"))
+    model, table, _ = learned(docs, labels)
+
+    def rate(batches):
+        for part in slices(batches, "codes", size=HELD_BYTES):
+            pages = part.column("page").flatten().to_numpy().reshape(part.num_rows, PAGE_CODES)
+            p = model.scores(model.all_margins(*unpacked(part.column("codes")), part.column("same").to_numpy(), pages)) if model else np.ones((part.num_rows, 3))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(p[:, k]) for k in range(3))], ["doc_id", "p_text", "p_page", "score"])
+
+    kind = table.schema["doc_id"].dataType.simpleString()
+    return table.select("doc_id", "codes", "same", "page").mapInArrow(rate, f"doc_id {kind}, p_text double, p_page double, score double") \
+        .withColumn("keep", F.col("score") >= 0.5)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:

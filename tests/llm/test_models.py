@@ -84,6 +84,37 @@ def test_every_labelled_row_takes_part(spark, monkeypatch):
     assert np.mean([(model.margins(texts[i], "en", "s", 100)[0] > 0) == i % 2 for i in range(4000)]) > 0.9
 
 
+def test_few_unlabelled_rows_meet_the_labels(spark, monkeypatch):
+    """The bitmap passes every labelled id and few others; a full one, which passes all, changes no result."""
+    docs = spark.createDataFrame([(i if i % 50 else None, f"{'good' if i % 2 else 'bad'} word{i % 7}", "en", "s", 9) for i in range(-1000, 3000)] * 2,
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(-70, 130)] + [(None, 1), (9999, 0)], "doc_id long, quality int")
+    bits = spark.sparkContext.broadcast(quality.id_map(labels.select(labels["doc_id"].alias("label_id")).where("label_id is not null")))
+    passed = [r.id for r in quality.features(docs, bits).where("maybe = 1").select("id").collect()]
+    wanted = {i for i in range(-70, 130) if i % 50}
+    assert wanted <= set(passed) and None not in passed and len(passed) <= 2 * (len(wanted) + 5)
+    want = sorted(map(str, quality.scored(docs, labels).collect()))
+    monkeypatch.setattr(quality, "id_map", lambda ids: np.full(1 << quality.ID_BITS - 3, 255, np.uint8))
+    assert sorted(map(str, quality.scored(docs, labels).collect())) == want and len(want) == 8000
+
+
+def test_scores_come_from_the_written_features(spark, sf_dir):
+    """Ids with scores need no second look at the texts; both ways of scoring agree, on odd words too."""
+    odd = ["", None, "a", "É9x É9x ǅ٣ 12,5 AAAbbb...!! x" + "y" * 60, "don't DON'T \x00 \x1c tab\tend", "1 1 1 1"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").unionByName(spark.createDataFrame(
+        [(-1 - i, t, "en", "x", 5) for i, t in enumerate(odd)], "doc_id long, text string, lang string, source string, n_chars long"), allowMissingColumns=True)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    frame = quality.scored(docs, labels)
+    assert "documents.parquet" not in "".join(frame.inputFiles()) and frame.count() == docs.count()
+    other = {r.doc_id: r.held for r in quality.score(docs, quality.train(docs, labels), "held").select("doc_id", "held").collect()}
+    assert all(abs(r[k] - other[r.doc_id][k]) < 1e-9 for r in frame.collect() for k in ("p_text", "p_page", "score"))
+    for text in odd:
+        words = (text or "").split()
+        plain = [quality.zlib.crc32(w.lower().strip(quality._MARKS).encode()) % quality.WORD_DIM * quality.SHAPE_DIM
+                 + quality.zlib.crc32(quality._shape(w).encode()) % quality.SHAPE_DIM for w in words]
+        assert quality.text_view(text or "")[0].tolist() == plain
+
+
 def test_classifier_odd_rows(spark, odd_docs):
     labels = spark.createDataFrame([(1, 1), (5, 1), (7, 0), (7, 0), (7, None), (None, 1), (99, 0)], "doc_id long, quality int")
     for some in (labels, labels.limit(0), labels.where("quality = 1")):
