@@ -40,6 +40,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -59,8 +60,8 @@ MIN_GAIN, PAIR_DISCOUNT, PAIR_ROUNDS, PAIR_L2, PART_PAIRS = 4.0, 0.5, 2, 0.05, 1
 #: Bits of a pair's key: class, hash of the word before, hash of the word; the bit above marks the key of a context.
 CLASS_BITS, PREVIOUS_BITS, WORD_BITS = 10, 28, 24
 CONTEXT = 1 << CLASS_BITS + PREVIOUS_BITS + WORD_BITS
-#: Bits of the bitmap of keys with a weight, and of one of its rows.
-KEY_BITS, ROW_BITS = 26, 15
+#: Bits of the bitmaps of keys with a weight and of frequent ones, and of a row of the first.
+KEY_BITS, OFTEN_BITS, ROW_BITS = 26, 24, 15
 
 _H1 = np.arange(LEAVES)
 _K = np.arange(GROUPS)
@@ -76,52 +77,66 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-class _Suffixes(dict):
-    """Class by last three bytes, filled on demand (bounded: emptied when it has grown)."""
+class _Hashes(dict):
+    """64-bit hashes of words, as Spark's xxhash64 gives them, filled on demand (bounded: emptied when it has grown)."""
 
-    def __missing__(self, suffix):
-        if len(self) > 500_000:
+    def __missing__(self, word):
+        if len(self) > 200_000:
             self.clear()
-        self[suffix] = found = TAIL + zlib.crc32(suffix) % SUFFIXES
+        self[word] = found = xxhash.xxh64_intdigest(word, 42)
         return found
 
 
-_SUFFIX = _Suffixes()
-
-
-def classes_of(words: list[bytes], hot: dict[bytes, int]) -> np.ndarray:
-    """Classes of a text's tokens, the end included."""
-    found = [hot.get(w) for w in words]
-    if None in found:
-        found = [_SUFFIX[w[-3:]] if c is None else c for w, c in zip(words, found)]
-    found.append(END)
-    return np.array(found, np.int64)
+_HASH = _Hashes()
 
 
-def contexts(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(class of the word before, skip bucket) of each token of one text."""
-    before = np.r_[START, leaf[:-1]]
-    return before, _SKIP[np.r_[START, before[:-1]]]
+class _Tokens(dict):
+    """What ``own`` says of a word, else ~(class << PREVIOUS_BITS | first bits of its hash); filled on demand (bounded like _Hashes)."""
 
-
-class _Hashes(dict):
-    """64-bit hashes of words, as Spark's xxhash64 gives them, filled on demand (bounded like _Suffixes)."""
+    def __init__(self, own: dict[bytes, int]):
+        self.own = own.get
 
     def __missing__(self, word):
         if len(self) > 200_000:
             self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word, 42)
+        found = self.own(word)
+        if found is None:
+            found = ~_packed(word, tail_class(word))
+        self[word] = found
         return found
 
 
-_HASH = _Hashes()
+def _packed(word: bytes, leaf: int) -> int:
+    return leaf << PREVIOUS_BITS | xxhash.xxh64_intdigest(word, 42) >> 64 - PREVIOUS_BITS
+
+
+def spread(texts: list[str], tokens: _Tokens) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(words of all texts, number of each text's words, what ``tokens`` gives for the words)."""
+    words, length = [], np.zeros(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        own = words_of(text)
+        words += own
+        length[i] = len(own)
+    return words, length, np.fromiter(map(tokens.__getitem__, words), np.int64, len(words))
 
 
-def pair_keys(hashes: np.ndarray, leaf: np.ndarray) -> np.ndarray:
-    """Keys of the word pairs of one text, for tokens whose class has several words; key >> WORD_BITS is the context."""
+def laid_out(length: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For all tokens of texts with so many words (``packed``: class << PREVIOUS_BITS | first bits of the hash), ends included:
+    text, class, class of the word before, skip bucket; for tokens whose class has several words: text, key of the word
+    pair. key >> WORD_BITS is the pair's context."""
+    ends = (length + 1).cumsum() - 1
+    starts, word = ends - length, np.ones(len(packed) + len(length), bool)
+    word[ends] = False
+    full = np.full(len(word), END << PREVIOUS_BITS, np.int64)
+    full[word] = packed
+    doc, leaf, first = np.repeat(np.arange(len(length)), length + 1), full >> PREVIOUS_BITS, full & (1 << PREVIOUS_BITS) - 1
+    before = np.r_[START, leaf[:-1]]
+    before[starts] = START
+    second = np.r_[START, before[:-1]]
+    second[starts] = START
     at = np.flatnonzero((leaf >= TAIL) & (leaf < END))
-    before = (np.r_[np.uint64(0), hashes][at] >> np.uint64(64 - PREVIOUS_BITS)).astype(np.int64)
-    return (leaf[at] << PREVIOUS_BITS | before) << WORD_BITS | (hashes[at] >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+    key = (leaf[at] << PREVIOUS_BITS | np.r_[0, first[:-1]][at]) << WORD_BITS | first[at] >> PREVIOUS_BITS - WORD_BITS  # an end's bits are 0
+    return doc, leaf, before, _SKIP[second], doc[at], key
 
 
 def log_softmax(z: np.ndarray) -> np.ndarray:
@@ -182,20 +197,17 @@ def _statistics(train: DataFrame, hot: dict[bytes, int]) -> DataFrame:
 
     def count(batches):
         cells, found, held = np.zeros(2 * LEAVES * LEAVES, np.int64), [], 0
-        for part in slices(batches):
-            codes = []
-            for text in texts(part):
-                words = words_of(text)
-                leaf = classes_of(words, shared.value)
-                before, skip = contexts(leaf)
-                codes += [before * 2 * LEAVES + skip * GROUPS + leaf // GROUPS, before * 2 * LEAVES + LEAVES + leaf]
-                found.append(pair_keys(np.array([_HASH[w] for w in words], np.uint64), leaf))
-                held += len(found[-1])
-                if held > PART_PAIRS:
-                    yield from combined(found)
-                    found, held = [], 0
-            at, n = np.unique(np.concatenate(codes), return_counts=True)
-            cells[at] += n
+        tokens = _Tokens({w: ~_packed(w, leaf) for w, leaf in shared.value.items()})
+        for part in slices(batches, size=SLICE_BYTES // 4):
+            _, length, packed = spread(texts(part), tokens)
+            _, leaf, before, skip, _, key = laid_out(length, ~packed)
+            for code in (skip * GROUPS + leaf // GROUPS, LEAVES + leaf):
+                cells += np.bincount(before * 2 * LEAVES + code, minlength=len(cells))
+            found.append(key)
+            held += len(key)
+            if held > PART_PAIRS:
+                yield from combined(found)
+                found, held = [], 0
         if held:
             yield from combined(found)
         at = np.flatnonzero(cells)
@@ -230,6 +242,17 @@ def _fold(key: np.ndarray) -> np.ndarray:
     return (key ^ key >> 28 ^ key >> 36) & ((1 << KEY_BITS) - 1)
 
 
+def _has(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which places of a bitmap, in bytes, are set."""
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _often_map(keys: np.ndarray) -> np.ndarray:
+    out = np.zeros(1 << OFTEN_BITS, bool)
+    out[_fold(keys) & (1 << OFTEN_BITS) - 1] = True
+    return np.packbits(out, bitorder="little")
+
+
 def _own_key(row: np.ndarray) -> np.ndarray:
     """Keys that spread texts' own rows and that neither a pair nor a context has: both top bits after the sign are set."""
     return row.astype(np.int64) | 3 << 61
@@ -373,62 +396,69 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
     base_unknown, base_end = np.log10(1 / (total + size + 1)), np.log10((ends + 1) / (total + size + 1))
     ten = np.log(10)
     shared = spark.sparkContext.broadcast({
-        "code": {w: i for i, w in enumerate(names)}, "base": np.r_[base, base_end], "inner": np.r_[inner, 0.0], "leaf": np.r_[leaves, END],
-        "hash": np.array([xxhash.xxh64_intdigest(w, 42) for w in names], np.uint64), "keys": _key_map(features),
+        "code": {w: i for i, w in enumerate(names)}, "base": np.r_[base, base_end], "inner": np.r_[inner, 0.0],
+        "packed": np.array([_packed(w, leaf) for w, leaf in zip(names, leaves.tolist())], np.int64), "keys": _key_map(features), "often": _often_map(hot_keys[:-1]),
         "hot": hot_keys, "value": hot_values, "unknown": np.log10(unknown),
         "group": (weights.group_logp(_H1) / ten).astype(np.float32), "class": (weights.class_logp(_H1) / ten).astype(np.float32)})
 
     def rate(batches):
         m = shared.value
-        code, end = m["code"].get, len(m["code"])
+        coded, end = _Tokens(m["code"]), len(m["code"])
         group, classes = m["group"].ravel(), m["class"].ravel()
-        for part in slices(batches, size=SLICE_BYTES // 2):
-            words, at, times, out, met = [], [], [], [], []
-            for i, (row, text) in enumerate(zip(part.column("row").to_pylist(), texts(part))):
-                spoken_here = words_of(text)
-                found = list(map(code, spoken_here))
-                codes = np.array([-1 if c is None else c for c in found] + [end], np.int64)
-                leaf = m["leaf"][codes]
-                hashes = m["hash"][codes[:-1]] if end else np.zeros(len(found), np.uint64)
-                if None in found:
-                    rare = [w for w, c in zip(spoken_here, found) if c is None]
-                    counted = Counter(rare)
-                    words += counted.keys()
-                    times += counted.values()
-                    at += [row] * len(counted)
-                    leaf[codes < 0] = [_SUFFIX[w[-3:]] for w in rare]
-                    hashes[codes[:-1] < 0] = [_HASH[w] for w in rare]
-                before, skip = contexts(leaf)
-                ctx = group[before * LEAVES + skip * GROUPS + leaf // GROUPS].sum(dtype=float) + classes[before * LEAVES + leaf].sum(dtype=float)
-                have, new = codes[codes >= 0], codes < 0
-                key = pair_keys(hashes, leaf)
-                key = np.r_[key, key >> WORD_BITS | CONTEXT]
-                place = np.searchsorted(m["hot"], key)
-                often = m["hot"][place] == key
-                out.append((len(codes), len(have) - (ends == 0), m["base"][have].sum() + new.sum() * base_unknown,
-                            ctx + m["inner"][have].sum() + m["unknown"][leaf[new]].sum() + m["value"][place[often]].sum()))
-                key = key[~often]
-                low = _fold(key)
-                key, n = np.unique(key[(m["keys"][low >> 3] >> (low & 7).astype(np.uint8)) & 1 > 0], return_counts=True)
-                met.append((np.full(len(key), row), key, n))
-            met = [np.concatenate(c) for c in zip(*met)]
-            n_tokens, n_known, bases, scores = zip(*out)
-            f, k, n = len(met[0]), len(words), part.num_rows
-            rows = part.column("row")
-            own = pa.StructArray.from_arrays([part.column("id"), part.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
+        for part in slices(batches, size=SLICE_BYTES // 8):
+            n = part.num_rows
+            words, length, code = spread(texts(part), coded)
+            new = code < 0
+            packed = ~code
+            packed[~new] = m["packed"][code[~new]]
+            doc, leaf, before, skip, at, key = laid_out(length, packed)
+            of = np.repeat(np.arange(n), length)
+
+            def summed(where, values):
+                return np.bincount(where, values, n)
+
+            rare = np.bincount(of[new], minlength=n)
+            bases = summed(of[~new], m["base"][code[~new]]) + m["base"][end] + rare * base_unknown
+            scores = summed(doc, group[before * LEAVES + skip * GROUPS + leaf // GROUPS]) + summed(doc, classes[before * LEAVES + leaf]) \
+                + summed(of[~new], m["inner"][code[~new]]) + summed(of[new], m["unknown"][packed[new] >> PREVIOUS_BITS])
+            at, key = np.r_[at, at], np.r_[key, key >> WORD_BITS | CONTEXT]
+            low = _fold(key)
+            seen = np.flatnonzero(_has(m["often"], low & (1 << OFTEN_BITS) - 1))
+            place = np.searchsorted(m["hot"], key[seen])
+            same = m["hot"][place] == key[seen]
+            scores += summed(at[seen[same]], m["value"][place[same]])
+            left = _has(m["keys"], low)
+            left[seen[same]] = False
+            # What is looked up: each key once for each text, with its number of times.
+            key, at = key[left], at[left].astype(np.uint16 if n < 1 << 16 else np.int64)
+            order = np.argsort(key)
+            order = order[np.argsort(at[order], kind="stable")]
+            key, at = key[order], at[order]
+            first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (at[1:] != at[:-1])][:len(key)])
+            key, at, times = key[first], at[first], np.diff(np.r_[first, len(key)])
+            strange, unlike, rare_at, rare_times = list(compress(words, new.tolist())), [], [], []
+            ids = part.column("row").to_numpy()
+            for row, a, b in zip(ids.tolist(), (rare.cumsum() - rare).tolist(), rare.cumsum().tolist()):
+                counted = Counter(strange[a:b])
+                unlike += counted.keys()
+                rare_times += counted.values()
+                rare_at += [row] * len(counted)
+            f, k = len(key), len(unlike)
+            own = pa.StructArray.from_arrays([part.column("id"), part.column("held_out"), pa.array(length + 1, pa.int64()), pa.array(length + 1 - rare - (ends == 0), pa.int64()),
                                               pa.array(bases, pa.float64()), pa.array(scores, pa.float64())],
                                              ["id", "held_out", "n_tokens", "n_known", "base", "score"])
-            hashes = np.array([_HASH[w] for w in words], np.uint64).view(np.int64) | np.iinfo(np.int64).min
+            hashes = np.array([_HASH[w] for w in unlike], np.uint64).view(np.int64) | np.iinfo(np.int64).min
             yield pa.RecordBatch.from_pydict({
                 # Keys of words are below zero, those of pairs and contexts are not; a text's own row has one that no lookup has.
-                "key": pa.concat_arrays([pa.array(met[1], pa.int64()), pa.array(hashes), pa.array(_own_key(rows.to_numpy()))]),
-                "word": pa.concat_arrays([pa.array([""], pa.string()).take(pa.array(np.zeros(f, np.int64))), pa.array(words, pa.binary()).cast(pa.string()),
+                "key": pa.concat_arrays([pa.array(key, pa.int64()), pa.array(hashes), pa.array(_own_key(ids))]),
+                "word": pa.concat_arrays([pa.array([""], pa.string()).take(pa.array(np.zeros(f, np.int64))), pa.array(unlike, pa.binary()).cast(pa.string()),
                                           pa.nulls(n, pa.string())]),
-                "row": pa.concat_arrays([pa.array(met[0], pa.int64()), pa.array(at, pa.int64()), rows.cast(pa.int64())]),
-                "times": pa.concat_arrays([pa.array(met[2], pa.int64()), pa.array(times, pa.int64()), pa.nulls(n, pa.int64())]),
-                "own": pa.concat_arrays([pa.nulls(f + k, own.type), own])})
+                "row": pa.array(np.r_[ids[at], np.array(rare_at, np.int64), ids], pa.int64()),
+                "times": pa.concat_arrays([pa.array(times, pa.int64()), pa.array(rare_times, pa.int64()), pa.nulls(n, pa.int64())]),
+                # A list takes no room where there is none; a null struct takes that of its fields.
+                "own": pa.ListArray.from_arrays(pa.array(np.r_[np.zeros(f + k), np.arange(n + 1)], pa.int32()), own, mask=pa.array(np.arange(f + k + n) < f + k))})
 
-    rows = frame.mapInArrow(rate, f"key long, word string, row long, times long, own struct<id: {kind}, held_out: boolean, n_tokens: long, n_known: long, base: double, score: double>")
+    rows = frame.mapInArrow(rate, f"key long, word string, row long, times long, own array<struct<id: {kind}, held_out: boolean, n_tokens: long, n_known: long, base: double, score: double>>")
     gain = F.log10(F.greatest(F.col("n") - discount, F.lit(1e-9))) - log_tokens[place] - log_unknown[place]
     rare = vocabulary.where((F.col("n") * hot_words < spoken) & ~has_class).select(
         F.xxhash64("word").bitwiseOR(F.lit(-1 << 63)).alias("key"), F.col("word").alias("its"), F.col("n").alias("c"), gain.alias("value"))
@@ -436,8 +466,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
     # A text's own row counts its rare words as unknown; each word found adds the difference, each pair and context its value.
     # The join is by key alone; a word that merely shares the hash of another adds nothing.
     hit, times = F.coalesce(F.col("word") == F.col("its"), F.lit(False)), F.col("times")
-    found = rows.join(looked_up, "key", "left").select(
-        "row", "own", F.when(hit & (F.col("word") != ""), times).otherwise(0).alias("known"),
+    # The looked-up rows of a partition are the fewer ones: they are hashed, the others need no sort.
+    found = rows.join(looked_up.hint("shuffle_hash"), "key", "left").select(
+        "row", F.get("own", F.lit(0)).alias("own"), F.when(hit & (F.col("word") != ""), times).otherwise(0).alias("known"),
         F.when(hit, times * F.log10(F.col("c") + F.lit(1.0))).otherwise(0.0).alias("base"), F.when(hit, times * F.col("value")).otherwise(0.0).alias("score"))
     return found.groupBy("row").agg(
         F.max("own.id").alias(id_col), F.max("own.held_out").alias("held_out"), F.max("own.n_tokens").alias("n_tokens"),

@@ -222,6 +222,35 @@ def test_rare_pairs_are_learnt(spark):
     assert gain / sum(60 for _ in full) > 1.5  # of at most log10(5000) for each pair
 
 
+def test_tokens_of_many_texts_at_once():
+    """Classes, contexts and pair keys of a slice of texts against those of each text, word by word."""
+    texts = ["b a c a", "", "a", "  x\n日本 a x日本 ", "", "c c c c"]
+    own = {b"a": 0, b"c": 5}
+    words, length, packed = maxent.spread(texts, maxent._Tokens({w: ~maxent._packed(w, k) for w, k in own.items()}))
+    doc, leaf, before, skip, of, key = maxent.laid_out(length, ~packed)
+    at, pairs, said = 0, [], []
+    for d, text in enumerate(texts):
+        mine = text.encode().split()
+        classes = [own.get(w, maxent.tail_class(w)) for w in mine] + [maxent.END]
+        hashes = [maxent._HASH[w] for w in mine]
+        for i, c in enumerate(classes):
+            last = [maxent.START, maxent.START, *classes][i:i + 2]
+            assert (doc[at], leaf[at], before[at], skip[at]) == (d, c, last[1], maxent._SKIP[last[0]])
+            if maxent.TAIL <= c < maxent.END:
+                pairs.append((d, (c << 28 | (hashes[i - 1] >> 36 if i else 0)) << 24 | hashes[i] >> 40))
+            at += 1
+        said += mine
+    assert at == len(doc) and words == said and list(zip(of.tolist(), key.tolist())) == pairs and len(pairs) == 4
+    assert maxent._has(maxent._often_map(key), maxent._fold(key) & (1 << maxent.OFTEN_BITS) - 1).all()
+
+
+def test_rows_to_look_up_are_not_sorted(spark):
+    """The table of weights is the hashed side of the look-up."""
+    texts = [f"new{k % 3}ab old{k % 3}ab " * (1 + k % 4) + f"one{k}" for k in range(200)]
+    plan = maxent.score(frame(spark, texts))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_hashes_of_words_are_those_of_spark(spark):
     words = ["a", "é日本😀", "x" * 100, "word", "12345678", "0123456789abcdef0123456789abcdefg"]
     got = spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w) h").collect()
