@@ -60,6 +60,8 @@ MIN_GAIN, PAIR_DISCOUNT, PAIR_ROUNDS, PAIR_L2, PART_PAIRS = 4.0, 0.5, 2, 0.05, 1
 #: Bits of a pair's key: class, hash of the word before, hash of the word; the bit above marks the key of a context.
 CLASS_BITS, PREVIOUS_BITS, WORD_BITS = 10, 28, 24
 CONTEXT = 1 << CLASS_BITS + PREVIOUS_BITS + WORD_BITS
+#: First bits of a word's hash that are kept beside its class.
+HASH_BITS = 53
 #: Bits of the bitmaps of keys with a weight and of frequent ones, and of a row of the first.
 KEY_BITS, OFTEN_BITS, ROW_BITS = 26, 24, 15
 
@@ -78,20 +80,17 @@ def words_of(text: str) -> list[bytes]:
 
 
 class _Hashes(dict):
-    """64-bit hashes of words, as Spark's xxhash64 gives them, filled on demand (bounded: emptied when it has grown)."""
+    """64-bit hashes of words, as Spark's xxhash64 gives them; none is kept (_Tokens keeps what is asked for again)."""
 
     def __missing__(self, word):
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word, 42)
-        return found
+        return xxhash.xxh64_intdigest(word, 42)
 
 
 _HASH = _Hashes()
 
 
 class _Tokens(dict):
-    """What ``own`` says of a word, else ~(class << PREVIOUS_BITS | first bits of its hash); filled on demand (bounded like _Hashes)."""
+    """What ``own`` says of a word, else ~(class << HASH_BITS | first bits of its hash); filled on demand (bounded: emptied when it has grown)."""
 
     def __init__(self, own: dict[bytes, int]):
         self.own = own.get
@@ -100,14 +99,14 @@ class _Tokens(dict):
         if len(self) > 200_000:
             self.clear()
         found = self.own(word)
-        if found is None:
-            found = ~_packed(word, tail_class(word))
+        if found is None:  # ~_packed(word, tail_class(word))
+            found = ~(TAIL + zlib.crc32(word[-3:]) % SUFFIXES << HASH_BITS | xxhash.xxh64_intdigest(word, 42) >> 64 - HASH_BITS)
         self[word] = found
         return found
 
 
 def _packed(word: bytes, leaf: int) -> int:
-    return leaf << PREVIOUS_BITS | xxhash.xxh64_intdigest(word, 42) >> 64 - PREVIOUS_BITS
+    return leaf << HASH_BITS | _HASH[word] >> 64 - HASH_BITS
 
 
 def spread(texts: list[str], tokens: _Tokens) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -121,15 +120,15 @@ def spread(texts: list[str], tokens: _Tokens) -> tuple[list[bytes], np.ndarray,
 
 
 def laid_out(length: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, ...]:
-    """For all tokens of texts with so many words (``packed``: class << PREVIOUS_BITS | first bits of the hash), ends included:
+    """For all tokens of texts with so many words (``packed``: class << HASH_BITS | first bits of the hash), ends included:
     text, class, class of the word before, skip bucket; for tokens whose class has several words: text, key of the word
     pair. key >> WORD_BITS is the pair's context."""
     ends = (length + 1).cumsum() - 1
     starts, word = ends - length, np.ones(len(packed) + len(length), bool)
     word[ends] = False
-    full = np.full(len(word), END << PREVIOUS_BITS, np.int64)
+    full = np.full(len(word), END << HASH_BITS, np.int64)
     full[word] = packed
-    doc, leaf, first = np.repeat(np.arange(len(length)), length + 1), full >> PREVIOUS_BITS, full & (1 << PREVIOUS_BITS) - 1
+    doc, leaf, first = np.repeat(np.arange(len(length)), length + 1), full >> HASH_BITS, full >> HASH_BITS - PREVIOUS_BITS & (1 << PREVIOUS_BITS) - 1
     before = np.r_[START, leaf[:-1]]
     before[starts] = START
     second = np.r_[START, before[:-1]]
@@ -420,7 +419,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
             rare = np.bincount(of[new], minlength=n)
             bases = summed(of[~new], m["base"][code[~new]]) + m["base"][end] + rare * base_unknown
             scores = summed(doc, group[before * LEAVES + skip * GROUPS + leaf // GROUPS]) + summed(doc, classes[before * LEAVES + leaf]) \
-                + summed(of[~new], m["inner"][code[~new]]) + summed(of[new], m["unknown"][packed[new] >> PREVIOUS_BITS])
+                + summed(of[~new], m["inner"][code[~new]]) + summed(of[new], m["unknown"][packed[new] >> HASH_BITS])
             at, key = np.r_[at, at], np.r_[key, key >> WORD_BITS | CONTEXT]
             low = _fold(key)
             seen = np.flatnonzero(_has(m["often"], low & (1 << OFTEN_BITS) - 1))
@@ -447,7 +446,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
             own = pa.StructArray.from_arrays([part.column("id"), part.column("held_out"), pa.array(length + 1, pa.int64()), pa.array(length + 1 - rare - (ends == 0), pa.int64()),
                                               pa.array(bases, pa.float64()), pa.array(scores, pa.float64())],
                                              ["id", "held_out", "n_tokens", "n_known", "base", "score"])
-            hashes = np.array([_HASH[w] for w in unlike], np.uint64).view(np.int64) | np.iinfo(np.int64).min
+            hashes = ~np.fromiter(map(coded.__getitem__, unlike), np.int64, k) & (1 << HASH_BITS) - 1 | np.iinfo(np.int64).min
             yield pa.RecordBatch.from_pydict({
                 # Keys of words are below zero, those of pairs and contexts are not; a text's own row has one that no lookup has.
                 "key": pa.concat_arrays([pa.array(key, pa.int64()), pa.array(hashes), pa.array(_own_key(ids))]),
@@ -461,7 +460,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
     rows = frame.mapInArrow(rate, f"key long, word string, row long, times long, own array<struct<id: {kind}, held_out: boolean, n_tokens: long, n_known: long, base: double, score: double>>")
     gain = F.log10(F.greatest(F.col("n") - discount, F.lit(1e-9))) - log_tokens[place] - log_unknown[place]
     rare = vocabulary.where((F.col("n") * hot_words < spoken) & ~has_class).select(
-        F.xxhash64("word").bitwiseOR(F.lit(-1 << 63)).alias("key"), F.col("word").alias("its"), F.col("n").alias("c"), gain.alias("value"))
+        F.shiftrightunsigned(F.xxhash64("word"), 64 - HASH_BITS).bitwiseOR(F.lit(-1 << 63)).alias("key"), F.col("word").alias("its"), F.col("n").alias("c"), gain.alias("value"))
     looked_up = rare.unionByName(features.select("key", F.lit("").alias("its"), F.lit(0).cast("long").alias("c"), "value"))
     # A text's own row counts its rare words as unknown; each word found adds the difference, each pair and context its value.
     # The join is by key alone; a word that merely shares the hash of another adds nothing.

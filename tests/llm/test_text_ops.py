@@ -244,6 +244,14 @@ def test_tokens_of_many_texts_at_once():
     assert maxent._has(maxent._often_map(key), maxent._fold(key) & (1 << maxent.OFTEN_BITS) - 1).all()
 
 
+def test_rare_words_are_found_by_the_first_bits_of_their_hash(spark):
+    words = ["é日本", "x" * 100, "word", "a"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", f"shiftrightunsigned(xxhash64(w), {64 - maxent.HASH_BITS}) h").collect()
+    tokens = maxent._Tokens({})
+    assert all(~tokens[w] == maxent._packed(w, maxent.tail_class(w)) for w in (r.w.encode() for r in got))
+    assert all(~tokens[r.w.encode()] & (1 << maxent.HASH_BITS) - 1 == r.h for r in got)
+
+
 def test_rows_to_look_up_are_not_sorted(spark):
     """The table of weights is the hashed side of the look-up."""
     texts = [f"new{k % 3}ab old{k % 3}ab " * (1 + k % 4) + f"one{k}" for k in range(200)]
