@@ -19,7 +19,8 @@ what the discount leaves is the class's unknown word. It is the base measure of
 P(word | class, before) = q(word | class) exp(weight(before, word)) / Z(before, class), whose features are pairs of
 whole words, the word before hashed to PREVIOUS_BITS, the word within its class to WORD_BITS. A pair has a weight if it was met at least twice and tells MIN_GAIN nats or more beyond q;
 all others weigh 0, so Z = 1 + sum of q (exp(weight) - 1) over the weighted pairs of the context alone. Pairs are
-counted over all training tokens in a table that grows with the corpus. Their weights start where the discounted
+counted over all training tokens in a table that grows with the corpus; until they are added up they travel in arrays,
+a row for each bucket of contexts. Their weights start where the discounted
 counts are met exactly and take gradient steps (observed - expected - l2 * w) by context on Spark. So the model is
 a distribution over the known words, one unknown word for each hashed class, and the end.
 
@@ -39,31 +40,38 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from itertools import compress
+from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import SLICE_BYTES, remove, slices, texts, written
+from strata.llm.common import SLICE_BYTES, SLICE_ROWS, mix64, remove, slices, written
 
 GROUPS, HOT_CLASSES, HOT_WORDS, CROSS = 32, 510, 1 << 20, 1 << 13
 LEAVES = GROUPS * GROUPS
 TAIL, END, START = 512, 1022, 1023
 SUFFIXES = END - TAIL
-ROUNDS, RATE, L2, PRIOR, PART_DISTINCT = 8, 0.6, 0.5, 2.0, 300_000
+ROUNDS, RATE, L2, PRIOR, PART_BYTES = 8, 0.6, 0.5, 2.0, 32 << 20
 #: Pair weights: least gain, what is taken off a pair's count, rounds and l2 of its weights; pairs sorted at once in a task.
 MIN_GAIN, PAIR_DISCOUNT, PAIR_ROUNDS, PAIR_L2, PART_PAIRS = 4.0, 0.5, 2, 0.05, 1_500_000
+#: Counts of pairs travel in arrays of the pairs of a bucket of contexts, of at most about so many training tokens.
+BUCKET_TOKENS = 1 << 20
 #: Bits of a pair's key: class, hash of the word before, hash of the word; the bit above marks the key of a context.
 CLASS_BITS, PREVIOUS_BITS, WORD_BITS = 10, 28, 24
 CONTEXT = 1 << CLASS_BITS + PREVIOUS_BITS + WORD_BITS
 #: First bits of a word's hash that are kept beside its class.
 HASH_BITS = 53
+#: No word's code: above its class are classes that no word has.
+_STRANGE = np.iinfo(np.int64).min
 #: Bits of the bitmaps of keys with a weight and of frequent ones, and of a row of the first.
 KEY_BITS, OFTEN_BITS, ROW_BITS = 26, 24, 15
+#: Bits that hold a text's place in a slice.
+AT_BITS = SLICE_ROWS.bit_length()
 
 _H1 = np.arange(LEAVES)
 _K = np.arange(GROUPS)
@@ -75,12 +83,18 @@ def tail_class(word: bytes) -> int:
     return TAIL + zlib.crc32(word[-3:]) % SUFFIXES
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode().lower().split()
+def split(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words of all texts, number of each text's words); a null has none."""
+    text = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(text, "")))
+    parts, empty = pc.ascii_split_whitespace(text), pc.equal(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
+    words = parts.flatten()
+    if empty.any():  # split into one empty word
+        words = words.filter(pc.greater(pc.binary_length(words), 0))
+    return words, pc.list_value_length(parts).to_numpy().astype(np.int64) - empty
 
 
 class _Hashes(dict):
-    """64-bit hashes of words, as Spark's xxhash64 gives them; none is kept (_Tokens keeps what is asked for again)."""
+    """64-bit hashes of words, as Spark's xxhash64 gives them; none is kept."""
 
     def __missing__(self, word):
         return xxhash.xxh64_intdigest(word, 42)
@@ -89,34 +103,46 @@ class _Hashes(dict):
 _HASH = _Hashes()
 
 
-class _Tokens(dict):
-    """What ``own`` says of a word, else ~(class << HASH_BITS | first bits of its hash); filled on demand (bounded: emptied when it has grown)."""
+class _Tokens:
+    """What ``own`` says of a word, else ~(class << HASH_BITS | first bits of its hash)."""
 
     def __init__(self, own: dict[bytes, int]):
         self.own = own.get
 
-    def __missing__(self, word):
-        if len(self) > 200_000:
-            self.clear()
-        found = self.own(word)
-        if found is None:  # ~_packed(word, tail_class(word))
-            found = ~(TAIL + zlib.crc32(word[-3:]) % SUFFIXES << HASH_BITS | xxhash.xxh64_intdigest(word, 42) >> 64 - HASH_BITS)
-        self[word] = found
-        return found
+    def __getitem__(self, word: bytes) -> int:
+        return int(self.of(pa.array([word], pa.binary()))[0])
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        """The same of each of ``words``, which are best distinct."""
+        words = words.cast(pa.binary())
+        said = words.to_numpy(zero_copy_only=False)
+        code = np.fromiter(map(self.own, said, repeat(_STRANGE)), np.int64, len(said))
+        new = code == _STRANGE
+        strange = pa.array(new)
+        ends = pc.binary_slice(words.filter(strange), -3).dictionary_encode()
+        leaf = np.fromiter(map(tail_class, ends.dictionary.to_pylist()), np.int64, len(ends.dictionary))[ends.indices.to_numpy()]
+        first = np.fromiter(map(xxhash.xxh64_intdigest, said[new], repeat(42)), np.uint64, len(leaf)) >> np.uint64(64 - HASH_BITS)
+        code[new] = ~(leaf << HASH_BITS | first.astype(np.int64))  # ~_packed(word, tail_class(word))
+        return code
 
 
 def _packed(word: bytes, leaf: int) -> int:
     return leaf << HASH_BITS | _HASH[word] >> 64 - HASH_BITS
 
 
+def coded(text: pa.Array, tokens: _Tokens) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct words of all texts, number of each text's words, place of each word among the distinct ones, what ``tokens``
+    gives for these): a word is looked up once for all texts."""
+    words, length = split(text)
+    found = words.dictionary_encode()
+    distinct = found.dictionary
+    return distinct, length, found.indices.to_numpy(), tokens.of(distinct)
+
+
 def spread(texts: list[str], tokens: _Tokens) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(words of all texts, number of each text's words, what ``tokens`` gives for the words)."""
-    words, length = [], np.zeros(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        own = words_of(text)
-        words += own
-        length[i] = len(own)
-    return words, length, np.fromiter(map(tokens.__getitem__, words), np.int64, len(words))
+    distinct, length, place, code = coded(pa.array(texts, pa.string()), tokens)
+    return distinct.cast(pa.binary()).take(pa.array(place)).to_pylist(), length, code[place]
 
 
 def laid_out(length: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -164,57 +190,89 @@ class Weights:
 
 def _count_words(train: DataFrame) -> DataFrame:
     def count(batches):
-        seen: Counter = Counter()
+        held, size = [], 0
 
         def rows():
-            return pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.binary()).cast(pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+            found = pa.chunked_array(held).value_counts()
+            return pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
 
         for part in slices(batches):
-            for text in texts(part):
-                seen.update(words_of(text))
-            if len(seen) > PART_DISTINCT:
+            words, _ = split(part.column("text"))
+            held.append(words)
+            size += words.nbytes
+            if size > PART_BYTES:
                 yield rows()
-                seen.clear()
-        if seen:
+                held, size = [], 0
+        if held:
             yield rows()
 
     return train.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _statistics(train: DataFrame, hot: dict[bytes, int]) -> DataFrame:
-    """(c, a, n, total): counts by previous class, c < 0, -1 - c = h1 * 2 * LEAVES + place, place below LEAVES: skip bucket
-    and group, else LEAVES + class; and counts of word pairs met at least twice, a = pair, c = context, with the
-    tokens of the context. Tasks combine their rows first, so a context of any share is a few rows from each."""
-    shared = train.sparkSession.sparkContext.broadcast(hot)
+def _added_up(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of all (values, counts), in order, and the sums of their counts."""
+    a, n = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(a)
+    a = a[order]
+    first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+    return a[first], np.add.reduceat(n[order], first)
 
-    def batches_of(a, n):
-        for i in range(0, len(a), 100_000):
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a[i:i + 100_000], pa.int64()), "n": pa.array(n[i:i + 100_000], pa.int64())})
 
-    def combined(found):
-        yield from batches_of(*np.unique(np.concatenate(found), return_counts=True))
+def _statistics(train: DataFrame, hot: dict[bytes, int], spoken: int) -> DataFrame:
+    """(c, a, n, total): counts by previous class, c < 0, -1 - c = h1 * 2 * LEAVES + place, place below LEAVES: skip bucket
+    and group, else LEAVES + class; and counts of word pairs met at least twice, a = pair, c = context, with the
+    tokens of the context. Tasks add up their pairs first, so a context of any share is a few entries from each; a row
+    holds those of a bucket of contexts. ``spoken``: words of the training texts."""
+    spark = train.sparkSession
+    shared = spark.sparkContext.broadcast(hot)
+    buckets = max(spoken // BUCKET_TOKENS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def rows(a, n):
+        """One row for each bucket."""
+        bucket = (mix64((a >> WORD_BITS).astype(np.uint64)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+        order, size = np.argsort(bucket, kind="stable"), np.bincount(bucket, minlength=buckets)
+        some = np.flatnonzero(size)
+        ends = pa.array(np.r_[0, size[some].cumsum()], pa.int32())
+        return pa.RecordBatch.from_pydict({"bucket": pa.array(some, pa.int32()), "a": pa.ListArray.from_arrays(ends, pa.array(a[order], pa.int64())),
+                                           "n": pa.ListArray.from_arrays(ends, pa.array(n[order], pa.int64()))})
 
     def count(batches):
         cells, found, held = np.zeros(2 * LEAVES * LEAVES, np.int64), [], 0
         tokens = _Tokens({w: ~_packed(w, leaf) for w, leaf in shared.value.items()})
         for part in slices(batches, size=SLICE_BYTES // 4):
-            _, length, packed = spread(texts(part), tokens)
-            _, leaf, before, skip, _, key = laid_out(length, ~packed)
+            _, length, place, packed = coded(part.column("text"), tokens)
+            _, leaf, before, skip, _, key = laid_out(length, ~packed[place])
             for code in (skip * GROUPS + leaf // GROUPS, LEAVES + leaf):
-                cells += np.bincount(before * 2 * LEAVES + code, minlength=len(cells))
+                np.add.at(cells, before * 2 * LEAVES + code, 1)
             found.append(key)
             held += len(key)
             if held > PART_PAIRS:
-                yield from combined(found)
+                yield rows(*np.unique(np.concatenate(found), return_counts=True))
                 found, held = [], 0
         if held:
-            yield from combined(found)
+            yield rows(*np.unique(np.concatenate(found), return_counts=True))
         at = np.flatnonzero(cells)
-        yield from batches_of(-1 - at << WORD_BITS, cells[at])
+        if len(at):
+            yield rows(-1 - at << WORD_BITS, cells[at])
 
-    context = F.shiftright("a", WORD_BITS)
-    counted = train.select("text").mapInArrow(count, "a long, n long").repartition(context).withColumn("c", context).groupBy("c", "a").agg(F.sum("n").alias("n"))
-    return counted.withColumn("total", F.sum("n").over(Window.partitionBy("c"))).where("c < 0 or n >= 2")
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held, least = [], 0, 0
+        for batch in batches:
+            found.append(tuple(batch.column(k).flatten().to_numpy() for k in "an"))
+            held += len(found[-1][0])
+            if held > 2 * least + PART_PAIRS:  # so no more is held than a few times the bucket's distinct pairs
+                found = [_added_up(found)]
+                held = least = len(found[0][0])
+        a, n = _added_up(found)
+        c = a >> WORD_BITS
+        first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+        total = np.repeat(np.add.reduceat(n, first), np.diff(np.r_[first, len(c)]))
+        kept = np.flatnonzero((c < 0) | (n >= 2))
+        for i in range(0, len(kept), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[kept[i:i + 100_000]], pa.int64()) for x in (c, a, n, total)], ["c", "a", "n", "total"])
+
+    return train.select("text").mapInArrow(count, "bucket int, a array<long>, n array<long>").groupBy("bucket").applyInArrow(
+        add_up, "c long, a long, n long, total long")
 
 
 def train_pairs(pairs: DataFrame, words: DataFrame, min_gain: float) -> DataFrame:
@@ -366,7 +424,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
     place = (F.crc32(F.expr("substring(cast(word as binary), -3, 3)")) % SUFFIXES).cast("int")
     log_tokens = F.array(*(F.lit(float(x)) for x in np.log10(np.maximum(tokens[TAIL:END], 1))))
     log_unknown = F.array(*(F.lit(float(x)) for x in np.log10(unknown[TAIL:END])))
-    counted, counted_path = written(_statistics(train, hot), "maxent-counts")
+    counted, counted_path = written(_statistics(train, hot, spoken), "maxent-counts")
     cells, _ = written(counted.where("c < 0").groupBy(F.expr(f"cast((-1 - c) div {2 * LEAVES} as int)").alias("h1")).agg(
         F.collect_list(F.struct(((-1 - F.col("c")) % (2 * LEAVES)).cast("int").alias("at"), "n")).alias("held")).select(
         "h1", "held.at", "held.n").repartition(8, "h1"), "maxent-cells")
@@ -395,32 +453,34 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
     base_unknown, base_end = np.log10(1 / (total + size + 1)), np.log10((ends + 1) / (total + size + 1))
     ten = np.log(10)
     shared = spark.sparkContext.broadcast({
-        "code": {w: i for i, w in enumerate(names)}, "base": np.r_[base, base_end], "inner": np.r_[inner, 0.0],
+        "code": {w: i for i, w in enumerate(names)}, "base": base, "inner": inner,
         "packed": np.array([_packed(w, leaf) for w, leaf in zip(names, leaves.tolist())], np.int64), "keys": _key_map(features), "often": _often_map(hot_keys[:-1]),
         "hot": hot_keys, "value": hot_values, "unknown": np.log10(unknown),
         "group": (weights.group_logp(_H1) / ten).astype(np.float32), "class": (weights.class_logp(_H1) / ten).astype(np.float32)})
 
     def rate(batches):
         m = shared.value
-        coded, end = _Tokens(m["code"]), len(m["code"])
+        tokens = _Tokens(m["code"])
         group, classes = m["group"].ravel(), m["class"].ravel()
         for part in slices(batches, size=SLICE_BYTES // 8):
             n = part.num_rows
-            words, length, code = spread(texts(part), coded)
-            new = code < 0
-            packed = ~code
+            distinct, length, word, code = coded(part.column("text"), tokens)
+            new = code < 0  # of each distinct word, as the next three
+            packed, base, inner = ~code, np.zeros(len(code)), np.zeros(len(code))
             packed[~new] = m["packed"][code[~new]]
-            doc, leaf, before, skip, at, key = laid_out(length, packed)
+            base[~new] = m["base"][code[~new]]
+            inner[new], inner[~new] = m["unknown"][packed[new] >> HASH_BITS], m["inner"][code[~new]]
+            doc, leaf, before, skip, at, key = laid_out(length, packed[word])
             of = np.repeat(np.arange(n), length)
 
             def summed(where, values):
                 return np.bincount(where, values, n)
 
-            rare = np.bincount(of[new], minlength=n)
-            bases = summed(of[~new], m["base"][code[~new]]) + m["base"][end] + rare * base_unknown
-            scores = summed(doc, group[before * LEAVES + skip * GROUPS + leaf // GROUPS]) + summed(doc, classes[before * LEAVES + leaf]) \
-                + summed(of[~new], m["inner"][code[~new]]) + summed(of[new], m["unknown"][packed[new] >> HASH_BITS])
-            at, key = np.r_[at, at], np.r_[key, key >> WORD_BITS | CONTEXT]
+            strange = np.flatnonzero(new[word])
+            rare = np.bincount(of[strange], minlength=n)
+            bases = summed(of, base[word]) + base_end + rare * base_unknown
+            scores = summed(doc, group[before * LEAVES + skip * GROUPS + leaf // GROUPS] + classes[before * LEAVES + leaf].astype(float)) + summed(of, inner[word])
+            at, key = np.repeat(at, 2), np.c_[key, key >> WORD_BITS | CONTEXT].ravel()
             low = _fold(key)
             seen = np.flatnonzero(_has(m["often"], low & (1 << OFTEN_BITS) - 1))
             place = np.searchsorted(m["hot"], key[seen])
@@ -428,31 +488,26 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_w
             scores += summed(at[seen[same]], m["value"][place[same]])
             left = _has(m["keys"], low)
             left[seen[same]] = False
-            # What is looked up: each key once for each text, with its number of times.
-            key, at = key[left], at[left].astype(np.uint16 if n < 1 << 16 else np.int64)
-            order = np.argsort(key)
-            order = order[np.argsort(at[order], kind="stable")]
+            # What is looked up: each key once for each text, with its number of times; where another key's hash is the same, in parts.
+            key, at = key[left], at[left]
+            order = np.argsort(at.astype(np.uint64) << np.uint64(64 - AT_BITS) | mix64(key.astype(np.uint64)) >> np.uint64(AT_BITS))
             key, at = key[order], at[order]
             first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (at[1:] != at[:-1])][:len(key)])
             key, at, times = key[first], at[first], np.diff(np.r_[first, len(key)])
-            strange, unlike, rare_at, rare_times = list(compress(words, new.tolist())), [], [], []
+            rare_at, rare_times = np.unique(of[strange] * len(distinct) + word[strange], return_counts=True)
+            rare_at, unlike = np.divmod(rare_at, max(len(distinct), 1))
             ids = part.column("row").to_numpy()
-            for row, a, b in zip(ids.tolist(), (rare.cumsum() - rare).tolist(), rare.cumsum().tolist()):
-                counted = Counter(strange[a:b])
-                unlike += counted.keys()
-                rare_times += counted.values()
-                rare_at += [row] * len(counted)
             f, k = len(key), len(unlike)
             own = pa.StructArray.from_arrays([part.column("id"), part.column("held_out"), pa.array(length + 1, pa.int64()), pa.array(length + 1 - rare - (ends == 0), pa.int64()),
                                               pa.array(bases, pa.float64()), pa.array(scores, pa.float64())],
                                              ["id", "held_out", "n_tokens", "n_known", "base", "score"])
-            hashes = ~np.fromiter(map(coded.__getitem__, unlike), np.int64, k) & (1 << HASH_BITS) - 1 | np.iinfo(np.int64).min
+            hashes = packed[unlike] & (1 << HASH_BITS) - 1 | np.iinfo(np.int64).min
             yield pa.RecordBatch.from_pydict({
                 # Keys of words are below zero, those of pairs and contexts are not; a text's own row has one that no lookup has.
-                "key": pa.concat_arrays([pa.array(key, pa.int64()), pa.array(hashes), pa.array(_own_key(ids))]),
-                "word": pa.concat_arrays([pa.array([""], pa.string()).take(pa.array(np.zeros(f, np.int64))), pa.array(unlike, pa.binary()).cast(pa.string()),
+                "key": pa.concat_arrays([pa.array(key, pa.int64()), pa.array(hashes, pa.int64()), pa.array(_own_key(ids))]),
+                "word": pa.concat_arrays([pa.array([""], pa.string()).take(pa.array(np.zeros(f, np.int64))), distinct.take(pa.array(unlike, pa.int64())),
                                           pa.nulls(n, pa.string())]),
-                "row": pa.array(np.r_[ids[at], np.array(rare_at, np.int64), ids], pa.int64()),
+                "row": pa.array(np.r_[ids[at], ids[rare_at], ids], pa.int64()),
                 "times": pa.concat_arrays([pa.array(times, pa.int64()), pa.array(rare_times, pa.int64()), pa.nulls(n, pa.int64())]),
                 # A list takes no room where there is none; a null struct takes that of its fields.
                 "own": pa.ListArray.from_arrays(pa.array(np.r_[np.zeros(f + k), np.arange(n + 1)], pa.int32()), own, mask=pa.array(np.arange(f + k + n) < f + k))})

@@ -263,3 +263,50 @@ def test_hashes_of_words_are_those_of_spark(spark):
     words = ["a", "é日本😀", "x" * 100, "word", "12345678", "0123456789abcdef0123456789abcdefg"]
     got = spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w) h").collect()
     assert all(r.h % 2**64 == maxent._HASH[r.w.encode()] for r in got)
+
+
+def test_a_word_of_many_texts_is_looked_up_once():
+    asked = []
+
+    class Asked(maxent._Tokens):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+        def of(self, words):
+            asked.extend(w.encode() for w in words.to_pylist())
+            return super().of(words)
+
+    words, length, code = maxent.spread(["b a B", "", "日本 a"] * 50, Asked({b"a": 7}))
+    assert sorted(asked) == [b"a", b"b", "日本".encode()]
+    assert words == [b"b", b"a", b"b", "日本".encode(), b"a"] * 50 and length.tolist() == [3, 0, 2] * 50
+    assert code.tolist() == [7 if w == b"a" else ~maxent._packed(w, maxent.tail_class(w)) for w in words]
+
+
+def test_words_are_split_at_the_six_spaces_alone():
+    import pyarrow as pa
+
+    texts = mixed(500, 12) + [None, "", " ", "\x0b\x0ca\x1cb\x85c\xa0d \r\n", "İK\u212a ẞ\u2003x"]
+    words, length = maxent.split(pa.array(texts).slice(3))
+    want = [(t or "").encode().lower().split() for t in texts[3:]]
+    assert length.tolist() == [len(w) for w in want] and words.cast(pa.binary()).to_pylist() == [w for own in want for w in own]
+
+
+def test_counts_of_pairs_travel_in_arrays_of_buckets(spark, monkeypatch):
+    """Exact counts with many buckets and tasks that add up often; no row for each pair is moved or put in a window."""
+    monkeypatch.setattr(maxent, "PART_PAIRS", 300)
+    monkeypatch.setattr(maxent, "BUCKET_TOKENS", 50)
+    texts = [*pairs_of_rarer_words(), None, "", "w0x " * 3000, *(f"w{k % 7}x w{k % 5}x" for k in range(400))]
+    cells, pairs, total = Counter(), Counter(), Counter()
+    for t in texts:
+        _, length, code = maxent.spread([t or ""], maxent._Tokens({}))
+        _, leaf, before, skip, _, key = maxent.laid_out(length, ~code)
+        for b, s, c in zip(before.tolist(), skip.tolist(), leaf.tolist()):
+            cells.update((b * 2 * maxent.LEAVES + s * maxent.GROUPS + c // maxent.GROUPS, b * 2 * maxent.LEAVES + maxent.LEAVES + c))
+        pairs.update(key.tolist())
+        total.update((key >> maxent.WORD_BITS).tolist())
+    counted = maxent._statistics(frame(spark, texts).repartition(3), {}, sum(total.values()))
+    plan, rows = counted._jdf.queryExecution().executedPlan().toString(), counted.collect()
+    assert {-1 - r.c: r.n for r in rows if r.c < 0} == cells
+    assert sorted((r.c, r.a, r.n, r.total) for r in rows if r.c >= 0) == sorted((a >> maxent.WORD_BITS, a, n, total[a >> maxent.WORD_BITS]) for a, n in pairs.items() if n >= 2)
+    assert "Window" not in plan and "HashAggregate" not in plan
